@@ -8,11 +8,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerostat.functions.calendar import calendar_columns
 from aerostat.functions import scalar as sc
+from aerostat.operators import alerts
+from aerostat.operators import asof
+from aerostat.operators import attribution as attr
 from aerostat.operators import features as feat
+from aerostat.operators import forecast as fc
 from aerostat.operators import grid
+from aerostat.operators import incremental as inc
+from aerostat.operators import metrics as met
+from aerostat.operators import rollups as roll
+from aerostat.operators import scale
+from aerostat.operators import split as split_mod
 from aerostat.operators import windows as win
 from aerostat.plans.output import finish
-from aerostat.schemas import (PM25_LAGS, ROLLING_MEAN_SIZES, ROLLING_STD_SIZES, TARGET_LAGS, LOOKBACK)
+from aerostat.schemas import (FORECAST_MIN_ROWS, HORIZON_ERROR_GROWTH, LOOKBACK, PM25_LAGS, ROLLING_MEAN_SIZES,
+                              ROLLING_STD_SIZES, SAMPLE_ROWS, SAMPLE_SEED, STALE_AFTER_SECONDS, TARGET_LAGS)
 from aerostat.sources import payload as pl
 from aerostat.sources import tables as tb
 
@@ -185,3 +195,276 @@ def features_basic(spark, sf_dir):
     out = feat.basic_features(tb.user_series(spark, sf_dir), U, target="value")
     return finish(out.select(*KEY, "value", *feat.BASIC_FEATURES))
 
+# ---------------------------------------------------------------- step 5: tables and incremental
+#
+# Scenario over the events table: the stored table holds every row before CUTOFF;
+# a landed batch holds every row from OVERLAP_FROM on (one day of overlap, so it
+# repeats stored keys); AS_OF is "now" for as-of reads. Together the two parts
+# cover the whole table.
+
+CUTOFF = "2024-01-20 00:00:00"
+OVERLAP_FROM = "2024-01-19 00:00:00"
+AS_OF = "2024-01-25 12:00:00"
+
+
+def _ts(s: str):
+    return F.lit(s).cast("timestamp")
+
+
+def _stored(spark, sf_dir):
+    return tb.user_series(spark, sf_dir).filter(F.col("ts") < _ts(CUTOFF)).select("user_id", "ts", "event_id", "value")
+
+
+def _landed(spark, sf_dir):
+    return tb.user_series(spark, sf_dir).filter(F.col("ts") >= _ts(OVERLAP_FROM)).select(
+        "user_id", "ts", "event_id", "value")
+
+
+@query
+def watermark(spark, sf_dir):
+    return finish(inc.high_watermark(_stored(spark, sf_dir), U))
+
+
+@query
+def fetch_ranges(spark, sf_dir):
+    wm = inc.high_watermark(_stored(spark, sf_dir), U)
+    return finish(inc.fetch_ranges(wm, _ts(AS_OF)))
+
+
+@query
+def incremental_rows(spark, sf_dir):
+    wm = inc.high_watermark(_stored(spark, sf_dir), U)
+    fresh, _late = inc.split_incoming(_landed(spark, sf_dir), wm, U)
+    return finish(fresh)
+
+
+@query
+def late_rows(spark, sf_dir):
+    wm = inc.high_watermark(_stored(spark, sf_dir), U)
+    _fresh, late = inc.split_incoming(_landed(spark, sf_dir), wm, U)
+    return finish(late)
+
+
+@query
+def union_dedup(spark, sf_dir):
+    old = _stored(spark, sf_dir).withColumn("source", F.lit("stored"))
+    new = _landed(spark, sf_dir).withColumn("source", F.lit("landed"))
+    return finish(inc.union_keep_first(old, new, key=["user_id", "ts"], order=["event_id"]))
+
+
+@query
+def upsert_latest(spark, sf_dir):
+    old = _stored(spark, sf_dir).withColumn("source", F.lit("stored"))
+    new = _landed(spark, sf_dir).withColumn("source", F.lit("landed"))
+    return finish(inc.upsert_latest(old, new, key=["user_id", "ts"], order=["event_id"]))
+
+
+@query
+def dedup_keep_first(spark, sf_dir):
+    e = tb.user_series(spark, sf_dir).select("user_id", F.date_trunc("hour", "ts").alias("hour_ts"),
+                                             "ts", "event_id", "value")
+    return finish(inc.dedup_keep_first(e, key=["user_id", "hour_ts"], order=["ts", "event_id"]))
+
+
+@query
+def series_profile(spark, sf_dir):
+    s = split_mod.time_split(tb.user_series(spark, sf_dir), U)
+    return finish(roll.profile(s, U, by=["split"]))
+
+
+# ---------------------------------------------------------------- step 6: as-of reads and alerts
+
+@query
+def latest_as_of(spark, sf_dir):
+    e = tb.user_series(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return finish(asof.latest_row(e, U, _ts(AS_OF), fallback=True))
+
+
+@query
+def last_n(spark, sf_dir):
+    e = tb.user_series(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return finish(asof.last_n(e, U, 24, _ts(AS_OF)))
+
+
+@query
+def recent_trend(spark, sf_dir):
+    e = tb.user_series(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return finish(asof.recent_summary(e, U, "value", 24, 6, _ts(AS_OF)))
+
+
+@query
+def staleness(spark, sf_dir):
+    e = tb.user_series(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    latest = asof.latest_row(e, U, _ts(AS_OF), fallback=False)
+    return finish(asof.staleness(latest, "ts", _ts(AS_OF), STALE_AFTER_SECONDS)
+                  .select("user_id", "ts", "age_seconds", "is_stale"))
+
+
+@query
+def min_history(spark, sf_dir):
+    return finish(asof.history_size(tb.user_series(spark, sf_dir), U, FORECAST_MIN_ROWS, _ts(AS_OF)))
+
+
+@query
+def daily_rollup(spark, sf_dir):
+    return finish(roll.daily_rollup(tb.user_series(spark, sf_dir), U, "value"))
+
+
+@query
+def hash_sample(spark, sf_dir):
+    e = tb.user_series(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return finish(asof.hash_sample(e, ["event_id"], SAMPLE_ROWS, SAMPLE_SEED))
+
+
+@query
+def alert_messages(spark, sf_dir):
+    e = tb.user_series(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return finish(alerts.alert_table(e, U, "value", _ts(AS_OF)))
+
+
+# ---------------------------------------------------------------- step 7: split, scaling, metrics
+
+@query
+def split_80_20(spark, sf_dir):
+    s = split_mod.time_split(tb.user_series(spark, sf_dir), U)
+    return finish(s.select(*KEY, "split"))
+
+
+@query
+def minmax_scale(spark, sf_dir):
+    s = split_mod.time_split(tb.user_series(spark, sf_dir), U)
+    fit = scale.fit_minmax(s.filter(F.col("split") == "train"), ["value", "k"])
+    return finish(scale.minmax_transform(s, fit).select(*KEY, "split", "value_scaled", "k_scaled"))
+
+
+def _baseline_predictions(spark, sf_dir):
+    """Deterministic predictors of the current value from earlier rows, plus a fitted linear one."""
+    e = tb.user_series(spark, sf_dir).select(*KEY, "value")
+
+    def st(cx):
+        prev3 = cx.w.rowsBetween(-3, -1)
+        return {"persistence": cx.lag("value", 1),
+                "mean3": F.when(F.count("value").over(prev3) == 3, F.avg("value").over(prev3)),
+                "seasonal_24": cx.lag("value", 24)}
+    f = win.windowed(e, U, [st], context_rows=24, context_cols=["value"])
+    s = split_mod.time_split(f, U)
+    train = s.filter((F.col("split") == "train"))
+    fit = train.agg(F.regr_intercept("value", "mean3").alias("a"), F.regr_slope("value", "mean3").alias("b"))
+    a, b = fit.select("a").scalar(), fit.select("b").scalar()
+    preds = {"persistence": F.col("persistence"), "rolling_mean_3": F.col("mean3"),
+             "seasonal_24": F.col("seasonal_24"), "linear_mean3": a + b * F.col("mean3")}
+    return met.stack_predictions(s, [*KEY, "split"], "value", preds)
+
+
+BASELINE_PRIORITY = ["linear_mean3", "rolling_mean_3", "persistence", "seasonal_24"]
+
+
+@query
+def regression_metrics(spark, sf_dir):
+    return finish(met.regression_metrics(_baseline_predictions(spark, sf_dir)))
+
+
+@query
+def best_model(spark, sf_dir):
+    m = met.regression_metrics(_baseline_predictions(spark, sf_dir))
+    return finish(met.best_model(m, BASELINE_PRIORITY))
+
+
+IMPORTANCE_FEATURES = [*[f"value_lag_{k}" for k in TARGET_LAGS], *[f"value_rolling_mean_{n}" for n in ROLLING_MEAN_SIZES],
+                       *[f"value_rolling_std_{n}" for n in ROLLING_STD_SIZES], "value_change", "k"]
+
+
+@query
+def top_k_importance(spark, sf_dir):
+    e = tb.user_series(spark, sf_dir)
+
+    def st(cx):
+        out = {f"value_lag_{k}": cx.lag("value", k) for k in TARGET_LAGS}
+        out.update({f"value_rolling_mean_{n}": cx.guarded(F.avg, "value", n) for n in ROLLING_MEAN_SIZES})
+        out.update({f"value_rolling_std_{n}": cx.guarded(F.stddev_samp, "value", n) for n in ROLLING_STD_SIZES})
+        out["value_change"] = F.col("value") - cx.lag("value", 1)
+        return out
+    f = win.windowed(e, U, [st], context_rows=24, context_cols=["value"])
+    imp = met.correlation_importance(f, IMPORTANCE_FEATURES, "value")
+    return finish(met.top_k(imp, 10))
+
+
+# ---------------------------------------------------------------- step 8: forecasts
+
+HORIZONS = [h for h, *_ in HORIZON_ERROR_GROWTH]
+
+
+def _station_fit(spark, sf_dir):
+    st = _station(spark, sf_dir)
+    past = st.filter(F.col("timestamp") <= _ts(AS_OF))
+    a, b = fc.fit_ar3(fc.ar3_training_rows(past, grid.STATION_SPEC, "us_aqi"))
+    return st, a, b
+
+
+@query
+def recursive_forecast(spark, sf_dir):
+    st, a, b = _station_fit(spark, sf_dir)
+    state = fc.forecast_state(st, grid.STATION_SPEC, "us_aqi", _ts(AS_OF))
+    return finish(fc.recursive_forecast(state, ["city"], a, b))
+
+
+@query
+def peak_alert(spark, sf_dir):
+    st, a, b = _station_fit(spark, sf_dir)
+    state = fc.forecast_state(st, grid.STATION_SPEC, "us_aqi", _ts(AS_OF))
+    return finish(roll.peak_alert(fc.recursive_forecast(state, ["city"], a, b), ["city"], "predicted"))
+
+
+@query
+def backtest_by_horizon(spark, sf_dir):
+    st, a, b = _station_fit(spark, sf_dir)
+    return finish(fc.backtest_by_horizon(st, grid.STATION_SPEC, "us_aqi", a, b, HORIZONS))
+
+
+@query
+def forecast_error_table(spark, sf_dir):
+    st, a, b = _station_fit(spark, sf_dir)
+    bt = fc.backtest_by_horizon(st, grid.STATION_SPEC, "us_aqi", a, b, [1])
+    return finish(fc.forecast_error_rows(bt.select(F.col("rmse").alias("base_rmse"))))
+
+
+# ---------------------------------------------------------------- step 9: attribution
+
+# A fixed linear model over the reduced feature set (parameters, not fitted here);
+# tests feed coefficients fitted by pyspark.ml through the same functions.
+DEMO_INTERCEPT = 5.0
+DEMO_COEFS = {"hour": 0.2, "day_of_week": -0.5, "month": 0.1, "is_weekend": 1.5,
+              "aqi_lag_1h": 0.35, "aqi_lag_6h": 0.05, "aqi_rolling_mean_3h": 0.45}
+
+
+def _attribution_long(spark, sf_dir):
+    f = feat.basic_features(tb.user_series(spark, sf_dir), U, target="value")
+    means = attr.background_means(f, list(DEMO_COEFS))
+    sample = asof.hash_sample(f, ["event_id"], SAMPLE_ROWS, SAMPLE_SEED)
+    return attr.linear_attribution(sample, "event_id", DEMO_COEFS, DEMO_INTERCEPT, means), sample
+
+
+@query
+def attribution_linear(spark, sf_dir):
+    long, _ = _attribution_long(spark, sf_dir)
+    return finish(long)
+
+
+@query
+def attribution_rank(spark, sf_dir):
+    long, _ = _attribution_long(spark, sf_dir)
+    return finish(attr.attribution_rank(long))
+
+
+@query
+def attribution_dependence(spark, sf_dir):
+    long, _ = _attribution_long(spark, sf_dir)
+    return finish(attr.dependence(long, 3).select("event_id", "feature", "feature_value", "contribution"))
+
+
+@query
+def pick_examples(spark, sf_dir):
+    long, sample = _attribution_long(spark, sf_dir)
+    picks = attr.pick_examples(sample, "event_id", "value")
+    return finish(attr.explain_rows(long, picks, "event_id").select(
+        "example", "event_id", "feature", "feature_value", "contribution", "rank"))

@@ -228,3 +228,318 @@ SELECT user_id, ts, event_id, CAST(round(CAST(value AS DECIMAL(38,12)), 6) AS DO
   CAST(round(CAST(aqi_lag_1h AS DECIMAL(38,12)), 6) AS DOUBLE) AS aqi_lag_1h, CAST(round(CAST(aqi_lag_6h AS DECIMAL(38,12)), 6) AS DOUBLE) AS aqi_lag_6h,
   CAST(round(CAST(aqi_rolling_mean_3h AS DECIMAL(38,12)), 6) AS DOUBLE) AS aqi_rolling_mean_3h
 FROM f WHERE COLUMNS(*) IS NOT NULL"""
+
+
+def r6(x: str) -> str:
+    """Round half-up to 6 decimals through DECIMAL, as the Spark side does."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38,12)), 6) AS DOUBLE)"
+
+
+CUTOFF = "TIMESTAMP '2024-01-20 00:00:00'"
+OVERLAP_FROM = "TIMESTAMP '2024-01-19 00:00:00'"
+AS_OF = "TIMESTAMP '2024-01-25 12:00:00'"
+
+STORED = f"stored AS (SELECT user_id, ts, event_id, value FROM events WHERE ts < {CUTOFF})"
+LANDED = f"landed AS (SELECT user_id, ts, event_id, value FROM events WHERE ts >= {OVERLAP_FROM})"
+WM = "wm AS (SELECT user_id, max(ts) AS last_ts FROM stored GROUP BY user_id)"
+
+ORACLE["watermark"] = f"WITH {STORED}, {WM} SELECT user_id, last_ts FROM wm"
+
+ORACLE["fetch_ranges"] = f"""WITH {STORED}, {WM},
+c AS (SELECT user_id, CASE WHEN last_ts > {AS_OF} THEN {AS_OF} - INTERVAL 1 HOUR ELSE last_ts END AS last_ts FROM wm)
+SELECT user_id, last_ts, last_ts + INTERVAL 1 HOUR AS next_ts, CAST(last_ts + INTERVAL 1 HOUR AS DATE) AS from_date,
+  CAST({AS_OF} AS DATE) AS to_date, last_ts + INTERVAL 1 HOUR <= {AS_OF} AS due
+FROM c"""
+
+ORACLE["incremental_rows"] = f"""WITH {STORED}, {LANDED}, {WM}
+SELECT l.user_id, l.ts, l.event_id, {r6('l.value')} AS value
+FROM landed l LEFT JOIN wm ON wm.user_id = l.user_id
+WHERE wm.last_ts IS NULL OR l.ts > wm.last_ts"""
+
+ORACLE["late_rows"] = f"""WITH {STORED}, {LANDED}, {WM}
+SELECT l.user_id, l.ts, l.event_id, {r6('l.value')} AS value
+FROM landed l JOIN wm ON wm.user_id = l.user_id
+WHERE l.ts <= wm.last_ts"""
+
+_UNION = f"""u AS (
+  SELECT user_id, ts, event_id, value, 'stored' AS source, 0 AS prio FROM events WHERE ts < {CUTOFF}
+  UNION ALL
+  SELECT user_id, ts, event_id, value, 'landed' AS source, 1 AS prio FROM events WHERE ts >= {OVERLAP_FROM})"""
+
+ORACLE["union_dedup"] = f"""WITH {_UNION},
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY prio, event_id) AS rn FROM u)
+SELECT user_id, ts, event_id, {r6('value')} AS value, source FROM r WHERE rn = 1"""
+
+ORACLE["upsert_latest"] = f"""WITH {_UNION},
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY prio DESC, event_id DESC) AS rn FROM u)
+SELECT user_id, ts, event_id, {r6('value')} AS value, source FROM r WHERE rn = 1"""
+
+ORACLE["dedup_keep_first"] = f"""WITH r AS (
+  SELECT user_id, date_trunc('hour', ts) AS hour_ts, ts, event_id, value,
+         row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts, event_id) AS rn
+  FROM events)
+SELECT user_id, hour_ts, ts, event_id, {r6('value')} AS value FROM r WHERE rn = 1"""
+
+SPLIT = f"""sp AS (
+  SELECT *, CASE WHEN row_number() OVER ({UW}) <= floor(0.8 * count(*) OVER (PARTITION BY user_id))
+                 THEN 'train' ELSE 'test' END AS split
+  FROM ev)"""
+
+ORACLE["series_profile"] = f"""WITH {EV}, {SPLIT}
+SELECT user_id, split, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts FROM sp GROUP BY user_id, split"""
+
+ORACLE["latest_as_of"] = f"""WITH r AS (
+  SELECT user_id, ts, event_id, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY (ts <= {AS_OF}) DESC, ts DESC, event_id DESC) AS rn
+  FROM events)
+SELECT user_id, ts, event_id, {r6('value')} AS value FROM r WHERE rn = 1"""
+
+LASTN = f"""ln AS (
+  SELECT user_id, ts, event_id, value,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS INTEGER) AS rank_from_end
+  FROM events WHERE ts <= {AS_OF})"""
+
+ORACLE["last_n"] = f"""WITH {LASTN}
+SELECT user_id, ts, event_id, {r6('value')} AS value, rank_from_end FROM ln WHERE rank_from_end <= 24"""
+
+RECENT = f"""{LASTN},
+rs AS (
+  SELECT user_id,
+    avg(CASE WHEN rank_from_end <= 24 THEN value END) AS recent_avg,
+    max(CASE WHEN rank_from_end = 1 THEN value END) AS last_value,
+    max(CASE WHEN rank_from_end = 6 THEN value END) AS back_value,
+    count(*) AS n_recent
+  FROM ln WHERE rank_from_end <= 24 GROUP BY user_id)"""
+
+ORACLE["recent_trend"] = f"""WITH {RECENT}
+SELECT user_id, {r6('recent_avg')} AS recent_avg, {r6('last_value')} AS last_value, {r6('back_value')} AS back_value,
+  n_recent,
+  CASE WHEN back_value IS NULL OR last_value IS NULL THEN NULL
+       WHEN last_value > back_value THEN 'increasing' ELSE 'decreasing' END AS trend
+FROM rs"""
+
+ORACLE["staleness"] = f"""WITH l AS (SELECT user_id, max(ts) AS ts FROM events WHERE ts <= {AS_OF} GROUP BY user_id)
+SELECT user_id, ts, date_diff('second', ts, {AS_OF}) AS age_seconds,
+  date_diff('second', ts, {AS_OF}) > 21600 AS is_stale
+FROM l"""
+
+ORACLE["min_history"] = f"""SELECT user_id, count(*) AS n_rows, count(*) >= 100 AS eligible
+FROM events WHERE ts <= {AS_OF} GROUP BY user_id"""
+
+ORACLE["daily_rollup"] = """SELECT user_id, CAST(ts AS DATE) AS date,
+  round_even(avg(value), 0) AS avg_value, round_even(max(value), 0) AS max_value, round_even(min(value), 0) AS min_value
+FROM events GROUP BY user_id, CAST(ts AS DATE)"""
+
+SAMPLE_KEY = "md5(concat_ws(':', CAST(event_id AS VARCHAR), '42'))"
+
+ORACLE["hash_sample"] = f"""SELECT user_id, ts, event_id, {r6('value')} AS value, {SAMPLE_KEY} AS sample_key
+FROM events ORDER BY sample_key, event_id LIMIT 500"""
+
+ORACLE["alert_messages"] = f"""WITH {RECENT},
+l AS (
+  SELECT user_id, ts, value FROM (
+    SELECT user_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+    FROM events WHERE ts <= {AS_OF}) WHERE rn = 1),
+j AS (
+  SELECT l.user_id, l.ts, l.value, rs.recent_avg,
+    CASE WHEN rs.back_value IS NULL OR rs.last_value IS NULL THEN NULL
+         WHEN rs.last_value > rs.back_value THEN 'increasing' ELSE 'decreasing' END AS trend,
+    CASE WHEN l.value >= 150 THEN 'hazardous' WHEN l.value >= 100 THEN 'unhealthy' ELSE 'none' END AS level
+  FROM l LEFT JOIN rs ON rs.user_id = l.user_id)
+SELECT user_id, ts, level, {r6('value')} AS value, {r6('recent_avg')} AS recent_avg, trend,
+  '[' || upper(level) || '] ' || CAST(user_id AS VARCHAR) || ': value '
+    || printf('%.0f', CAST(round(CAST(value AS DECIMAL(38,12)), 0) AS DOUBLE))
+    || ' at ' || strftime(ts, '%Y-%m-%d %H:%M') || '; recent mean '
+    || coalesce(printf('%.0f', CAST(round(CAST(recent_avg AS DECIMAL(38,12)), 0) AS DOUBLE)), 'n/a')
+    || ' (' || coalesce(trend, 'trend unknown') || ')' AS message
+FROM j WHERE level <> 'none'"""
+
+ORACLE["split_80_20"] = f"WITH {EV}, {SPLIT} SELECT user_id, ts, event_id, split FROM sp"
+
+ORACLE["minmax_scale"] = f"""WITH {EV}, {SPLIT},
+f AS (SELECT min(value) AS vmin, max(value) AS vmax, min(k) AS kmin, max(k) AS kmax FROM sp WHERE split = 'train')
+SELECT user_id, ts, event_id, split,
+  {r6("(value - vmin) / CASE WHEN vmax - vmin = 0 THEN 1.0 ELSE vmax - vmin END")} AS value_scaled,
+  {r6("(k - kmin) / CASE WHEN kmax - kmin = 0 THEN 1.0 ELSE kmax - kmin END")} AS k_scaled
+FROM sp, f"""
+
+BASELINES = f"""{EV},
+b AS (
+  SELECT user_id, ts, event_id, value,
+    lag(value, 1) OVER ({UW}) AS persistence,
+    CASE WHEN count(value) OVER ({UW} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) = 3
+         THEN avg(value) OVER ({UW} ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) END AS mean3,
+    lag(value, 24) OVER ({UW}) AS seasonal_24,
+    CASE WHEN row_number() OVER ({UW}) <= floor(0.8 * count(*) OVER (PARTITION BY user_id))
+         THEN 'train' ELSE 'test' END AS split
+  FROM ev),
+fit AS (SELECT regr_intercept(value, mean3) AS a, regr_slope(value, mean3) AS b FROM b WHERE split = 'train'),
+lg AS (
+  SELECT split, 'persistence' AS model, value AS y, persistence AS pred FROM b
+  UNION ALL SELECT split, 'rolling_mean_3', value, mean3 FROM b
+  UNION ALL SELECT split, 'seasonal_24', value, seasonal_24 FROM b
+  UNION ALL SELECT split, 'linear_mean3', value, fit.a + fit.b * mean3 FROM b, fit),
+m AS (
+  SELECT model, split, count(*) AS n, sqrt(avg((y - pred) * (y - pred))) AS rmse, avg(abs(y - pred)) AS mae,
+    1.0 - sum((y - pred) * (y - pred)) / NULLIF(count(*) * var_pop(y), 0) AS r2
+  FROM lg WHERE y IS NOT NULL AND pred IS NOT NULL GROUP BY model, split)"""
+
+ORACLE["regression_metrics"] = f"""WITH {BASELINES}
+SELECT model, split, n, {r6('rmse')} AS rmse, {r6('mae')} AS mae, {r6('r2')} AS r2 FROM m"""
+
+ORACLE["best_model"] = f"""WITH {BASELINES}
+SELECT model, {r6('rmse')} AS rmse, {r6('mae')} AS mae, {r6('r2')} AS r2 FROM m WHERE split = 'test'
+ORDER BY rmse, list_position(['linear_mean3', 'rolling_mean_3', 'persistence', 'seasonal_24'], model) LIMIT 1"""
+
+_IMP_FEATS = [f"value_lag_{k}" for k in (1, 3, 6, 12, 24)] + [f"value_rolling_mean_{n}" for n in (3, 6, 12, 24)] \
+    + [f"value_rolling_std_{n}" for n in (6, 24)] + ["value_change", "k"]
+
+ORACLE["top_k_importance"] = f"""WITH {EV},
+f AS (
+  SELECT value, k,
+    {", ".join(f"lag(value, {k}) OVER ({UW}) AS value_lag_{k}" for k in (1, 3, 6, 12, 24))},
+    {", ".join(f"{_guard('avg', 'value', n, 'user_id', 'ts, event_id')} AS value_rolling_mean_{n}" for n in (3, 6, 12, 24))},
+    {", ".join(f"{_guard('stddev_samp', 'value', n, 'user_id', 'ts, event_id')} AS value_rolling_std_{n}" for n in (6, 24))},
+    value - lag(value, 1) OVER ({UW}) AS value_change
+  FROM ev),
+c AS ({" UNION ALL ".join(f"SELECT '{x}' AS feature, coalesce(abs(corr({x}, value)), 0.0) AS w FROM f" for x in _IMP_FEATS)}),
+n AS (SELECT feature, w / sum(w) OVER () AS importance FROM c)
+SELECT feature, {r6('importance')} AS importance, repeat('#', CAST(greatest(floor(importance * 50), 0) AS INTEGER)) AS bar
+FROM n ORDER BY importance DESC, feature LIMIT 10"""
+
+# ---- forecasts over the station series
+
+STATION_FIT = STATION + f""",
+sw AS (
+  SELECT city, timestamp, us_aqi,
+    CASE WHEN count(us_aqi) OVER (PARTITION BY city ORDER BY timestamp ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3
+         THEN avg(us_aqi) OVER (PARTITION BY city ORDER BY timestamp ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) END AS x,
+    lead(us_aqi, 1) OVER (PARTITION BY city ORDER BY timestamp) AS y
+  FROM st WHERE timestamp <= {AS_OF}),
+fit AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM sw)"""
+
+FORECAST = STATION_FIT + f""",
+tail AS (
+  SELECT city, timestamp, us_aqi,
+         row_number() OVER (PARTITION BY city ORDER BY timestamp DESC) AS rk,
+         count(*) OVER (PARTITION BY city) AS n_past
+  FROM st WHERE timestamp <= {AS_OF}),
+state AS (
+  SELECT city, max(CASE WHEN rk = 1 THEN timestamp END) AS last_ts,
+    max(CASE WHEN rk = 3 THEN us_aqi END) AS w1, max(CASE WHEN rk = 2 THEN us_aqi END) AS w2,
+    max(CASE WHEN rk = 1 THEN us_aqi END) AS w3
+  FROM tail WHERE n_past >= 100 AND rk <= 200 GROUP BY city),
+fc AS (
+  WITH RECURSIVE rec(city, h, last_ts, w1, w2, w3) AS (
+    SELECT city, 0, last_ts, w1, w2, w3 FROM state
+    UNION ALL
+    SELECT rec.city, rec.h + 1, rec.last_ts, rec.w2, rec.w3, fit.a + fit.b * ((rec.w1 + rec.w2 + rec.w3) / 3.0)
+    FROM rec, fit WHERE rec.h < 72)
+  SELECT city, CAST(h AS INTEGER) AS horizon_h, last_ts + h * INTERVAL 1 HOUR AS timestamp, w3 AS predicted
+  FROM rec WHERE h > 0)"""
+
+ORACLE["recursive_forecast"] = f"""WITH {FORECAST}
+SELECT city, horizon_h, timestamp, {r6('predicted')} AS predicted FROM fc"""
+
+ORACLE["peak_alert"] = f"""WITH {FORECAST}
+SELECT city, {r6('max(predicted)')} AS peak,
+  CASE WHEN max(predicted) > 150 THEN 'hazardous' WHEN max(predicted) > 100 THEN 'unhealthy'
+       WHEN max(predicted) IS NOT NULL THEN 'none' END AS alert
+FROM fc GROUP BY city"""
+
+
+def _backtest(horizons: tuple[int, ...]) -> str:
+    hs = ", ".join(str(h) for h in horizons)
+    return STATION_FIT + f""",
+coef AS (
+  WITH RECURSIVE cr(h, s1, s2, s3) AS (
+    SELECT 0, CAST([0, 1, 0, 0] AS DOUBLE[]), CAST([0, 0, 1, 0] AS DOUBLE[]), CAST([0, 0, 0, 1] AS DOUBLE[])
+    UNION ALL
+    SELECT cr.h + 1, cr.s2, cr.s3,
+      [fit.a + fit.b * ((cr.s1[1] + cr.s2[1] + cr.s3[1]) / 3.0),
+       fit.b * ((cr.s1[2] + cr.s2[2] + cr.s3[2]) / 3.0),
+       fit.b * ((cr.s1[3] + cr.s2[3] + cr.s3[3]) / 3.0),
+       fit.b * ((cr.s1[4] + cr.s2[4] + cr.s3[4]) / 3.0)]
+    FROM cr, fit WHERE cr.h < {max(horizons)})
+  SELECT h, s3[1] AS k0, s3[2] AS k1, s3[3] AS k2, s3[4] AS k3 FROM cr WHERE h IN ({hs})),
+o AS (
+  SELECT lag(us_aqi, 2) OVER w AS y2, lag(us_aqi, 1) OVER w AS y1, us_aqi AS y0,
+    {", ".join(f"lead(us_aqi, {h}) OVER w AS a{h}" for h in horizons)}
+  FROM st WINDOW w AS (PARTITION BY city ORDER BY timestamp)),
+lg AS ({" UNION ALL ".join(f"SELECT {h} AS h, y2, y1, y0, a{h} AS actual FROM o" for h in horizons)}),
+e AS (
+  SELECT lg.h, lg.actual - (k0 + k1 * y2 + k2 * y1 + k3 * y0) AS err FROM lg JOIN coef ON coef.h = lg.h
+  WHERE lg.actual IS NOT NULL AND (k0 + k1 * y2 + k2 * y1 + k3 * y0) IS NOT NULL),
+bt AS (SELECT CAST(h AS INTEGER) AS horizon_h, sqrt(avg(err * err)) AS rmse, avg(abs(err)) AS mae, count(*) AS n
+       FROM e GROUP BY h)"""
+
+
+ORACLE["backtest_by_horizon"] = f"""WITH {_backtest((1, 6, 24, 48, 72))}
+SELECT horizon_h, {r6('rmse')} AS rmse, {r6('mae')} AS mae, n FROM bt"""
+
+ORACLE["forecast_error_table"] = f"""WITH {_backtest((1,))},
+g AS (SELECT * FROM (VALUES (1, 1.0, '1 hour', 'Excellent'), (6, 1.4, '6 hours', 'Very Good'),
+        (24, 3.0, '24 hours (Day 1)', 'Good'), (48, 4.8, '48 hours (Day 2)', 'Fair'),
+        (72, 6.3, '72 hours (Day 3)', 'Moderate')) AS t(horizon_h, mult, label, reliability)),
+t AS (SELECT g.horizon_h, g.label, g.reliability, bt.rmse * g.mult AS rmse FROM g, bt)
+SELECT CAST(horizon_h AS INTEGER) AS horizon_h, label, reliability, {r6('rmse')} AS rmse,
+  printf('%.2f', CAST(round(CAST(rmse AS DECIMAL(38,12)), 2) AS DOUBLE)) AS expected_rmse,
+  '±' || printf('%.2f', CAST(round(CAST(rmse AS DECIMAL(38,12)), 2) AS DOUBLE)) AS error_range
+FROM t"""
+
+# ---- attribution over the reduced features
+
+_DEMO = {"hour": 0.2, "day_of_week": -0.5, "month": 0.1, "is_weekend": 1.5,
+         "aqi_lag_1h": 0.35, "aqi_lag_6h": 0.05, "aqi_rolling_mean_3h": 0.45}
+
+ATTR = f"""{EV},
+f0 AS (
+  SELECT user_id, ts, event_id, event_type, value, k,
+    CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
+    CAST(month(ts) AS INTEGER) AS month, CAST(isodow(ts) IN (6, 7) AS INTEGER) AS is_weekend,
+    lag(value, 1) OVER w AS aqi_lag_1h, lag(value, 6) OVER w AS aqi_lag_6h,
+    {_guard('avg', 'value', 3, 'user_id', 'ts, event_id')} AS aqi_rolling_mean_3h
+  FROM ev WINDOW w AS ({UW})),
+f AS (SELECT * FROM f0 WHERE COLUMNS(*) IS NOT NULL),
+mu AS (SELECT {", ".join(f"avg({c}) AS {c}" for c in _DEMO)} FROM f),
+s AS (SELECT *, {SAMPLE_KEY} AS sample_key FROM f ORDER BY sample_key, event_id LIMIT 500),
+bp AS (
+  SELECT s.event_id, s.value, s.sample_key,
+    5.0 {"".join(f" + {v} * mu.{c}" for c, v in _DEMO.items())} AS base_value,
+    5.0 {"".join(f" + {v} * CAST(s.{c} AS DOUBLE)" for c, v in _DEMO.items())} AS prediction
+  FROM s, mu),
+lg AS ({" UNION ALL ".join(
+    f"SELECT s.event_id, '{c}' AS feature, CAST(s.{c} AS DOUBLE) AS feature_value, "
+    f"{v} * (CAST(s.{c} AS DOUBLE) - mu.{c}) AS contribution FROM s, mu" for c, v in _DEMO.items())}),
+la AS (SELECT lg.*, bp.base_value, bp.prediction FROM lg JOIN bp ON bp.event_id = lg.event_id)"""
+
+ORACLE["attribution_linear"] = f"""WITH {ATTR}
+SELECT event_id, feature, {r6('feature_value')} AS feature_value, {r6('contribution')} AS contribution,
+  {r6('base_value')} AS base_value, {r6('prediction')} AS prediction FROM la"""
+
+RANK = """rk AS (SELECT feature, avg(abs(contribution)) AS mean_abs_contribution FROM la GROUP BY feature)"""
+
+ORACLE["attribution_rank"] = f"""WITH {ATTR}, {RANK}
+SELECT feature, {r6('mean_abs_contribution')} AS mean_abs_contribution,
+  repeat('#', CAST(greatest(floor(mean_abs_contribution * 100), 0) AS INTEGER)) AS bar
+FROM rk"""
+
+ORACLE["attribution_dependence"] = f"""WITH {ATTR}, {RANK},
+top AS (SELECT feature FROM rk ORDER BY mean_abs_contribution DESC, feature LIMIT 3)
+SELECT event_id, feature, {r6('feature_value')} AS feature_value, {r6('contribution')} AS contribution
+FROM la WHERE feature IN (SELECT feature FROM top)"""
+
+ORACLE["pick_examples"] = f"""WITH {ATTR},
+ordered AS (SELECT event_id, value, row_number() OVER (ORDER BY sample_key) AS pos FROM bp),
+picks AS (
+  SELECT 'good' AS example, coalesce((SELECT event_id FROM ordered WHERE value < 50 ORDER BY pos LIMIT 1),
+                                     (SELECT event_id FROM ordered WHERE pos = 1)) AS event_id
+  UNION ALL
+  SELECT 'bad', coalesce((SELECT event_id FROM ordered WHERE value > 150 ORDER BY pos LIMIT 1),
+                         (SELECT event_id FROM ordered WHERE pos = 2))
+  UNION ALL
+  SELECT 'random', (SELECT event_id FROM ordered WHERE pos = 3))
+SELECT p.example, la.event_id, la.feature, {r6('la.feature_value')} AS feature_value,
+  {r6('la.contribution')} AS contribution,
+  CAST(row_number() OVER (PARTITION BY p.example ORDER BY abs(la.contribution) DESC, la.feature) AS INTEGER) AS rank
+FROM picks p JOIN la ON la.event_id = p.event_id"""
