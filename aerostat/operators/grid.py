@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from aerostat.schemas import INDEX_COLS, POLLUTANT_COLS, RAW_MEASURES, SeriesSpec, WEATHER_COLS
+from aerostat.schemas import RAW_MEASURES, SeriesSpec
 
 STATION_SPEC = SeriesSpec(entity=("city",), ts="timestamp", order=(), target="us_aqi", bucket=None)
 
@@ -22,34 +22,43 @@ def hour_of(ts: Column) -> Column:
     return F.date_trunc("hour", ts)
 
 
-def air_measures() -> dict[str, Column]:
+def hourly_partials(events: DataFrame) -> DataFrame:
+    """One pass over the events: mergeable sums, counts and extremes per (station, hour).
+
+    Both hourly sources are derived from this table, so the events are scanned
+    and parsed once; the city-wide side is a roll-up of these partials.
+    """
     v, k = F.col("value"), F.col("k")
-    return {
-        "pm10": F.max(k), "pm2_5": F.avg(k), "carbon_monoxide": F.min(v), "nitrogen_dioxide": F.sum(v),
-        "ozone": F.min(k), "sulphur_dioxide": F.count(F.lit(1)).cast("double"),
-        "us_aqi": F.avg(v), "european_aqi": F.max(v),
-    }
+    return (events.groupBy(F.col("event_type").alias("city"), hour_of(F.col("ts")).alias("timestamp"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(v).alias("sum_v"), F.count(v).alias("n_v"),
+                 F.min(v).alias("min_v"), F.max(v).alias("max_v"), F.sum(k).alias("sum_k"), F.count(k).alias("n_k"),
+                 F.min(k).alias("min_k"), F.max(k).alias("max_k")))
 
 
-def weather_measures() -> dict[str, Column]:
-    v, k = F.col("value"), F.col("k")
-    return {
-        "temperature": F.avg(v) / F.lit(10.0), "humidity": F.max(k), "wind_speed": F.avg(k) / F.lit(10.0),
-        "pressure": F.lit(1000.0) + F.avg(k) / F.lit(2.0), "precipitation": F.min(v),
-        "cloudcover": F.count(F.lit(1)).cast("double"),
-    }
+def _mean(s: str, n: str) -> Column:
+    return F.try_divide(F.col(s), F.col(n).cast("double"))
 
 
-def hourly_air(events: DataFrame) -> DataFrame:
-    """Tumbling 1-hour aggregation per station (map-side partial aggregation)."""
-    m = air_measures()
-    return (events.groupBy(F.col("event_type").alias("city"), hour_of(F.col("ts")).alias("timestamp"))
-            .agg(*[m[c].alias(c) for c in POLLUTANT_COLS + INDEX_COLS]))
+def hourly_air(partials: DataFrame) -> DataFrame:
+    """Pollutant and index readings per station and hour."""
+    return partials.select(
+        "city", "timestamp",
+        F.col("max_k").alias("pm10"), _mean("sum_k", "n_k").alias("pm2_5"), F.col("min_v").alias("carbon_monoxide"),
+        F.col("sum_v").alias("nitrogen_dioxide"), F.col("min_k").alias("ozone"),
+        F.col("n").cast("double").alias("sulphur_dioxide"), _mean("sum_v", "n_v").alias("us_aqi"),
+        F.col("max_v").alias("european_aqi"))
 
 
-def hourly_weather(events: DataFrame) -> DataFrame:
-    m = weather_measures()
-    return events.groupBy(hour_of(F.col("ts")).alias("timestamp")).agg(*[m[c].alias(c) for c in WEATHER_COLS])
+def hourly_weather(partials: DataFrame) -> DataFrame:
+    """City-wide readings per hour, rolled up from the station partials (a small second aggregation)."""
+    h = partials.groupBy("timestamp").agg(
+        F.sum("n").alias("n"), F.sum("sum_v").alias("sum_v"), F.sum("n_v").alias("n_v"), F.min("min_v").alias("min_v"),
+        F.sum("sum_k").alias("sum_k"), F.sum("n_k").alias("n_k"), F.max("max_k").alias("max_k"))
+    return h.select(
+        "timestamp", (_mean("sum_v", "n_v") / F.lit(10.0)).alias("temperature"), F.col("max_k").alias("humidity"),
+        (_mean("sum_k", "n_k") / F.lit(10.0)).alias("wind_speed"),
+        (F.lit(1000.0) + _mean("sum_k", "n_k") / F.lit(2.0)).alias("pressure"),
+        F.col("min_v").alias("precipitation"), F.col("n").cast("double").alias("cloudcover"))
 
 
 def join_sources(air: DataFrame, weather: DataFrame) -> DataFrame:
@@ -63,7 +72,8 @@ def join_sources(air: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def station_series(events: DataFrame) -> DataFrame:
-    return join_sources(hourly_air(events), hourly_weather(events))
+    p = hourly_partials(events)
+    return join_sources(hourly_air(p), hourly_weather(p))
 
 
 def hourly_grid(df: DataFrame, spec: SeriesSpec, step_seconds: int = 3600,

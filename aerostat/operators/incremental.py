@@ -61,6 +61,11 @@ def dedup_keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) ->
     return _resolve(df, key, [F.col(c) for c in order], "first")
 
 
+def keep_latest(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the largest ``order`` values."""
+    return _resolve(df, key, [F.col(c) for c in order], "last")
+
+
 def union_keep_first(existing: DataFrame | None, new: DataFrame, key: Sequence[str],
                      order: Sequence[str] = ()) -> DataFrame:
     """Append ``new`` to ``existing`` (which may be absent) and keep the first row per key; existing rows win."""
@@ -76,3 +81,14 @@ def upsert_latest(existing: DataFrame, new: DataFrame, key: Sequence[str], order
     both = (existing.withColumn(_SRC, F.lit(0))
             .unionByName(new.withColumn(_SRC, F.lit(1)), allowMissingColumns=True))
     return _resolve(both, key, [F.col(_SRC), *[F.col(c) for c in order]], "last").drop(_SRC)
+
+
+def merge_by_order(existing: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[str],
+                   pick: str = "first") -> DataFrame:
+    """Union and keep, per key, the row with the smallest (``first``) or largest (``last``) ``order``.
+
+    Which side a row came from does not matter, so the result is the same for
+    any arrival order or batch split.
+    """
+    both = existing.unionByName(new, allowMissingColumns=True)
+    return _resolve(both, key, [F.col(c) for c in order], pick)
