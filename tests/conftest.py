@@ -13,7 +13,7 @@ SF01 = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from aerostat.session import build_session
-    s = build_session("local[4]", app="aerostat-tests", shuffle_partitions=8)
+    s = build_session("local[4]", app="aerostat-tests", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
     yield s
     s.stop()
 
