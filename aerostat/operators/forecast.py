@@ -27,8 +27,7 @@ def ar3_training_rows(df: DataFrame, spec: SeriesSpec, target: str) -> DataFrame
         fr = cx.w.rowsBetween(-2, 0)
         return {"_x": F.when(F.count(target).over(fr) == 3, F.avg(target).over(fr)),
                 "_y": F.lead(target, 1).over(cx.w)}
-    # lead needs the row after; with bucketed windows the context only looks back, so use one entity window.
-    return windowed(df, spec.with_(bucket=None), [st], context_rows=3, context_cols=[target])
+    return windowed(df, spec, [st], context_rows=3, context_cols=[target], lead_rows=1)
 
 
 def fit_ar3(rows: DataFrame) -> tuple[Column, Column]:
@@ -105,7 +104,7 @@ def backtest_by_horizon(df: DataFrame, spec: SeriesSpec, target: str, a: Column,
         for h in horizons:
             out[f"_a{h}"] = F.lead(target, h).over(cx.w)
         return out
-    rows = windowed(df, spec.with_(bucket=None), [st], context_rows=2, context_cols=[target])
+    rows = windowed(df, spec, [st], context_rows=2, context_cols=[target], lead_rows=max(horizons))
     actual = F.array(*[F.struct(F.lit(h).alias("h"), F.col(f"_a{h}").alias("actual")) for h in horizons])
     long = rows.select("_y2", "_y1", F.col(target).alias("_y0"), F.explode(actual).alias("x")).select(
         "_y2", "_y1", "_y0", "x.h", "x.actual")

@@ -11,7 +11,9 @@ carry-in value per bucket from the same small per-bucket table.
 
 The per-bucket table holds at most ``context_rows`` rows per (entity, bucket);
 context is gathered from the previous ``context_rows`` non-empty buckets, which
-always hold at least that many rows, so nothing is capped.
+always hold at least that many rows, so nothing is capped. Frames that look
+ahead (``lead``) get the first ``lead_rows`` rows of the following buckets the
+same way.
 """
 
 from __future__ import annotations
@@ -94,13 +96,15 @@ Stage = Callable[[WindowContext], dict[str, Column]]
 
 
 def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_rows: int = 24,
-             context_cols: Sequence[str] | None = None, ffill_cols: Sequence[str] = ()) -> DataFrame:
+             context_cols: Sequence[str] | None = None, ffill_cols: Sequence[str] = (),
+             lead_rows: int = 0) -> DataFrame:
     """Apply window ``stages`` (each a dict of new columns) to every series.
 
     Later stages may read columns produced by earlier ones. ``context_cols`` are
     the input columns the stages read through lag/rolling frames; only they are
     shipped as context (default: all columns). ``ffill_cols`` are the columns
-    the stages forward-fill or pad.
+    the stages forward-fill or pad. ``lead_rows`` is how far frames look ahead
+    (``lead``); the first rows of the following buckets are then shipped too.
     """
     ffill_cols = tuple(ffill_cols)
     if spec.bucket is None:
@@ -121,7 +125,12 @@ def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_r
     # Per (entity, bucket): its last k rows and the last non-null value of each filled column.
     desc = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_first() for c in spec.order_cols])
     narrow = based.select(*key, *shipped).withColumn("_rd", F.row_number().over(desc))
-    aggs = [F.collect_list(F.when(F.col("_rd") <= k, F.struct(*[F.col(c) for c in shipped]))).alias("_tail")]
+    row = F.struct(*[F.col(c) for c in shipped])
+    aggs = [F.collect_list(F.when(F.col("_rd") <= k, row)).alias("_tail")]
+    if lead_rows:
+        # position from the start = bucket size - position from the end + 1 (same partition, no new sort)
+        narrow = narrow.withColumn("_ra", F.count(F.lit(1)).over(Window.partitionBy(*key)) - F.col("_rd") + 1)
+        aggs.append(F.collect_list(F.when(F.col("_ra") <= lead_rows, row)).alias("_head"))
     for c in ffill_cols:
         aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*spec.order_cols))).alias("_lnn_" + c))
     per_bucket = narrow.groupBy(*key).agg(*aggs)
@@ -133,8 +142,13 @@ def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_r
     for c in ffill_cols:
         sel.append(F.last("_lnn_" + c, ignorenulls=True).over(wb.rowsBetween(Window.unboundedPreceding, -1))
                    .alias(_CARRY + c))
+    if lead_rows:
+        nxt = F.flatten(F.collect_list("_head").over(wb.rowsBetween(1, lead_rows)))
+        sel.append(F.slice(F.sort_array(nxt), 1, lead_rows).alias("_next"))
     bt = per_bucket.select(*sel)
     bt = bt.withColumn("_prev", F.slice("_prev", F.greatest(F.size("_prev") - F.lit(k - 1), F.lit(1)), k))
+    if lead_rows:
+        bt = bt.withColumn("_prev", F.concat("_prev", "_next")).drop("_next")
 
     ctx_rows = bt.select(*key, *[F.col(_CARRY + c) for c in ffill_cols], F.explode("_prev").alias("_r"))
     ctx_rows = ctx_rows.select(
