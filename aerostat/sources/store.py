@@ -97,6 +97,9 @@ def latest_version(spark: SparkSession, registry: str, model: str) -> int | None
     return None if r is None else r[0]
 
 
+CSV_TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"  # keeps microseconds (the default drops them)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, ts_cols: Sequence[str] = ()) -> DataFrame:
     df = spark.read.schema(schema).option("header", True).csv(path)
     return df.withColumns({c: F.to_timestamp(c) for c in ts_cols}) if ts_cols else df
@@ -105,7 +108,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, ts_cols: Sequ
 def write_csv_sorted(df: DataFrame, path: str, ts: str, partitions: int | None = None) -> None:
     """Time-sorted CSV with a header: range-partitioned on time, so part files concatenate in order."""
     n = partitions or max(df.sparkSession.sparkContext.defaultParallelism, 1)
-    df.repartitionByRange(n, ts).sortWithinPartitions(ts).write.mode("overwrite").option("header", True).csv(path)
+    (df.repartitionByRange(n, ts).sortWithinPartitions(ts).write.mode("overwrite").option("header", True)
+     .option("timestampFormat", CSV_TS_FORMAT).csv(path))
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
