@@ -120,11 +120,16 @@ def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_r
     shipped = list(dict.fromkeys([*spec.order_cols, *(context_cols if context_cols is not None else cols),
                                   *ffill_cols]))
     shipped = [c for c in shipped if c not in spec.entity]
-    based = df.withColumn(_BK, bucket_of(F.col(spec.ts), spec.bucket))
+    # One shuffle of the rows on (entity, bucket). The tail ranking below reads the same
+    # exchange (reused), and the context rows are partitioned identically, so the union
+    # keeps this partitioning and the final window needs no second shuffle of the rows.
+    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    based = df.withColumn(_BK, bucket_of(F.col(spec.ts), spec.bucket)).repartition(nparts, *key)
 
     # Per (entity, bucket): its last k rows and the last non-null value of each filled column.
     desc = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_first() for c in spec.order_cols])
-    narrow = based.select(*key, *shipped).withColumn("_rd", F.row_number().over(desc))
+    need = set(key) | set(shipped)
+    narrow = based.select(*[c for c in based.columns if c in need]).withColumn("_rd", F.row_number().over(desc))
     row = F.struct(*[F.col(c) for c in shipped])
     aggs = [F.collect_list(F.when(F.col("_rd") <= k, row)).alias("_tail")]
     if lead_rows:
@@ -157,6 +162,7 @@ def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_r
           for c in cols if c not in spec.entity],
         F.col(_BK), F.lit(True).alias(_CTX), *[F.col(_CARRY + c) for c in ffill_cols])
 
+    ctx_rows = ctx_rows.repartition(nparts, *key)
     real = based.withColumn(_CTX, F.lit(False))
     for c in ffill_cols:
         real = real.withColumn(_CARRY + c, F.lit(None).cast(df.schema[c].dataType))
