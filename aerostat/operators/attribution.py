@@ -19,8 +19,8 @@ from aerostat.functions.scalar import text_bar
 
 
 def background_means(background: DataFrame, features: Sequence[str]) -> dict[str, Column]:
-    means = background.agg(*[F.avg(f).alias(f) for f in features])
-    return {f: means.select(f).scalar() for f in features}
+    m = background.agg(F.struct(*[F.avg(f).alias(f) for f in features]).alias("m")).scalar()
+    return {f: m[f] for f in features}
 
 
 def linear_attribution(rows: DataFrame, row_id: str, coefs: dict[str, float], intercept: float,

@@ -32,8 +32,9 @@ def ar3_training_rows(df: DataFrame, spec: SeriesSpec, target: str) -> DataFrame
 
 def fit_ar3(rows: DataFrame) -> tuple[Column, Column]:
     """(intercept, slope) as lazy scalar subqueries (least squares of _y on _x)."""
-    fit = rows.agg(F.regr_intercept("_y", "_x").alias("a"), F.regr_slope("_y", "_x").alias("b"))
-    return fit.select("a").scalar(), fit.select("b").scalar()
+    fit = rows.agg(F.struct(F.regr_intercept("_y", "_x").alias("a"), F.regr_slope("_y", "_x").alias("b")).alias("f"))
+    f = fit.scalar()  # one subquery, referenced twice -> computed once (subquery reuse)
+    return f["a"], f["b"]
 
 
 def _step(a: Column, b: Column):

@@ -1,7 +1,7 @@
 """Min-max scaling fitted on a subset of rows (by default the training rows), and its inverse.
 
-The fit is a single global aggregate used as scalar subqueries: no join, no
-driver round-trip. A constant column keeps its offset (range taken as 1),
+The fit is a single global aggregate used as one scalar subquery (reused
+wherever it is referenced): no join, no driver round-trip. A constant column keeps its offset (range taken as 1),
 as in the reference's scaler.
 """
 
@@ -14,10 +14,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 def fit_minmax(fit_rows: DataFrame, cols: Sequence[str]) -> dict[str, tuple[Column, Column]]:
     """Per column (min, range) as lazy scalar subqueries over ``fit_rows``."""
+    fit = fit_rows.agg(F.struct(*[F.min(c).alias(f"min_{c}") for c in cols],
+                                *[F.max(c).alias(f"max_{c}") for c in cols]).alias("f")).scalar()
     out = {}
     for c in cols:
-        mn = fit_rows.select(F.min(c)).scalar()
-        mx = fit_rows.select(F.max(c)).scalar()
+        mn, mx = fit[f"min_{c}"], fit[f"max_{c}"]
         rng = F.when(mx - mn == 0, F.lit(1.0)).otherwise(mx - mn)
         out[c] = (mn, rng)
     return out

@@ -349,8 +349,9 @@ def _baseline_predictions(spark, sf_dir):
     f = win.windowed(e, U, [st], context_rows=24, context_cols=["value"])
     s = split_mod.time_split(f, U)
     train = s.filter((F.col("split") == "train"))
-    fit = train.agg(F.regr_intercept("value", "mean3").alias("a"), F.regr_slope("value", "mean3").alias("b"))
-    a, b = fit.select("a").scalar(), fit.select("b").scalar()
+    fit = train.agg(F.struct(F.regr_intercept("value", "mean3").alias("a"),
+                             F.regr_slope("value", "mean3").alias("b")).alias("f")).scalar()
+    a, b = fit["a"], fit["b"]
     preds = {"persistence": F.col("persistence"), "rolling_mean_3": F.col("mean3"),
              "seasonal_24": F.col("seasonal_24"), "linear_mean3": a + b * F.col("mean3")}
     return met.stack_predictions(s, [*KEY, "split"], "value", preds)
