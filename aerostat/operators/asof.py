@@ -1,9 +1,10 @@
 """As-of reads: latest row, last n rows, recent trend, staleness, minimum history, seeded sample.
 
-"Last n rows" never ranks a whole entity in one window: rows are counted per
+"Last n rows" never ranks a hot entity in one window: rows are counted per
 (entity, day); a small per-entity table of those counts tells which days can
 hold one of the last n rows and how many rows follow each day; the exact rank
-is then computed inside each such day only.
+is then computed inside each such day only. When a sampled check finds no hot
+entity, one window per entity does it in a single shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aerostat.functions.scalar import age_seconds, is_stale
-from aerostat.operators.windows import bucket_of
+from aerostat.operators.windows import bucket_of, find_hot
 from aerostat.schemas import SeriesSpec
 
 
@@ -44,6 +45,11 @@ def latest_row(df: DataFrame, spec: SeriesSpec, as_of: Column | None = None, fal
 def last_n(df: DataFrame, spec: SeriesSpec, n: int, as_of: Column | None = None, bucket: str = "1 day",
            rank_col: str = "rank_from_end") -> DataFrame:
     """The last ``n`` rows of each series (at or before ``as_of``), with their rank from the end (1 = last)."""
+    if spec.hot_rows and not find_hot(df, spec.with_(bucket=bucket)):
+        # no entity is big enough to need splitting: one window per entity
+        w = Window.partitionBy(*spec.entity).orderBy(*[F.col(c).desc() for c in spec.order_cols])
+        ranked = not_after(df, spec, as_of).withColumn(rank_col, F.row_number().over(w).cast("int"))
+        return ranked.filter(F.col(rank_col) <= n)
     past = not_after(df, spec, as_of).withColumn("_bk", bucket_of(F.col(spec.ts), bucket))
     counts = past.groupBy(*spec.entity, "_bk").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(*spec.entity).orderBy(F.col("_bk").desc())

@@ -1,20 +1,28 @@
 """Time-ordered train/test split: the first floor(f * n) rows of each series train, the rest test.
 
-The per-row rank is never computed over a whole series: rows are counted per
-(entity, day), the cut position is located on that small table, and ranks are
-computed inside each day (only the cut day actually needs them).
+When a sampled check finds entities big enough to need splitting (see
+``SeriesSpec.hot_rows``), the per-row rank is never computed over a whole
+series: rows are counted per (entity, day), the cut position is located on
+that small table, and ranks are computed inside each day. Otherwise one window
+per entity does it in a single shuffle.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from aerostat.operators.windows import bucket_of
+from aerostat.operators.windows import bucket_of, find_hot
 from aerostat.schemas import SeriesSpec, TRAIN_FRACTION
 
 
 def time_split(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRACTION, bucket: str = "1 day",
                col: str = "split") -> DataFrame:
+    if spec.hot_rows and not find_hot(df, spec.with_(bucket=bucket)):
+        # no entity is big enough to need splitting: one window per entity
+        we = Window.partitionBy(*spec.entity)
+        pos = F.row_number().over(we.orderBy(*[F.col(c) for c in spec.order_cols]))
+        cut = F.floor(F.lit(fraction) * F.count(F.lit(1)).over(we))
+        return df.withColumn(col, F.when(pos <= cut, F.lit("train")).otherwise(F.lit("test")))
     b = df.withColumn("_bk", bucket_of(F.col(spec.ts), bucket))
     counts = b.groupBy(*spec.entity, "_bk").agg(F.count(F.lit(1)).alias("_n"))
     we = Window.partitionBy(*spec.entity)

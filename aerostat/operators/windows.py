@@ -45,6 +45,43 @@ def bucket_of(ts: Column, bucket: str) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(bucket_seconds(bucket) * 1_000_000)).cast("long")
 
 
+MAX_HOT_KEYS = 10_000  # bound of the broadcast hot-key table; further entities take the (exact) whole path
+
+
+def hot_keys(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Entities estimated to hold at least ``spec.hot_rows`` rows, from a Bernoulli sample.
+
+    At most ``MAX_HOT_KEYS`` rows, so it is safe to broadcast. Sampling only
+    decides which entities are split; results do not depend on it.
+    """
+    frac = min(1.0, 200.0 / spec.hot_rows)
+    counts = df.select(*spec.entity).sample(fraction=frac, seed=17).groupBy(*spec.entity).count()
+    return (counts.filter(F.col("count") >= F.lit(spec.hot_rows * frac)).orderBy(F.col("count").desc())
+            .limit(MAX_HOT_KEYS).select(*spec.entity, F.lit(True).alias("_hot")))
+
+
+def find_hot(df: DataFrame, spec: SeriesSpec) -> list[tuple]:
+    """The hot entity keys (at most ``MAX_HOT_KEYS``), found eagerly from a sample.
+
+    Like the sampling behind ``repartitionByRange``, this is one small job at
+    plan time; it lets a data set without hot entities use the plain window plan.
+    """
+    return [tuple(r[c] for c in spec.entity) for r in hot_keys(df, spec).collect()]
+
+
+def series_bucket(df: DataFrame, spec: SeriesSpec, hot: list[tuple] | None = None) -> DataFrame:
+    """Add the bucket id: a time bucket for hot entities (all entities when ``hot_rows`` is 0), else 0."""
+    tb = bucket_of(F.col(spec.ts), spec.bucket)
+    if not spec.hot_rows:
+        return df.withColumn(_BK, tb)
+    hot = find_hot(df, spec) if hot is None else hot
+    if len(spec.entity) == 1:
+        is_hot = F.col(spec.entity[0]).isin([h[0] for h in hot])
+    else:
+        is_hot = F.struct(*spec.entity).isin([F.struct(*[F.lit(v) for v in h]) for h in hot])
+    return df.withColumn(_BK, F.when(is_hot, tb).otherwise(F.lit(0).cast("long")))
+
+
 def ordered(spec: SeriesSpec, extra_partition: Sequence[str] = ()) -> WindowSpec:
     return Window.partitionBy(*spec.entity, *extra_partition).orderBy(*[F.col(c).asc_nulls_last() for c in spec.order_cols])
 
@@ -107,7 +144,8 @@ def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_r
     (``lead``); the first rows of the following buckets are then shipped too.
     """
     ffill_cols = tuple(ffill_cols)
-    if spec.bucket is None:
+    hot = find_hot(df, spec) if spec.bucket is not None and spec.hot_rows else None
+    if spec.bucket is None or hot == []:
         ctx = WindowContext(ordered(spec), Window.partitionBy(*spec.entity), False, ffill_cols)
         out = df
         for st in stages:
@@ -124,7 +162,7 @@ def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_r
     # exchange (reused), and the context rows are partitioned identically, so the union
     # keeps this partitioning and the final window needs no second shuffle of the rows.
     nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    based = df.withColumn(_BK, bucket_of(F.col(spec.ts), spec.bucket)).repartition(nparts, *key)
+    based = series_bucket(df, spec, hot).repartition(nparts, *key)
 
     # Per (entity, bucket): its last k rows and the last non-null value of each filled column.
     desc = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_first() for c in spec.order_cols])

@@ -17,7 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerostat.schemas import SeriesSpec
 
-USER_SPEC = SeriesSpec(entity=("user_id",), ts="ts", order=("event_id",), target="value", bucket="1 day")
+# Users holding about a million rows or more are split into daily buckets; the rest stay whole.
+USER_SPEC = SeriesSpec(entity=("user_id",), ts="ts", order=("event_id",), target="value", bucket="1 day",
+                       hot_rows=1_000_000)
+USER_SPEC_SPLIT_ALL = USER_SPEC.with_(hot_rows=0)
 USER_SPEC_PLAIN = USER_SPEC.with_(bucket=None)
 
 

@@ -15,8 +15,9 @@ from tests.conftest import SF01
 U = tb.USER_SPEC
 
 
-def test_split_sizes_and_order(spark):
-    s = time_split(tb.user_series(spark, SF01), U)
+@pytest.mark.parametrize("spec", [tb.USER_SPEC, tb.USER_SPEC_SPLIT_ALL], ids=["sampled", "split_all"])
+def test_split_sizes_and_order(spark, spec):
+    s = time_split(tb.user_series(spark, SF01), spec)
     per = s.groupBy("user_id").agg(
         F.count("*").alias("n"), F.sum(F.when(F.col("split") == "train", 1).otherwise(0)).alias("tr"),
         F.max(F.when(F.col("split") == "train", F.col("ts"))).alias("max_tr"),
@@ -25,10 +26,11 @@ def test_split_sizes_and_order(spark):
     assert bad.count() == 0
 
 
-def test_last_n_equals_naive(spark):
+@pytest.mark.parametrize("spec", [tb.USER_SPEC, tb.USER_SPEC_SPLIT_ALL], ids=["sampled", "split_all"])
+def test_last_n_equals_naive(spark, spec):
     e = tb.user_series(spark, SF01)
     as_of = F.lit("2024-01-25 12:00:00").cast("timestamp")
-    got = asof.last_n(e, U, 24, as_of).select("event_id", "rank_from_end")
+    got = asof.last_n(e, spec, 24, as_of).select("event_id", "rank_from_end")
     w = Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("event_id").desc())
     ref = (e.filter(F.col("ts") <= as_of).withColumn("rank_from_end", F.row_number().over(w).cast("int"))
            .filter("rank_from_end <= 24").select("event_id", "rank_from_end"))
