@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aerostat.schemas import RAW_MEASURES, SeriesSpec
 
@@ -39,26 +39,37 @@ def _mean(s: str, n: str) -> Column:
     return F.try_divide(F.col(s), F.col(n).cast("double"))
 
 
+def _air_columns() -> dict[str, Column]:
+    """Pollutant and index readings from one station's hourly partials."""
+    return {
+        "pm10": F.col("max_k"), "pm2_5": _mean("sum_k", "n_k"), "carbon_monoxide": F.col("min_v"),
+        "nitrogen_dioxide": F.col("sum_v"), "ozone": F.col("min_k"), "sulphur_dioxide": F.col("n").cast("double"),
+        "us_aqi": _mean("sum_v", "n_v"), "european_aqi": F.col("max_v"),
+    }
+
+
+def _weather_columns(p: str = "") -> dict[str, Column]:
+    """City-wide readings from partials rolled up over all stations (columns prefixed ``p``)."""
+    return {
+        "temperature": _mean(p + "sum_v", p + "n_v") / F.lit(10.0), "humidity": F.col(p + "max_k"),
+        "wind_speed": _mean(p + "sum_k", p + "n_k") / F.lit(10.0),
+        "pressure": F.lit(1000.0) + _mean(p + "sum_k", p + "n_k") / F.lit(2.0),
+        "precipitation": F.col(p + "min_v"), "cloudcover": F.col(p + "n").cast("double"),
+    }
+
+
+_ROLLUP = {"n": F.sum, "sum_v": F.sum, "n_v": F.sum, "min_v": F.min, "sum_k": F.sum, "n_k": F.sum, "max_k": F.max}
+
+
 def hourly_air(partials: DataFrame) -> DataFrame:
     """Pollutant and index readings per station and hour."""
-    return partials.select(
-        "city", "timestamp",
-        F.col("max_k").alias("pm10"), _mean("sum_k", "n_k").alias("pm2_5"), F.col("min_v").alias("carbon_monoxide"),
-        F.col("sum_v").alias("nitrogen_dioxide"), F.col("min_k").alias("ozone"),
-        F.col("n").cast("double").alias("sulphur_dioxide"), _mean("sum_v", "n_v").alias("us_aqi"),
-        F.col("max_v").alias("european_aqi"))
+    return partials.select("city", "timestamp", *[c.alias(n) for n, c in _air_columns().items()])
 
 
 def hourly_weather(partials: DataFrame) -> DataFrame:
     """City-wide readings per hour, rolled up from the station partials (a small second aggregation)."""
-    h = partials.groupBy("timestamp").agg(
-        F.sum("n").alias("n"), F.sum("sum_v").alias("sum_v"), F.sum("n_v").alias("n_v"), F.min("min_v").alias("min_v"),
-        F.sum("sum_k").alias("sum_k"), F.sum("n_k").alias("n_k"), F.max("max_k").alias("max_k"))
-    return h.select(
-        "timestamp", (_mean("sum_v", "n_v") / F.lit(10.0)).alias("temperature"), F.col("max_k").alias("humidity"),
-        (_mean("sum_k", "n_k") / F.lit(10.0)).alias("wind_speed"),
-        (F.lit(1000.0) + _mean("sum_k", "n_k") / F.lit(2.0)).alias("pressure"),
-        F.col("min_v").alias("precipitation"), F.col("n").cast("double").alias("cloudcover"))
+    h = partials.groupBy("timestamp").agg(*[fn(c).alias(c) for c, fn in _ROLLUP.items()])
+    return h.select("timestamp", *[c.alias(n) for n, c in _weather_columns().items()])
 
 
 def join_sources(air: DataFrame, weather: DataFrame) -> DataFrame:
@@ -72,22 +83,36 @@ def join_sources(air: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def station_series(events: DataFrame) -> DataFrame:
+    """Station readings with the city-wide readings of the same hour.
+
+    Same rows as ``join_sources(hourly_air(p), hourly_weather(p))``, but the
+    roll-up is a window over the hour on the partials: the events are scanned
+    and aggregated once, and no join is needed (every station hour has its city hour).
+    """
     p = hourly_partials(events)
-    return join_sources(hourly_air(p), hourly_weather(p))
+    w = Window.partitionBy("timestamp")
+    rolled = p.withColumns({"_w_" + c: fn(c).over(w) for c, fn in _ROLLUP.items()})
+    cols = {**_air_columns(), **_weather_columns("_w_")}
+    return rolled.select("city", "timestamp", *[cols[c].alias(c) for c in RAW_MEASURES])
 
 
 def hourly_grid(df: DataFrame, spec: SeriesSpec, step_seconds: int = 3600,
                 fill: dict[str, object] | None = None) -> DataFrame:
-    """Regular grid per entity from its first to its last slot, left-joined to the series.
+    """Regular grid per entity from its first to its last slot (times aligned to the step).
 
-    Rows of missing slots get NULL measures (or ``fill`` values), so that a lag of
-    k rows is a lag of k slots. Grid size per entity is bounded by its time span.
+    Each row emits itself plus the empty slots up to the next row of its entity
+    (``lead`` in one window, then ``explode(sequence(...))``): no span aggregate
+    and no join. Empty slots get NULL measures (or ``fill`` values), so a lag of
+    k rows is a lag of k slots. Output per entity is bounded by its time span.
     """
     ts = spec.ts
-    span = df.groupBy(*spec.entity).agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"))
-    grid = span.select(*spec.entity, F.explode(F.sequence("_lo", "_hi", F.expr(f"INTERVAL {step_seconds} SECONDS")))
-                       .alias(ts))
-    out = grid.join(df, on=[*spec.entity, ts], how="left")
+    step = F.expr(f"INTERVAL {step_seconds} SECONDS")
+    w = Window.partitionBy(*spec.entity).orderBy(ts)
+    last_slot = F.greatest(F.col(ts), F.coalesce(F.lead(ts).over(w) - step, F.col(ts)))
+    values = [c for c in df.columns if c not in (*spec.entity, ts)]
+    ex = (df.withColumn("_last", last_slot)
+          .select(*spec.entity, *values, F.posexplode(F.sequence(F.col(ts), F.col("_last"), step)).alias("_pos", ts)))
+    out = ex.select(*spec.entity, ts, *[F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in values])
     if fill:
         out = out.fillna(fill)
     return out
