@@ -96,8 +96,8 @@ def station_series(events: DataFrame) -> DataFrame:
     return rolled.select("city", "timestamp", *[cols[c].alias(c) for c in RAW_MEASURES])
 
 
-def hourly_grid(df: DataFrame, spec: SeriesSpec, step_seconds: int = 3600,
-                fill: dict[str, object] | None = None) -> DataFrame:
+def regular_grid(df: DataFrame, spec: SeriesSpec, step_seconds: int = 3600,
+                 fill: dict[str, object] | None = None) -> DataFrame:
     """Regular grid per entity from its first to its last slot (times aligned to the step).
 
     Each row emits itself plus the empty slots up to the next row of its entity
@@ -118,6 +118,10 @@ def hourly_grid(df: DataFrame, spec: SeriesSpec, step_seconds: int = 3600,
     return out
 
 
+def hourly_grid(df: DataFrame, spec: SeriesSpec, fill: dict[str, object] | None = None) -> DataFrame:
+    return regular_grid(df, spec, 3600, fill)
+
+
 def event_counts_grid(events: DataFrame) -> DataFrame:
     """Per event type and hour: event count (0 in gaps) and mean value (NULL in gaps)."""
     hourly = (events.groupBy("event_type", hour_of(F.col("ts")).alias("hour_ts"))

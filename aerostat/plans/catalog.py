@@ -139,7 +139,7 @@ def change_features(spark, sf_dir):
 @query
 def forward_fill(spark, sf_dir):
     g = grid.event_counts_grid(tb.events(spark, sf_dir))
-    spec = tb.SeriesSpec(entity=("event_type",), ts="hour_ts", bucket="1 day")
+    spec = tb.SeriesSpec(entity=("event_type",), ts="hour_ts")  # a grid has one row per slot: no hot series
     out = win.forward_fill(g, spec, ["avg_value"], zero_fill=True)
     return finish(out.select("event_type", "hour_ts", "n_events", "avg_value"))
 
@@ -469,3 +469,19 @@ def pick_examples(spark, sf_dir):
     picks = attr.pick_examples(sample, "event_id", "value")
     return finish(attr.explain_rows(long, picks, "event_id").select(
         "example", "event_id", "feature", "feature_value", "contribution", "rank"))
+
+
+# ---------------------------------------------------------------- a second source: orders by nation
+
+@query
+def order_series_features(spark, sf_dir):
+    """Daily revenue per nation (orders joined to customer and nation), gap-filled, with lag/rolling/change."""
+    o = tb.order_series(spark, sf_dir)
+    daily = o.groupBy("nation", F.date_trunc("day", "ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.sum("value").alias("revenue"))
+    spec = tb.SeriesSpec(entity=("nation",), ts="day")  # a grid has one row per slot: no hot series
+    g = grid.regular_grid(daily, spec, 86400, fill={"n_orders": 0, "revenue": 0.0})
+    st = [lambda cx: {"revenue_lag_1": cx.lag("revenue", 1), "revenue_lag_7": cx.lag("revenue", 7),
+                      "revenue_rolling_mean_7": cx.guarded(F.avg, "revenue", 7),
+                      "revenue_change": F.col("revenue") - cx.lag("revenue", 1)}]
+    return finish(win.windowed(g, spec, st, context_rows=7, context_cols=["revenue"]))

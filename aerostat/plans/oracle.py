@@ -543,3 +543,21 @@ SELECT p.example, la.event_id, la.feature, {r6('la.feature_value')} AS feature_v
   {r6('la.contribution')} AS contribution,
   CAST(row_number() OVER (PARTITION BY p.example ORDER BY abs(la.contribution) DESC, la.feature) AS INTEGER) AS rank
 FROM picks p JOIN la ON la.event_id = p.event_id"""
+
+
+ORACLE["order_series_features"] = f"""WITH o AS (
+  SELECT n.n_name AS nation, date_trunc('day', o.o_orderdate) AS day, count(*) AS n_orders,
+         sum(o.o_totalprice) AS revenue
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
+  GROUP BY 1, 2),
+span AS (SELECT nation, min(day) AS lo, max(day) AS hi FROM o GROUP BY nation),
+slots AS (SELECT nation, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS day FROM span),
+g AS (
+  SELECT s.nation, s.day, coalesce(o.n_orders, 0) AS n_orders, coalesce(o.revenue, 0.0) AS revenue
+  FROM slots s LEFT JOIN o ON o.nation = s.nation AND o.day = s.day)
+SELECT nation, day, n_orders, {r6('revenue')} AS revenue,
+  {r6('lag(revenue, 1) OVER (PARTITION BY nation ORDER BY day)')} AS revenue_lag_1,
+  {r6('lag(revenue, 7) OVER (PARTITION BY nation ORDER BY day)')} AS revenue_lag_7,
+  {r6(_guard('avg', 'revenue', 7, 'nation', 'day'))} AS revenue_rolling_mean_7,
+  {r6('revenue - lag(revenue, 1) OVER (PARTITION BY nation ORDER BY day)')} AS revenue_change
+FROM g"""
