@@ -49,8 +49,9 @@ def build_session(master: str | None = None, app: str = "aerostat",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is left alone.
-    Only when it is unset (local tests) a private scratch folder is created.
+    On a cluster this setting points at shared storage and is left alone (and
+    must be set). Only in local mode, when it is unset, a private scratch
+    folder is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         conf_dir = tempfile.mkdtemp(prefix="aerostat-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
