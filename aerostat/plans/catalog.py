@@ -440,8 +440,11 @@ DEMO_COEFS = {"hour": 0.2, "day_of_week": -0.5, "month": 0.1, "is_weekend": 1.5,
 
 def _attribution_long(spark, sf_dir):
     f = feat.basic_features(tb.user_series(spark, sf_dir), U, target="value")
-    means = attr.background_means(f, list(DEMO_COEFS))
-    sample = asof.hash_sample(f, ["event_id"], SAMPLE_ROWS, SAMPLE_SEED)
+    # the sample (500 rows) feeds several branches: materialize it once in the shared
+    # checkpoint folder instead of re-running the feature pipeline for each branch;
+    # it is also the background set, so the whole table is processed in one pass
+    sample = asof.hash_sample(f, ["event_id"], SAMPLE_ROWS, SAMPLE_SEED).checkpoint()
+    means = attr.background_means(sample, list(DEMO_COEFS))
     return attr.linear_attribution(sample, "event_id", DEMO_COEFS, DEMO_INTERCEPT, means), sample
 
 

@@ -501,8 +501,8 @@ f0 AS (
     {_guard('avg', 'value', 3, 'user_id', 'ts, event_id')} AS aqi_rolling_mean_3h
   FROM ev WINDOW w AS ({UW})),
 f AS (SELECT * FROM f0 WHERE COLUMNS(*) IS NOT NULL),
-mu AS (SELECT {", ".join(f"avg({c}) AS {c}" for c in _DEMO)} FROM f),
 s AS (SELECT *, {SAMPLE_KEY} AS sample_key FROM f ORDER BY sample_key, event_id LIMIT 500),
+mu AS (SELECT {", ".join(f"avg({c}) AS {c}" for c in _DEMO)} FROM s),
 bp AS (
   SELECT s.event_id, s.value, s.sample_key,
     5.0 {"".join(f" + {v} * mu.{c}" for c, v in _DEMO.items())} AS base_value,
