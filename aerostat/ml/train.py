@@ -14,8 +14,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerostat.operators.metrics import regression_metrics
-from aerostat.schemas import GBT_PARAMS, RF_PARAMS
+from aerostat.operators.metrics import best_model, regression_metrics
+from aerostat.schemas import GBT_PARAMS, MODEL_PRIORITY, RF_PARAMS
 
 MODEL_BUILDERS = {
     # the reference's forest samples no feature subsets, hence "all"
@@ -47,6 +47,14 @@ def evaluate(model: PipelineModel, data: DataFrame, label: str, split_col: str =
     return regression_metrics(pred)
 
 
+def compare(metrics: list[DataFrame], priority: Sequence[str] = MODEL_PRIORITY) -> tuple[DataFrame, DataFrame]:
+    """(all metrics, the best model on the test split; equal RMSE resolves by ``priority``)."""
+    allm = metrics[0]
+    for m in metrics[1:]:
+        allm = allm.unionByName(m)
+    return allm, best_model(allm, priority)
+
+
 def importances(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """Model-native importances zipped with the feature names (bounded by the number of features)."""
     vec = model.stages[-1].featureImportances.toArray().tolist()

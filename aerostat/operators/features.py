@@ -10,8 +10,8 @@ from aerostat.functions.calendar import calendar_columns
 from aerostat.functions.scalar import interaction_columns, weather_flag_columns
 from aerostat.operators.grid import present_columns
 from aerostat.operators.windows import (WindowContext, change_stages, windowed)
-from aerostat.schemas import (CONTEXT_ROWS, PM25_LAGS, RAW_INPUTS, ROLLING_MEAN_SIZES, ROLLING_MINMAX_SIZE,
-                              ROLLING_STD_SIZES, SeriesSpec, TARGET_LAGS)
+from aerostat.schemas import (CONTEXT_ROWS, FEATURE_COLS, NON_FEATURE_COLS, PM25_LAGS, RAW_INPUTS,
+                              ROLLING_MEAN_SIZES, ROLLING_MINMAX_SIZE, ROLLING_STD_SIZES, SeriesSpec, TARGET_LAGS)
 
 BASIC_FEATURES = ["hour", "day_of_week", "month", "is_weekend", "aqi_lag_1h", "aqi_lag_6h", "aqi_rolling_mean_3h"]
 
@@ -88,3 +88,17 @@ def serving_fill(df: DataFrame, spec: SeriesSpec, cols: Sequence[str]) -> DataFr
 def basic_features(df: DataFrame, spec: SeriesSpec, target: str | None = None) -> DataFrame:
     """The reduced seven-feature pipeline, rows with NULLs dropped."""
     return engineer(df, spec, target=target, pm25=None, subset=BASIC_FEATURES, raw=False)
+
+
+def input_columns(df: DataFrame, exclude: Sequence[str] = NON_FEATURE_COLS) -> list[str]:
+    """Model inputs as "every column not excluded" (exclude-list projection), in table order."""
+    return [c for c in df.columns if c not in set(exclude)]
+
+
+def model_frame(df: DataFrame, keep: Sequence[str] = ("city", "timestamp", "us_aqi"),
+                features: Sequence[str] = FEATURE_COLS) -> DataFrame:
+    """Key/label columns plus the 43 inputs in the declared serving order (include-list projection).
+
+    Only the listed columns that exist are taken; models assemble them by name.
+    """
+    return df.select(*[c for c in keep if c in df.columns], *[c for c in features if c in df.columns])

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from aerostat.operators.asof import history_size, last_n
 from aerostat.operators.windows import windowed
-from aerostat.schemas import (FORECAST_HISTORY_ROWS, FORECAST_HOURS, FORECAST_MIN_ROWS, HORIZON_ERROR_GROWTH,
-                              SeriesSpec)
+from aerostat.schemas import (DEFAULT_BASE_RMSE, FORECAST_HISTORY_ROWS, FORECAST_HOURS, FORECAST_MIN_ROWS,
+                              HORIZON_ERROR_GROWTH, SeriesSpec)
 
 
 def ar3_training_rows(df: DataFrame, spec: SeriesSpec, target: str) -> DataFrame:
@@ -132,6 +132,11 @@ def forecast_error_rows(base: DataFrame, rmse_col: str = "base_rmse") -> DataFra
                           "error_range": F.format_string("±%.2f", r2)})
 
 
+def assumed_error_table(spark, base_rmse: float = DEFAULT_BASE_RMSE) -> DataFrame:
+    """The error table for a stated one-step RMSE (the reference's default when nothing is measured)."""
+    return forecast_error_rows(spark.range(1).select(F.lit(float(base_rmse)).alias("base_rmse")))
+
+
 def recursive_with_model(seed_rows: DataFrame, spec: SeriesSpec, featurize, model, hours: int,
                          target: str, checkpoint_every: int = 12) -> DataFrame:
     """Recursive forecast with any Spark ML model: one ``transform`` per step for all entities at once.

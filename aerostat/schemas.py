@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -175,13 +175,3 @@ MODEL_METRICS_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()),
     T.StructField("snapshot", T.StringType()),
 ])
-
-ALERT_SCHEMA = T.StructType([
-    T.StructField("city", T.StringType()),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("level", T.StringType()),
-    T.StructField("aqi", T.DoubleType()),
-    T.StructField("forecast_avg", T.DoubleType()),
-    T.StructField("trend", T.StringType()),
-    T.StructField("message", T.StringType()),
-])

@@ -92,3 +92,32 @@ def test_json_payload_read_and_explode(spark, scratch):
     out = pl.explode_payload(good, POLLUTANT_COLS + INDEX_COLS)
     assert bad.count() == 0 and out.count() == 2
     assert out.filter(F.col("us_aqi") == 2.0).first().timestamp.hour == 1
+
+
+def test_weather_payload_renames(spark, scratch):
+    from aerostat.schemas import WEATHER_PAYLOAD_SCHEMA, WEATHER_RENAMES
+    import json
+    row = {"city": "c1", "hourly": {"time": ["2025-01-01T00:00"], **{k: [1.5] for k in WEATHER_RENAMES}}}
+    path = os.path.join(scratch, "weather.json")
+    with open(path, "w") as f:
+        f.write(json.dumps(row) + "\n")
+    p = pl.read_payload_json(spark, path, WEATHER_PAYLOAD_SCHEMA)
+    out = pl.explode_payload(p, list(WEATHER_RENAMES), renames=WEATHER_RENAMES)
+    assert out.columns == ["city", "timestamp", *WEATHER_RENAMES.values()]
+
+
+def test_interval_payload_schema_and_model_frame(spark):
+    from aerostat.operators.features import input_columns, model_frame
+    from aerostat.schemas import FEATURE_COLS, INTERVAL_PAYLOAD_SCHEMA
+    df = spark.createDataFrame([("x", 0, 3600, ["a"], [[1.0]])], INTERVAL_PAYLOAD_SCHEMA)
+    assert pl.time_axis(df, ["a"]).count() == 1
+    g = hourly_grid(station_series(tb.events(spark, SF001)), STATION_SPEC)
+    f = engineer(g, STATION_SPEC, mode="training")
+    assert sorted(input_columns(f)) == sorted(FEATURE_COLS)          # 12 raw + 31 derived
+    assert model_frame(f).columns == ["city", "timestamp", "us_aqi", *FEATURE_COLS]
+
+
+def test_assumed_error_table(spark):
+    from aerostat.operators.forecast import assumed_error_table
+    rows = {r.horizon_h: (r.rmse, r.expected_rmse, r.error_range) for r in assumed_error_table(spark).collect()}
+    assert rows[1] == (0.87, "0.87", "±0.87") and rows[72][1] == "5.48"
