@@ -36,3 +36,52 @@ def time_split(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRACTION
     pos = F.col("_before") + F.row_number().over(wd)
     return (j.withColumn(col, F.when(pos <= F.col("_cut"), F.lit("train")).otherwise(F.lit("test")))
             .drop("_bk", "_before", "_cut"))
+
+
+# Refinement levels for the global cut, as bucket widths in microseconds.
+GLOBAL_LEVELS_US = [86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1]
+
+
+def global_cut_key(df: DataFrame, spec: SeriesSpec, k: int) -> tuple | None:
+    """The key (ts, order...) of the k-th row of the whole table in time order, found exactly without a global sort.
+
+    Each level counts rows per time bucket inside the bucket found at the level
+    above (day, hour, minute, second, millisecond, microsecond: at most ~1,000
+    counts come back per level, the first level one per day). Only rows that
+    share the final microsecond are ranked, by the tie-break columns.
+    """
+    if k <= 0:
+        return None
+    cand, before = df, 0
+    us = F.unix_micros(F.col(spec.ts))
+    for width in GLOBAL_LEVELS_US:
+        b = F.floor(us / F.lit(width)).cast("long")
+        counts = cand.groupBy(b.alias("b")).count().orderBy("b").collect()
+        run = before
+        chosen = None
+        for r in counts:
+            if run + r["count"] >= k:
+                chosen = r["b"]
+                break
+            run += r["count"]
+        if chosen is None:
+            return None
+        before = run
+        cand = cand.filter(b == F.lit(chosen))
+    rest = k - before
+    order = [F.col(c) for c in spec.order_cols]
+    row = cand.select(*spec.order_cols).orderBy(*order).limit(rest).agg(
+        F.max(F.struct(*order)).alias("m")).first()["m"]
+    return tuple(row)
+
+
+def global_time_split(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRACTION,
+                      col: str = "split") -> DataFrame:
+    """First floor(f * n) rows of the whole table (all entities together, time order) train, the rest test."""
+    n = df.count()
+    key = global_cut_key(df, spec, int(fraction * n))
+    if key is None:
+        return df.withColumn(col, F.lit("test"))
+    lit_key = F.struct(*[F.lit(v).cast(df.schema[c].dataType) for c, v in zip(spec.order_cols, key)])
+    return df.withColumn(col, F.when(F.struct(*[F.col(c) for c in spec.order_cols]) <= lit_key,
+                                     F.lit("train")).otherwise(F.lit("test")))

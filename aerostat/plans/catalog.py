@@ -330,6 +330,13 @@ def split_80_20(spark, sf_dir):
     return finish(s.select(*KEY, "split"))
 
 
+@query
+def split_global(spark, sf_dir):
+    """The reference's form: one time-ordered 80/20 cut over the whole table (all entities together)."""
+    e = tb.user_series(spark, sf_dir).select(*KEY)
+    return finish(split_mod.global_time_split(e, U))
+
+
 @query
 def minmax_scale(spark, sf_dir):
     s = split_mod.time_split(tb.user_series(spark, sf_dir), U)

@@ -561,3 +561,8 @@ SELECT nation, day, n_orders, {r6('revenue')} AS revenue,
   {r6(_guard('avg', 'revenue', 7, 'nation', 'day'))} AS revenue_rolling_mean_7,
   {r6('revenue - lag(revenue, 1) OVER (PARTITION BY nation ORDER BY day)')} AS revenue_change
 FROM g"""
+
+ORACLE["split_global"] = """SELECT user_id, ts, event_id,
+  CASE WHEN row_number() OVER (ORDER BY ts, event_id) <= floor(0.8 * count(*) OVER ()) THEN 'train' ELSE 'test' END
+    AS split
+FROM events"""

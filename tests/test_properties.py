@@ -118,3 +118,15 @@ def test_first_available_fallback(spark, scratch):
         ("events", lambda: tb.events(spark, SF01)),
     ])
     assert label == "events" and "k" in df.columns
+
+
+def test_global_split_equals_naive(spark):
+    from aerostat.operators.split import global_time_split
+    e = tb.user_series(spark, SF01).select("user_id", "ts", "event_id", "value")
+    got = global_time_split(e, U).select("event_id", "split")
+    n = e.count()
+    w = Window.orderBy("ts", "event_id")   # whole-table window: test reference only
+    ref = e.withColumn("split", F.when(F.row_number().over(w) <= int(0.8 * n), "train").otherwise("test")) \
+        .select("event_id", "split")
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    assert got.filter("split = 'train'").count() == int(0.8 * n)
