@@ -9,6 +9,9 @@
 * :func:`late_splitting_sink` - routes rows at or before the table watermark
   (minus a tolerance) to a side table *before* anything stateful sees them.
 * :func:`alert_sink` - writes the alert table keyed by (entity, ts, level).
+* :func:`feature_sink` - keeps a feature table current: per micro-batch only
+  the touched entities are recomputed, from their earliest new row on, with the
+  preceding ``context`` stored rows as lag/rolling context.
 """
 
 from __future__ import annotations
@@ -85,6 +88,37 @@ def alert_sink(source_table: str, alerts_table: str, spec: SeriesSpec, col: str,
     return run
 
 
+def refresh_features(spark: SparkSession, raw_table: str, new_rows: DataFrame, spec: SeriesSpec,
+                     build: Callable[[DataFrame], DataFrame], context: int = 24) -> DataFrame:
+    """Feature rows to (re)write after ``new_rows`` landed in ``raw_table``.
+
+    For each touched entity: every stored row from its earliest new row on, plus
+    the ``context`` stored rows before that, go through ``build``; context rows
+    are dropped from the result. Exact for features looking back <= ``context`` rows.
+    """
+    first_new = new_rows.groupBy(*spec.entity).agg(F.min(spec.ts).alias("_from"))
+    stored = spark.read.parquet(raw_table).join(first_new, on=list(spec.entity), how="inner")
+    affected = stored.filter(F.col(spec.ts) >= F.col("_from")).drop("_from")
+    before = stored.filter(F.col(spec.ts) < F.col("_from")).drop("_from")
+    from aerostat.operators.asof import last_n
+    ctx = last_n(before, spec, context).drop("rank_from_end")
+    both = affected.withColumn("_ctx", F.lit(False)).unionByName(ctx.withColumn("_ctx", F.lit(True)))
+    built = build(both)
+    return built.filter(~F.col("_ctx")).drop("_ctx")
+
+
+def feature_sink(raw_table: str, features_table: str, spec: SeriesSpec, key: Sequence[str],
+                 order: Sequence[str], build: Callable[[DataFrame], DataFrame],
+                 context: int = 24) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: upsert the raw rows, then refresh the features of the touched entities."""
+    def run(batch: DataFrame, _epoch: int) -> None:
+        spark = batch.sparkSession
+        upsert_table(spark, with_date_partition(batch, spec.ts), raw_table, key, order, resolve="first")
+        feats = refresh_features(spark, raw_table, batch, spec, build, context)
+        upsert_table(spark, feats, features_table, key, order, resolve="new")
+    return run
+
+
 def run_available(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Process everything available now (trigger availableNow) and stop; restarts resume from the checkpoint."""
     q = df.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
