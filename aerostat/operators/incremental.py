@@ -27,12 +27,25 @@ def clamp_watermark(wm: DataFrame, as_of: Column, step: str = "INTERVAL 1 HOUR")
                          .otherwise(F.col("last_ts")))
 
 
-def fetch_ranges(wm: DataFrame, as_of: Column, step: str = "INTERVAL 1 HOUR") -> DataFrame:
-    """Per entity: the next slot after the (clamped) watermark, the date range to fetch, and whether it is due."""
+def fetch_ranges(wm: DataFrame, as_of: Column, step: str = "INTERVAL 1 HOUR", entities: DataFrame | None = None,
+                 backfill: str = "INTERVAL 7 DAYS") -> DataFrame:
+    """Per entity: the next slot after the (clamped) watermark, the date range to fetch, and whether it is due.
+
+    ``entities`` (optional) lists every entity to load; those with no stored rows
+    yet start ``backfill`` before ``as_of``.
+    """
     c = clamp_watermark(wm, as_of, step)
     nxt = F.col("last_ts") + F.expr(step)
-    return c.select("*", nxt.alias("next_ts"), F.to_date(nxt).alias("from_date"), F.to_date(as_of).alias("to_date"),
-                    (nxt <= as_of).alias("due"))
+    out = c.select("*", nxt.alias("next_ts"), F.to_date(nxt).alias("from_date"), F.to_date(as_of).alias("to_date"),
+                   (nxt <= as_of).alias("due"))
+    if entities is not None:
+        keys = [c for c in wm.columns if c != "last_ts"]
+        fresh = entities.select(*keys).distinct().join(wm.select(*keys), on=keys, how="left_anti")
+        start = as_of - F.expr(backfill)
+        out = out.unionByName(fresh.select(
+            *keys, F.lit(None).cast("timestamp").alias("last_ts"), start.alias("next_ts"),
+            F.to_date(start).alias("from_date"), F.to_date(as_of).alias("to_date"), F.lit(True).alias("due")))
+    return out
 
 
 def split_incoming(landed: DataFrame, wm: DataFrame, spec: SeriesSpec,

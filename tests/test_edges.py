@@ -152,3 +152,29 @@ def test_edge_gap_grid(spark):
     assert [r.v for r in lag] == [1.0, 2.0, None, 4.0]
     assert lag[3].v_lag_1 is None          # row lag 1 = hour lag 1 after gap fill
     assert not math.isnan(lag[1].v_lag_1)
+
+
+def test_edge_watermark(spark):
+    from aerostat.operators import incremental as inc
+    spec = SeriesSpec(entity=("e",), ts="ts", order=("id",), target="v")
+    now = F.lit(h(10)).cast("timestamp")
+    stored = series(spark, [("future", h(15), 1, 1.0), ("equal", h(10), 1, 1.0), ("past", h(7), 1, 1.0)])
+    wm = inc.high_watermark(stored, spec)
+    everyone = spark.createDataFrame([("future",), ("equal",), ("past",), ("new",)], "e string")
+    r = {x.e: x for x in inc.fetch_ranges(wm, now, entities=everyone).collect()}
+    assert r["future"].last_ts == h(9) and r["future"].next_ts == h(10) and r["future"].due   # clamped
+    assert r["equal"].next_ts == h(11) and not r["equal"].due                                 # nothing to fetch
+    assert r["past"].next_ts == h(8) and r["past"].due
+    assert r["new"].last_ts is None and r["new"].next_ts == h(10) - dt.timedelta(days=7) and r["new"].due
+    # late row and a duplicate key with a different value
+    landed = series(spark, [("past", h(6), 2, 9.0), ("past", h(7), 3, 5.0), ("past", h(8), 4, 2.0)])
+    fresh, late = inc.split_incoming(landed, wm, spec)
+    assert sorted(x.id for x in fresh.collect()) == [4] and sorted(x.id for x in late.collect()) == [2, 3]
+    kept = {(x.ts, x.id, x.v) for x in inc.union_keep_first(stored, landed, ["e", "ts"], ["id"]).collect()
+            if x.e == "past"}
+    assert (h(7), 1, 1.0) in kept and (h(7), 3, 5.0) not in kept       # stored row wins
+    # empty table: everything is fresh, duplicates inside the batch keep the first
+    empty = stored.limit(0)
+    fresh2, late2 = inc.split_incoming(landed, inc.high_watermark(empty, spec), spec)
+    assert fresh2.count() == 3 and late2.count() == 0
+    assert inc.union_keep_first(None, landed.unionByName(landed), ["e", "ts"], ["id"]).count() == 3
