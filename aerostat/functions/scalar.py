@@ -97,3 +97,23 @@ def cast_by_class(df: DataFrame, float_to: str = "double", long_to: str = "int")
             c = c.try_cast(long_to)
         out.append(c.alias(f.name))
     return df.select(*out)
+
+
+def with_constant_first(df: DataFrame, name: str, value) -> DataFrame:
+    """Insert a constant column in front (e.g. the city of a single-source feed)."""
+    return df.select(F.lit(value).alias(name), *[F.col(f"`{c}`") for c in df.columns])
+
+
+def to_utc(ts: Column, source_tz: str | None = None) -> Column:
+    """Wall-clock time in ``source_tz`` -> UTC instant (naive values); None: already UTC."""
+    return ts if source_tz is None else F.to_utc_timestamp(ts, source_tz)
+
+
+def parse_time(text: Column) -> Column:
+    """ISO text such as ``2025-01-01T00:00`` -> TIMESTAMP (NULL when unparseable)."""
+    return F.try_to_timestamp(text)
+
+
+def version_label(ts: Column) -> Column:
+    """Date version number yyyyMMdd as an int (snapshot and model versions)."""
+    return F.date_format(ts, "yyyyMMdd").cast("int")

@@ -42,6 +42,14 @@ def latest_row(df: DataFrame, spec: SeriesSpec, as_of: Column | None = None, fal
     return src.groupBy(*spec.entity).agg(F.max_by(row, order).alias("_r")).select(*spec.entity, "_r.*")
 
 
+def first_row(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Per entity, its earliest row (e.g. the input example stored with a model)."""
+    cols = [c for c in df.columns if c not in spec.entity]
+    order = F.struct(*[F.col(c) for c in spec.order_cols])
+    return (df.groupBy(*spec.entity).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_r"))
+            .select(*spec.entity, "_r.*"))
+
+
 def last_n(df: DataFrame, spec: SeriesSpec, n: int, as_of: Column | None = None, bucket: str = "1 day",
            rank_col: str = "rank_from_end") -> DataFrame:
     """The last ``n`` rows of each series (at or before ``as_of``), with their rank from the end (1 = last)."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from aerostat.functions.calendar import calendar_columns
 from aerostat.functions.scalar import interaction_columns, weather_flag_columns
@@ -102,3 +102,16 @@ def model_frame(df: DataFrame, keep: Sequence[str] = ("city", "timestamp", "us_a
     Only the listed columns that exist are taken; models assemble them by name.
     """
     return df.select(*[c for c in keep if c in df.columns], *[c for c in features if c in df.columns])
+
+
+def drop_incomplete(df: DataFrame, name: str = "dropna") -> tuple[DataFrame, Observation]:
+    """Drop rows with any NULL and observe how many went in and came out.
+
+    The counts are collected as a side effect of whatever action runs next
+    (``Observation.get``), with no extra pass over the data.
+    """
+    obs = Observation(name)
+    before = df.observe(obs, F.count(F.lit(1)).alias("rows_in"),
+                        F.sum(F.when(F.greatest(*[F.col(f"`{c}`").isNull() for c in df.columns]), 1)
+                              .otherwise(0)).alias("rows_dropped"))
+    return before.na.drop("any"), obs

@@ -86,6 +86,18 @@ def snapshot(df: DataFrame, base: str, version: str) -> str:
     return path
 
 
+def snapshot_or_live(df: DataFrame, base: str, version: str) -> tuple[DataFrame, str]:
+    """Freeze ``df`` as a snapshot and read it back; if that fails, train on the live frame.
+
+    Returns (frame, label) where label is the snapshot version or "live".
+    """
+    try:
+        path = snapshot(df, base, version)
+        return df.sparkSession.read.parquet(path), version
+    except AnalysisException:
+        return df, "live"
+
+
 def register_metrics(spark: SparkSession, registry: str, model: str, version: int, metrics: dict[str, float],
                      snapshot_version: str) -> None:
     rows = [(model, int(version), k, float(v), snapshot_version) for k, v in metrics.items()]

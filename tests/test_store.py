@@ -121,3 +121,24 @@ def test_assumed_error_table(spark):
     from aerostat.operators.forecast import assumed_error_table
     rows = {r.horizon_h: (r.rmse, r.expected_rmse, r.error_range) for r in assumed_error_table(spark).collect()}
     assert rows[1] == (0.87, "0.87", "±0.87") and rows[72][1] == "5.48"
+
+
+def test_small_helpers(spark, scratch):
+    import datetime as dt
+    from aerostat.functions.scalar import parse_time, to_utc, version_label, with_constant_first
+    from aerostat.operators.asof import first_row
+    from aerostat.operators.features import drop_incomplete
+    df = spark.createDataFrame([("a", dt.datetime(2024, 1, 2, 3), 1.0), ("a", dt.datetime(2024, 1, 1, 0), None)],
+                               "e string, ts timestamp, v double")
+    assert with_constant_first(df, "city", "X").columns == ["city", "e", "ts", "v"]
+    r = df.select(version_label(F.col("ts")).alias("v"), to_utc(F.col("ts"), "Asia/Karachi").alias("u"),
+                  parse_time(F.lit("2025-01-01T00:00")).alias("p")).first()
+    assert r.v == 20240102 and r.u == dt.datetime(2024, 1, 1, 22) and r.p == dt.datetime(2025, 1, 1)
+    spec = tb.SeriesSpec(entity=("e",), ts="ts")
+    assert first_row(df, spec).first().ts == dt.datetime(2024, 1, 1, 0)
+    kept, obs = drop_incomplete(df)
+    assert kept.count() == 1 and obs.get == {"rows_in": 2, "rows_dropped": 1}
+    frame, label = store.snapshot_or_live(df, os.path.join(scratch, "snaps"), "20240102")
+    assert label == "20240102" and frame.count() == 2
+    frame2, label2 = store.snapshot_or_live(df, os.path.join(scratch, "snaps"), "20240102")   # same day again
+    assert label2 == "live" and frame2.count() == 2
