@@ -4,16 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from aerostat.functions.scalar import alert_level
+from aerostat.functions.scalar import alert_level, fmt
 from aerostat.operators.asof import latest_row, recent_summary
 from aerostat.schemas import SeriesSpec
 
 
-def fixed(x: Column, decimals: int) -> Column:
-    """Fixed-point text, rounded half-up through DECIMAL so every engine prints the same digits."""
-    return F.format_string(f"%.{decimals}f", F.round(x.cast("decimal(38,12)"), decimals).cast("double"))
-
-
 def alert_table(df: DataFrame, spec: SeriesSpec, col: str, as_of: Column, inclusive: bool = True,
                 recent_rows: int = 24, trend_back: int = 6) -> DataFrame:
     """One row per entity whose latest value (at or before ``as_of``) reaches an alert level.
@@ -28,8 +23,8 @@ def alert_table(df: DataFrame, spec: SeriesSpec, col: str, as_of: Column, inclus
     j = j.withColumn("level", lvl).filter(F.col("level") != "none")
     msg = F.concat(
         F.lit("["), F.upper("level"), F.lit("] "), F.concat_ws("/", *[F.col(c).cast("string") for c in spec.entity]),
-        F.lit(": value "), fixed(F.col(col), 0), F.lit(" at "), F.date_format(spec.ts, "yyyy-MM-dd HH:mm"),
-        F.lit("; recent mean "), F.coalesce(fixed(F.col("recent_avg"), 0), F.lit("n/a")),
+        F.lit(": value "), fmt(F.col(col), 0), F.lit(" at "), F.date_format(spec.ts, "yyyy-MM-dd HH:mm"),
+        F.lit("; recent mean "), F.coalesce(fmt(F.col("recent_avg"), 0), F.lit("n/a")),
         F.lit(" ("), F.coalesce(F.col("trend"), F.lit("trend unknown")), F.lit(")"))
     return j.select(*spec.entity, spec.ts, "level", F.col(col).alias("value"), "recent_avg", "trend",
                     msg.alias("message"))

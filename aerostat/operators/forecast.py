@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from aerostat.functions.scalar import fmt
 from aerostat.operators.asof import history_size, last_n
 from aerostat.operators.windows import windowed
 from aerostat.schemas import (DEFAULT_BASE_RMSE, FORECAST_HISTORY_ROWS, FORECAST_HOURS, FORECAST_MIN_ROWS,
@@ -127,9 +128,8 @@ def forecast_error_rows(base: DataFrame, rmse_col: str = "base_rmse") -> DataFra
     t = base.select(F.col(rmse_col), F.explode(rows).alias("r")).select(
         F.col("r.horizon_h").cast("int").alias("horizon_h"), "r.label", "r.reliability",
         (F.col(rmse_col) * F.col("r.mult")).alias("rmse"))
-    r2 = F.round(F.col("rmse").cast("decimal(38,12)"), 2).cast("double")
-    return t.withColumns({"expected_rmse": F.format_string("%.2f", r2),
-                          "error_range": F.format_string("±%.2f", r2)})
+    text = fmt(F.col("rmse"), 2)
+    return t.withColumns({"expected_rmse": text, "error_range": F.concat(F.lit("±"), text)})
 
 
 def assumed_error_table(spark, base_rmse: float = DEFAULT_BASE_RMSE) -> DataFrame:

@@ -40,37 +40,43 @@ def time_split(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRACTION
 
 # Refinement levels for the global cut, as bucket widths in microseconds.
 GLOBAL_LEVELS_US = [86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1]
+FINAL_BUCKET_ROWS = 200_000  # rows ranked directly (bounded top-k) once the chosen bucket is this small
 
 
-def global_cut_key(df: DataFrame, spec: SeriesSpec, k: int) -> tuple | None:
-    """The key (ts, order...) of the k-th row of the whole table in time order, found exactly without a global sort.
+def _bucket_counts(df: DataFrame, spec: SeriesSpec, width: int) -> tuple[list, object]:
+    b = F.floor(F.unix_micros(F.col(spec.ts)) / F.lit(width)).cast("long")
+    return df.groupBy(b.alias("b")).count().orderBy("b").collect(), b
 
-    Each level counts rows per time bucket inside the bucket found at the level
-    above (day, hour, minute, second, millisecond, microsecond: at most ~1,000
-    counts come back per level, the first level one per day). Only rows that
-    share the final microsecond are ranked, by the tie-break columns.
+
+def global_cut_key(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRACTION) -> tuple | None:
+    """The key (ts, order...) of the last training row of the whole table in time order, without a global sort.
+
+    Each level counts rows per time bucket inside the bucket chosen at the level
+    above (day, hour, minute, second, millisecond, microsecond; at most ~1,000
+    counts come back per level, the first level one per day, and its total gives
+    n). Once the chosen bucket holds at most ``FINAL_BUCKET_ROWS`` rows they are
+    ranked directly with a bounded top-k.
     """
+    counts, b = _bucket_counts(df, spec, GLOBAL_LEVELS_US[0])
+    k = int(fraction * sum(r["count"] for r in counts))
     if k <= 0:
         return None
     cand, before = df, 0
-    us = F.unix_micros(F.col(spec.ts))
-    for width in GLOBAL_LEVELS_US:
-        b = F.floor(us / F.lit(width)).cast("long")
-        counts = cand.groupBy(b.alias("b")).count().orderBy("b").collect()
-        run = before
-        chosen = None
+    for level, width in enumerate(GLOBAL_LEVELS_US):
+        if level:
+            counts, b = _bucket_counts(cand, spec, width)
+        run, chosen, size = before, None, 0
         for r in counts:
             if run + r["count"] >= k:
-                chosen = r["b"]
+                chosen, size = r["b"], r["count"]
                 break
             run += r["count"]
-        if chosen is None:
-            return None
         before = run
         cand = cand.filter(b == F.lit(chosen))
-    rest = k - before
+        if size <= FINAL_BUCKET_ROWS:
+            break
     order = [F.col(c) for c in spec.order_cols]
-    row = cand.select(*spec.order_cols).orderBy(*order).limit(rest).agg(
+    row = cand.select(*spec.order_cols).orderBy(*order).limit(k - before).agg(
         F.max(F.struct(*order)).alias("m")).first()["m"]
     return tuple(row)
 
@@ -78,8 +84,7 @@ def global_cut_key(df: DataFrame, spec: SeriesSpec, k: int) -> tuple | None:
 def global_time_split(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRACTION,
                       col: str = "split") -> DataFrame:
     """First floor(f * n) rows of the whole table (all entities together, time order) train, the rest test."""
-    n = df.count()
-    key = global_cut_key(df, spec, int(fraction * n))
+    key = global_cut_key(df, spec, fraction)
     if key is None:
         return df.withColumn(col, F.lit("test"))
     lit_key = F.struct(*[F.lit(v).cast(df.schema[c].dataType) for c, v in zip(spec.order_cols, key)])

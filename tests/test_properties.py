@@ -130,3 +130,15 @@ def test_global_split_equals_naive(spark):
         .select("event_id", "split")
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
     assert got.filter("split = 'train'").count() == int(0.8 * n)
+
+
+def test_global_split_all_levels(spark, monkeypatch):
+    """Force refinement down to the microsecond level and check the cut is still exact."""
+    from aerostat.operators import split as sp
+    monkeypatch.setattr(sp, "FINAL_BUCKET_ROWS", 0)
+    e = tb.user_series(spark, SF01).select("user_id", "ts", "event_id")
+    got = sp.global_time_split(e, U, 0.37).filter("split = 'train'")
+    n = int(0.37 * e.count())
+    w = Window.orderBy("ts", "event_id")
+    ref = e.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= n).drop("r")
+    assert got.count() == n and got.drop("split").exceptAll(ref).count() == 0
