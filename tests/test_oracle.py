@@ -27,14 +27,21 @@ def test_every_query_has_oracle():
     assert set(ent.oracle_sql()) == set(ent.queries())
 
 
+SPARK_TO_DUCK = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "TimestampNTZType()": "TIMESTAMP", "DateType()": "DATE",
+                 "BooleanType()": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     sdf = ent.queries()[name](spark, SF001)
     srows = [tuple(r) for r in sdf.collect()]
-    cur = con.execute(ent.oracle_sql()[name])
-    dcols = [d[0] for d in cur.description]
+    rel = con.sql(ent.oracle_sql()[name])
+    dcols, dtypes = rel.columns, [str(t) for t in rel.types]
     assert sorted(sdf.columns) == sorted(dcols)
-    assert Counter(rows_of(sdf.columns, srows)) == Counter(rows_of(dcols, cur.fetchall()))
+    stypes = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in sdf.schema.fields}
+    assert stypes == dict(zip(dcols, dtypes))
+    assert Counter(rows_of(sdf.columns, srows)) == Counter(rows_of(dcols, rel.fetchall()))
 
 
 def test_entry_smoke(spark):
