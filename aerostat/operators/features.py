@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from aerostat.functions.calendar import calendar_columns
 from aerostat.functions.scalar import interaction_columns, weather_flag_columns
 from aerostat.operators.grid import present_columns
-from aerostat.operators.windows import (WindowContext, change_stages, windowed)
+from aerostat.operators.windows import WindowContext, change_stages, forward_fill, windowed
 from aerostat.schemas import (CONTEXT_ROWS, FEATURE_COLS, NON_FEATURE_COLS, PM25_LAGS, RAW_INPUTS,
                               ROLLING_MEAN_SIZES, ROLLING_MINMAX_SIZE, ROLLING_STD_SIZES, SeriesSpec, TARGET_LAGS)
 
@@ -81,7 +81,6 @@ def engineer(df: DataFrame, spec: SeriesSpec, target: str | None = None, pm25: s
 
 def serving_fill(df: DataFrame, spec: SeriesSpec, cols: Sequence[str]) -> DataFrame:
     """Forward fill all ``cols`` within each series, then zero-fill the leading gaps."""
-    from aerostat.operators.windows import forward_fill
     return forward_fill(df, spec, cols, zero_fill=True)
 
 

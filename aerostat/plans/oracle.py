@@ -9,6 +9,11 @@ from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
 
+
+def r6(x: str) -> str:
+    """Round half-up to 6 decimals through DECIMAL, as the Spark side does."""
+    return f"CAST(round(CAST({x} AS DECIMAL(38,12)), 6) AS DOUBLE)"
+
 EV = """ev AS (
   SELECT event_id, ts, user_id, event_type, value,
          TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
@@ -72,10 +77,10 @@ ORACLE["calendar_features"] = f"SELECT user_id, ts, event_id, {_cal('ts')} FROM
 
 ORACLE["interaction_features"] = f"""WITH {STATION}
 SELECT city, timestamp,
-  CAST(round(CAST(pm2_5 / (pm10 + 0.01) AS DECIMAL(38,12)), 6) AS DOUBLE) AS pm25_pm10_ratio,
-  CAST(round(CAST(temperature * humidity AS DECIMAL(38,12)), 6) AS DOUBLE) AS temp_humidity,
-  CAST(round(CAST(wind_speed * pressure AS DECIMAL(38,12)), 6) AS DOUBLE) AS wind_pressure,
-  CAST(round(CAST(temperature * temperature AS DECIMAL(38,12)), 6) AS DOUBLE) AS temp_squared
+  {r6('pm2_5 / (pm10 + 0.01)')} AS pm25_pm10_ratio,
+  {r6('temperature * humidity')} AS temp_humidity,
+  {r6('wind_speed * pressure')} AS wind_pressure,
+  {r6('temperature * temperature')} AS temp_squared
 FROM st"""
 
 WIND_CASE = """CAST(CASE WHEN wind_speed > 0 AND wind_speed <= 2 THEN 0
@@ -84,7 +89,7 @@ WIND_CASE = """CAST(CASE WHEN wind_speed > 0 AND wind_speed <= 2 THEN 0
             WHEN wind_speed > 10 AND wind_speed <= 100 THEN 3 END AS INTEGER)"""
 
 ORACLE["bucketize"] = f"""WITH {STATION}
-SELECT city, timestamp, CAST(round(CAST(wind_speed AS DECIMAL(38,12)), 6) AS DOUBLE) AS wind_speed, {WIND_CASE} AS wind_category FROM st"""
+SELECT city, timestamp, {r6('wind_speed')} AS wind_speed, {WIND_CASE} AS wind_category FROM st"""
 
 ORACLE["threshold_flags"] = f"""WITH {STATION}
 SELECT city, timestamp,
@@ -92,10 +97,10 @@ SELECT city, timestamp,
   CAST(coalesce(pressure > 1015, false) AS INTEGER) AS high_pressure
 FROM st"""
 
-ORACLE["cast_by_class"] = """SELECT TRY_CAST(event_id AS INTEGER) AS event_id, ts, TRY_CAST(user_id AS INTEGER) AS user_id,
-  event_type, CAST(round(CAST(value AS DECIMAL(38,12)), 6) AS DOUBLE) AS value, props FROM events"""
+ORACLE["cast_by_class"] = f"""SELECT TRY_CAST(event_id AS INTEGER) AS event_id, ts, TRY_CAST(user_id AS INTEGER) AS user_id,
+  event_type, {r6('value')} AS value, props FROM events"""
 
-ORACLE["status_band"] = """SELECT event_id, CAST(round(CAST(value AS DECIMAL(38,12)), 6) AS DOUBLE) AS value,
+ORACLE["status_band"] = f"""SELECT event_id, {r6('value')} AS value,
   CASE WHEN value <= 50 THEN 'Good' WHEN value <= 100 THEN 'Moderate'
        WHEN value <= 150 THEN 'Unhealthy for Sensitive' WHEN value <= 200 THEN 'Unhealthy'
        WHEN value <= 300 THEN 'Very Unhealthy' WHEN value IS NOT NULL THEN 'Hazardous' END AS status,
@@ -104,7 +109,7 @@ ORACLE["status_band"] = """SELECT event_id, CAST(round(CAST(value AS DECIMAL(38,
        WHEN value <= 300 THEN '#8f3f97' WHEN value IS NOT NULL THEN '#7e0023' END AS color
 FROM events"""
 
-ORACLE["alert_level"] = """SELECT event_id, CAST(round(CAST(value AS DECIMAL(38,12)), 6) AS DOUBLE) AS value,
+ORACLE["alert_level"] = f"""SELECT event_id, {r6('value')} AS value,
   CASE WHEN value >= 150 THEN 'hazardous' WHEN value >= 100 THEN 'unhealthy'
        WHEN value IS NOT NULL THEN 'none' END AS level_inclusive,
   CASE WHEN value > 150 THEN 'hazardous' WHEN value > 100 THEN 'unhealthy'
@@ -113,25 +118,25 @@ FROM events"""
 
 ORACLE["lag_features"] = f"""WITH {EV}
 SELECT user_id, ts, event_id,
-  CAST(round(CAST(lag(value, 1) OVER w AS DECIMAL(38,12)), 6) AS DOUBLE) AS value_lag_1, CAST(round(CAST(lag(value, 3) OVER w AS DECIMAL(38,12)), 6) AS DOUBLE) AS value_lag_3,
-  CAST(round(CAST(lag(value, 6) OVER w AS DECIMAL(38,12)), 6) AS DOUBLE) AS value_lag_6, CAST(round(CAST(lag(value, 12) OVER w AS DECIMAL(38,12)), 6) AS DOUBLE) AS value_lag_12,
-  CAST(round(CAST(lag(value, 24) OVER w AS DECIMAL(38,12)), 6) AS DOUBLE) AS value_lag_24,
-  CAST(round(CAST(lag(k, 6) OVER w AS DECIMAL(38,12)), 6) AS DOUBLE) AS k_lag_6, CAST(round(CAST(lag(k, 24) OVER w AS DECIMAL(38,12)), 6) AS DOUBLE) AS k_lag_24
+  {r6('lag(value, 1) OVER w')} AS value_lag_1, {r6('lag(value, 3) OVER w')} AS value_lag_3,
+  {r6('lag(value, 6) OVER w')} AS value_lag_6, {r6('lag(value, 12) OVER w')} AS value_lag_12,
+  {r6('lag(value, 24) OVER w')} AS value_lag_24,
+  {r6('lag(k, 6) OVER w')} AS k_lag_6, {r6('lag(k, 24) OVER w')} AS k_lag_24
 FROM ev WINDOW w AS ({UW})"""
 
 ORACLE["rolling_mean"] = f"""SELECT user_id, ts, event_id,
-  {", ".join(f"CAST(round(CAST({_guard('avg', 'value', n, 'user_id', 'ts, event_id')} AS DECIMAL(38,12)), 6) AS DOUBLE) AS value_rolling_mean_{n}"
+  {", ".join(f"{r6(_guard('avg', 'value', n, 'user_id', 'ts, event_id'))} AS value_rolling_mean_{n}"
              for n in (3, 6, 12, 24))}
 FROM events"""
 
 ORACLE["rolling_std"] = f"""SELECT user_id, ts, event_id,
-  {", ".join(f"CAST(round(CAST({_guard('stddev_samp', 'value', n, 'user_id', 'ts, event_id')} AS DECIMAL(38,12)), 6) AS DOUBLE) AS value_rolling_std_{n}"
+  {", ".join(f"{r6(_guard('stddev_samp', 'value', n, 'user_id', 'ts, event_id'))} AS value_rolling_std_{n}"
              for n in (6, 24))}
 FROM events"""
 
 ORACLE["rolling_minmax"] = f"""SELECT user_id, ts, event_id,
-  CAST(round(CAST({_guard('max', 'value', 6, 'user_id', 'ts, event_id')} AS DECIMAL(38,12)), 6) AS DOUBLE) AS value_rolling_max_6,
-  CAST(round(CAST({_guard('min', 'value', 6, 'user_id', 'ts, event_id')} AS DECIMAL(38,12)), 6) AS DOUBLE) AS value_rolling_min_6
+  {r6(_guard('max', 'value', 6, 'user_id', 'ts, event_id'))} AS value_rolling_max_6,
+  {r6(_guard('min', 'value', 6, 'user_id', 'ts, event_id'))} AS value_rolling_min_6
 FROM events"""
 
 ORACLE["change_features"] = f"""WITH p AS (
@@ -140,47 +145,46 @@ ORACLE["change_features"] = f"""WITH p AS (
     last_value(value IGNORE NULLS) OVER ({UW} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cur,
     last_value(value IGNORE NULLS) OVER ({UW} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
   FROM events)
-SELECT user_id, ts, event_id, CAST(round(CAST(d AS DECIMAL(38,12)), 6) AS DOUBLE) AS value_change,
-  CAST(round(CAST(100.0 * ((cur - prev) / NULLIF(prev, 0)) AS DECIMAL(38,12)), 6) AS DOUBLE) AS value_change_rate
+SELECT user_id, ts, event_id, {r6('d')} AS value_change,
+  {r6('100.0 * ((cur - prev) / NULLIF(prev, 0))')} AS value_change_rate
 FROM p"""
 
 ORACLE["forward_fill"] = f"""WITH {TYPE_GRID}
 SELECT event_type, hour_ts, n_events,
-  CAST(round(CAST(coalesce(last_value(avg_value IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY hour_ts
-        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_value
+  {r6("""coalesce(last_value(avg_value IGNORE NULLS) OVER (PARTITION BY event_type ORDER BY hour_ts
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0)""")} AS avg_value
 FROM tg"""
 
 ORACLE["lookback_sequences"] = f"""WITH {EV},
 r AS (SELECT user_id, ts, event_id, value, k, row_number() OVER ({UW}) AS rn FROM ev)
-SELECT t.user_id, t.ts, t.event_id, CAST(round(CAST(t.value AS DECIMAL(38,12)), 6) AS DOUBLE) AS y, CAST(s.rn - t.rn + 24 AS INTEGER) AS step,
-  CAST(round(CAST(s.value AS DECIMAL(38,12)), 6) AS DOUBLE) AS x_value, CAST(round(CAST(s.k AS DECIMAL(38,12)), 6) AS DOUBLE) AS x_k
+SELECT t.user_id, t.ts, t.event_id, {r6('t.value')} AS y, CAST(s.rn - t.rn + 24 AS INTEGER) AS step,
+  {r6('s.value')} AS x_value, {r6('s.k')} AS x_k
 FROM r t JOIN r s ON s.user_id = t.user_id AND s.rn >= t.rn - 24 AND s.rn < t.rn
 WHERE t.rn > 24"""
 
 ORACLE["hourly_grid"] = f"""WITH {TYPE_GRID}
-SELECT event_type, hour_ts, n_events, CAST(round(CAST(avg_value AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_value FROM tg"""
+SELECT event_type, hour_ts, n_events, {r6('avg_value')} AS avg_value FROM tg"""
 
 ORACLE["join_sources"] = f"""WITH {STATION}
-SELECT city, timestamp, CAST(round(CAST(pm10 AS DECIMAL(38,12)), 6) AS DOUBLE) AS pm10, CAST(round(CAST(pm2_5 AS DECIMAL(38,12)), 6) AS DOUBLE) AS pm2_5,
-  CAST(round(CAST(carbon_monoxide AS DECIMAL(38,12)), 6) AS DOUBLE) AS carbon_monoxide, CAST(round(CAST(nitrogen_dioxide AS DECIMAL(38,12)), 6) AS DOUBLE) AS nitrogen_dioxide,
-  CAST(round(CAST(ozone AS DECIMAL(38,12)), 6) AS DOUBLE) AS ozone, CAST(round(CAST(sulphur_dioxide AS DECIMAL(38,12)), 6) AS DOUBLE) AS sulphur_dioxide, CAST(round(CAST(us_aqi AS DECIMAL(38,12)), 6) AS DOUBLE) AS us_aqi,
-  CAST(round(CAST(european_aqi AS DECIMAL(38,12)), 6) AS DOUBLE) AS european_aqi, CAST(round(CAST(temperature AS DECIMAL(38,12)), 6) AS DOUBLE) AS temperature, CAST(round(CAST(humidity AS DECIMAL(38,12)), 6) AS DOUBLE) AS humidity,
-  CAST(round(CAST(wind_speed AS DECIMAL(38,12)), 6) AS DOUBLE) AS wind_speed, CAST(round(CAST(pressure AS DECIMAL(38,12)), 6) AS DOUBLE) AS pressure, CAST(round(CAST(precipitation AS DECIMAL(38,12)), 6) AS DOUBLE) AS precipitation,
-  CAST(round(CAST(cloudcover AS DECIMAL(38,12)), 6) AS DOUBLE) AS cloudcover
+SELECT city, timestamp, {r6('pm10')} AS pm10, {r6('pm2_5')} AS pm2_5,
+  {r6('carbon_monoxide')} AS carbon_monoxide, {r6('nitrogen_dioxide')} AS nitrogen_dioxide,
+  {r6('ozone')} AS ozone, {r6('sulphur_dioxide')} AS sulphur_dioxide, {r6('us_aqi')} AS us_aqi,
+  {r6('european_aqi')} AS european_aqi, {r6('temperature')} AS temperature, {r6('humidity')} AS humidity,
+  {r6('wind_speed')} AS wind_speed, {r6('pressure')} AS pressure, {r6('precipitation')} AS precipitation,
+  {r6('cloudcover')} AS cloudcover
 FROM st"""
 
 ORACLE["payload_explode"] = f"""WITH {EV}
-SELECT user_id, ts, CAST(round(CAST(value AS DECIMAL(38,12)), 6) AS DOUBLE) AS value, CAST(round(CAST(k AS DECIMAL(38,12)), 6) AS DOUBLE) AS k FROM ev"""
+SELECT user_id, ts, {r6('value')} AS value, {r6('k')} AS k FROM ev"""
 
-ORACLE["time_axis"] = """WITH h AS (
+ORACLE["time_axis"] = f"""WITH h AS (
   SELECT user_id, date_trunc('hour', ts) AS hr, avg(value) AS avg_value, CAST(count(*) AS DOUBLE) AS n_events
   FROM events GROUP BY 1, 2),
 d AS (SELECT DISTINCT user_id, date_trunc('day', ts) AS day FROM events),
 g AS (SELECT d.user_id, d.day + INTERVAL (r.i) HOUR AS ts FROM d, range(24) AS r(i))
-SELECT g.user_id, g.ts, CAST(round(CAST(h.avg_value AS DECIMAL(38,12)), 6) AS DOUBLE) AS avg_value, CAST(round(CAST(h.n_events AS DECIMAL(38,12)), 6) AS DOUBLE) AS n_events
+SELECT g.user_id, g.ts, {r6('h.avg_value')} AS avg_value, {r6('h.n_events')} AS n_events
 FROM g LEFT JOIN h ON h.user_id = g.user_id AND h.hr = g.ts"""
 
-_SW = "city", "timestamp"
 _FULL_FEATURES = f"""
   {_cal('timestamp')},
   lag(us_aqi, 1) OVER w AS aqi_lag_1h, lag(us_aqi, 3) OVER w AS aqi_lag_3h, lag(us_aqi, 6) OVER w AS aqi_lag_6h,
@@ -210,8 +214,8 @@ _FULL_FEATURES = f"""
 ORACLE["features_full"] = f"""WITH {STATION_GRID},
 f AS (SELECT sg.*, {_FULL_FEATURES} FROM sg WINDOW w AS (PARTITION BY city ORDER BY timestamp))
 SELECT COLUMNS(lambda c: c IN ('city', 'timestamp')),
-       CAST(round(CAST(COLUMNS(lambda c: c NOT IN ('city', 'timestamp', 'hour', 'day_of_week', 'month', 'day_of_year',
-             'is_weekend', 'is_rush_hour', 'season', 'wind_category', 'is_raining', 'high_pressure')) AS DECIMAL(38,12)), 6) AS DOUBLE),
+       {r6("""COLUMNS(lambda c: c NOT IN ('city', 'timestamp', 'hour', 'day_of_week', 'month', 'day_of_year',
+             'is_weekend', 'is_rush_hour', 'season', 'wind_category', 'is_raining', 'high_pressure'))""")},
        COLUMNS(lambda c: c IN ('hour', 'day_of_week', 'month', 'day_of_year', 'is_weekend', 'is_rush_hour',
              'season', 'wind_category', 'is_raining', 'high_pressure'))
 FROM f WHERE COLUMNS(*) IS NOT NULL"""
@@ -224,17 +228,12 @@ f AS (
     lag(value, 1) OVER w AS aqi_lag_1h, lag(value, 6) OVER w AS aqi_lag_6h,
     {_guard('avg', 'value', 3, 'user_id', 'ts, event_id')} AS aqi_rolling_mean_3h
   FROM ev WINDOW w AS ({UW}))
-SELECT user_id, ts, event_id, CAST(round(CAST(value AS DECIMAL(38,12)), 6) AS DOUBLE) AS value, hour, day_of_week, month, is_weekend,
-  CAST(round(CAST(aqi_lag_1h AS DECIMAL(38,12)), 6) AS DOUBLE) AS aqi_lag_1h, CAST(round(CAST(aqi_lag_6h AS DECIMAL(38,12)), 6) AS DOUBLE) AS aqi_lag_6h,
-  CAST(round(CAST(aqi_rolling_mean_3h AS DECIMAL(38,12)), 6) AS DOUBLE) AS aqi_rolling_mean_3h
+SELECT user_id, ts, event_id, {r6('value')} AS value, hour, day_of_week, month, is_weekend,
+  {r6('aqi_lag_1h')} AS aqi_lag_1h, {r6('aqi_lag_6h')} AS aqi_lag_6h,
+  {r6('aqi_rolling_mean_3h')} AS aqi_rolling_mean_3h
 FROM f WHERE COLUMNS(*) IS NOT NULL"""
 
 
-def r6(x: str) -> str:
-    """Round half-up to 6 decimals through DECIMAL, as the Spark side does."""
-    return f"CAST(round(CAST({x} AS DECIMAL(38,12)), 6) AS DOUBLE)"
-
-
 CUTOFF = "TIMESTAMP '2024-01-20 00:00:00'"
 OVERLAP_FROM = "TIMESTAMP '2024-01-19 00:00:00'"
 AS_OF = "TIMESTAMP '2024-01-25 12:00:00'"
