@@ -63,10 +63,11 @@ def split_incoming(landed: DataFrame, wm: DataFrame, spec: SeriesSpec,
 
 
 def _resolve(df: DataFrame, key: Sequence[str], order: Sequence[Column], pick: str) -> DataFrame:
-    cols = [c for c in df.columns]
-    row = F.struct(*[F.col(c) for c in cols])
+    rest = [c for c in df.columns if c not in set(key)]  # the grouping key is not carried twice
+    row = F.struct(*[F.col(c) for c in rest])
     agg = F.min_by(row, F.struct(*order)) if pick == "first" else F.max_by(row, F.struct(*order))
-    return df.groupBy(*key).agg(agg.alias("_r")).select("_r.*")
+    out = df.groupBy(*key).agg(agg.alias("_r"))
+    return out.select(*[F.col(c) if c in set(key) else F.col("_r")[c].alias(c) for c in df.columns])
 
 
 def dedup_keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
