@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,6 +22,7 @@ from aerostat.operators import scale
 from aerostat.operators import split as split_mod
 from aerostat.operators import windows as win
 from aerostat.plans.output import finish
+from aerostat.session import prepare
 from aerostat.schemas import (FORECAST_MIN_ROWS, HORIZON_ERROR_GROWTH, LOOKBACK, PM25_LAGS, ROLLING_MEAN_SIZES,
                               ROLLING_STD_SIZES, SAMPLE_ROWS, SAMPLE_SEED, STALE_AFTER_SECONDS, TARGET_LAGS)
 from aerostat.sources import payload as pl
@@ -31,7 +33,11 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    """Register ``fn``; the registered callable first applies the session settings it relies on."""
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(prepare(spark), sf_dir)
+    QUERIES[fn.__name__] = run
     return fn
 
 

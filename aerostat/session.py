@@ -70,3 +70,15 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder, for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Per-session settings the queries rely on, applied to any session (idempotent).
+
+    Event time is defined in UTC; the shared checkpoint folder is taken from
+    ``spark.checkpoint.dir`` (a private folder only in local mode).
+    """
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return spark
