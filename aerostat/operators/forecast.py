@@ -143,7 +143,8 @@ def recursive_with_model(seed_rows: DataFrame, spec: SeriesSpec, featurize, mode
 
     ``seed_rows`` holds the last rows of each entity (enough for the longest
     lookback); each step featurizes them, predicts the next value for every
-    entity and appends it (history grows by one row per entity and step). Lineage is cut with
+    entity and appends it, carrying the other raw columns of the last row forward
+    (history grows by one row per entity and step). Lineage is cut with
     ``checkpoint()`` (reliable, in the shared checkpoint folder) every few steps.
     """
     hist = seed_rows
@@ -152,11 +153,14 @@ def recursive_with_model(seed_rows: DataFrame, spec: SeriesSpec, featurize, mode
         feats = featurize(hist)
         last = feats.join(hist.groupBy(*spec.entity).agg(F.max(spec.ts).alias("_m")), on=list(spec.entity)) \
             .filter(F.col(spec.ts) == F.col("_m")).drop("_m")
-        pred = model.transform(last).select(*spec.entity, (F.col(spec.ts) + F.expr("INTERVAL 1 HOUR")).alias(spec.ts),
-                                             F.col("prediction").alias(target))
-        step = pred.withColumn("horizon_h", F.lit(i))
+        # the new row copies the last row's other raw columns, one hour later, with the prediction as target
+        nxt = model.transform(last).select(*[
+            (F.col(spec.ts) + F.expr("INTERVAL 1 HOUR")).alias(c) if c == spec.ts
+            else F.col("prediction").cast(hist.schema[c].dataType).alias(c) if c == target
+            else F.col(c) for c in hist.columns])
+        step = nxt.select(*spec.entity, spec.ts, target).withColumn("horizon_h", F.lit(i))
         out = step if out is None else out.unionByName(step)
-        hist = hist.unionByName(pred, allowMissingColumns=True)
+        hist = hist.unionByName(nxt)
         if i % checkpoint_every == 0:
             hist = hist.checkpoint()
             out = out.checkpoint()

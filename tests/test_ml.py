@@ -123,8 +123,13 @@ def test_recursive_with_spark_model(spark):
                             context_rows=2, context_cols=["us_aqi"]).na.fill(0.0, ["lag1", "lag2"])
 
     model = train.fit(featurize(st).na.drop(subset=["us_aqi"]), ["lag1", "lag2"], "us_aqi", "linear")
-    seed = fc.last_n(st, spec, 5).drop("rank_from_end").select("city", "timestamp", "us_aqi")
+    seed = fc.last_n(st, spec, 5).drop("rank_from_end").select("city", "timestamp", "us_aqi", "pm10")
     out = fc.recursive_with_model(seed, spec, featurize, model, hours=4, target="us_aqi", checkpoint_every=2)
     rows = out.collect()
     assert len(rows) == 4 * st.select("city").distinct().count()
     assert sorted({r.horizon_h for r in rows}) == [1, 2, 3, 4]
+    # the first step predicts from the last observed rows: equal to scoring them directly
+    last = featurize(seed).join(seed.groupBy("city").agg(F.max("timestamp").alias("m")), "city") \
+        .filter(F.col("timestamp") == F.col("m"))
+    direct = {r.city: r.prediction for r in model.transform(last).collect()}
+    assert all(abs(r.us_aqi - direct[r.city]) < 1e-9 for r in rows if r.horizon_h == 1)
