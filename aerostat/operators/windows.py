@@ -19,6 +19,7 @@ same way.
 from __future__ import annotations
 
 import re
+from collections import OrderedDict
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -60,13 +61,27 @@ def hot_keys(df: DataFrame, spec: SeriesSpec) -> DataFrame:
             .limit(MAX_HOT_KEYS).select(*spec.entity, F.lit(True).alias("_hot")))
 
 
+_HOT_MEMO: OrderedDict = OrderedDict()
+_HOT_MEMO_SIZE = 64
+
+
 def find_hot(df: DataFrame, spec: SeriesSpec) -> list[tuple]:
     """The hot entity keys (at most ``MAX_HOT_KEYS``), found eagerly from a sample.
 
     Like the sampling behind ``repartitionByRange``, this is one small job at
     plan time; it lets a data set without hot entities use the plain window plan.
+    The answer only steers the plan (both paths are exact), so it is memoised per
+    session and plan; a stale entry can cost speed, never correctness.
     """
-    return [tuple(r[c] for c in spec.entity) for r in hot_keys(df, spec).collect()]
+    memo_key = (id(df.sparkSession), df.semanticHash(), spec.entity, spec.hot_rows)
+    if memo_key in _HOT_MEMO:
+        _HOT_MEMO.move_to_end(memo_key)
+        return _HOT_MEMO[memo_key]
+    hot = [tuple(r[c] for c in spec.entity) for r in hot_keys(df, spec).collect()]
+    _HOT_MEMO[memo_key] = hot
+    if len(_HOT_MEMO) > _HOT_MEMO_SIZE:
+        _HOT_MEMO.popitem(last=False)
+    return hot
 
 
 def series_bucket(df: DataFrame, spec: SeriesSpec, hot: list[tuple] | None = None) -> DataFrame:
