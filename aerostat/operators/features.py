@@ -63,7 +63,7 @@ def engineer(df: DataFrame, spec: SeriesSpec, target: str | None = None, pm25: s
     if want_change:
         out = out.drop("_pad_cur", "_pad_prev")
 
-    rowwise = dict(calendar_columns(F.col(spec.ts)))
+    rowwise = dict(calendar_columns(spec.ts))
     if raw and sub is None:
         rowwise.update(interaction_columns())
         rowwise.update(weather_flag_columns())

@@ -58,7 +58,7 @@ def _station_grid(spark, sf_dir) -> DataFrame:
 @query
 def calendar_features(spark, sf_dir):
     e = tb.user_series(spark, sf_dir)
-    return finish(e.select(*KEY, *[c.alias(n) for n, c in calendar_columns(F.col("ts")).items()]))
+    return finish(e.select(*KEY, *[c.alias(n) for n, c in calendar_columns("ts").items()]))
 
 
 @query

@@ -21,6 +21,6 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "change": F.col("value") - cx.lag("value", 1)},
     ]
     f = win.windowed(e, spec, stages, context_rows=6, context_cols=["value"])
-    cal = calendar_columns(F.col("ts"))
+    cal = calendar_columns("ts")
     f = f.withColumns({k: cal[k] for k in ("hour", "day_of_week", "is_weekend", "is_rush_hour")}).na.drop("any")
     return finish(daily_rollup(f, spec, "value"))
