@@ -131,9 +131,9 @@ def test_small_helpers(spark, scratch):
     df = spark.createDataFrame([("a", dt.datetime(2024, 1, 2, 3), 1.0), ("a", dt.datetime(2024, 1, 1, 0), None)],
                                "e string, ts timestamp, v double")
     assert with_constant_first(df, "city", "X").columns == ["city", "e", "ts", "v"]
-    r = df.select(version_label(F.col("ts")).alias("v"), to_utc(F.col("ts"), "Asia/Karachi").alias("u"),
+    r = df.select(version_label(F.col("ts")).alias("v"), to_utc(F.col("ts"), "Asia/Kolkata").alias("u"),
                   parse_time(F.lit("2025-01-01T00:00")).alias("p")).first()
-    assert r.v == 20240102 and r.u == dt.datetime(2024, 1, 1, 22) and r.p == dt.datetime(2025, 1, 1)
+    assert r.v == 20240102 and r.u == dt.datetime(2024, 1, 1, 21, 30) and r.p == dt.datetime(2025, 1, 1)
     spec = tb.SeriesSpec(entity=("e",), ts="ts")
     assert first_row(df, spec).first().ts == dt.datetime(2024, 1, 1, 0)
     kept, obs = drop_incomplete(df)
