@@ -33,6 +33,25 @@ def with_date_partition(df: DataFrame, ts: str, col: str = "date") -> DataFrame:
     return df.withColumn(col, F.to_date(ts))
 
 
+def read_range(spark: SparkSession, path: str, ts: str, start=None, end=None,
+               partition_col: str = "date") -> DataFrame:
+    """Rows with ``start <= ts < end`` of a date-partitioned table.
+
+    The matching filter on the partition column is added next to the time
+    filter, so only the partitions in range are listed and read (partition
+    pruning) and the time filter reaches the Parquet row groups (pushdown).
+    """
+    df = spark.read.parquet(path)
+    cond = F.lit(True)
+    if start is not None:
+        s0 = F.lit(start).cast("timestamp")
+        cond = cond & (F.col(ts) >= s0) & (F.col(partition_col) >= F.to_date(s0))
+    if end is not None:
+        e0 = F.lit(end).cast("timestamp")
+        cond = cond & (F.col(ts) < e0) & (F.col(partition_col) <= F.to_date(e0))
+    return df.filter(cond)
+
+
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
     if not table_exists(spark, path):
         spark.createDataFrame([], schema).write.partitionBy(*partition_by).parquet(path)

@@ -142,3 +142,14 @@ def test_small_helpers(spark, scratch):
     assert label == "20240102" and frame.count() == 2
     frame2, label2 = store.snapshot_or_live(df, os.path.join(scratch, "snaps"), "20240102")   # same day again
     assert label2 == "live" and frame2.count() == 2
+
+
+def test_read_range_prunes_partitions(spark, scratch):
+    e = tb.user_series(spark, SF001).select("user_id", "ts", "event_id", "value")
+    path = os.path.join(scratch, "t")
+    store.with_date_partition(e, "ts").write.partitionBy("date").parquet(path)
+    df = store.read_range(spark, path, "ts", "2024-01-10 06:00:00", "2024-01-12 00:00:00")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "GreaterThanOrEqual(ts," in plan
+    want = e.filter((F.col("ts") >= "2024-01-10 06:00:00") & (F.col("ts") < "2024-01-12 00:00:00")).count()
+    assert df.count() == want > 0
