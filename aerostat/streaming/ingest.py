@@ -89,33 +89,74 @@ def alert_sink(source_table: str, alerts_table: str, spec: SeriesSpec, col: str,
 
 
 def refresh_features(spark: SparkSession, raw_table: str, new_rows: DataFrame, spec: SeriesSpec,
-                     build: Callable[[DataFrame], DataFrame], context: int = 24) -> DataFrame:
+                     build: Callable[[DataFrame], DataFrame], context: int = 24, lookback: str = "7 days",
+                     index_table: str | None = None) -> DataFrame:
     """Feature rows to (re)write after ``new_rows`` landed in ``raw_table``.
 
     For each touched entity: every stored row from its earliest new row on, plus
     the ``context`` stored rows before that, go through ``build``; context rows
     are dropped from the result. Exact for features looking back <= ``context`` rows.
+
+    Stored rows are read from the date partitions starting ``lookback`` before
+    the batch's earliest new row. Only entities that find fewer than ``context``
+    earlier rows there, and that have rows older than the window (per
+    ``index_table``: entity -> first stored ts; without it, assumed), read their
+    older history as well.
     """
-    first_new = new_rows.groupBy(*spec.entity).agg(F.min(spec.ts).alias("_from"))
-    stored = spark.read.parquet(raw_table).join(first_new, on=list(spec.entity), how="inner")
-    affected = stored.filter(F.col(spec.ts) >= F.col("_from")).drop("_from")
-    before = stored.filter(F.col(spec.ts) < F.col("_from")).drop("_from")
     from aerostat.operators.asof import last_n
+    from aerostat.sources.store import read_range
+
+    first_new = new_rows.groupBy(*spec.entity).agg(F.min(spec.ts).alias("_from"))
+    lo = first_new.agg(F.min("_from")).first()[0]
+    if lo is None:
+        return spark.read.parquet(raw_table).limit(0)
+    start = spark.range(1).select((F.lit(lo).cast("timestamp") - F.expr(f"INTERVAL {lookback}")).alias("s")).first()[0]
+    recent = read_range(spark, raw_table, spec.ts, start=start).join(first_new, on=list(spec.entity), how="inner")
+    affected = recent.filter(F.col(spec.ts) >= F.col("_from")).drop("_from")
+    before = recent.filter(F.col(spec.ts) < F.col("_from")).drop("_from")
+
+    found = before.groupBy(*spec.entity).count()
+    short = first_new.join(found, on=list(spec.entity), how="left").filter(
+        F.coalesce(F.col("count"), F.lit(0)) < context).select(*spec.entity)
+    if index_table is not None and table_exists(spark, index_table):
+        older_exists = spark.read.parquet(index_table).filter(F.col("first_ts") < F.lit(start))
+        short = short.join(older_exists.select(*spec.entity), on=list(spec.entity), how="left_semi")
+    if not short.isEmpty():
+        older = read_range(spark, raw_table, spec.ts, end=start).join(short, on=list(spec.entity), how="left_semi")
+        before = before.unionByName(older)
+
     ctx = last_n(before, spec, context).drop("rank_from_end")
     both = affected.withColumn("_ctx", F.lit(False)).unionByName(ctx.withColumn("_ctx", F.lit(True)))
     built = build(both)
     return built.filter(~F.col("_ctx")).drop("_ctx")
 
 
+def update_entity_index(spark: SparkSession, new_rows: DataFrame, spec: SeriesSpec, index_table: str) -> None:
+    """entity -> first stored ts (min-merged); tells the feature refresh when older history exists."""
+    fresh = new_rows.groupBy(*spec.entity).agg(F.min(spec.ts).alias("first_ts"))
+    if table_exists(spark, index_table):
+        merged = (spark.read.parquet(index_table).unionByName(fresh).groupBy(*spec.entity)
+                  .agg(F.min("first_ts").alias("first_ts")))
+    else:
+        merged = fresh
+    # the index is small (one row per entity); written beside, then swapped in
+    tmp = index_table.rstrip("/") + ".next"
+    merged.write.mode("overwrite").parquet(tmp)
+    spark.read.parquet(tmp).write.mode("overwrite").parquet(index_table)
+
+
 def feature_sink(raw_table: str, features_table: str, spec: SeriesSpec, key: Sequence[str],
                  order: Sequence[str], build: Callable[[DataFrame], DataFrame],
-                 context: int = 24) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body: upsert the raw rows, then refresh the features of the touched entities."""
+                 context: int = 24, lookback: str = "7 days") -> Callable[[DataFrame, int], None]:
+    """foreachBatch body: upsert the raw rows, refresh the features of the touched entities, update the index."""
+    index_table = raw_table.rstrip("/") + "_entity_index"
+
     def run(batch: DataFrame, _epoch: int) -> None:
         spark = batch.sparkSession
         upsert_table(spark, with_date_partition(batch, spec.ts), raw_table, key, order, resolve="first")
-        feats = refresh_features(spark, raw_table, batch, spec, build, context)
+        feats = refresh_features(spark, raw_table, batch, spec, build, context, lookback, index_table)
         upsert_table(spark, feats, features_table, key, order, resolve="new")
+        update_entity_index(spark, batch, spec, index_table)
     return run
 
 

@@ -94,3 +94,26 @@ def test_feature_stream_equals_batch(spark, scratch):
     want = build(e).select("user_id", "ts", "event_id", "lag_1", "lag_24", "mean_6")
     assert got.count() == e.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_feature_refresh_reads_old_history_only_when_needed(spark, scratch):
+    """A short lookback window still gives exact features (older rows are fetched for sparse users)."""
+    from aerostat.operators import windows as win
+    from aerostat.sources import store
+    e = tb.user_series(spark, SF01).select("user_id", "ts", "event_id", "value")
+    spec = tb.USER_SPEC_PLAIN
+
+    def build(df):
+        st = [lambda cx: {"lag_24": cx.lag("value", 24), "mean_6": cx.guarded(F.avg, "value", 6)}]
+        return win.windowed(df, spec, st, context_rows=24, context_cols=["value"])
+
+    raw, feats = os.path.join(scratch, "raw"), os.path.join(scratch, "feats")
+    sink = ingest.feature_sink(raw, feats, spec, KEY, ["event_id"], build, lookback="1 day")
+    for i, (lo, hi) in enumerate([("2024-01-01", "2024-01-15"), ("2024-01-15", "2024-01-22"),
+                                  ("2024-01-22", "2024-02-01")]):
+        sink(e.filter((F.col("ts") >= lo) & (F.col("ts") < hi)), i)
+    got = spark.read.parquet(feats).select("user_id", "ts", "event_id", "lag_24", "mean_6")
+    want = build(e).select("user_id", "ts", "event_id", "lag_24", "mean_6")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert spark.read.parquet(raw + "_entity_index").count() == e.select("user_id").distinct().count()
+    assert store.table_exists(spark, raw)
