@@ -14,6 +14,10 @@ context is gathered from the previous ``context_rows`` non-empty buckets, which
 always hold at least that many rows, so nothing is capped. Frames that look
 ahead (``lead``) get the first ``lead_rows`` rows of the following buckets the
 same way.
+
+With ``SeriesSpec.hot_rows`` set, only entities a sample estimates to hold at
+least that many rows are split into time buckets (at most ``MAX_HOT_KEYS`` of
+them); when there are none, the plain one-shuffle window plan is used.
 """
 
 from __future__ import annotations
@@ -46,13 +50,13 @@ def bucket_of(ts: Column, bucket: str) -> Column:
     return F.floor(F.unix_micros(ts) / F.lit(bucket_seconds(bucket) * 1_000_000)).cast("long")
 
 
-MAX_HOT_KEYS = 10_000  # bound of the broadcast hot-key table; further entities take the (exact) whole path
+MAX_HOT_KEYS = 10_000  # bound of the collected hot-key list; further entities take the (exact) whole path
 
 
 def hot_keys(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Entities estimated to hold at least ``spec.hot_rows`` rows, from a Bernoulli sample.
 
-    At most ``MAX_HOT_KEYS`` rows, so it is safe to broadcast. Sampling only
+    At most ``MAX_HOT_KEYS`` rows, so it is safe to collect. Sampling only
     decides which entities are split; results do not depend on it.
     """
     frac = min(1.0, 200.0 / spec.hot_rows)
