@@ -38,12 +38,16 @@ def fit_ar3(rows: DataFrame) -> tuple[Column, Column]:
     return f["a"], f["b"]
 
 
-def _step(a: Column, b: Column):
-    def merge(s, _i):
-        p = a + b * ((s["w1"] + s["w2"] + s["w3"]) / F.lit(3.0))
-        return F.struct(s["w2"].alias("w1"), s["w3"].alias("w2"), p.alias("w3"),
-                        F.concat(s["preds"], F.array(p)).alias("preds"))
-    return merge
+def _fold_sql(hours: int, a: str, b: str) -> str:
+    """SQL text of the recursion folded ``hours`` times over the state (w1, w2, w3, preds).
+
+    One expression string, so the plan is built with one JVM call.
+    """
+    step = f"{a} + {b} * ((s.w1 + s.w2 + s.w3) / 3.0D)"
+    return (f"aggregate(sequence(1, {hours}), "
+            f"named_struct('w1', CAST(w1 AS DOUBLE), 'w2', CAST(w2 AS DOUBLE), 'w3', CAST(w3 AS DOUBLE), "
+            f"'preds', CAST(array() AS ARRAY<DOUBLE>)), "
+            f"(s, i) -> named_struct('w1', s.w2, 'w2', s.w3, 'w3', {step}, 'preds', concat(s.preds, array({step}))))")
 
 
 def forecast_state(df: DataFrame, spec: SeriesSpec, target: str, as_of: Column | None = None,
@@ -63,10 +67,8 @@ def forecast_state(df: DataFrame, spec: SeriesSpec, target: str, as_of: Column |
 def recursive_forecast(state: DataFrame, entity: Sequence[str], a: Column, b: Column,
                        hours: int = FORECAST_HOURS, step: str = "1 hour") -> DataFrame:
     """Fold the recursion ``hours`` times per entity (entities in parallel) and emit one row per step."""
-    init = F.struct(F.col("w1").cast("double").alias("w1"), F.col("w2").cast("double").alias("w2"),
-                    F.col("w3").cast("double").alias("w3"), F.array().cast("array<double>").alias("preds"))
-    folded = F.aggregate(F.sequence(F.lit(1), F.lit(hours)), init, _step(F.col("_a"), F.col("_b")))
     # the coefficients are projected first: lambdas cannot hold subqueries
+    folded = F.expr(_fold_sql(hours, "_a", "_b"))
     out = state.withColumns({"_a": a, "_b": b}).select(
         *entity, "last_ts", F.posexplode(folded["preds"]).alias("pos", "predicted"))
     h = (F.col("pos") + 1).cast("int")
@@ -74,28 +76,26 @@ def recursive_forecast(state: DataFrame, entity: Sequence[str], a: Column, b: Co
                       (F.col("last_ts") + F.make_dt_interval(hours=h)).alias("timestamp"), "predicted")
 
 
-def horizon_coefficients(a: Column, b: Column, horizons: Sequence[int]) -> Column:
+def horizon_coefficients(a: str, b: str, horizons: Sequence[int]) -> Column:
     """array<struct<h, c: struct<k0..k3>>>: forecast_h = k0 + k1*y[t-2] + k2*y[t-1] + k3*y[t].
 
-    Each of the three window slots is an affine form (const, on y[t-2], on y[t-1], on y[t]).
+    Each of the three window slots is an affine form (const, on y[t-2], on y[t-1],
+    on y[t]); folding the recursion h times over them gives the coefficients.
+    ``a`` and ``b`` name the columns holding the fitted intercept and slope.
     """
-
     def form(c0, c1, c2, c3):
-        return F.struct(F.lit(c0).cast("double").alias("k0"), F.lit(c1).cast("double").alias("k1"),
-                        F.lit(c2).cast("double").alias("k2"), F.lit(c3).cast("double").alias("k3"))
-
-    init = F.struct(form(0, 1, 0, 0).alias("s1"), form(0, 0, 1, 0).alias("s2"), form(0, 0, 0, 1).alias("s3"))
+        return f"named_struct('k0', {c0}D, 'k1', {c1}D, 'k2', {c2}D, 'k3', {c3}D)"
 
-    def merge(s, _i):
-        def comb(k):
-            tot = s["s1"][k] + s["s2"][k] + s["s3"][k]
-            return (a + b * (tot / F.lit(3.0))) if k == "k0" else b * (tot / F.lit(3.0))
-        p = F.struct(*[comb(k).alias(k) for k in ("k0", "k1", "k2", "k3")])
-        return F.struct(s["s2"].alias("s1"), s["s3"].alias("s2"), p.alias("s3"))
+    def comb(k):
+        tot = f"(s.s1.{k} + s.s2.{k} + s.s3.{k})"
+        return f"{a} + {b} * ({tot} / 3.0D)" if k == "k0" else f"{b} * ({tot} / 3.0D)"
 
-    return F.array(*[F.struct(F.lit(h).alias("h"),
-                              F.aggregate(F.sequence(F.lit(1), F.lit(h)), init, merge)["s3"].alias("c"))
-                     for h in horizons])
+    init = f"named_struct('s1', {form(0, 1, 0, 0)}, 's2', {form(0, 0, 1, 0)}, 's3', {form(0, 0, 0, 1)})"
+    merge = ("(s, i) -> named_struct('s1', s.s2, 's2', s.s3, 's3', named_struct("
+             + ", ".join(f"'{k}', {comb(k)}" for k in ("k0", "k1", "k2", "k3")) + "))")
+    items = ", ".join(f"named_struct('h', {h}, 'c', aggregate(sequence(1, {h}), {init}, {merge}).s3)"
+                      for h in horizons)
+    return F.expr(f"array({items})")
 
 
 def backtest_by_horizon(df: DataFrame, spec: SeriesSpec, target: str, a: Column, b: Column,
@@ -111,7 +111,7 @@ def backtest_by_horizon(df: DataFrame, spec: SeriesSpec, target: str, a: Column,
     long = rows.select("_y2", "_y1", F.col(target).alias("_y0"), F.explode(actual).alias("x")).select(
         "_y2", "_y1", "_y0", "x.h", "x.actual")
     coef = (long.sparkSession.range(1).select(a.alias("_a"), b.alias("_b"))
-            .select(F.explode(horizon_coefficients(F.col("_a"), F.col("_b"), horizons)).alias("r"))
+            .select(F.explode(horizon_coefficients("_a", "_b", horizons)).alias("r"))
             .select("r.h", "r.c.*"))
     j = long.join(F.broadcast(coef), on="h")  # coef has exactly len(horizons) rows
     pred = F.col("k0") + F.col("k1") * F.col("_y2") + F.col("k2") * F.col("_y1") + F.col("k3") * F.col("_y0")
