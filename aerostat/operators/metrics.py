@@ -35,7 +35,8 @@ def regression_metrics(long: DataFrame, by: Sequence[str] = ("model", "split"))
 
 def best_model(metrics: DataFrame, priority: Sequence[str], split: str = "test") -> DataFrame:
     """The model with the lowest RMSE; equal RMSE resolves by ``priority`` order."""
-    prio = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col("model"))
+    pos = F.array_position(F.array(*[F.lit(p) for p in priority]), F.col("model"))
+    prio = F.when(pos == 0, F.lit(len(priority) + 1)).otherwise(pos)  # unlisted models rank last on ties
     m = metrics.filter(F.col("split") == split).withColumn("_prio", prio)
     return m.agg(F.min_by(F.struct("model", "rmse", "mae", "r2"), F.struct("rmse", "_prio")).alias("b")).select("b.*")
 

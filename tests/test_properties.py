@@ -142,3 +142,11 @@ def test_global_split_all_levels(spark, monkeypatch):
     w = Window.orderBy("ts", "event_id")
     ref = e.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= n).drop("r")
     assert got.count() == n and got.drop("split").exceptAll(ref).count() == 0
+
+
+def test_best_model_ties_follow_priority(spark):
+    from aerostat.operators.metrics import best_model
+    m = spark.createDataFrame([("other", "test", 1.0, 0.5, 0.9), ("xgboost", "test", 1.0, 0.4, 0.9),
+                               ("random_forest", "test", 1.0, 0.3, 0.9), ("lstm", "train", 0.1, 0.1, 0.9)],
+                              "model string, split string, rmse double, mae double, r2 double")
+    assert best_model(m, ["lstm", "xgboost", "random_forest"]).first().model == "xgboost"
