@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aerostat.functions.scalar import age_seconds, is_stale
-from aerostat.operators.windows import bucket_of, find_hot
+from aerostat.operators.windows import find_hot, series_bucket
 from aerostat.schemas import SeriesSpec
 
 
@@ -53,12 +53,15 @@ def first_row(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 def last_n(df: DataFrame, spec: SeriesSpec, n: int, as_of: Column | None = None, bucket: str = "1 day",
            rank_col: str = "rank_from_end") -> DataFrame:
     """The last ``n`` rows of each series (at or before ``as_of``), with their rank from the end (1 = last)."""
-    if spec.hot_rows and not find_hot(df, spec.with_(bucket=bucket)):
+    bspec = spec.with_(bucket=bucket)
+    hot = find_hot(df, bspec) if spec.hot_rows else None
+    if hot == []:
         # no entity is big enough to need splitting: one window per entity
         w = Window.partitionBy(*spec.entity).orderBy(*[F.col(c).desc() for c in spec.order_cols])
         ranked = not_after(df, spec, as_of).withColumn(rank_col, F.row_number().over(w).cast("int"))
         return ranked.filter(F.col(rank_col) <= n)
-    past = not_after(df, spec, as_of).withColumn("_bk", bucket_of(F.col(spec.ts), bucket))
+    # day buckets for hot entities (all of them when hot_rows is 0), one bucket for the rest
+    past = series_bucket(not_after(df, spec, as_of), bspec, hot)
     counts = past.groupBy(*spec.entity, "_bk").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(*spec.entity).orderBy(F.col("_bk").desc())
     later = F.coalesce(F.sum("_n").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

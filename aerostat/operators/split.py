@@ -11,19 +11,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from aerostat.operators.windows import bucket_of, find_hot
+from aerostat.operators.windows import find_hot, series_bucket
 from aerostat.schemas import SeriesSpec, TRAIN_FRACTION
 
 
 def time_split(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRACTION, bucket: str = "1 day",
                col: str = "split") -> DataFrame:
-    if spec.hot_rows and not find_hot(df, spec.with_(bucket=bucket)):
+    bspec = spec.with_(bucket=bucket)
+    hot = find_hot(df, bspec) if spec.hot_rows else None
+    if hot == []:
         # no entity is big enough to need splitting: one window per entity
         we = Window.partitionBy(*spec.entity)
         pos = F.row_number().over(we.orderBy(*[F.col(c) for c in spec.order_cols]))
         cut = F.floor(F.lit(fraction) * F.count(F.lit(1)).over(we))
         return df.withColumn(col, F.when(pos <= cut, F.lit("train")).otherwise(F.lit("test")))
-    b = df.withColumn("_bk", bucket_of(F.col(spec.ts), bucket))
+    # day buckets for hot entities (all of them when hot_rows is 0), one bucket for the rest
+    b = series_bucket(df, bspec, hot)
     counts = b.groupBy(*spec.entity, "_bk").agg(F.count(F.lit(1)).alias("_n"))
     we = Window.partitionBy(*spec.entity)
     wb = we.orderBy("_bk")
