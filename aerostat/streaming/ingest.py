@@ -88,6 +88,9 @@ def alert_sink(source_table: str, alerts_table: str, spec: SeriesSpec, col: str,
     return run
 
 
+WIDEN_STEPS = 4  # bounded look-back windows (x4 each) before the rest of the history is read
+
+
 def refresh_features(spark: SparkSession, raw_table: str, new_rows: DataFrame, spec: SeriesSpec,
                      build: Callable[[DataFrame], DataFrame], context: int = 24, lookback: str = "7 days",
                      index_table: str | None = None) -> DataFrame:
@@ -98,10 +101,10 @@ def refresh_features(spark: SparkSession, raw_table: str, new_rows: DataFrame, s
     are dropped from the result. Exact for features looking back <= ``context`` rows.
 
     Stored rows are read from the date partitions starting ``lookback`` before
-    the batch's earliest new row. Only entities that find fewer than ``context``
-    earlier rows there, and that have rows older than the window (per
-    ``index_table``: entity -> first stored ts; without it, assumed), read their
-    older history as well.
+    the batch's earliest new row. Entities that find fewer than ``context``
+    earlier rows there, and that have older rows (per ``index_table``: entity ->
+    first stored ts; without it, assumed), read further back in windows that
+    grow four-fold per step; only after ``WIDEN_STEPS`` steps is the rest read.
     """
     from aerostat.operators.asof import last_n
     from aerostat.sources.store import read_range
@@ -115,15 +118,32 @@ def refresh_features(spark: SparkSession, raw_table: str, new_rows: DataFrame, s
     affected = recent.filter(F.col(spec.ts) >= F.col("_from")).drop("_from")
     before = recent.filter(F.col(spec.ts) < F.col("_from")).drop("_from")
 
-    found = before.groupBy(*spec.entity).count()
-    short = first_new.join(found, on=list(spec.entity), how="left").filter(
-        F.coalesce(F.col("count"), F.lit(0)) < context).select(*spec.entity)
-    if index_table is not None and table_exists(spark, index_table):
-        older_exists = spark.read.parquet(index_table).filter(F.col("first_ts") < F.lit(start))
-        short = short.join(older_exists.select(*spec.entity), on=list(spec.entity), how="left_semi")
-    if not short.isEmpty():
-        older = read_range(spark, raw_table, spec.ts, end=start).join(short, on=list(spec.entity), how="left_semi")
-        before = before.unionByName(older)
+    index = spark.read.parquet(index_table) if index_table is not None and table_exists(spark, index_table) else None
+
+    def still_short(rows: DataFrame, edge) -> DataFrame:
+        """Touched entities with fewer than ``context`` earlier rows so far that have rows before ``edge``."""
+        found = rows.groupBy(*spec.entity).count()
+        short = first_new.join(found, on=list(spec.entity), how="left").filter(
+            F.coalesce(F.col("count"), F.lit(0)) < context).select(*spec.entity)
+        if index is not None:
+            short = short.join(index.filter(F.col("first_ts") < F.lit(edge)).select(*spec.entity),
+                               on=list(spec.entity), how="left_semi")
+        return short
+
+    # widen the window step by step (x4) for the entities still short of context, then take the rest
+    edge, width = start, F.expr(f"INTERVAL {lookback}")
+    for step in range(WIDEN_STEPS + 1):
+        short = still_short(before, edge)
+        if short.isEmpty():
+            break
+        if step == WIDEN_STEPS:
+            older = read_range(spark, raw_table, spec.ts, end=edge)
+        else:
+            lower = spark.range(1).select((F.lit(edge).cast("timestamp") - width * (4 ** (step + 1))).alias("x")).first()[0]
+            older = read_range(spark, raw_table, spec.ts, start=lower, end=edge)
+        before = before.unionByName(older.join(short, on=list(spec.entity), how="left_semi"))
+        if step < WIDEN_STEPS:
+            edge = lower
 
     ctx = last_n(before, spec, context).drop("rank_from_end")
     both = affected.withColumn("_ctx", F.lit(False)).unionByName(ctx.withColumn("_ctx", F.lit(True)))
