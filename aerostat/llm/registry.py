@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from aerostat.llm import exact_dedup, packing
+from aerostat.llm import chat, exact_dedup, html_extract, knn_join, langid, licenses, packing, sentencepieces, similarity_join, warc
 
 QUERIES = {
     "op1_pack_documents": packing.op1_pack_documents,
+    "op2_extract_text": html_extract.op2_extract_text,
+    "op3_similarity_join": similarity_join.op3_similarity_join,
+    "op4_tool_calls": chat.op4_tool_calls,
+    "op5_license_scan": licenses.op5_license_scan,
+    "op6_warc": warc.op6_warc,
+    "op7_sentencepiece": sentencepieces.op7_sentencepiece,
+    "op8_language_id": langid.op8_language_id,
+    "op9_top_k": knn_join.op9_top_k,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
 }
 
 ORACLE = {
+    "op4_tool_calls": chat.OP4_SQL,
+    "op6_warc": warc.OP6_SQL,
+    "op9_top_k": knn_join.OP9_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
 }

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from aerostat.llm.common import new_folder, table
 from aerostat.llm.exact_dedup import deduplicate
+from aerostat.llm.langid import fit_documents, keep_identified
 from aerostat.llm.packing import digest, pack_texts
+from aerostat.llm.similarity_join import keep_first
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an identifiable language go (no letters, or a text that no language explains)."""
+    return keep_identified(docs, fit_documents(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,12 +21,17 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return deduplicate(docs, "doc_id", "text")
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of n-gram Jaccard links stays, that with the smallest id."""
+    return keep_first(docs, "doc_id", "text")
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every remaining document, tokenised and packed into sequences."""
     return digest(pack_texts(docs, "doc_id", "text"))
 
 
-STAGES = [("exact dedup", exact_dedup), ("packing", packing)]
+STAGES = [("language id", language_id), ("exact dedup", exact_dedup), ("n-gram Jaccard join", near_dedup), ("packing", packing)]
 
 # tokenising and language models are beyond SQL; tests/llm hold the stages against brute force
 ORACLE_SQL = None
