@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from aerostat.llm.common import written
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _large_star(e: DataFrame, name: str) -> DataFrame:
     both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), f"{name}-low")
     return both.where("v > u").join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
@@ -27,13 +27,14 @@ def _state(e: DataFrame) -> tuple:
 def connected(edges: DataFrame, name: str) -> DataFrame:
     """``u, root`` for every vertex but the smallest of its component, from edges ``u, v`` (longs).
 
-    Every step aggregates before it shuffles and joins on the vertex, so that a vertex with very many
-    neighbours is split by the skew join; each round is written to the shared folder.
+    Every step aggregates before it shuffles; the large-star step's minima are written before they are
+    joined on the vertex, so that Spark can split the rows of a vertex with very many neighbours. Each round
+    is written to the shared folder.
     """
     e = written(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), f"{name}-edges")
     state = _state(e)
     while state[0]:
-        e = written(_small_star(_large_star(e)), f"{name}-round")
+        e = written(_small_star(_large_star(e, name)), f"{name}-round")
         last, state = state, _state(e)
         if state == last:
             break

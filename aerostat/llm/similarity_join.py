@@ -214,17 +214,21 @@ def _verified(sets: DataFrame, threshold: float) -> DataFrame:
 
 def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                     shingle: int = SHINGLE, trees: int = TREES, recall: float = RECALL) -> DataFrame:
-    """Per row of ``docs`` ``part, place, id, class_id, n_links, first`` (whether it is its class's first row)."""
+    """Per row of ``docs`` ``part, place, id, class_id, n_links, first`` (whether it is its class's first row).
+
+    Aggregates that are joined back to the rows of their key are written first: both sides of the join are
+    then shuffled for it, and Spark can split a hot key's rows.
+    """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.spark_partition_id().alias("part"))
     depth = prefix_depth(threshold, trees, recall)
     signed = written(_places(source, trees, depth, shingle), "join-signed")
-    units = signed.groupBy("one", "two").agg(F.min("place").alias("unit"), F.count("*").alias("copies"))
+    units = written(signed.groupBy("one", "two").agg(F.min("place").alias("unit"), F.count("*").alias("copies")), "join-units")
     rows = written(signed.select("part", "place", "id", "n", "one", "two").join(units, ["one", "two"]), "join-rows")
 
     own = rows.where("place = unit").select("unit", "part", "n", "copies", "one")
     paths = written(signed.join(own.select(F.col("unit").alias("place")), "place", "left_semi")
                     .select(F.col("place").alias("unit"), F.explode("paths").alias("path")), "join-paths")
-    meet = paths.groupBy("path").agg(F.min("unit").alias("v"), F.count("*").alias("k")).where("k > 1").drop("k")
+    meet = written(paths.groupBy("path").agg(F.min("unit").alias("v"), F.count("*").alias("k")).where("k > 1").drop("k"), "join-meet")
     roots = connected(paths.join(meet, "path").select(F.col("unit").alias("u"), "v"), "join-candidates")
 
     roots = written(roots.union(roots.select(F.col("root").alias("u"), "root").distinct()).withColumnRenamed("u", "unit").join(own, "unit"), "join-wanted")
@@ -245,7 +249,7 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
     named = written(named, "join-named")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "place")).alias("first")
-    return (named.join(named.groupBy("class").agg(first), "class")
+    return (named.join(written(named.groupBy("class").agg(first), "join-classes"), "class")
             .select("part", "place", "id", F.col("first.id").alias("class_id"), "n_links", (F.col("first.place") == F.col("place")).alias("first")))
 
 
