@@ -12,7 +12,7 @@ most frequent entries of each kind (over all languages) make the model, so its s
 the data. Prediction reads every row and whole texts.
 
 Cases: a null text or one without a letter is ``und`` with score 0; a text whose letters are all unknown
-gets the language with the most rows of the sample (ties: the first by name), with the score of a draw;
+gets the language with the most labelled rows (ties: the first by name), with the score of a draw;
 with nothing to learn from every row is ``und``; repeated rows are predicted alike; rows with a null
 language or null id are not learned from; columns beside those named are ignored.
 """
@@ -20,6 +20,7 @@ language or null id are not learned from; columns beside those named are ignored
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -58,7 +59,7 @@ class Model:
         self.langs = langs
         self.prior = int(np.lexsort((langs, [-r for r in rows]))[0]) if langs else -1
         self.tables: dict[int, dict[str, np.ndarray]] = {}
-        self.key = f"{langs}{len(counts)}{int(counts.n.sum()) if len(counts) else 0}{rows}"
+        self.key = uuid.uuid4().hex
         index = {lang: i for i, lang in enumerate(langs)}
         for kind, part in counts.groupby("kind"):
             grams, at = np.unique(part.gram.to_numpy(object).astype(str), return_inverse=True)

@@ -108,7 +108,8 @@ def _revisits(pages: DataFrame) -> DataFrame:
     rows = written(pages.select("page", "url", "place", F.sha1(body).alias("one"), F.sha2(body, 256).alias("two"), F.octet_length(body).alias("size"))
                    .where(F.col("size") >= MIN_REVISIT), "warc-digests")
     best = F.max(F.struct(F.col("page").isNotNull().alias("named"), "page", "place", "url")).alias("best")
-    groups = rows.groupBy("one", "two", "size").agg(best, F.count("*").alias("n")).where("n > 1").drop("n")
+    # written, so that both sides of the join are shuffled for it and Spark can split a hot payload's rows
+    groups = written(rows.groupBy("one", "two", "size").agg(best, F.count("*").alias("n")).where("n > 1").drop("n"), "warc-groups")
     return (rows.join(groups, ["one", "two", "size"]).where("place != best.place")
             .select(F.shiftright("place", _SHIFT).cast("int").alias("part"), F.col("place").bitwiseAND((1 << _SHIFT) - 1).alias("seq"),
                     F.col("best.page").alias("refers_to"), F.col("best.url").alias("refers_url"), "one"))
