@@ -37,7 +37,7 @@ TABLE_ROWS = 24_000
 NGRAMS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
 #: words whose scores a Python worker keeps
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -189,14 +189,11 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit_documents(docs), "text", F.col("doc_id"), held_out("doc_id").alias("held_out"))
 
 
-#: the pipeline's rule: the best language must explain the text this much better than a draw of all does
-OVER_DRAW = 1.05
-
-
-def keep_identified(docs: DataFrame, model: Model, over_draw: float = OVER_DRAW) -> DataFrame:
-    """``docs`` (columns as they were) without the rows that have no language: no letters, or a drawn score."""
+def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` (columns as they were) without the rows that have no language: no letters, or nothing that the
+    model knows (the score of a draw of all languages)."""
     names = docs.columns
     named = docs.toDF(*[f"c{i}" for i in range(len(names))])
     out = identify(named, model, f"c{names.index('text')}", *[F.col(c) for c in named.columns])
-    least = over_draw / len(model.langs) if len(model.langs) > 1 else 0.0
-    return out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*named.columns).toDF(*names)
+    draw = (1 + 1e-9) / len(model.langs) if len(model.langs) > 1 else 0.0
+    return out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > draw)).select(*named.columns).toDF(*names)
