@@ -26,7 +26,9 @@ from aerostat.llm.common import sliced, table
 
 MARK = "▁"
 #: units whose ids a Python worker keeps
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 250_000
+#: rows that decoding works on at once
+DECODE_ROWS = 500
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNKNOWN_COST = 10.0
 _UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -171,7 +173,7 @@ class Pieces:
         for unit in new:
             by_length.setdefault(len(unit), []).append(unit)
         for n, same in by_length.items():
-            step = max(1, 2_000_000 // (n + 1))
+            step = max(1, 400_000 // (n + 1))
             for at in range(0, len(same), step):
                 part = same[at:at + step]
                 for unit, ids in zip(part, self.viterbi(part)):
@@ -214,8 +216,8 @@ def decode(df: DataFrame, ids_col: str, out_col: str = "decoded", model: str | N
 
     def run(batches):
         live = worker_pieces(path)
-        for b in batches:
-            texts = [None if r.as_py() is None else live.decode(r.values.to_numpy(zero_copy_only=False).tolist()) for r in b.column(at)]
+        for b in (whole.slice(i, DECODE_ROWS) for whole in batches for i in range(0, whole.num_rows, DECODE_ROWS)):
+            texts = [live.decode(r.values.to_numpy(zero_copy_only=False).tolist()) if r.is_valid else None for r in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, "decoded"])
 
     return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField("decoded", T.StringType())])).toDF(*names, out_col)
