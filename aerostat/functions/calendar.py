@@ -29,10 +29,3 @@ def calendar_columns(ts: str) -> dict[str, Column]:
         "is_rush_hour": F.expr(f"CAST(coalesce({rush}, false) AS INT)"),
         "season": F.expr(f"CAST(CASE month({t}) {season} ELSE 0 END AS INT)"),
     }
-
-
-def with_calendar(df: DataFrame, ts: str = "ts", subset: list[str] | None = None) -> DataFrame:
-    cols = calendar_columns(ts)
-    if subset is not None:
-        cols = {k: v for k, v in cols.items() if k in subset}
-    return df.withColumns(cols)

@@ -69,7 +69,8 @@ def alert_level(x: Column, inclusive: bool = True,
 
 
 def is_stale(ts: Column, as_of: Column, max_age_seconds: int) -> Column:
-    return (F.unix_timestamp(as_of) - F.unix_timestamp(ts)) > F.lit(max_age_seconds)
+    """More than ``max_age_seconds`` old, to the microsecond."""
+    return (F.unix_micros(as_of) - F.unix_micros(ts)) > F.lit(max_age_seconds * 1_000_000)
 
 
 def age_seconds(ts: Column, as_of: Column) -> Column:
@@ -100,6 +101,12 @@ def cast_by_class(df: DataFrame, float_to: str = "double", long_to: str = "int")
     return df.select(*out)
 
 
+def cast_overflows(df: DataFrame, long_to: str = "int") -> DataFrame:
+    """One row: per bigint column, how many values the narrowing of :func:`cast_by_class` turns into NULL."""
+    longs = [f.name for f in df.schema.fields if isinstance(f.dataType, T.LongType)]
+    return df.agg(*[F.count(F.when(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(long_to).isNull(), 1)).alias(c) for c in longs])
+
+
 def with_constant_first(df: DataFrame, name: str, value) -> DataFrame:
     """Insert a constant column in front (e.g. the city of a single-source feed)."""
     return df.select(F.lit(value).alias(name), *[F.col(f"`{c}`") for c in df.columns])

@@ -15,7 +15,9 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerostat.operators.metrics import best_model, regression_metrics
-from aerostat.schemas import GBT_PARAMS, MODEL_PRIORITY, RF_PARAMS
+from aerostat.operators.windows import windowed
+from aerostat.schemas import GBT_PARAMS, MODEL_PRIORITY, RF_PARAMS, SeriesSpec
+from aerostat.sources.store import register_metrics
 
 MODEL_BUILDERS = {
     # the reference's forest samples no feature subsets, hence "all"
@@ -47,14 +49,6 @@ def evaluate(model: PipelineModel, data: DataFrame, label: str, split_col: str =
     return regression_metrics(pred)
 
 
-def compare(metrics: list[DataFrame], priority: Sequence[str] = MODEL_PRIORITY) -> tuple[DataFrame, DataFrame]:
-    """(all metrics, the best model on the test split; equal RMSE resolves by ``priority``)."""
-    allm = metrics[0]
-    for m in metrics[1:]:
-        allm = allm.unionByName(m)
-    return allm, best_model(allm, priority)
-
-
 def importances(spark: SparkSession, model: PipelineModel, features: Sequence[str]) -> DataFrame:
     """Model-native importances zipped with the feature names (bounded by the number of features)."""
     vec = model.stages[-1].featureImportances.toArray().tolist()
@@ -75,6 +69,76 @@ def fit_lookback(seq_train: DataFrame, fields: Sequence[str], kind: str = "linea
     return est.fit(flatten_sequences(seq_train, fields))
 
 
+def aligned(df: DataFrame, spec: SeriesSpec, target: str, align: str = "next", label: str = "label") -> DataFrame:
+    """Add the label: the target one row ahead (``"next"``), or of the same row (``"same"``, for parity with models
+    trained that way). Lag and change features of a row contain its own target, so only ``"next"`` asks for a forecast.
+
+    Rows without a next one have a NULL label and are dropped.
+    """
+    if align == "same":
+        out = df.withColumn(label, F.col(target).cast("double"))
+    elif align == "next":
+        out = windowed(df, spec, [lambda cx: {label: F.lead(F.col(target).cast("double"), 1).over(cx.w)}], context_rows=1, context_cols=[target], lead_rows=1)
+    else:
+        raise ValueError(f"align must be 'next' or 'same', got {align!r}")
+    return out.filter(F.col(label).isNotNull())
+
+
+def train_and_register(spark: SparkSession, data: DataFrame, spec: SeriesSpec, features: Sequence[str], target: str, kind: str,
+                       base: str, registry: str, version: int, snapshot_version: str, align: str = "next", **overrides) -> PipelineModel:
+    """Fit on the train rows of ``data`` (with a ``split`` column), save as a version, and register the test metrics and the
+    native importances (where the model has them)."""
+    rows = aligned(data, spec, target, align)
+    model = fit(rows.filter("split = 'train'"), features, "label", kind, **overrides)
+    save_version(model, base, kind, version)
+    test = evaluate(model, rows, "label", model_name=kind).filter("split = 'test'").first()
+    if test is not None:
+        register_metrics(spark, registry, kind, version, {m: test[m] for m in ("rmse", "mae", "r2")}, snapshot_version)
+    if hasattr(model.stages[-1], "featureImportances"):
+        importances(spark, model, features).select(F.lit(kind).alias("model"), F.lit(version).alias("version"), "feature", "importance") \
+            .write.mode("append").parquet(f"{base.rstrip('/')}/importances")
+    return model
+
+
+def best_registered(spark: SparkSession, registry: str, priority: Sequence[str] = MODEL_PRIORITY) -> DataFrame:
+    """The registered model with the lowest test RMSE, each model by its newest version; ties go by ``priority``."""
+    rows = spark.read.parquet(registry)
+    newest = rows.groupBy("model").agg(F.max("version").alias("version"))
+    wide = (rows.join(newest, ["model", "version"]).groupBy("model", "version")
+            .agg(*[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m) for m in ("rmse", "mae", "r2")]))
+    return best_model(wide.withColumn("split", F.lit("test")), priority)
+
+
+def version_path(base: str, kind: str, version: int) -> str:
+    return f"{base.rstrip('/')}/{kind}/v={int(version)}"
+
+
+def save_version(model: PipelineModel, base: str, kind: str, version: int) -> str:
+    """Save under a path of its own; a version that exists is never overwritten."""
+    path = version_path(base, kind, version)
+    model.write().save(path)
+    return path
+
+
+def saved_versions(spark: SparkSession, base: str, kind: str) -> list[int]:
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{kind}")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(int(n[2:]) for n in names if n.startswith("v="))
+
+
+def load_latest(spark: SparkSession, base: str, kinds: Sequence[str]) -> tuple[PipelineModel, str, int]:
+    """The newest version of the first of ``kinds`` that has a loadable one, with its kind and version."""
+    errors = []
+    for kind in kinds:
+        for version in reversed(saved_versions(spark, base, kind)):
+            try:
+                return PipelineModel.load(version_path(base, kind, version)), kind, version
+            except Exception as e:  # a damaged version: the one before it, or the next kind, serves
+                errors.append(f"{kind} v={version}: {str(e)[:200]}")
+    raise LookupError("no model can be loaded: " + ("; ".join(errors) or f"none of {list(kinds)} is saved"))
+
+
 def save(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

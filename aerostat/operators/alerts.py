@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from aerostat.functions.scalar import alert_level, fmt
-from aerostat.operators.asof import latest_row, recent_summary
+from aerostat.operators.asof import recent_summary
 from aerostat.schemas import SeriesSpec
 
 
@@ -15,10 +15,8 @@ def alert_table(df: DataFrame, spec: SeriesSpec, col: str, as_of: Column, inclus
 
     Alerts are keyed by (entity, ts, level): re-running for the same hour gives the same rows.
     """
-    latest = latest_row(df.select(*spec.entity, *spec.order_cols, col), spec, as_of, fallback=False)
-    summary = recent_summary(df, spec, col, recent_rows, trend_back, as_of).select(
-        *spec.entity, "recent_avg", "trend")
-    j = latest.join(summary, on=list(spec.entity), how="left")
+    j = recent_summary(df.select(*spec.entity, *spec.order_cols, col), spec, col, recent_rows, trend_back, as_of)
+    j = j.select(*spec.entity, F.col("last_ts").alias(spec.ts), F.col("last_value").alias(col), "recent_avg", "trend")
     lvl = alert_level(F.col(col), inclusive=inclusive)
     j = j.withColumn("level", lvl).filter(F.col("level") != "none")
     msg = F.concat(

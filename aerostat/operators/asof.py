@@ -1,10 +1,11 @@
 """As-of reads: latest row, last n rows, recent trend, staleness, minimum history, seeded sample.
 
 "Last n rows" never ranks a hot entity in one window: rows are counted per
-(entity, day); a small per-entity table of those counts tells which days can
-hold one of the last n rows and how many rows follow each day; the exact rank
-is then computed inside each such day only. When a sampled check finds no hot
-entity, one window per entity does it in a single shuffle.
+(entity, bucket); a small per-entity table of those counts tells which buckets
+can hold one of the last n rows and how many rows follow each; the exact rank
+is then computed inside each such bucket only. Where no entity is hot, one
+window per entity does it in a single shuffle. The end of a series is that of
+its row order, in which NULL times come last.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aerostat.functions.scalar import age_seconds, is_stale
-from aerostat.operators.windows import find_hot, series_bucket
+from aerostat.operators.windows import join_on_keys, needs_cuts, series_bucket
 from aerostat.schemas import SeriesSpec
 
 
@@ -53,21 +54,20 @@ def first_row(df: DataFrame, spec: SeriesSpec) -> DataFrame:
 def last_n(df: DataFrame, spec: SeriesSpec, n: int, as_of: Column | None = None, bucket: str = "1 day",
            rank_col: str = "rank_from_end") -> DataFrame:
     """The last ``n`` rows of each series (at or before ``as_of``), with their rank from the end (1 = last)."""
-    bspec = spec.with_(bucket=bucket)
-    hot = find_hot(df, bspec) if spec.hot_rows else None
-    if hot == []:
+    bspec = spec if spec.bucket or not spec.hot_rows else spec.with_(bucket=bucket)
+    past = not_after(df, spec, as_of)
+    back = [F.col(c).desc_nulls_first() for c in spec.order_cols]
+    if not needs_cuts(past, bspec):
         # no entity is big enough to need splitting: one window per entity
-        w = Window.partitionBy(*spec.entity).orderBy(*[F.col(c).desc() for c in spec.order_cols])
-        ranked = not_after(df, spec, as_of).withColumn(rank_col, F.row_number().over(w).cast("int"))
+        ranked = past.withColumn(rank_col, F.row_number().over(Window.partitionBy(*spec.entity).orderBy(*back)).cast("int"))
         return ranked.filter(F.col(rank_col) <= n)
-    # day buckets for hot entities (all of them when hot_rows is 0), one bucket for the rest
-    past = series_bucket(not_after(df, spec, as_of), bspec, hot)
-    counts = past.groupBy(*spec.entity, "_bk").agg(F.count(F.lit(1)).alias("_n"))
+    past = series_bucket(past, bspec)
+    counts = past.groupBy(*spec.entity, "_bk").agg(F.count(F.lit(1)).alias("_m"))
     wb = Window.partitionBy(*spec.entity).orderBy(F.col("_bk").desc())
-    later = F.coalesce(F.sum("_n").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    later = F.coalesce(F.sum("_m").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     needed = counts.select(*spec.entity, "_bk", later.alias("_after")).filter(F.col("_after") < n)
-    rows = past.join(needed, on=[*spec.entity, "_bk"], how="inner")
-    wd = Window.partitionBy(*spec.entity, "_bk").orderBy(*[F.col(c).desc() for c in spec.order_cols])
+    rows = join_on_keys(past, needed, [*spec.entity, "_bk"], "inner")
+    wd = Window.partitionBy(*spec.entity, "_bk").orderBy(*back)
     ranked = rows.withColumn(rank_col, (F.col("_after") + F.row_number().over(wd)).cast("int"))
     return ranked.filter(F.col(rank_col) <= n).drop("_bk", "_after")
 
@@ -78,6 +78,7 @@ def recent_summary(df: DataFrame, spec: SeriesSpec, col: str, n: int = 24, back:
     tail = last_n(df, spec, max(n, back), as_of)
     agg = tail.groupBy(*spec.entity).agg(
         F.avg(F.when(F.col("rank_from_end") <= n, F.col(col))).alias("recent_avg"),
+        F.max(F.when(F.col("rank_from_end") == 1, F.col(spec.ts))).alias("last_ts"),
         F.max(F.when(F.col("rank_from_end") == 1, F.col(col))).alias("last_value"),
         F.max(F.when(F.col("rank_from_end") == back, F.col(col))).alias("back_value"),
         F.count(F.lit(1)).alias("n_recent"))

@@ -55,26 +55,23 @@ def dependence(long: DataFrame, top: int = 3) -> DataFrame:
     return long.join(F.broadcast(best), on="feature", how="left_semi")  # at most ``top`` rows
 
 
-def pick_examples(sample: DataFrame, row_id: str, label: str, order: str = "sample_key",
+def pick_examples(rows: DataFrame, row_id: str, label: str, order: str = "sample_key",
                   low: float = 50.0, high: float = 150.0) -> DataFrame:
-    """The first low-label row, the first high-label row and the third row of a sample.
+    """The first low-label row, the first high-label row and the third row in ``order``.
 
-    Missing low/high rows fall back to the first / second sample rows. The
-    sample is bounded (see ``hash_sample``), so one small aggregate suffices.
+    Missing low/high rows fall back to the first / second row. One aggregate and a
+    top three (``TakeOrderedAndProject``): no task holds more than three rows.
     """
-    s = F.struct(F.col(order).alias("o"), F.col(row_id).alias("id"))
-    agg = sample.agg(
-        F.min_by(F.col(row_id), F.when(F.col(label) < low, F.col(order))).alias("good"),
-        F.min_by(F.col(row_id), F.when(F.col(label) > high, F.col(order))).alias("bad"),
-        F.sort_array(F.collect_list(s)).alias("_all"))
-    picks = agg.select(
-        F.coalesce("good", F.col("_all")[0]["id"]).alias("good"),
-        F.coalesce("bad", F.col("_all")[1]["id"]).alias("bad"),
-        F.col("_all")[2]["id"].alias("random"))
+    ends = rows.agg(F.struct(F.min_by(F.col(row_id), F.when(F.col(label) < low, F.col(order))).alias("good"),
+                             F.min_by(F.col(row_id), F.when(F.col(label) > high, F.col(order))).alias("bad")).alias("e"))
+    first = rows.select(F.col(order).alias("o"), F.col(row_id).alias("id")).orderBy("o", "id").limit(3)
+    three = first.agg(F.sort_array(F.collect_list(F.struct("o", "id"))).alias("t"))
+    picks = three.withColumn("e", ends.scalar())
+    at = lambda i: F.get("t", F.lit(i))["id"]
     return picks.select(F.explode(F.array(
-        F.struct(F.lit("good").alias("example"), F.col("good").alias(row_id)),
-        F.struct(F.lit("bad").alias("example"), F.col("bad").alias(row_id)),
-        F.struct(F.lit("random").alias("example"), F.col("random").alias(row_id)))).alias("e")).select("e.*")
+        F.struct(F.lit("good").alias("example"), F.coalesce("e.good", at(0)).alias(row_id)),
+        F.struct(F.lit("bad").alias("example"), F.coalesce("e.bad", at(1)).alias(row_id)),
+        F.struct(F.lit("random").alias("example"), at(2).alias(row_id)))).alias("e")).select("e.*")
 
 
 def explain_rows(long: DataFrame, picks: DataFrame, row_id: str) -> DataFrame:
@@ -96,7 +93,10 @@ def monte_carlo_shapley(rows: DataFrame, row_id: str, features: Sequence[str], b
     from pyspark.ml.feature import VectorAssembler
 
     n = len(features)
-    perm = F.shuffle(F.sequence(F.lit(0), F.lit(n - 1)), seed)  # random order of feature indexes, per row
+    # an order of the feature indexes for each row and permutation, by a hash: the same under any partitioning
+    hashed = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct(
+        F.xxhash64(F.col(row_id), F.col("perm_id"), i, F.lit(seed)).alias("h"), i.alias("i")))
+    perm = F.transform(F.array_sort(hashed), lambda x: x["i"])
     base = rows.select(F.col(row_id), *[F.col(f).cast("double").alias(f) for f in features],
                        F.explode(F.sequence(F.lit(1), F.lit(permutations))).alias("perm_id"))
     base = base.withColumn("order", perm)

@@ -11,13 +11,13 @@ Tree models recurse through :func:`recursive_with_model` instead.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from aerostat.functions.scalar import fmt
-from aerostat.operators.asof import history_size, last_n
-from aerostat.operators.windows import windowed
+from aerostat.operators.asof import history_size, last_n, not_after
+from aerostat.operators.windows import forward_fill, windowed
 from aerostat.schemas import (DEFAULT_BASE_RMSE, FORECAST_HISTORY_ROWS, FORECAST_HOURS, FORECAST_MIN_ROWS,
                               HORIZON_ERROR_GROWTH, SeriesSpec)
 
@@ -52,8 +52,11 @@ def _fold_sql(hours: int, a: str, b: str) -> str:
 
 def forecast_state(df: DataFrame, spec: SeriesSpec, target: str, as_of: Column | None = None,
                    history: int = FORECAST_HISTORY_ROWS, min_rows: int = FORECAST_MIN_ROWS) -> DataFrame:
-    """Per entity with at least ``min_rows`` past rows: last timestamp and the last three values."""
-    tail = last_n(df, spec, history, as_of)
+    """Per entity with at least ``min_rows`` past rows: last timestamp and the last three values.
+
+    ``df`` is a regular grid, a row per hour; hours without a value take the last one before them.
+    """
+    tail = last_n(forward_fill(not_after(df, spec, as_of), spec, [target], zero_fill=False), spec, history)
     st = tail.groupBy(*spec.entity).agg(
         F.count(F.lit(1)).alias("n_hist"),
         F.max(F.when(F.col("rank_from_end") == 1, F.col(spec.ts))).alias("last_ts"),
@@ -99,14 +102,20 @@ def horizon_coefficients(a: str, b: str, horizons: Sequence[int]) -> Column:
 
 
 def backtest_by_horizon(df: DataFrame, spec: SeriesSpec, target: str, a: Column, b: Column,
-                        horizons: Sequence[int]) -> DataFrame:
-    """Per horizon: RMSE / MAE / n of the h-step recursive forecast from every origin row."""
+                        horizons: Sequence[int], after: Column | None = None) -> DataFrame:
+    """Per horizon: RMSE / MAE / n of the h-step recursive forecast from every origin row.
+
+    ``df`` is a regular grid, so h rows ahead are h hours ahead; rows without a value score nothing. Origins
+    are those after ``after`` (the end of what the fit has seen), with the rows before it as their past.
+    """
     def st(cx):
         out = {"_y2": F.lag(target, 2).over(cx.w), "_y1": F.lag(target, 1).over(cx.w)}
         for h in horizons:
             out[f"_a{h}"] = F.lead(target, h).over(cx.w)
         return out
     rows = windowed(df, spec, [st], context_rows=2, context_cols=[target], lead_rows=max(horizons))
+    if after is not None:
+        rows = rows.filter(F.col(spec.ts) > after)
     actual = F.array(*[F.struct(F.lit(h).alias("h"), F.col(f"_a{h}").alias("actual")) for h in horizons])
     long = rows.select("_y2", "_y1", F.col(target).alias("_y0"), F.explode(actual).alias("x")).select(
         "_y2", "_y1", "_y0", "x.h", "x.actual")
@@ -137,31 +146,48 @@ def assumed_error_table(spark, base_rmse: float = DEFAULT_BASE_RMSE) -> DataFram
     return forecast_error_rows(spark.range(1).select(F.lit(float(base_rmse)).alias("base_rmse")))
 
 
-def recursive_with_model(seed_rows: DataFrame, spec: SeriesSpec, featurize, model, hours: int,
-                         target: str, checkpoint_every: int = 12) -> DataFrame:
+def recursive_with_model(history: DataFrame, spec: SeriesSpec, target: str, model,
+                         features: Callable[[Column, Column], dict[str, Column]], hours: int = FORECAST_HOURS,
+                         carry: Sequence[str] = (), keep: int = 25, as_of: Column | None = None,
+                         history_rows: int = FORECAST_HISTORY_ROWS, min_rows: int = FORECAST_MIN_ROWS,
+                         checkpoint_every: int = 8) -> DataFrame:
     """Recursive forecast with any Spark ML model: one ``transform`` per step for all entities at once.
 
-    ``seed_rows`` holds the last rows of each entity (enough for the longest
-    lookback); each step featurizes them, predicts the next value for every
-    entity and appends it, carrying the other raw columns of the last row forward
-    (history grows by one row per entity and step). Lineage is cut with
-    ``checkpoint()`` (reliable, in the shared checkpoint folder) every few steps.
+    The state is one row per entity: its last ``keep`` values as an array (newest last), its last time, the
+    last row's ``carry`` columns and the predictions so far. ``features(values, ts)`` gives the model's inputs
+    as expressions on the array and the time; each step appends its prediction, so the plan grows by the same
+    few nodes per step, and is cut with ``checkpoint()`` every few steps. ``history`` is a regular grid, a
+    row per hour; hours without a value take the last one before them. Entities with fewer than ``min_rows``
+    rows get no forecast. Returns entity, horizon_h, timestamp, predicted.
     """
-    hist = seed_rows
-    out = None
+    past = forward_fill(not_after(history, spec, as_of), spec, [target], zero_fill=False)
+    tail = last_n(past, spec, history_rows).filter(F.col(target).isNotNull())
+    row = F.struct(F.col(spec.ts), *[F.col(c) for c in carry])
+    recent = F.sort_array(F.collect_list(F.when(F.col("rank_from_end") <= keep, F.struct(F.col(spec.ts).alias("t"), F.col(target).cast("double").alias("v")))))
+    state = (tail.groupBy(*spec.entity).agg(F.count(F.lit(1)).alias("_n"), recent.alias("_r"), F.max_by(row, F.col(spec.ts)).alias("_l"))
+             .filter(F.col("_n") >= min_rows)
+             .select(*spec.entity, F.transform("_r", lambda x: x["v"]).alias("_past"), F.col("_l")[spec.ts].alias("_last"),
+                     *[F.col("_l")[c].alias(c) for c in carry], F.array().cast("array<double>").alias("_p"))).checkpoint()
+    kept = state.columns
     for i in range(1, hours + 1):
-        feats = featurize(hist)
-        last = feats.join(hist.groupBy(*spec.entity).agg(F.max(spec.ts).alias("_m")), on=list(spec.entity)) \
-            .filter(F.col(spec.ts) == F.col("_m")).drop("_m")
-        # the new row copies the last row's other raw columns, one hour later, with the prediction as target
-        nxt = model.transform(last).select(*[
-            (F.col(spec.ts) + F.expr("INTERVAL 1 HOUR")).alias(c) if c == spec.ts
-            else F.col("prediction").cast(hist.schema[c].dataType).alias(c) if c == target
-            else F.col(c) for c in hist.columns])
-        step = nxt.select(*spec.entity, spec.ts, target).withColumn("horizon_h", F.lit(i))
-        out = step if out is None else out.unionByName(step)
-        hist = hist.unionByName(nxt)
-        if i % checkpoint_every == 0:
-            hist = hist.checkpoint()
-            out = out.checkpoint()
-    return out
+        values = F.slice(F.concat("_past", "_p"), -keep, keep) if i > keep else F.concat("_past", "_p")
+        at = F.col("_last") + F.make_dt_interval(hours=F.lit(i - 1))
+        inputs = state.withColumns({"_v": values, "_t": at}).withColumns(features(F.col("_v"), F.col("_t")))
+        scored = model.transform(inputs)
+        state = scored.select(*[F.concat("_p", F.array(F.col("prediction").cast("double"))).alias("_p") if c == "_p" else F.col(c) for c in kept])
+        if i % checkpoint_every == 0 and i < hours:
+            state = state.checkpoint()
+    h = (F.col("pos") + 1).cast("int")
+    return state.select(*spec.entity, "_last", F.posexplode("_p").alias("pos", "predicted")).select(
+        *spec.entity, h.alias("horizon_h"), (F.col("_last") + F.make_dt_interval(hours=h)).alias("timestamp"), "predicted")
+
+
+def value_back(values: Column, k: int) -> Column:
+    """The value ``k`` rows before the newest of an array of recent values; NULL beyond its start."""
+    return F.try_element_at(values, F.lit(-1 - k))
+
+
+def mean_back(values: Column, n: int) -> Column:
+    """The mean of the newest ``n`` values; NULL unless there are ``n``."""
+    total = F.aggregate(F.slice(values, -n, n), F.lit(0.0), lambda a, x: a + x)
+    return F.when(F.size(values) >= n, total / n)

@@ -48,13 +48,17 @@ def fetch_ranges(wm: DataFrame, as_of: Column, step: str = "INTERVAL 1 HOUR", en
     return out
 
 
-def split_incoming(landed: DataFrame, wm: DataFrame, spec: SeriesSpec,
-                   tolerance: str | None = None) -> tuple[DataFrame, DataFrame]:
+def split_incoming(landed: DataFrame, wm: DataFrame, spec: SeriesSpec, tolerance: str | None = None,
+                   as_of: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(fresh rows with ts > watermark, late rows at or before it) for a landed batch.
 
     Entities without a watermark are new: all their rows are fresh. ``tolerance``
-    (e.g. "INTERVAL 2 HOURS") lowers the cut so slightly late rows still count as fresh.
+    (e.g. "INTERVAL 2 HOURS") lowers the cut so slightly late rows still count as fresh. With
+    ``as_of`` (the load's clock) a watermark ahead of it is clamped first, so one row stamped
+    in the future does not make every later row late.
     """
+    if as_of is not None:
+        wm = clamp_watermark(wm, as_of)
     j = landed.join(wm.select(*spec.entity, F.col("last_ts").alias("_wm")), on=list(spec.entity), how="left")
     cut = F.col("_wm") - F.expr(tolerance) if tolerance else F.col("_wm")
     fresh = j.filter(F.col("_wm").isNull() | (F.col(spec.ts) > cut)).drop("_wm")

@@ -9,11 +9,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from aerostat.functions.scalar import text_bar
 
 
-def stack_predictions(df: DataFrame, keep: Sequence[str], label: str, preds: dict[str, Column]) -> DataFrame:
-    """Long form (keep..., model, y, pred): one row per input row and model."""
-    arr = F.array(*[F.struct(F.lit(m).alias("model"), p.cast("double").alias("pred")) for m, p in preds.items()])
-    return df.select(*keep, F.col(label).alias("y"), F.explode(arr).alias("_p")).select(
-        *keep, "_p.model", "y", "_p.pred")
+def common_row_metrics(df: DataFrame, label: str, preds: dict[str, Column], split: str = "split") -> DataFrame:
+    """RMSE, MAE, R^2 and n per (model, split) over the rows where the label and every prediction are present.
+
+    Rows are not multiplied by the number of models: one aggregate holds a struct of sums per model, and only
+    its few result rows are unpivoted.
+    """
+    y = F.col(label).cast("double")
+    named = df.select(F.col(split).alias("split"), y.alias("y"), *[p.cast("double").alias(f"p{i}") for i, p in enumerate(preds.values())])
+    ok = named.na.drop("any", subset=["y", *[f"p{i}" for i in range(len(preds))]])
+    errs = [F.col("y") - F.col(f"p{i}") for i in range(len(preds))]
+    agg = ok.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.var_pop("y").alias("_var"), *[
+        F.struct(F.lit(m).alias("model"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), F.sum(e * e).alias("sse")).alias(f"m{i}")
+        for i, (m, e) in enumerate(zip(preds, errs))])
+    long = agg.select("split", "n", "_var", F.explode(F.array(*[f"m{i}" for i in range(len(preds))])).alias("m"))
+    r2 = F.lit(1.0) - F.try_divide(F.col("m.sse"), F.col("n") * F.col("_var"))
+    return long.select("m.model", "split", "n", "m.rmse", "m.mae", r2.alias("r2"))
 
 
 def regression_metrics(long: DataFrame, by: Sequence[str] = ("model", "split")) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Aggregations over series: daily rollup, profile, watermark, peak alert."""
+"""Aggregations over series: daily rollup, profile, peak alert."""
 
 from __future__ import annotations
 
@@ -24,11 +24,6 @@ def profile(df: DataFrame, spec: SeriesSpec, by: Sequence[str | Column] = ()) ->
             .agg(F.count(F.lit(1)).alias("n_rows"), F.min(spec.ts).alias("first_ts"), F.max(spec.ts).alias("last_ts")))
 
 
-def high_watermark(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """max(ts) per entity; only the key and time columns are read."""
-    return df.groupBy(*spec.entity).agg(F.max(spec.ts).alias("last_ts"))
-
-
 def peak_alert(forecast: DataFrame, entity: Sequence[str], value: str = "predicted", inclusive: bool = False) -> DataFrame:
     """Peak of a forecast per entity and its alert class (the dashboard uses strict > thresholds)."""
     peak = forecast.groupBy(*entity).agg(F.max(value).alias("peak"))

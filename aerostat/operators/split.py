@@ -1,54 +1,50 @@
 """Time-ordered train/test split: the first floor(f * n) rows of each series train, the rest test.
 
-When a sampled check finds entities big enough to need splitting (see
-``SeriesSpec.hot_rows``), the per-row rank is never computed over a whole
-series: rows are counted per (entity, day), the cut position is located on
-that small table, and ranks are computed inside each day. Otherwise one window
-per entity does it in a single shuffle.
+Where an entity is big enough to need splitting (see ``SeriesSpec.hot_rows``),
+the per-row rank is never computed over a whole series: rows are counted per
+(entity, bucket), the cut position is located on that small table, and ranks
+are computed inside each bucket only. Otherwise one window per entity does it in a single shuffle. NULL times
+come last and a NULL entity is a series like any other, in both plans.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from aerostat.operators.windows import find_hot, series_bucket
+from aerostat.operators.windows import join_on_keys, needs_cuts, order_key, ordered, series_bucket
 from aerostat.schemas import SeriesSpec, TRAIN_FRACTION
 
 
 def time_split(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRACTION, bucket: str = "1 day",
                col: str = "split") -> DataFrame:
-    bspec = spec.with_(bucket=bucket)
-    hot = find_hot(df, bspec) if spec.hot_rows else None
-    if hot == []:
+    bspec = spec if spec.bucket or not spec.hot_rows else spec.with_(bucket=bucket)
+    we = Window.partitionBy(*spec.entity)
+    if not needs_cuts(df, bspec):
         # no entity is big enough to need splitting: one window per entity
-        we = Window.partitionBy(*spec.entity)
-        pos = F.row_number().over(we.orderBy(*[F.col(c) for c in spec.order_cols]))
+        pos = F.row_number().over(ordered(spec))
         cut = F.floor(F.lit(fraction) * F.count(F.lit(1)).over(we))
         return df.withColumn(col, F.when(pos <= cut, F.lit("train")).otherwise(F.lit("test")))
-    # day buckets for hot entities (all of them when hot_rows is 0), one bucket for the rest
-    b = series_bucket(df, bspec, hot)
-    counts = b.groupBy(*spec.entity, "_bk").agg(F.count(F.lit(1)).alias("_n"))
-    we = Window.partitionBy(*spec.entity)
+    b = series_bucket(df, bspec)
+    counts = b.groupBy(*spec.entity, "_bk").agg(F.count(F.lit(1)).alias("_m"))
     wb = we.orderBy("_bk")
     bt = counts.select(
         *spec.entity, "_bk",
-        F.coalesce(F.sum("_n").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.floor(F.lit(fraction) * F.sum("_n").over(we)).cast("long").alias("_cut"))
-    j = b.join(bt, on=[*spec.entity, "_bk"], how="inner")
-    wd = Window.partitionBy(*spec.entity, "_bk").orderBy(*[F.col(c) for c in spec.order_cols])
-    pos = F.col("_before") + F.row_number().over(wd)
+        F.coalesce(F.sum("_m").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.floor(F.lit(fraction) * F.sum("_m").over(we)).cast("long").alias("_cut"))
+    j = join_on_keys(b, bt, [*spec.entity, "_bk"])
+    pos = F.col("_before") + F.row_number().over(ordered(spec, ["_bk"]))
     return (j.withColumn(col, F.when(pos <= F.col("_cut"), F.lit("train")).otherwise(F.lit("test")))
             .drop("_bk", "_before", "_cut"))
 
 
-# Refinement levels for the global cut, as bucket widths in microseconds.
+# Refinement levels of the global cut, as bucket widths in microseconds.
 GLOBAL_LEVELS_US = [86_400_000_000, 3_600_000_000, 60_000_000, 1_000_000, 1_000, 1]
 FINAL_BUCKET_ROWS = 200_000  # rows ranked directly (bounded top-k) once the chosen bucket is this small
 
 
-def _bucket_counts(df: DataFrame, spec: SeriesSpec, width: int) -> tuple[list, object]:
+def _bucket_counts(df: DataFrame, spec: SeriesSpec, width: int) -> list:
     b = F.floor(F.unix_micros(F.col(spec.ts)) / F.lit(width)).cast("long")
-    return df.groupBy(b.alias("b")).count().orderBy("b").collect(), b
+    return df.groupBy(b.alias("b")).count().orderBy(F.col("b").asc_nulls_last()).collect()
 
 
 def global_cut_key(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRACTION) -> tuple | None:
@@ -57,17 +53,19 @@ def global_cut_key(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRAC
     Each level counts rows per time bucket inside the bucket chosen at the level
     above (day, hour, minute, second, millisecond, microsecond; at most ~1,000
     counts come back per level, the first level one per day, and its total gives
-    n). Once the chosen bucket holds at most ``FINAL_BUCKET_ROWS`` rows they are
-    ranked directly with a bounded top-k.
+    n). A level reads only the chosen time range, as a filter on the time column
+    that reaches the files. Once the chosen bucket holds at most
+    ``FINAL_BUCKET_ROWS`` rows they are ranked directly with a bounded top-k.
+    Rows without a time come last.
     """
-    counts, b = _bucket_counts(df, spec, GLOBAL_LEVELS_US[0])
+    counts = _bucket_counts(df, spec, GLOBAL_LEVELS_US[0])
     k = int(fraction * sum(r["count"] for r in counts))
     if k <= 0:
         return None
-    cand, before = df, 0
+    cand, before, ts = df, 0, F.col(spec.ts)
     for level, width in enumerate(GLOBAL_LEVELS_US):
         if level:
-            counts, b = _bucket_counts(cand, spec, width)
+            counts = _bucket_counts(cand, spec, width)
         run, chosen, size = before, None, 0
         for r in counts:
             if run + r["count"] >= k:
@@ -75,13 +73,17 @@ def global_cut_key(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRAC
                 break
             run += r["count"]
         before = run
-        cand = cand.filter(b == F.lit(chosen))
+        if chosen is None:  # the cut lies among the rows without a time
+            cand = df.filter(ts.isNull())
+            break
+        lo, hi = (F.timestamp_micros(F.lit(int(x) * width)) for x in (chosen, chosen + 1))
+        cand = cand.filter((ts >= lo) & (ts < hi))
         if size <= FINAL_BUCKET_ROWS:
             break
-    order = [F.col(c) for c in spec.order_cols]
+    order = [F.col(c).asc_nulls_last() for c in spec.order_cols]
     row = cand.select(*spec.order_cols).orderBy(*order).limit(k - before).agg(
-        F.max(F.struct(*order)).alias("m")).first()["m"]
-    return tuple(row)
+        F.max(order_key(spec)).alias("m")).first()["m"]
+    return tuple(row[2 * i + 1] for i in range(len(spec.order_cols)))
 
 
 def global_time_split(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRACTION,
@@ -90,6 +92,6 @@ def global_time_split(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_F
     key = global_cut_key(df, spec, fraction)
     if key is None:
         return df.withColumn(col, F.lit("test"))
-    lit_key = F.struct(*[F.lit(v).cast(df.schema[c].dataType) for c, v in zip(spec.order_cols, key)])
-    return df.withColumn(col, F.when(F.struct(*[F.col(c) for c in spec.order_cols]) <= lit_key,
-                                     F.lit("train")).otherwise(F.lit("test")))
+    lit_key = F.struct(*[x for i, (c, v) in enumerate(zip(spec.order_cols, key))
+                         for x in (F.lit(v is None).alias(f"n{i}"), F.lit(v).cast(df.schema[c].dataType).alias(f"v{i}"))])
+    return df.withColumn(col, F.when(order_key(spec) <= lit_key, F.lit("train")).otherwise(F.lit("test")))

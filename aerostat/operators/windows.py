@@ -1,13 +1,13 @@
 """Order-dependent series operators (lag, rolling, diff, percent change, fill, sequences).
 
-Every window is partitioned by the series entity. When ``SeriesSpec.bucket`` is
-set, windows are partitioned by ``(entity, time bucket)`` instead, and each
-bucket receives the last ``context_rows`` rows that precede it (from earlier
-buckets of the same entity) as *context rows*. Context rows take part in the
-window frames but are dropped from the output, so lags and rolling frames of
-up to ``context_rows`` rows are exact while one very large series is spread
-over many tasks. Forward fill, which looks back without bound, gets an exact
-carry-in value per bucket from the same small per-bucket table.
+Every window is partitioned by the series entity. When a series is split, its
+windows are partitioned by ``(entity, bucket)`` instead, and each bucket
+receives the last ``context_rows`` rows that precede it (from earlier buckets
+of the same entity) as *context rows*. Context rows take part in the window
+frames but are dropped from the output, so lags and rolling frames of up to
+``context_rows`` rows are exact while one very large series is spread over many
+tasks. Forward fill, which looks back without bound, gets an exact carry-in
+value per bucket from the same small per-bucket table.
 
 The per-bucket table holds at most ``context_rows`` rows per (entity, bucket);
 context is gathered from the previous ``context_rows`` non-empty buckets, which
@@ -15,15 +15,19 @@ always hold at least that many rows, so nothing is capped. Frames that look
 ahead (``lead``) get the first ``lead_rows`` rows of the following buckets the
 same way.
 
-With ``SeriesSpec.hot_rows`` set, only entities a sample estimates to hold at
-least that many rows are split into time buckets (at most ``MAX_HOT_KEYS`` of
-them); when there are none, the plain one-shuffle window plan is used.
+Buckets come from the data: entities with at least ``hot_rows`` rows (exact
+counts, any number of entities, NULL included) are cut at every ~``hot_rows``-th
+row of their full row order (time and tie-break), found from a sample by a
+hash of the row's key. So a burst within one second is cut like a long
+history, and no bucket grows with the data. With ``hot_rows`` 0 every entity
+is cut into time buckets of the width ``bucket``. NULL times come last
+everywhere. The plain one-shuffle window is used where nothing needs a cut;
+both plans give the same rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections import OrderedDict
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -36,6 +40,8 @@ _CTX = "_ctx"
 _CARRY = "_carry__"
 
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
+_LAST_BUCKET = 2**62  # of rows without a time
+_CUT_SAMPLE = 32  # sampled rows per bucket that place its cut
 
 
 def bucket_seconds(bucket: str) -> int:
@@ -46,59 +52,57 @@ def bucket_seconds(bucket: str) -> int:
 
 
 def bucket_of(ts: Column, bucket: str) -> Column:
-    """Integer bucket id, monotone in ``ts``."""
-    return F.floor(F.unix_micros(ts) / F.lit(bucket_seconds(bucket) * 1_000_000)).cast("long")
+    """Integer bucket id, monotone in ``ts``; NULL times have the last one."""
+    b = F.floor(F.unix_micros(ts) / F.lit(bucket_seconds(bucket) * 1_000_000)).cast("long")
+    return F.coalesce(b, F.lit(_LAST_BUCKET))
 
 
-MAX_HOT_KEYS = 10_000  # bound of the collected hot-key list; further entities take the (exact) whole path
+def order_key(spec: SeriesSpec) -> Column:
+    """One comparable value in row order: NULLs last in every column."""
+    return F.struct(*[x for i, c in enumerate(spec.order_cols)
+                      for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
 
 
-def hot_keys(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Entities estimated to hold at least ``spec.hot_rows`` rows, from a Bernoulli sample.
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join in which NULL keys meet; the keys come from the left side."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
-    At most ``MAX_HOT_KEYS`` rows, so it is safe to collect. Sampling only
-    decides which entities are split; results do not depend on it.
-    """
-    frac = min(1.0, 200.0 / spec.hot_rows)
-    counts = df.select(*spec.entity).sample(fraction=frac, seed=17).groupBy(*spec.entity).count()
-    return (counts.filter(F.col("count") >= F.lit(spec.hot_rows * frac)).orderBy(F.col("count").desc())
-            .limit(MAX_HOT_KEYS).select(*spec.entity, F.lit(True).alias("_hot")))
 
+def entity_counts(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Entities with at least ``spec.hot_rows`` rows (a map-side combined count of the key column)."""
+    return df.groupBy(*spec.entity).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= spec.hot_rows)
 
-_HOT_MEMO: OrderedDict = OrderedDict()
-_HOT_MEMO_SIZE = 64
 
+def needs_cuts(df: DataFrame, spec: SeriesSpec) -> bool:
+    """Whether any entity has to be split; one count over the key column at plan time."""
+    if spec.bucket is None:
+        return False
+    return not spec.hot_rows or not entity_counts(df, spec).isEmpty()
 
-def find_hot(df: DataFrame, spec: SeriesSpec) -> list[tuple]:
-    """The hot entity keys (at most ``MAX_HOT_KEYS``), found eagerly from a sample.
 
-    Like the sampling behind ``repartitionByRange``, this is one small job at
-    plan time; it lets a data set without hot entities use the plain window plan.
-    The answer only steers the plan (both paths are exact), so it is memoised per
-    session and plan; a stale entry can cost speed, never correctness.
-    """
-    memo_key = (id(df.sparkSession), df.semanticHash(), spec.entity, spec.hot_rows)
-    if memo_key in _HOT_MEMO:
-        _HOT_MEMO.move_to_end(memo_key)
-        return _HOT_MEMO[memo_key]
-    hot = [tuple(r[c] for c in spec.entity) for r in hot_keys(df, spec).collect()]
-    _HOT_MEMO[memo_key] = hot
-    if len(_HOT_MEMO) > _HOT_MEMO_SIZE:
-        _HOT_MEMO.popitem(last=False)
-    return hot
-
-
-def series_bucket(df: DataFrame, spec: SeriesSpec, hot: list[tuple] | None = None) -> DataFrame:
-    """Add the bucket id: a time bucket for hot entities (all entities when ``hot_rows`` is 0), else 0."""
-    tb = bucket_of(F.col(spec.ts), spec.bucket)
+def cut_points(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Per hot entity the sorted row keys at which a new bucket starts (about one per ``hot_rows`` rows)."""
+    share = min(1.0, _CUT_SAMPLE / spec.hot_rows)
+    place = F.pmod(F.xxhash64(*spec.order_cols), F.lit(1 << 30))
+    sample = df.select(*spec.entity, order_key(spec).alias("_k")).filter(place < F.lit(int(share * (1 << 30))))
+    hot = join_on_keys(sample, entity_counts(df, spec), spec.entity, "inner").drop("_n")
+    rank = F.row_number().over(Window.partitionBy(*spec.entity).orderBy("_k"))
+    every = max(1, int(spec.hot_rows * share))
+    cuts = hot.withColumn("_i", rank).filter(F.col("_i") % every == 0)
+    return cuts.groupBy(*spec.entity).agg(F.array_sort(F.collect_list("_k")).alias("_cuts"))
+
+
+def series_bucket(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Add the bucket id: cuts of hot entities (time buckets of all when ``hot_rows`` is 0), 0 for the rest."""
     if not spec.hot_rows:
-        return df.withColumn(_BK, tb)
-    hot = find_hot(df, spec) if hot is None else hot
-    if len(spec.entity) == 1:
-        is_hot = F.col(spec.entity[0]).isin([h[0] for h in hot])
-    else:
-        is_hot = F.struct(*spec.entity).isin([F.struct(*[F.lit(v) for v in h]) for h in hot])
-    return df.withColumn(_BK, F.when(is_hot, tb).otherwise(F.lit(0).cast("long")))
+        return df.withColumn(_BK, bucket_of(F.col(spec.ts), spec.bucket))
+    with_cuts = join_on_keys(df, cut_points(df, spec), spec.entity).withColumn("_k", order_key(spec))
+    passed = F.size(F.filter("_cuts", lambda c: c < F.col("_k")))
+    return with_cuts.withColumn(_BK, F.when(F.col("_cuts").isNull(), 0).otherwise(passed).cast("long")).drop("_cuts", "_k")
 
 
 def ordered(spec: SeriesSpec, extra_partition: Sequence[str] = ()) -> WindowSpec:
@@ -163,8 +167,7 @@ def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_r
     (``lead``); the first rows of the following buckets are then shipped too.
     """
     ffill_cols = tuple(ffill_cols)
-    hot = find_hot(df, spec) if spec.bucket is not None and spec.hot_rows else None
-    if spec.bucket is None or hot == []:
+    if not needs_cuts(df, spec):
         ctx = WindowContext(ordered(spec), Window.partitionBy(*spec.entity), False, ffill_cols)
         out = df
         for st in stages:
@@ -180,21 +183,20 @@ def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_r
     # One shuffle of the rows on (entity, bucket). The tail ranking below reads the same
     # exchange (reused), and the context rows are partitioned identically, so the union
     # keeps this partitioning and the final window needs no second shuffle of the rows.
-    nparts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    based = series_bucket(df, spec, hot).repartition(nparts, *key)
+    based = series_bucket(df, spec).repartition(*key)
 
     # Per (entity, bucket): its last k rows and the last non-null value of each filled column.
     desc = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_first() for c in spec.order_cols])
     need = set(key) | set(shipped)
     narrow = based.select(*[c for c in based.columns if c in need]).withColumn("_rd", F.row_number().over(desc))
-    row = F.struct(*[F.col(c) for c in shipped])
+    row = F.struct(order_key(spec).alias("_k"), *[F.col(c) for c in shipped])  # sorts in row order, NULL times last
     aggs = [F.collect_list(F.when(F.col("_rd") <= k, row)).alias("_tail")]
     if lead_rows:
         # position from the start = bucket size - position from the end + 1 (same partition, no new sort)
         narrow = narrow.withColumn("_ra", F.count(F.lit(1)).over(Window.partitionBy(*key)) - F.col("_rd") + 1)
         aggs.append(F.collect_list(F.when(F.col("_ra") <= lead_rows, row)).alias("_head"))
     for c in ffill_cols:
-        aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*spec.order_cols))).alias("_lnn_" + c))
+        aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_key(spec))).alias("_lnn_" + c))
     per_bucket = narrow.groupBy(*key).agg(*aggs)
 
     # Context for bucket b: last k rows of the previous k non-empty buckets; carry-in: last non-null before b.
@@ -219,7 +221,7 @@ def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_r
           for c in cols if c not in spec.entity],
         F.col(_BK), F.lit(True).alias(_CTX), *[F.col(_CARRY + c) for c in ffill_cols])
 
-    ctx_rows = ctx_rows.repartition(nparts, *key)
+    ctx_rows = ctx_rows.repartition(*key)
     real = based.withColumn(_CTX, F.lit(False))
     for c in ffill_cols:
         real = real.withColumn(_CARRY + c, F.lit(None).cast(df.schema[c].dataType))

@@ -24,7 +24,8 @@ from aerostat.operators import windows as win
 from aerostat.plans.output import finish
 from aerostat.session import prepare
 from aerostat.schemas import (FORECAST_MIN_ROWS, HORIZON_ERROR_GROWTH, LOOKBACK, PM25_LAGS, ROLLING_MEAN_SIZES,
-                              ROLLING_STD_SIZES, SAMPLE_ROWS, SAMPLE_SEED, STALE_AFTER_SECONDS, TARGET_LAGS)
+                              ROLLING_STD_SIZES, SAMPLE_ROWS, SAMPLE_SEED, STALE_AFTER_SECONDS, TARGET_LAGS,
+                              WEATHER_RENAMES)
 from aerostat.sources import payload as pl
 from aerostat.sources import tables as tb
 
@@ -103,22 +104,30 @@ def alert_level(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 2: windows
 
-@query
-def lag_features(spark, sf_dir):
+def _lags(spark, sf_dir, spec):
     e = tb.user_series(spark, sf_dir)
     st = [lambda cx: {**{f"value_lag_{k}": cx.lag("value", k) for k in TARGET_LAGS},
                       **{f"k_lag_{k}": cx.lag("k", k) for k in PM25_LAGS}}]
-    out = win.windowed(e, U, st, context_rows=max(TARGET_LAGS + PM25_LAGS), context_cols=["value", "k"])
+    out = win.windowed(e, spec, st, context_rows=max(TARGET_LAGS + PM25_LAGS), context_cols=["value", "k"])
     return finish(out.select(*KEY, *[f"value_lag_{k}" for k in TARGET_LAGS], *[f"k_lag_{k}" for k in PM25_LAGS]))
 
 
 @query
-def rolling_mean(spark, sf_dir):
+def lag_features(spark, sf_dir):
+    return _lags(spark, sf_dir, U)
+
+
+def _means(spark, sf_dir, spec):
     e = tb.user_series(spark, sf_dir)
-    out = win.rolling_features(e, U, "value", "mean", ROLLING_MEAN_SIZES, "value")
+    out = win.rolling_features(e, spec, "value", "mean", ROLLING_MEAN_SIZES, "value")
     return finish(out.select(*KEY, *[f"value_rolling_mean_{n}" for n in ROLLING_MEAN_SIZES]))
 
 
+@query
+def rolling_mean(spark, sf_dir):
+    return _means(spark, sf_dir, U)
+
+
 @query
 def rolling_std(spark, sf_dir):
     e = tb.user_series(spark, sf_dir)
@@ -135,13 +144,17 @@ def rolling_minmax(spark, sf_dir):
     return finish(out.select(*KEY, "value_rolling_max_6", "value_rolling_min_6"))
 
 
-@query
-def change_features(spark, sf_dir):
+def _changes(spark, sf_dir, spec):
     e = tb.user_series(spark, sf_dir)
-    out = win.change_features(e, U, "value", "value")
+    out = win.change_features(e, spec, "value", "value")
     return finish(out.select(*KEY, "value_change", "value_change_rate"))
 
 
+@query
+def change_features(spark, sf_dir):
+    return _changes(spark, sf_dir, U)
+
+
 @query
 def forward_fill(spark, sf_dir):
     g = grid.event_counts_grid(tb.events(spark, sf_dir))
@@ -159,6 +172,25 @@ def lookback_sequences(spark, sf_dir):
                               F.col("xr.value").alias("x_value"), F.col("xr.k").alias("x_k")))
 
 
+# The same queries with every user cut into many buckets: the plan of a series of billions of rows.
+CUT = tb.USER_SPEC_CUT
+
+
+@query
+def lag_features_cut(spark, sf_dir):
+    return _lags(spark, sf_dir, CUT)
+
+
+@query
+def rolling_mean_cut(spark, sf_dir):
+    return _means(spark, sf_dir, CUT)
+
+
+@query
+def change_features_cut(spark, sf_dir):
+    return _changes(spark, sf_dir, CUT)
+
+
 # ---------------------------------------------------------------- step 3: grid, joins, payloads
 
 @query
@@ -169,13 +201,17 @@ def hourly_grid(spark, sf_dir):
 
 @query
 def join_sources(spark, sf_dir):
-    return finish(_station(spark, sf_dir))
+    """Two hourly feeds joined on the hour; the second comes with its own names, the result with its feed's name in front."""
+    partials = grid.hourly_partials(tb.events(spark, sf_dir))
+    feed = grid.hourly_weather(partials).withColumnsRenamed({v: k for k, v in WEATHER_RENAMES.items()})
+    joined = grid.join_sources(grid.hourly_air(partials), feed.withColumnsRenamed(WEATHER_RENAMES))
+    return finish(sc.with_constant_first(joined, "feed", "events"))
 
 
 @query
 def payload_explode(spark, sf_dir):
     p = pl.land_payloads(tb.events(spark, sf_dir))
-    good, _bad = pl.split_unequal(p, ["time", "value", "k"])
+    good, _ = pl.split_unequal(p, ["time", "value", "k"])  # derived payloads are equal in length; see pl.quarantine for landed ones
     out = pl.explode_payload(good, ["value", "k"])
     return finish(out.select(F.col("city").alias("user_id"), F.col("timestamp").alias("ts"), "value", "k"))
 
@@ -211,6 +247,7 @@ def features_basic(spark, sf_dir):
 CUTOFF = "2024-01-20 00:00:00"
 OVERLAP_FROM = "2024-01-19 00:00:00"
 AS_OF = "2024-01-25 12:00:00"
+LOAD_TIME = "2024-01-19 12:00:00"  # the clock of the load: rows stored from after it are stamped in the future
 
 
 def _ts(s: str):
@@ -228,26 +265,27 @@ def _landed(spark, sf_dir):
 
 @query
 def watermark(spark, sf_dir):
-    return finish(inc.high_watermark(_stored(spark, sf_dir), U))
+    return finish(inc.high_watermark(tb.user_series(spark, sf_dir), U))
 
 
 @query
 def fetch_ranges(spark, sf_dir):
-    wm = inc.high_watermark(_stored(spark, sf_dir), U)
+    """Ranges due at ``AS_OF``; most users have rows after it, so their watermark is ahead of the clock and clamped."""
+    wm = inc.high_watermark(tb.user_series(spark, sf_dir), U)
     return finish(inc.fetch_ranges(wm, _ts(AS_OF)))
 
 
 @query
 def incremental_rows(spark, sf_dir):
     wm = inc.high_watermark(_stored(spark, sf_dir), U)
-    fresh, _late = inc.split_incoming(_landed(spark, sf_dir), wm, U)
+    fresh, _late = inc.split_incoming(_landed(spark, sf_dir), wm, U, as_of=_ts(LOAD_TIME))
     return finish(fresh)
 
 
 @query
 def late_rows(spark, sf_dir):
     wm = inc.high_watermark(_stored(spark, sf_dir), U)
-    _fresh, late = inc.split_incoming(_landed(spark, sf_dir), wm, U)
+    _fresh, late = inc.split_incoming(_landed(spark, sf_dir), wm, U, as_of=_ts(LOAD_TIME))
     return finish(late)
 
 
@@ -286,16 +324,25 @@ def latest_as_of(spark, sf_dir):
     return finish(asof.latest_row(e, U, _ts(AS_OF), fallback=True))
 
 
+def _last(spark, sf_dir, spec):
+    e = tb.user_series(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    return finish(asof.last_n(e, spec, 24, _ts(AS_OF)))
+
+
 @query
 def last_n(spark, sf_dir):
-    e = tb.user_series(spark, sf_dir).select("user_id", "ts", "event_id", "value")
-    return finish(asof.last_n(e, U, 24, _ts(AS_OF)))
+    return _last(spark, sf_dir, U)
+
+
+@query
+def last_n_cut(spark, sf_dir):
+    return _last(spark, sf_dir, CUT)
 
 
 @query
 def recent_trend(spark, sf_dir):
     e = tb.user_series(spark, sf_dir).select("user_id", "ts", "event_id", "value")
-    return finish(asof.recent_summary(e, U, "value", 24, 6, _ts(AS_OF)))
+    return finish(asof.recent_summary(e, U, "value", 24, 6, _ts(AS_OF)).drop("last_ts"))
 
 
 @query
@@ -330,10 +377,19 @@ def alert_messages(spark, sf_dir):
 
 # ---------------------------------------------------------------- step 7: split, scaling, metrics
 
+def _split(spark, sf_dir, spec):
+    s = split_mod.time_split(tb.user_series(spark, sf_dir), spec)
+    return finish(s.select(*KEY, "split"))
+
+
 @query
 def split_80_20(spark, sf_dir):
-    s = split_mod.time_split(tb.user_series(spark, sf_dir), U)
-    return finish(s.select(*KEY, "split"))
+    return _split(spark, sf_dir, U)
+
+
+@query
+def split_80_20_cut(spark, sf_dir):
+    return _split(spark, sf_dir, CUT)
 
 
 @query
@@ -364,10 +420,9 @@ def _baseline_predictions(spark, sf_dir):
     train = s.filter((F.col("split") == "train"))
     fit = train.agg(F.struct(F.regr_intercept("value", "mean3").alias("a"),
                              F.regr_slope("value", "mean3").alias("b")).alias("f")).scalar()
-    a, b = fit["a"], fit["b"]
-    preds = {"persistence": F.col("persistence"), "rolling_mean_3": F.col("mean3"),
-             "seasonal_24": F.col("seasonal_24"), "linear_mean3": a + b * F.col("mean3")}
-    return met.stack_predictions(s, [*KEY, "split"], "value", preds)
+    scored = s.withColumn("_f", fit)
+    return scored, {"persistence": F.col("persistence"), "rolling_mean_3": F.col("mean3"),
+                    "seasonal_24": F.col("seasonal_24"), "linear_mean3": F.col("_f.a") + F.col("_f.b") * F.col("mean3")}
 
 
 BASELINE_PRIORITY = ["linear_mean3", "rolling_mean_3", "persistence", "seasonal_24"]
@@ -375,13 +430,14 @@ BASELINE_PRIORITY = ["linear_mean3", "rolling_mean_3", "persistence", "seasonal_
 
 @query
 def regression_metrics(spark, sf_dir):
-    return finish(met.regression_metrics(_baseline_predictions(spark, sf_dir)))
+    scored, predictions = _baseline_predictions(spark, sf_dir)
+    return finish(met.common_row_metrics(scored, "value", predictions))
 
 
 @query
 def best_model(spark, sf_dir):
-    m = met.regression_metrics(_baseline_predictions(spark, sf_dir))
-    return finish(met.best_model(m, BASELINE_PRIORITY))
+    scored, predictions = _baseline_predictions(spark, sf_dir)
+    return finish(met.best_model(met.common_row_metrics(scored, "value", predictions), BASELINE_PRIORITY))
 
 
 IMPORTANCE_FEATURES = [*[f"value_lag_{k}" for k in TARGET_LAGS], *[f"value_rolling_mean_{n}" for n in ROLLING_MEAN_SIZES],
@@ -409,36 +465,39 @@ HORIZONS = [h for h, *_ in HORIZON_ERROR_GROWTH]
 
 
 def _station_fit(spark, sf_dir):
-    st = _station(spark, sf_dir)
-    past = st.filter(F.col("timestamp") <= _ts(AS_OF))
+    """The gap-filled grid (a row is an hour), and the model fitted on its past."""
+    g = _station_grid(spark, sf_dir).select("city", "timestamp", "us_aqi")
+    past = g.filter(F.col("timestamp") <= _ts(AS_OF))
     a, b = fc.fit_ar3(fc.ar3_training_rows(past, grid.STATION_SPEC, "us_aqi"))
-    return st, a, b
+    return g, a, b
+
+
+def _station_forecast(spark, sf_dir):
+    g, a, b = _station_fit(spark, sf_dir)
+    state = fc.forecast_state(g, grid.STATION_SPEC, "us_aqi", _ts(AS_OF))
+    return fc.recursive_forecast(state, ["city"], a, b)
 
 
 @query
 def recursive_forecast(spark, sf_dir):
-    st, a, b = _station_fit(spark, sf_dir)
-    state = fc.forecast_state(st, grid.STATION_SPEC, "us_aqi", _ts(AS_OF))
-    return finish(fc.recursive_forecast(state, ["city"], a, b))
+    return finish(_station_forecast(spark, sf_dir))
 
 
 @query
 def peak_alert(spark, sf_dir):
-    st, a, b = _station_fit(spark, sf_dir)
-    state = fc.forecast_state(st, grid.STATION_SPEC, "us_aqi", _ts(AS_OF))
-    return finish(roll.peak_alert(fc.recursive_forecast(state, ["city"], a, b), ["city"], "predicted"))
+    return finish(roll.peak_alert(_station_forecast(spark, sf_dir), ["city"], "predicted"))
 
 
 @query
 def backtest_by_horizon(spark, sf_dir):
-    st, a, b = _station_fit(spark, sf_dir)
-    return finish(fc.backtest_by_horizon(st, grid.STATION_SPEC, "us_aqi", a, b, HORIZONS))
+    g, a, b = _station_fit(spark, sf_dir)
+    return finish(fc.backtest_by_horizon(g, grid.STATION_SPEC, "us_aqi", a, b, HORIZONS, after=_ts(AS_OF)))
 
 
 @query
 def forecast_error_table(spark, sf_dir):
-    st, a, b = _station_fit(spark, sf_dir)
-    bt = fc.backtest_by_horizon(st, grid.STATION_SPEC, "us_aqi", a, b, [1])
+    g, a, b = _station_fit(spark, sf_dir)
+    bt = fc.backtest_by_horizon(g, grid.STATION_SPEC, "us_aqi", a, b, [1], after=_ts(AS_OF))
     return finish(fc.forecast_error_rows(bt.select(F.col("rmse").alias("base_rmse"))))
 
 
@@ -452,13 +511,10 @@ DEMO_COEFS = {"hour": 0.2, "day_of_week": -0.5, "month": 0.1, "is_weekend": 1.5,
 
 
 def _attribution_long(spark, sf_dir):
+    """Contributions of every row; the background is the whole table too."""
     f = feat.basic_features(tb.user_series(spark, sf_dir), U, target="value")
-    # the sample (500 rows) feeds several branches: materialize it once in the shared
-    # checkpoint folder instead of re-running the feature pipeline for each branch;
-    # it is also the background set, so the whole table is processed in one pass
-    sample = asof.hash_sample(f, ["event_id"], SAMPLE_ROWS, SAMPLE_SEED).checkpoint()
-    means = attr.background_means(sample, list(DEMO_COEFS))
-    return attr.linear_attribution(sample, "event_id", DEMO_COEFS, DEMO_INTERCEPT, means), sample
+    means = attr.background_means(f, list(DEMO_COEFS))
+    return attr.linear_attribution(f, "event_id", DEMO_COEFS, DEMO_INTERCEPT, means), f
 
 
 @query
@@ -481,8 +537,9 @@ def attribution_dependence(spark, sf_dir):
 
 @query
 def pick_examples(spark, sf_dir):
-    long, sample = _attribution_long(spark, sf_dir)
-    picks = attr.pick_examples(sample, "event_id", "value")
+    long, rows = _attribution_long(spark, sf_dir)
+    keyed = rows.withColumn("sample_key", asof.sample_hash(["event_id"], SAMPLE_SEED))
+    picks = attr.pick_examples(keyed, "event_id", "value")
     return finish(attr.explain_rows(long, picks, "event_id").select(
         "example", "event_id", "feature", "feature_value", "contribution", "rank"))
 

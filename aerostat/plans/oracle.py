@@ -166,7 +166,7 @@ ORACLE["hourly_grid"] = f"""WITH {TYPE_GRID}
 SELECT event_type, hour_ts, n_events, {r6('avg_value')} AS avg_value FROM tg"""
 
 ORACLE["join_sources"] = f"""WITH {STATION}
-SELECT city, timestamp, {r6('pm10')} AS pm10, {r6('pm2_5')} AS pm2_5,
+SELECT 'events' AS feed, city, timestamp, {r6('pm10')} AS pm10, {r6('pm2_5')} AS pm2_5,
   {r6('carbon_monoxide')} AS carbon_monoxide, {r6('nitrogen_dioxide')} AS nitrogen_dioxide,
   {r6('ozone')} AS ozone, {r6('sulphur_dioxide')} AS sulphur_dioxide, {r6('us_aqi')} AS us_aqi,
   {r6('european_aqi')} AS european_aqi, {r6('temperature')} AS temperature, {r6('humidity')} AS humidity,
@@ -242,22 +242,26 @@ STORED = f"stored AS (SELECT user_id, ts, event_id, value FROM events WHERE ts <
 LANDED = f"landed AS (SELECT user_id, ts, event_id, value FROM events WHERE ts >= {OVERLAP_FROM})"
 WM = "wm AS (SELECT user_id, max(ts) AS last_ts FROM stored GROUP BY user_id)"
 
-ORACLE["watermark"] = f"WITH {STORED}, {WM} SELECT user_id, last_ts FROM wm"
+ORACLE["watermark"] = "SELECT user_id, max(ts) AS last_ts FROM events GROUP BY user_id"
 
-ORACLE["fetch_ranges"] = f"""WITH {STORED}, {WM},
+LOAD_TIME = "TIMESTAMP '2024-01-19 12:00:00'"
+CLAMPED = f"""{WM},
+cl AS (SELECT user_id, CASE WHEN last_ts > {LOAD_TIME} THEN {LOAD_TIME} - INTERVAL 1 HOUR ELSE last_ts END AS last_ts FROM wm)"""
+
+ORACLE["fetch_ranges"] = f"""WITH wm AS (SELECT user_id, max(ts) AS last_ts FROM events GROUP BY user_id),
 c AS (SELECT user_id, CASE WHEN last_ts > {AS_OF} THEN {AS_OF} - INTERVAL 1 HOUR ELSE last_ts END AS last_ts FROM wm)
 SELECT user_id, last_ts, last_ts + INTERVAL 1 HOUR AS next_ts, CAST(last_ts + INTERVAL 1 HOUR AS DATE) AS from_date,
   CAST({AS_OF} AS DATE) AS to_date, last_ts + INTERVAL 1 HOUR <= {AS_OF} AS due
 FROM c"""
 
-ORACLE["incremental_rows"] = f"""WITH {STORED}, {LANDED}, {WM}
+ORACLE["incremental_rows"] = f"""WITH {STORED}, {LANDED}, {CLAMPED}
 SELECT l.user_id, l.ts, l.event_id, {r6('l.value')} AS value
-FROM landed l LEFT JOIN wm ON wm.user_id = l.user_id
+FROM landed l LEFT JOIN cl AS wm ON wm.user_id = l.user_id
 WHERE wm.last_ts IS NULL OR l.ts > wm.last_ts"""
 
-ORACLE["late_rows"] = f"""WITH {STORED}, {LANDED}, {WM}
+ORACLE["late_rows"] = f"""WITH {STORED}, {LANDED}, {CLAMPED}
 SELECT l.user_id, l.ts, l.event_id, {r6('l.value')} AS value
-FROM landed l JOIN wm ON wm.user_id = l.user_id
+FROM landed l JOIN cl AS wm ON wm.user_id = l.user_id
 WHERE l.ts <= wm.last_ts"""
 
 _UNION = f"""u AS (
@@ -319,7 +323,7 @@ FROM rs"""
 
 ORACLE["staleness"] = f"""WITH l AS (SELECT user_id, max(ts) AS ts FROM events WHERE ts <= {AS_OF} GROUP BY user_id)
 SELECT user_id, ts, date_diff('second', ts, {AS_OF}) AS age_seconds,
-  date_diff('second', ts, {AS_OF}) > 21600 AS is_stale
+  {AS_OF} > ts + INTERVAL 21600 SECOND AS is_stale
 FROM l"""
 
 ORACLE["min_history"] = f"""SELECT user_id, count(*) AS n_rows, count(*) >= 100 AS eligible
@@ -373,11 +377,12 @@ b AS (
          THEN 'train' ELSE 'test' END AS split
   FROM ev),
 fit AS (SELECT regr_intercept(value, mean3) AS a, regr_slope(value, mean3) AS b FROM b WHERE split = 'train'),
+bc AS (SELECT * FROM b WHERE value IS NOT NULL AND persistence IS NOT NULL AND mean3 IS NOT NULL AND seasonal_24 IS NOT NULL),
 lg AS (
-  SELECT split, 'persistence' AS model, value AS y, persistence AS pred FROM b
-  UNION ALL SELECT split, 'rolling_mean_3', value, mean3 FROM b
-  UNION ALL SELECT split, 'seasonal_24', value, seasonal_24 FROM b
-  UNION ALL SELECT split, 'linear_mean3', value, fit.a + fit.b * mean3 FROM b, fit),
+  SELECT split, 'persistence' AS model, value AS y, persistence AS pred FROM bc
+  UNION ALL SELECT split, 'rolling_mean_3', value, mean3 FROM bc
+  UNION ALL SELECT split, 'seasonal_24', value, seasonal_24 FROM bc
+  UNION ALL SELECT split, 'linear_mean3', value, fit.a + fit.b * mean3 FROM bc, fit),
 m AS (
   SELECT model, split, count(*) AS n, sqrt(avg((y - pred) * (y - pred))) AS rmse, avg(abs(y - pred)) AS mae,
     1.0 - sum((y - pred) * (y - pred)) / NULLIF(count(*) * var_pop(y), 0) AS r2
@@ -408,21 +413,23 @@ FROM n ORDER BY importance DESC, feature LIMIT 10"""
 
 # ---- forecasts over the station series
 
-STATION_FIT = STATION + f""",
+STATION_FIT = STATION_GRID + f""",
 sw AS (
-  SELECT city, timestamp, us_aqi,
-    CASE WHEN count(us_aqi) OVER (PARTITION BY city ORDER BY timestamp ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) = 3
-         THEN avg(us_aqi) OVER (PARTITION BY city ORDER BY timestamp ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) END AS x,
-    lead(us_aqi, 1) OVER (PARTITION BY city ORDER BY timestamp) AS y
-  FROM st WHERE timestamp <= {AS_OF}),
+  SELECT o.city, o.timestamp, (y2.us_aqi + y1.us_aqi + o.us_aqi) / 3.0 AS x, nx.us_aqi AS y
+  FROM sg o
+  LEFT JOIN sg y1 ON y1.city = o.city AND y1.timestamp = o.timestamp - INTERVAL 1 HOUR
+  LEFT JOIN sg y2 ON y2.city = o.city AND y2.timestamp = o.timestamp - INTERVAL 2 HOUR
+  LEFT JOIN sg nx ON nx.city = o.city AND nx.timestamp = o.timestamp + INTERVAL 1 HOUR AND nx.timestamp <= {AS_OF}
+  WHERE o.timestamp <= {AS_OF}),
 fit AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM sw)"""
 
 FORECAST = STATION_FIT + f""",
 tail AS (
-  SELECT city, timestamp, us_aqi,
+  SELECT city, timestamp,
+         last_value(us_aqi IGNORE NULLS) OVER (PARTITION BY city ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS us_aqi,
          row_number() OVER (PARTITION BY city ORDER BY timestamp DESC) AS rk,
          count(*) OVER (PARTITION BY city) AS n_past
-  FROM st WHERE timestamp <= {AS_OF}),
+  FROM sg WHERE timestamp <= {AS_OF}),
 state AS (
   SELECT city, max(CASE WHEN rk = 1 THEN timestamp END) AS last_ts,
     max(CASE WHEN rk = 3 THEN us_aqi END) AS w1, max(CASE WHEN rk = 2 THEN us_aqi END) AS w2,
@@ -461,11 +468,13 @@ coef AS (
        fit.b * ((cr.s1[4] + cr.s2[4] + cr.s3[4]) / 3.0)]
     FROM cr, fit WHERE cr.h < {max(horizons)})
   SELECT h, s3[1] AS k0, s3[2] AS k1, s3[3] AS k2, s3[4] AS k3 FROM cr WHERE h IN ({hs})),
-o AS (
-  SELECT lag(us_aqi, 2) OVER w AS y2, lag(us_aqi, 1) OVER w AS y1, us_aqi AS y0,
-    {", ".join(f"lead(us_aqi, {h}) OVER w AS a{h}" for h in horizons)}
-  FROM st WINDOW w AS (PARTITION BY city ORDER BY timestamp)),
-lg AS ({" UNION ALL ".join(f"SELECT {h} AS h, y2, y1, y0, a{h} AS actual FROM o" for h in horizons)}),
+lg AS (
+  SELECT hz.h, y2.us_aqi AS y2, y1.us_aqi AS y1, o.us_aqi AS y0, a.us_aqi AS actual
+  FROM sg o CROSS JOIN (SELECT unnest([{hs}]) AS h) AS hz
+  JOIN sg y1 ON y1.city = o.city AND y1.timestamp = o.timestamp - INTERVAL 1 HOUR
+  JOIN sg y2 ON y2.city = o.city AND y2.timestamp = o.timestamp - INTERVAL 2 HOUR
+  JOIN sg a ON a.city = o.city AND a.timestamp = o.timestamp + hz.h * INTERVAL 1 HOUR
+  WHERE o.timestamp > {AS_OF}),
 e AS (
   SELECT lg.h, lg.actual - (k0 + k1 * y2 + k2 * y1 + k3 * y0) AS err FROM lg JOIN coef ON coef.h = lg.h
   WHERE lg.actual IS NOT NULL AND (k0 + k1 * y2 + k2 * y1 + k3 * y0) IS NOT NULL),
@@ -500,7 +509,7 @@ f0 AS (
     {_guard('avg', 'value', 3, 'user_id', 'ts, event_id')} AS aqi_rolling_mean_3h
   FROM ev WINDOW w AS ({UW})),
 f AS (SELECT * FROM f0 WHERE COLUMNS(*) IS NOT NULL),
-s AS (SELECT *, {SAMPLE_KEY} AS sample_key FROM f ORDER BY sample_key, event_id LIMIT 500),
+s AS (SELECT *, {SAMPLE_KEY} AS sample_key FROM f),
 mu AS (SELECT {", ".join(f"avg({c}) AS {c}" for c in _DEMO)} FROM s),
 bp AS (
   SELECT s.event_id, s.value, s.sample_key,
@@ -561,6 +570,10 @@ SELECT nation, day, n_orders, {r6('revenue')} AS revenue,
   {r6('revenue - lag(revenue, 1) OVER (PARTITION BY nation ORDER BY day)')} AS revenue_change
 FROM g"""
 
+# the forms with cut series give the same rows
+for _name in ("lag_features", "rolling_mean", "change_features", "last_n", "split_80_20"):
+    ORACLE[_name + "_cut"] = ORACLE[_name]
+
 ORACLE["split_global"] = """SELECT user_id, ts, event_id,
   CASE WHEN row_number() OVER (ORDER BY ts, event_id) <= floor(0.8 * count(*) OVER ()) THEN 'train' ELSE 'test' END
     AS split

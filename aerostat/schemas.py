@@ -18,9 +18,9 @@ class SeriesSpec:
     ``bucket``  optional time bucket ("1 day", "1 hour"): windows are then
                 partitioned by (entity, bucket) with the preceding rows carried
                 in as context, so one huge series is split over many tasks.
-    ``hot_rows`` with a bucket: only entities estimated (from a sample) to hold at
-                least this many rows are split into time buckets; the others stay
-                whole. 0 splits every entity. The answer is exact either way.
+    ``hot_rows`` with a bucket: only entities that hold at least this many rows are
+                split, at about every ``hot_rows``-th row; the others stay whole. 0
+                splits every entity into time buckets. The answer is exact either way.
     """
 
     entity: tuple[str, ...]

@@ -13,19 +13,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from aerostat.functions.scalar import parse_time
+from aerostat.operators.windows import join_on_keys
+
 PAYLOAD_BLOCK = 1024  # max rows per derived payload object
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def land_payloads(events: DataFrame, measures: Sequence[str] = ("value", "k")) -> DataFrame:
-    """Group events into JSON-style payloads per (entity, day, id block), arrays in time order.
+    """Group events into JSON-style payloads per (entity, day), arrays in time order.
 
-    Each payload holds at most ``PAYLOAD_BLOCK`` rows, whatever the skew of an entity.
+    A day with more than ``PAYLOAD_BLOCK`` rows of one entity is dealt over several payloads by a hash of
+    the id, so a payload stays near that size whatever the skew of an entity.
     """
+    day = events.withColumn("day", F.to_date("ts"))
+    full = (day.groupBy("user_id", "day").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > PAYLOAD_BLOCK)
+            .withColumn("_blocks", F.ceil(F.col("_n") / PAYLOAD_BLOCK)).drop("_n"))
+    dealt = join_on_keys(day, full, ["user_id", "day"])
+    block = F.coalesce(F.pmod(F.xxhash64("event_id"), F.col("_blocks")), F.lit(0))
     rows = F.sort_array(F.collect_list(F.struct("ts", "event_id", *measures)))
-    g = (events.groupBy(F.col("user_id").alias("city"), F.to_date("ts").alias("day"),
-                        F.floor(F.col("event_id") / PAYLOAD_BLOCK).alias("block"))
-         .agg(rows.alias("r")))
+    g = dealt.groupBy(F.col("user_id").alias("city"), "day", block.alias("block")).agg(rows.alias("r"))
     hourly = F.struct(
         F.transform("r", lambda x: F.date_format(x["ts"], TIME_FORMAT)).alias("time"),
         *[F.transform("r", _field(m)).alias(m) for m in measures])
@@ -40,25 +47,33 @@ def read_payload_json(spark: SparkSession, path: str, schema: T.StructType) -> D
     return spark.read.schema(schema).json(path)
 
 
-def split_unequal(payload: DataFrame, arrays: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(payloads whose arrays all have the same length, the rest for quarantine).
+def split_unequal(payload: DataFrame, arrays: Sequence[str], time: str = "time") -> tuple[DataFrame, DataFrame]:
+    """(payloads whose arrays all have the same length and whose times all parse, the rest for quarantine).
 
-    A missing variable (NULL array) counts as length 0.
+    A missing variable (NULL array) counts as length 0; a NULL time is a bad one.
     """
     sizes = [F.coalesce(F.size(F.col(f"hourly.{a}")), F.lit(0)) for a in arrays]
     same = F.lit(True)
     for s in sizes[1:]:
         same = same & (s == sizes[0])
+    if time in arrays:
+        same = same & ~F.coalesce(F.exists(F.col(f"hourly.{time}"), lambda t: parse_time(t).isNull()), F.lit(False))
     tagged = payload.withColumn("_same", same)
     return tagged.filter("_same").drop("_same"), tagged.filter(~F.col("_same")).drop("_same")
 
 
+def quarantine(bad: DataFrame, path: str, source: str) -> None:
+    """Append payloads that were set aside, as JSON text with their source, for a later look."""
+    bad.select(F.lit(source).alias("source"), F.current_timestamp().alias("at"), F.to_json(F.struct("*")).alias("payload")) \
+        .write.mode("append").parquet(path)
+
+
 def explode_payload(payload: DataFrame, measures: Sequence[str], renames: dict[str, str] | None = None,
                     keep: Sequence[str] = ("city",)) -> DataFrame:
-    """One row per time element: ``inline(arrays_zip(time, m1, ...))``, time parsed to TIMESTAMP."""
+    """One row per time element: ``inline(arrays_zip(time, m1, ...))``, time parsed to TIMESTAMP (NULL if it cannot be)."""
     zipped = F.arrays_zip(*[F.col(f"hourly.{c}").alias(c) for c in ["time", *measures]])
     out = payload.select(*keep, F.inline(zipped))
-    out = out.withColumn("timestamp", F.to_timestamp("time")).drop("time")
+    out = out.withColumn("timestamp", parse_time(F.col("time"))).drop("time")
     if renames:
         out = out.withColumnsRenamed({k: v for k, v in renames.items() if k in measures})
     return out.select(*keep, "timestamp", *[(renames or {}).get(m, m) for m in measures])

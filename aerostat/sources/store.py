@@ -57,16 +57,29 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType, parti
         spark.createDataFrame([], schema).write.partitionBy(*partition_by).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a path of ours through Spark's file system layer (a missing one is fine)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def upsert_table(spark: SparkSession, new: DataFrame, path: str, key: Sequence[str], order: Sequence[str] = (),
-                 partition_col: str = "date", resolve: str = "new") -> str:
+                 partition_col: str = "date", resolve: str = "new", ts: str | None = None) -> None:
     """Keyed insert into a date-partitioned Parquet table.
 
     ``resolve="new"``: rows of ``new`` replace stored rows with the same key
     (within ``new``, the largest ``order`` wins). ``resolve="first"`` / ``"last"``:
     the row with the smallest / largest ``order`` wins wherever it came from,
     which makes a stream of batches equal to one batch in any arrival order.
-    Returns the staging path that was used.
+
+    Keys are resolved inside the dates that ``new`` touches, so the key has to fix
+    the date: name the time column as ``ts`` to have that checked. An empty ``new`` changes nothing. Files
+    per date follow the data (``REBALANCE``), and the staging folder goes when the swap is done.
     """
+    if ts is not None and ts not in key:
+        raise ValueError(f"the key {list(key)} does not fix the partition: it lacks {ts}")
+    if new.isEmpty():
+        return
     staging = shared_path(spark, "staging", f"upsert-{uuid.uuid4().hex}")
     if not table_exists(spark, path):
         if resolve == "first":
@@ -83,19 +96,10 @@ def upsert_table(spark: SparkSession, new: DataFrame, path: str, key: Sequence[s
             merged = upsert_latest(old, incoming, key, order)
         else:
             merged = merge_by_order(old, incoming, key, order, resolve)
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(staging)
-    (spark.read.parquet(staging).write.mode("overwrite")
+    merged.hint("rebalance", partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(staging)
+    (spark.read.parquet(staging).hint("rebalance", partition_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    return staging
-
-
-def append_keep_first(spark: SparkSession, new: DataFrame, path: str, key: Sequence[str], order: Sequence[str],
-                      partition_col: str = "date") -> None:
-    """Append rows whose key is not stored yet (stored rows win), deduplicated by ``order``."""
-    fresh = dedup_keep_first(new, key, order)
-    if table_exists(spark, path):
-        fresh = fresh.join(spark.read.parquet(path).select(*key), on=list(key), how="left_anti")
-    fresh.write.mode("append").partitionBy(partition_col).parquet(path)
+    remove(spark, staging)
 
 
 def snapshot(df: DataFrame, base: str, version: str) -> str:
@@ -106,15 +110,17 @@ def snapshot(df: DataFrame, base: str, version: str) -> str:
 
 
 def snapshot_or_live(df: DataFrame, base: str, version: str) -> tuple[DataFrame, str]:
-    """Freeze ``df`` as a snapshot and read it back; if that fails, train on the live frame.
+    """Freeze ``df`` as a snapshot and read it back; where that version is frozen already, read that one.
 
-    Returns (frame, label) where label is the snapshot version or "live".
+    Only if no snapshot can be written or read does training fall back to the live frame. Returns (frame,
+    label) where label is the snapshot version or "live".
     """
+    spark = df.sparkSession
     try:
-        path = snapshot(df, base, version)
-        return df.sparkSession.read.parquet(path), version
+        return spark.read.parquet(snapshot(df, base, version)), version
     except AnalysisException:
-        return df, "live"
+        frozen = f"{base.rstrip('/')}/v={version}"
+        return (spark.read.parquet(frozen), version) if table_exists(spark, frozen) else (df, "live")
 
 
 def register_metrics(spark: SparkSession, registry: str, model: str, version: int, metrics: dict[str, float],
@@ -144,6 +150,12 @@ def write_csv_sorted(df: DataFrame, path: str, ts: str, partitions: int | None =
 
 
 def register_view(df: DataFrame, name: str) -> DataFrame:
-    """A named, saved query over a table (re-creating an existing view is fine)."""
+    """A named query for this session (re-creating an existing view is fine)."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+def save_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """A named query kept in the catalog: other sessions on the same catalog see it, and it reads the data of the day."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    return spark.table(name)

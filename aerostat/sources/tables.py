@@ -13,14 +13,15 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from aerostat.schemas import SeriesSpec
 
-# Users holding about a million rows or more are split into daily buckets; the rest stay whole.
+# Users holding a million rows or more are split at about every millionth row; the rest stay whole.
 USER_SPEC = SeriesSpec(entity=("user_id",), ts="ts", order=("event_id",), target="value", bucket="1 day",
                        hot_rows=1_000_000)
 USER_SPEC_SPLIT_ALL = USER_SPEC.with_(hot_rows=0)
+USER_SPEC_CUT = USER_SPEC.with_(hot_rows=20)  # the same plan as for a series of billions, on small tables
 USER_SPEC_PLAIN = USER_SPEC.with_(bucket=None)
 
 
@@ -33,12 +34,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[st
     return df.select(*columns) if columns else df
 
 
+def nan_to_null(c: Column) -> Column:
+    """A measurement that is not a number is a missing one."""
+    return F.when(~F.isnan(c), c)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with ``ts`` as TIMESTAMP and the JSON measure ``k`` parsed."""
     df = read_table(spark, sf_dir, "events")
     return df.select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
-        F.get_json_object("props", "$.k").try_cast("double").alias("k"))
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type",
+        nan_to_null(F.col("value")).alias("value"),
+        nan_to_null(F.get_json_object("props", "$.k").try_cast("double")).alias("k"))
 
 
 def user_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,11 +62,6 @@ def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "o_orderkey", F.col("o_totalprice").alias("value")))
 
 
-def to_ntz(df: DataFrame, *cols: str) -> DataFrame:
-    """Cast TIMESTAMP columns back to TIMESTAMP_NTZ for output (same wall clock in a UTC session)."""
-    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
-
-
 def first_available(loaders: Sequence[tuple[str, Callable[[], DataFrame]]]) -> tuple[DataFrame, str]:
     """Return the first loader that resolves, with its label (source fallback chain).
 

@@ -1,5 +1,6 @@
 """Model tests: bounds against the mean predictor, fixed seed, save/load equality, attribution, recursion."""
 
+import datetime as dt
 import os
 
 import pytest
@@ -10,9 +11,10 @@ from aerostat.operators import attribution as attr
 from aerostat.operators import forecast as fc
 from aerostat.operators import windows as win
 from aerostat.operators.features import BASIC_FEATURES, basic_features
-from aerostat.operators.grid import STATION_SPEC, station_series
+from aerostat.operators.grid import STATION_SPEC, hourly_grid, station_series
 from aerostat.operators.metrics import best_model, regression_metrics, top_k
 from aerostat.operators.split import time_split
+from aerostat.sources import store
 from aerostat.sources import tables as tb
 from tests.conftest import SF001, SF01
 
@@ -99,8 +101,62 @@ def test_monte_carlo_shapley_exact_for_linear(spark, frame):
     assert j.filter(F.abs(F.col("contribution") - F.col("c2")) > 1e-6).count() == 0
 
 
+def test_tree_shapley_adds_up(spark, small_frame):
+    """Contributions of a forest add up to its prediction minus the background's, under any partitioning."""
+    feats = ["aqi_lag_1h", "aqi_rolling_mean_3h", "hour", "is_weekend"]
+    forest = train.fit(small_frame.filter("split = 'train'"), feats, "value", "random_forest", numTrees=8, maxDepth=5)
+    bg = {f: float(v) for f, v in small_frame.agg(*[F.avg(f).alias(f) for f in feats]).first().asDict().items()}
+    sample = small_frame.orderBy("event_id").limit(25)
+    mc = attr.monte_carlo_shapley(sample, "event_id", feats, bg, forest.stages[-1], permutations=4)
+    base = forest.transform(spark.createDataFrame([tuple(bg[f] for f in feats)], feats)).first().prediction
+    want = {r.event_id: r.prediction - base for r in forest.transform(sample).collect()}
+    got = {r.event_id: r.s for r in mc.groupBy("event_id").agg(F.sum("contribution").alias("s")).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    again = attr.monte_carlo_shapley(sample.repartition(7), "event_id", feats, bg, forest.stages[-1], permutations=4)
+    a, b = ({(r.event_id, r.feature): round(r.contribution, 9) for r in x.collect()} for x in (mc, again))
+    assert a == b
+
+
+def test_label_is_the_next_value_by_default(spark):
+    e = tb.user_series(spark, SF001).select("user_id", "ts", "event_id", "value")
+    rows = train.aligned(e, U, "value").orderBy("user_id", "ts", "event_id").collect()
+    users = e.select("user_id").distinct().count()
+    assert len(rows) == e.count() - users
+    for a, b in zip(rows, rows[1:]):
+        assert a.user_id != b.user_id or a.label == b.value
+    same = train.aligned(e, U, "value", align="same")
+    assert same.filter("label != value").count() == 0 and same.count() == e.count()
+    with pytest.raises(ValueError):
+        train.aligned(e, U, "value", align="previous")
+
+
+def test_versions_registry_and_fallback(spark, small_frame, scratch):
+    base, reg = os.path.join(scratch, "models"), os.path.join(scratch, "registry")
+    for version, kind, align in ((20240101, "linear", "next"), (20240102, "linear", "same"), (20240101, "random_forest", "next")):
+        options = {"numTrees": 5, "maxDepth": 4} if kind == "random_forest" else {}
+        train.train_and_register(spark, small_frame, U, BASIC_FEATURES, "value", kind, base, reg, version, "20240101", align, **options)
+    assert train.saved_versions(spark, base, "linear") == [20240101, 20240102]
+    with pytest.raises(Exception):
+        train.save_version(train.load(train.version_path(base, "linear", 20240101)), base, "linear", 20240101)
+    _, kind, version = train.load_latest(spark, base, ["lstm", "linear", "random_forest"])
+    assert (kind, version) == ("linear", 20240102)
+    store.remove(spark, train.version_path(base, "linear", 20240102) + "/metadata")  # damaged: the one before it serves
+    assert train.load_latest(spark, base, ["linear"])[1:] == ("linear", 20240101)
+    with pytest.raises(LookupError):
+        train.load_latest(spark, base, ["lstm"])
+    newest = {(r.model, r.version): r.value for r in spark.read.parquet(reg).filter("metric = 'rmse'").collect()}
+    best = train.best_registered(spark, reg, ["random_forest", "linear"]).first()
+    assert best.rmse == min(newest["linear", 20240102], newest["random_forest", 20240101])
+    imp = spark.read.parquet(os.path.join(base, "importances"))
+    assert imp.count() == len(BASIC_FEATURES) and abs(imp.agg(F.sum("importance")).first()[0] - 1) < 1e-9
+
+
+def _grid(spark):
+    return hourly_grid(station_series(tb.events(spark, SF01)), STATION_SPEC)
+
+
 def test_fold_equals_step_loop(spark):
-    st = station_series(tb.events(spark, SF01))
+    st = _grid(spark)
     a, b = fc.fit_ar3(fc.ar3_training_rows(st, STATION_SPEC, "us_aqi"))
     state = fc.forecast_state(st, STATION_SPEC, "us_aqi")
     folded = fc.recursive_forecast(state, ["city"], a, b, hours=10).orderBy("city", "horizon_h").collect()
@@ -114,22 +170,64 @@ def test_fold_equals_step_loop(spark):
             w = [w[1], w[2], p]
 
 
-def test_recursive_with_spark_model(spark):
-    st = station_series(tb.events(spark, SF01))
-    spec = STATION_SPEC
-
-    def featurize(df):
-        return win.windowed(df, spec, [lambda cx: {"lag1": cx.lag("us_aqi", 1), "lag2": cx.lag("us_aqi", 2)}],
-                            context_rows=2, context_cols=["us_aqi"]).na.fill(0.0, ["lag1", "lag2"])
-
-    model = train.fit(featurize(st).na.drop(subset=["us_aqi"]), ["lag1", "lag2"], "us_aqi", "linear")
-    seed = fc.last_n(st, spec, 5).drop("rank_from_end").select("city", "timestamp", "us_aqi", "pm10")
-    out = fc.recursive_with_model(seed, spec, featurize, model, hours=4, target="us_aqi", checkpoint_every=2)
-    rows = out.collect()
-    assert len(rows) == 4 * st.select("city").distinct().count()
-    assert sorted({r.horizon_h for r in rows}) == [1, 2, 3, 4]
-    # the first step predicts from the last observed rows: equal to scoring them directly
-    last = featurize(seed).join(seed.groupBy("city").agg(F.max("timestamp").alias("m")), "city") \
-        .filter(F.col("timestamp") == F.col("m"))
-    direct = {r.city: r.prediction for r in model.transform(last).collect()}
-    assert all(abs(r.us_aqi - direct[r.city]) < 1e-9 for r in rows if r.horizon_h == 1)
+def test_horizon_is_hours_with_a_missing_hour(spark):
+    """One hour is missing: the error at horizon h compares with the value h hours ahead, or with none."""
+    t0 = dt.datetime(2024, 1, 1)
+    hours = [h for h in range(12) if h != 7]
+    rows = spark.createDataFrame([("c", t0 + dt.timedelta(hours=h), float(h * h)) for h in hours], "city string, timestamp timestamp, us_aqi double")
+    grid = hourly_grid(rows, STATION_SPEC)
+    out = {r.horizon_h: r for r in fc.backtest_by_horizon(grid, STATION_SPEC, "us_aqi", F.lit(0.0), F.lit(0.0), [1, 2], after=F.lit(t0 + dt.timedelta(hours=3))).collect()}
+    origins = [h for h in range(4, 12) if all(h - k in hours for k in range(3))]
+    for k in (1, 2):
+        actual = [(h + k) ** 2 for h in origins if h + k in hours]
+        assert out[k].n == len(actual) and out[k].rmse == pytest.approx((sum(x * x for x in actual) / len(actual)) ** 0.5)
+
+
+def model_inputs(values, ts):
+    return {"lag1": fc.value_back(values, 0), "lag2": fc.value_back(values, 1), "lag24": fc.value_back(values, 23),
+            "mean3": fc.mean_back(values, 3), "hour": F.hour(ts).cast("double")}
+
+
+INPUTS = ["lag1", "lag2", "lag24", "mean3", "hour", "european_aqi"]
+
+
+def test_recursion_of_a_forest_over_72_hours(spark):
+    """Default parameters, a tree model: equal to a plain loop, and every step adds the same to the plan."""
+    g = _grid(spark).select("city", "timestamp", "us_aqi", "european_aqi").withColumn("european_aqi", F.coalesce("european_aqi", F.lit(0.0)))
+    filled = win.forward_fill(g, STATION_SPEC, ["us_aqi"], zero_fill=False)
+    lags = win.windowed(filled, STATION_SPEC, [lambda cx: {
+        "lag1": F.col("us_aqi"), "lag2": cx.lag("us_aqi", 1), "lag24": cx.lag("us_aqi", 23), "mean3": cx.guarded(F.avg, "us_aqi", 3),
+        "label": F.lead("us_aqi", 1).over(cx.w)}]).withColumn("hour", F.hour("timestamp").cast("double")).na.drop("any")
+    forest = train.fit(lags, INPUTS, "label", "random_forest", numTrees=6, maxDepth=5)
+    out = fc.recursive_with_model(g, STATION_SPEC, "us_aqi", forest, model_inputs, carry=["european_aqi"]).collect()
+    cities = [r.city for r in g.select("city").distinct().collect()]
+    assert sorted((r.city, r.horizon_h) for r in out) == sorted((c, h) for c in cities for h in range(1, 73))
+    got = {(r.city, r.horizon_h): r for r in out}
+    city = cities[0]
+    past = filled.filter(F.col("city") == city).orderBy("timestamp").collect()
+    values, last = [r.us_aqi for r in past][-25:], past[-1]
+    for h in range(1, 73):
+        at = last.timestamp + dt.timedelta(hours=h - 1)
+        row = (values[-1], values[-2], values[-24], sum(values[-3:]) / 3, float(at.hour), last.european_aqi)
+        if h <= 4 or h % 24 == 0:  # the loop's own predictions come from the result, checked here and there by the model itself
+            want = forest.transform(spark.createDataFrame([row], INPUTS)).first().prediction
+            assert got[city, h].predicted == pytest.approx(want, rel=1e-9), h
+        assert got[city, h].timestamp == at + dt.timedelta(hours=1)
+        values = (values + [got[city, h].predicted])[-25:]
+
+
+def test_recursion_plan_grows_by_a_constant_and_short_histories_get_none(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("long", t0 + dt.timedelta(hours=h), float(h % 24)) for h in range(120)] + [("short", t0 + dt.timedelta(hours=h), 1.0) for h in range(99)]
+    g = spark.createDataFrame(rows, "city string, timestamp timestamp, us_aqi double")
+    train_rows = g.select(F.col("us_aqi").alias("lag1"), (F.col("us_aqi") * 0.5 + 1).alias("label"))
+    model = train.fit(train_rows, ["lag1"], "label", "linear")
+    inputs = lambda v, t: {"lag1": fc.value_back(v, 0)}
+
+    def nodes(hours):
+        df = fc.recursive_with_model(g, STATION_SPEC, "us_aqi", model, inputs, hours=hours, checkpoint_every=100)
+        return len(df._jdf.queryExecution().analyzed().toString().splitlines())
+    sizes = [nodes(h) for h in (2, 4, 6, 8)]
+    assert len({b - a for a, b in zip(sizes, sizes[1:])}) == 1
+    out = fc.recursive_with_model(g, STATION_SPEC, "us_aqi", model, inputs, hours=3).collect()
+    assert {r.city for r in out} == {"long"} and len(out) == 3

@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as ent
+from aerostat.plans.catalog import QUERIES
 from tests.conftest import SF001
 from tools.oracle_check import TABLES, rows_of
 
-NAMES = sorted(ent.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +25,7 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(ent.oracle_sql()) == set(ent.queries())
+    assert set(NAMES) <= set(ent.oracle_sql()) and set(NAMES) <= set(ent.queries())
 
 
 SPARK_TO_DUCK = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",

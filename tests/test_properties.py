@@ -150,3 +150,32 @@ def test_best_model_ties_follow_priority(spark):
                                ("random_forest", "test", 1.0, 0.3, 0.9), ("lstm", "train", 0.1, 0.1, 0.9)],
                               "model string, split string, rmse double, mae double, r2 double")
     assert best_model(m, ["lstm", "xgboost", "random_forest"]).first().model == "xgboost"
+
+
+def test_plans_of_scaling_and_alerts(spark):
+    """One subquery for any number of scaled columns; the alert table scans its source once."""
+    from aerostat.operators.alerts import alert_table
+    e = tb.user_series(spark, SF01)
+    wide = e.select("value", *[(F.col("value") * i).alias(f"c{i}") for i in range(12)])
+    fit = scale.fit_minmax(wide, wide.columns)
+    plan = scale.minmax_transform(wide, fit)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("scalar-subquery") == 1
+    alerts = alert_table(e.select("user_id", "ts", "event_id", "value"), tb.USER_SPEC_PLAIN, "value", F.lit("2024-01-25 12:00:00").cast("timestamp"))
+    physical = alerts._jdf.queryExecution().sparkPlan().toString()
+    assert physical.count("FileScan") == 1 and "Join" not in physical
+
+
+def test_metrics_over_common_rows(spark):
+    from aerostat.operators.metrics import common_row_metrics
+    df = spark.createDataFrame([("test", 1.0, 2.0, None), ("test", 3.0, 1.0, 3.0), ("test", 5.0, 5.0, 4.0), ("train", None, 1.0, 1.0)], "split string, y double, a double, b double")
+    got = {(r.model, r.split): (r.n, round(r.mae, 6)) for r in common_row_metrics(df, "y", {"a": F.col("a"), "b": F.col("b")}).collect()}
+    assert got == {("a", "test"): (2, 1.0), ("b", "test"): (2, 0.5)}
+
+
+def test_global_cut_with_rows_without_a_time(spark):
+    from aerostat.operators.split import global_time_split
+    e = tb.user_series(spark, SF01).select("user_id", "ts", "event_id").withColumn("ts", F.when(F.col("event_id") % 2 == 0, F.col("ts")))
+    got = global_time_split(e, U, 0.8)
+    w = Window.orderBy(F.col("ts").asc_nulls_last(), "event_id")
+    ref = e.withColumn("split", F.when(F.row_number().over(w) <= int(0.8 * e.count()), "train").otherwise("test"))
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0

@@ -141,7 +141,9 @@ def test_small_helpers(spark, scratch):
     frame, label = store.snapshot_or_live(df, os.path.join(scratch, "snaps"), "20240102")
     assert label == "20240102" and frame.count() == 2
     frame2, label2 = store.snapshot_or_live(df, os.path.join(scratch, "snaps"), "20240102")   # same day again
-    assert label2 == "live" and frame2.count() == 2
+    assert label2 == "20240102" and frame2.count() == 2   # the frozen rows of that day, not the live ones
+    changed, label3 = store.snapshot_or_live(df.limit(1), os.path.join(scratch, "snaps"), "20240102")
+    assert label3 == "20240102" and changed.count() == 2
 
 
 def test_read_range_prunes_partitions(spark, scratch):
@@ -153,3 +155,61 @@ def test_read_range_prunes_partitions(spark, scratch):
     assert "PartitionFilters: [isnotnull(date" in plan and "GreaterThanOrEqual(ts," in plan
     want = e.filter((F.col("ts") >= "2024-01-10 06:00:00") & (F.col("ts") < "2024-01-12 00:00:00")).count()
     assert df.count() == want > 0
+
+
+def test_empty_upsert_and_key_check(spark, scratch):
+    e = store.with_date_partition(tb.user_series(spark, SF001).select("user_id", "ts", "event_id", "value"), "ts")
+    path = os.path.join(scratch, "t")
+    store.upsert_table(spark, e.limit(0), path, ["user_id", "ts"], ["event_id"], ts="ts")
+    assert not store.table_exists(spark, path)
+    store.upsert_table(spark, e, path, ["user_id", "ts"], ["event_id"], ts="ts")
+    store.upsert_table(spark, e.limit(0), path, ["user_id", "ts"], ["event_id"], ts="ts")
+    assert spark.read.parquet(path).count() == e.count()
+    with pytest.raises(ValueError):
+        store.upsert_table(spark, e, path, ["user_id"], ["event_id"], ts="ts")
+    files = sum(len([f for f in fs if f.endswith(".parquet")]) for _, _, fs in os.walk(path))
+    assert files <= 2 * e.select("date").distinct().count()
+
+
+def test_staging_is_removed(spark, scratch):
+    from aerostat.session import shared_path
+    e = store.with_date_partition(tb.user_series(spark, SF001).select("user_id", "ts", "event_id", "value"), "ts")
+    store.upsert_table(spark, e, os.path.join(scratch, "t"), ["user_id", "ts"], ["event_id"])
+    staging = shared_path(spark, "staging").removeprefix("file:")
+    assert not os.path.exists(staging) or not os.listdir(staging)
+
+
+def test_bad_payloads_go_to_quarantine(spark, scratch):
+    schema = "city string, hourly struct<time: array<string>, a: array<double>>"
+    p = spark.createDataFrame([("ok", (["2025-01-01T00:00"], [1.0])), ("bad time", (["2025-01-01T00:00", "yesterday"], [1.0, 2.0])),
+                               ("no time", ([None], [1.0])), ("unequal", (["2025-01-01T00:00"], []))], schema)
+    good, bad = pl.split_unequal(p, ["time", "a"])
+    path = os.path.join(scratch, "quarantine")
+    pl.quarantine(bad, path, "air")
+    assert [r.city for r in pl.explode_payload(good, ["a"]).collect()] == ["ok"]
+    kept = spark.read.parquet(path).collect()
+    assert len(kept) == 3 and all(r.source == "air" and '"city"' in r.payload for r in kept)
+
+
+def test_payloads_stay_bounded_for_a_full_day(spark):
+    rows = spark.range(5000).select(F.col("id").alias("event_id"), F.lit(1).cast("long").alias("user_id"), F.col("id").cast("double").alias("value"),
+                                    F.lit(None).cast("double").alias("k"), F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("ts"))
+    sizes = [r.n for r in pl.land_payloads(rows).select(F.size("hourly.time").alias("n")).collect()]
+    assert sum(sizes) == 5000 and max(sizes) < 1.3 * pl.PAYLOAD_BLOCK
+
+
+def test_stale_by_a_fraction_of_a_second_and_overflow_counts(spark):
+    import datetime as dt
+    from aerostat.functions.scalar import cast_overflows, is_stale
+    now = dt.datetime(2024, 1, 1, 12)
+    df = spark.createDataFrame([(now - dt.timedelta(hours=6),), (now - dt.timedelta(hours=6, microseconds=500_000),)], "ts timestamp")
+    assert [r.s for r in df.select(is_stale(F.col("ts"), F.lit(now), 6 * 3600).alias("s")).collect()] == [False, True]
+    assert cast_overflows(spark.createDataFrame([(2**40, 1), (None, 2), (5, 3)], "a long, b long")).first().asDict() == {"a": 1, "b": 0}
+
+
+def test_view_in_the_catalog(spark, scratch):
+    path = os.path.join(scratch, "v")
+    spark.range(4).write.parquet(path)
+    store.save_view(spark, "kept_view", f"SELECT id FROM parquet.`{path}` WHERE id > 1")
+    assert spark.newSession().table("kept_view").count() == 2
+    spark.sql("DROP VIEW kept_view")

@@ -115,5 +115,65 @@ def test_feature_refresh_reads_old_history_only_when_needed(spark, scratch):
     got = spark.read.parquet(feats).select("user_id", "ts", "event_id", "lag_24", "mean_6")
     want = build(e).select("user_id", "ts", "event_id", "lag_24", "mean_6")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    assert spark.read.parquet(raw + "_entity_index").count() == e.select("user_id").distinct().count()
+    index = ingest.entity_index(spark, raw)
+    assert index.count() == e.select("user_id").distinct().count() and ingest.index_versions(spark, raw) == [0, 1, 2]
     assert store.table_exists(spark, raw)
+
+
+def _rows(spark, path):
+    return sorted(map(tuple, spark.read.parquet(path).select("user_id", "ts", "event_id", "value").collect()))
+
+
+def test_empty_all_late_and_repeated_batches(spark, scratch):
+    e = tb.user_series(spark, SF01).select("user_id", "ts", "event_id", "value")
+    table, late = os.path.join(scratch, "t"), os.path.join(scratch, "late")
+    clock = lambda: F.lit("2024-02-01 00:00:00").cast("timestamp")
+    sink = ingest.late_splitting_sink(table, late, tb.USER_SPEC, KEY, ["event_id"], as_of=clock)
+    batches = [e.limit(0), e.filter(F.col("ts") < "2024-01-20"), e.filter(F.col("ts") >= "2024-01-19"),
+               e.filter(F.col("ts") < "2024-01-02").withColumn("event_id", F.col("event_id") + 1_000_000), e.limit(0)]
+    for epoch, b in enumerate(batches):
+        sink(b, epoch)
+    want = _rows(spark, table), _rows(spark, late)
+    assert len(want[0]) == e.count()
+    sink(batches[3], 3)   # delivered again: the same rows are late, the same rows are stored
+    assert (_rows(spark, table), _rows(spark, late)) == want
+
+
+def test_a_row_from_the_future_does_not_stop_the_feed(spark, scratch):
+    e = tb.user_series(spark, SF01).select("user_id", "ts", "event_id", "value").filter("user_id = 1")
+    table, late = os.path.join(scratch, "t"), os.path.join(scratch, "late")
+    clock = lambda: F.lit("2024-01-10 00:00:00").cast("timestamp")
+    sink = ingest.late_splitting_sink(table, late, tb.USER_SPEC, KEY, ["event_id"], as_of=clock)
+    future = e.limit(1).withColumn("ts", F.lit("2030-01-01 00:00:00").cast("timestamp")).withColumn("event_id", F.lit(10**9))
+    sink(future.unionByName(e.filter(F.col("ts") < "2024-01-05")), 0)
+    sink(e.filter(F.col("ts") >= "2024-01-10"), 1)
+    assert spark.read.parquet(table).filter(F.col("ts") >= "2024-01-10").count() == e.filter(F.col("ts") >= "2024-01-10").count() + 1
+
+
+def test_a_crash_leaves_the_older_index(spark, scratch):
+    e = tb.user_series(spark, SF01).select("user_id", "ts", "event_id", "value")
+    table = os.path.join(scratch, "t")
+    ingest.update_entity_index(spark, e, tb.USER_SPEC, table, 0)
+    os.makedirs(os.path.join(ingest.index_path(table), "v=1"))   # begun, never finished
+    assert ingest.index_versions(spark, table) == [0]
+    assert ingest.entity_index(spark, table).count() == e.select("user_id").distinct().count()
+    for epoch in range(1, 6):
+        ingest.update_entity_index(spark, e.limit(1), tb.USER_SPEC, table, epoch)
+    assert ingest.index_versions(spark, table) == [3, 4, 5]
+
+
+def test_refresh_pads_over_a_long_gap(spark, scratch):
+    """Forty rows without a value between the last value and the new row: stream and batch pad alike."""
+    import datetime as dt
+    from aerostat.operators import windows as win
+    from aerostat.sources import store
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, t0 + dt.timedelta(hours=h), h, 5.0 + h if h < 3 or h >= 43 else None) for h in range(46)]
+    e = spark.createDataFrame(rows, "user_id long, ts timestamp, event_id long, value double")
+    raw = os.path.join(scratch, "raw")
+    store.upsert_table(spark, store.with_date_partition(e, "ts"), raw, KEY, ["event_id"])
+    build = lambda df: win.windowed(df, tb.USER_SPEC_PLAIN, [lambda cx: {"p": cx.padded_prev("value")}])
+    new = e.filter(F.col("event_id") >= 43)
+    got = ingest.refresh_features(spark, raw, new, tb.USER_SPEC_PLAIN, build, 24, "12 hours", fill_col="value")
+    want = build(e).filter(F.col("event_id") >= 43)
+    assert sorted((r.event_id, r.p) for r in got.collect()) == sorted((r.event_id, r.p) for r in want.collect()) == [(43, 7.0), (44, 48.0), (45, 49.0)]
