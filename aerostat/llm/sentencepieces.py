@@ -1,10 +1,11 @@
 """SentencePiece encoding by a batched Viterbi in numpy, and decoding.
 
 The model file gives pieces and scores. A text is normalised as the file says, its spaces become the
-mark U+2581, and it is cut into units (marks and what follows them); no piece crosses a unit's start,
-else the whole text is one unit. Units of equal length advance together: for each end position and
-piece length the polynomial hashes of all units' substrings probe the sorted keys of the pieces of that
-length, and the maxima over the lengths, longest first, store the back pointers. A character that no
+mark U+2581, and it is cut into units (marks and what follows them, and line ends); no piece crosses a
+unit's start, else the whole text is one unit. Units of equal length advance together: for each end
+position and piece length the polynomial hashes of all units' substrings probe the sorted keys of the
+pieces of that length (after a bit table that sorts out most of those that are no piece), and the
+maxima over the lengths, longest first, store the back pointers. A character that no
 single-character piece covers costs 10 more than the worst piece and comes out as its byte pieces (or as the
 unknown id, if the file has none). Each result is compared with its unit; a hash collision would be
 seen there and is then solved by plain comparison of strings.
@@ -17,6 +18,7 @@ give no rows; columns beside those named are kept as they are by :func:`encode`
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,8 @@ CACHE_UNITS = 250_000
 DECODE_ROWS = 500
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNKNOWN_COST = 10.0
-_UNITS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_UNITS = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
+_BITS = np.uint64(64 - 18)  # of a key, for the bit tables
 _LIVE: dict[str, "Pieces"] = {}
 
 
@@ -60,25 +63,28 @@ class Pieces:
         self.score = {names[i]: self.lib.get_score(i) for i in normal}
         self.id_of = {names[i]: i for i in normal}
         self.unknown_score = min(self.score.values()) - _UNKNOWN_COST
-        self.by_unit = not any(MARK in p.lstrip(MARK) for p in self.score)
+        self.by_unit = not any(MARK in p.lstrip(MARK) or "\n" in p for p in self.score)
+        self.text = names
         self.out = [b"" if self.lib.is_control(i) else b"\xe2\x81\x87" if i == self.unknown else names[i].encode() for i in range(n)]
         for b, i in self.bytes_id.items():
             self.out[i] = bytes([b])
-        #: per piece length: sorted hash keys, scores, ids
-        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        #: per piece length: sorted hash keys, scores, ids, bit table
+        self.tables: dict[int, tuple[np.ndarray, ...]] = {}
         for length in sorted({len(p) for p in self.score}):
             own = [p for p in self.score if len(p) == length]
-            keys = self._prefix(_points(own, length))[:, -1]
+            keys = self._prefix(_points(own, length))[-1]
             order = np.argsort(keys)
-            self.tables[length] = (keys[order], np.array([self.score[own[i]] for i in order]), np.array([self.id_of[own[i]] for i in order]))
+            bits = np.zeros(1 << 18, bool)
+            bits[keys >> _BITS] = True
+            self.tables[length] = (keys[order], np.array([self.score[own[i]] for i in order]), np.array([self.id_of[own[i]] for i in order], np.int32), bits)
         self.cache: dict[str, bytes] = {}
 
     @staticmethod
     def _prefix(points: np.ndarray) -> np.ndarray:
-        """Hashes of all prefixes (0 to n characters) of equally long strings."""
-        out = np.zeros((len(points), points.shape[1] + 1), np.uint64)
+        """Hashes of all prefixes of equally long strings: row i has those of i characters."""
+        out = np.zeros((points.shape[1] + 1, len(points)), np.uint64)
         for i in range(points.shape[1]):
-            out[:, i + 1] = out[:, i] * _BASE + points[:, i].astype(np.uint64) + np.uint64(1)
+            out[i + 1] = out[i] * _BASE + points[:, i].astype(np.uint64) + np.uint64(1)
         return out
 
     def viterbi(self, units: list[str]) -> list[list[int]]:
@@ -86,34 +92,35 @@ class Pieces:
         n, m = len(units[0]), len(units)
         hashes = self._prefix(_points(units, n))
         power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(self.tables), _BASE)]), dtype=np.uint64)
-        best = np.full((m, n + 1), -np.inf)
-        best[:, 0] = 0
-        length_at, id_at = np.zeros((m, n + 1), np.int32), np.full((m, n + 1), -1, np.int32)
+        best = np.full((n + 1, m), -np.inf)
+        best[0] = 0
+        length_at, id_at = np.zeros((n + 1, m), np.int32), np.full((n + 1, m), -1, np.int32)
+        lengths = sorted(self.tables, reverse=True)
         for end in range(1, n + 1):
-            for length in [x for x in sorted(self.tables, reverse=True) if x <= end] + [0]:
-                if length:
-                    keys, scores, ids = self.tables[length]
-                    key = hashes[:, end] - hashes[:, end - length] * power[length]
-                    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                    hit = keys[at] == key
-                    if length == 1:
-                        single = hit
-                    total = np.where(hit, best[:, end - length] + scores[at], -np.inf)
-                    found = ids[at]
-                else:  # the character alone, unknown
-                    length, found = 1, np.int32(-1)
-                    uncovered = ~single if 1 in self.tables else np.ones(m, bool)
-                    total = np.where(uncovered, best[:, end - 1] + self.unknown_score, -np.inf)
-                better = total > best[:, end]
-                best[:, end] = np.where(better, total, best[:, end])
-                length_at[:, end] = np.where(better, length, length_at[:, end])
-                id_at[:, end] = np.where(better, found, id_at[:, end])
+            top, covered = best[end], np.zeros(m, bool)
+            for length in [x for x in lengths if x <= end]:
+                keys, scores, ids, bits = self.tables[length]
+                key = hashes[end] - hashes[end - length] * power[length]
+                rows = np.flatnonzero(bits[key >> _BITS])
+                key = key[rows]
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                hit = keys[at] == key
+                rows, at = rows[hit], at[hit]
+                if length == 1:
+                    covered[rows] = True
+                total = best[end - length][rows] + scores[at]
+                better = total > top[rows]
+                rows = rows[better]
+                top[rows], length_at[end][rows], id_at[end][rows] = total[better], length, ids[at[better]]
+            total = best[end - 1] + self.unknown_score  # the character alone, unknown
+            rows = np.flatnonzero(~covered & (total > top))
+            top[rows], length_at[end][rows], id_at[end][rows] = total[rows], 1, -1
         out: list[list[int]] = [[] for _ in units]
         at, rows = np.full(m, n), np.arange(m)
         while len(rows):
-            for i, piece in zip(rows.tolist(), id_at[rows, at[rows]].tolist()):
+            for i, piece in zip(rows.tolist(), id_at[at[rows], rows].tolist()):
                 out[i].append(piece)
-            at[rows] -= length_at[rows, at[rows]]
+            at[rows] -= length_at[at[rows], rows]
             rows = rows[at[rows] > 0]
         return [ids[::-1] for ids in out]
 
@@ -135,10 +142,12 @@ class Pieces:
 
     def _finish(self, unit: str, ids: list[int]) -> bytes:
         """Uncovered characters as bytes; neighbours that stay unknown are one id, as in the library."""
+        if -1 not in ids:
+            return array("I", ids).tobytes()
         out, at = [], 0
         for piece in ids:
             if piece >= 0:
-                at += len(self.out[piece].decode())
+                at += len(self.text[piece])
                 out.append(piece)
             elif self.bytes_id:
                 out.extend(self.bytes_id[b] for b in unit[at].encode())
@@ -150,9 +159,11 @@ class Pieces:
         return np.array(out, "<u4").tobytes()
 
     def _fits(self, unit: str, ids: list[int]) -> bool:
+        if -1 not in ids:
+            return "".join([self.text[i] for i in ids]) == unit
         at = 0
         for piece in ids:
-            text = unit[at] if piece < 0 else self.out[piece].decode()
+            text = unit[at] if piece < 0 else self.text[piece]
             if not unit.startswith(text, at):
                 return False
             at += len(text)
