@@ -37,7 +37,7 @@ TABLE_ROWS = 24_000
 NGRAMS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
 #: words whose scores a Python worker keeps
-CACHE_WORDS = 500_000
+CACHE_WORDS = 150_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -53,32 +53,49 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """``tables[0]`` maps words, ``tables[n]`` n-grams to a row of log frequencies, one column per language."""
+    """``tables[0]`` maps words, ``tables[n]`` n-grams to a row of ``logs``, which has a column per language."""
 
     def __init__(self, langs: list[str], rows: list[int], counts: pd.DataFrame):
         self.langs = langs
         self.prior = int(np.lexsort((langs, [-r for r in rows]))[0]) if langs else -1
-        self.tables: dict[int, dict[str, np.ndarray]] = {}
+        self.tables: dict[int, dict[str, int]] = {}
         self.key = uuid.uuid4().hex
         index = {lang: i for i, lang in enumerate(langs)}
+        parts = [np.zeros((0, len(langs)), np.float32)]
         for kind, part in counts.groupby("kind"):
             grams, at = np.unique(part.gram.to_numpy(object).astype(str), return_inverse=True)
             seen = np.zeros((len(grams), len(langs)))
             np.add.at(seen, (at, part.lang.map(index).to_numpy()), part.n.to_numpy())
             total = seen.sum(axis=0, keepdims=True) + 0.5 * len(grams)
             logs = (np.log(seen + 0.5) - np.log(total)).astype(np.float32)
-            logs -= logs.max(axis=1, keepdims=True)  # only differences between languages matter
-            self.tables[int(kind)] = dict(zip(grams.tolist(), logs))
+            first = sum(map(len, parts))
+            parts.append(logs - logs.max(axis=1, keepdims=True))  # only differences between languages matter
+            self.tables[int(kind)] = {g: first + i for i, g in enumerate(grams.tolist())}
+        self.logs = np.concatenate(parts)
 
-    def word(self, word: str) -> np.ndarray:
+    def _entries(self, word: str) -> list[int]:
+        """The word's own row, or those of its known n-grams of the greatest length that has any."""
         known = self.tables.get(0, {}).get(word)
         if known is not None:
-            return known
+            return [known]
         for n in NGRAMS:
-            rows = [r for g in grams_of(word, n) if (r := self.tables.get(n, {}).get(g)) is not None]
-            if rows:
-                return np.mean(rows, axis=0)
-        return np.zeros(len(self.langs), np.float32)
+            get = self.tables.get(n, {}).get
+            found = [i for g in grams_of(word, n) if (i := get(g)) is not None]
+            if found:
+                return found
+        return []
+
+    def scores(self, words: list[str]) -> np.ndarray:
+        """A row per word; zeros if nothing of it is known."""
+        entries = [self._entries(w) for w in words]
+        sizes = np.fromiter(map(len, entries), np.int64, len(entries))
+        out = np.zeros((len(words), len(self.langs)), np.float32)
+        some = sizes > 0
+        if some.any():
+            flat = np.fromiter((i for e in entries for i in e), np.int64, int(sizes.sum()))
+            starts = np.concatenate([[0], np.cumsum(sizes[some])[:-1]])
+            out[some] = np.add.reduceat(self.logs[flat], starts, axis=0) / sizes[some][:, None]
+        return out
 
 
 class Scorer:
@@ -99,9 +116,9 @@ class Scorer:
             new = set().union(*words)
         while len(self.index) + len(new) > len(self.rows):
             self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        for w in new:
-            self.rows[len(self.index)] = self.model.word(w)
-            self.index[w] = len(self.index)
+        new, first = list(new), len(self.index)
+        self.rows[first:first + len(new)] = self.model.scores(new)
+        self.index.update(zip(new, range(first, first + len(new))))
         get = self.index.__getitem__
         for i, ws in enumerate(words):
             if not ws:

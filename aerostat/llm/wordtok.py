@@ -17,7 +17,7 @@ import os
 import numpy as np
 
 #: words kept per Python worker; when full, the cache starts anew (results are the same)
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 
 # one byte-to-byte table: lower case for ASCII and for the letters U+00C0..U+00DE (second byte 80..9E after C3)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 or 0x80 <= b <= 0x9E else b for b in range(256))

@@ -25,9 +25,10 @@ def test_predictions_and_cases(spark, model):
 
 def test_unseen_words_back_off_to_shorter_grams(model):
     assert "boats" in model.tables[0] and "boat" not in model.tables[0]
-    assert model.word("boatsman").argmax() == 1  # by its 5-grams
-    assert model.word("qqqqund").argmax() == 0
-    assert not model.word("ыъ").any()
+    got = model.scores(["boatsman", "qqqqund", "ыъ", "boats"])
+    assert got[0].argmax() == 1 and got[1].argmax() == 0  # by their 5- and 4-grams
+    assert not got[2].any() and (got[3] == model.logs[model.tables[0]["boats"]]).all()
+    assert model.scores([]).shape == (0, 2)
 
 
 def test_held_out_is_crc32_modulo_three(spark):
