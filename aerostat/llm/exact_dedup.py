@@ -200,6 +200,7 @@ def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """``docs`` without the rows at the places ``part, seq``; no text is shuffled."""
     path = send_back(dropped.select("part", "seq"), "dropped")
     names, schema = docs.columns, docs.schema
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("part", F.spark_partition_id())
 
     def read(batches):
         gone, seq = None, 0
@@ -215,7 +216,7 @@ def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
             seq += b.num_rows
             yield pa.RecordBatch.from_arrays(b.columns[:len(names)], names).filter(pa.array(stays))
 
-    return docs.withColumn("__part", F.spark_partition_id()).mapInArrow(read, T.StructType(schema.fields))
+    return numbered.mapInArrow(read, T.StructType(schema.fields))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -26,7 +26,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from aerostat.llm.common import sliced, table
 
@@ -177,19 +177,20 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, sample_r
 
 def identify(docs: DataFrame, model: Model, text_col: str, *keep: Column) -> DataFrame:
     """The columns ``keep`` of every row with ``lang_pred`` and ``score``."""
-    named = docs.select(*keep, F.col(text_col).cast("string").alias("__text"))
-    names = named.columns[:-1]
+    kept = docs.select(*keep).schema
+    names = kept.names
+    named = docs.select(*[c.alias(f"c{i}") for i, c in enumerate(keep)], F.col(text_col).cast("string").alias("text"))
     live = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches):
         scorer = _scorer(live.value)
-        for b in sliced(batches, "__text"):
-            langs, scores = scorer.predict(b.column("__text").to_pylist())
+        for b in sliced(batches, "text"):
+            langs, scores = scorer.predict(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              [*names, "lang_pred", "score"])
 
-    schema = named.drop("__text").schema.add("lang_pred", "string").add("score", "double")
-    return named.mapInArrow(predict, schema)
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    return named.mapInArrow(predict, T.StructType([*kept.fields, *added]))
 
 
 def held_out(id_col: str) -> Column:

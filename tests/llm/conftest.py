@@ -19,7 +19,7 @@ MESSY = [
     (14, prose(3, 200)), (15, prose(3, 200)), (16, prose(3, 190) + " " + prose(4, 10)), (17, prose(5, 5)), (18, prose(5, 4)), (-5, prose(5, 5).upper()), (19, "x" * 5000), (20, "12 34 !!"),
 ]
 #: names that the operators use inside
-CLASHES = ["id", "part", "seq", "place", "kind", "sha", "share", "body", "n", "__text", "c0", "class", "unit", "ids"]
+CLASHES = ["id", "part", "seq", "place", "kind", "sha", "share", "body", "n", "__text", "c0", "class", "unit", "ids", "__part", "lang_pred", "score"]
 
 
 def frame(spark, rows, parts=3):
