@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aerostat.schemas import RAW_MEASURES, SeriesSpec
 
+GAP_CHUNK = 4096  # slots of a gap that one generated array holds
 STATION_SPEC = SeriesSpec(entity=("city",), ts="timestamp", order=(), target="us_aqi", bucket=None)
 
 
@@ -103,16 +104,20 @@ def regular_grid(df: DataFrame, spec: SeriesSpec, step_seconds: int = 3600,
     Each row emits itself plus the empty slots up to the next row of its entity
     (``lead`` in one window, then ``explode(sequence(...))``): no span aggregate
     and no join. Empty slots get NULL measures (or ``fill`` values), so a lag of
-    k rows is a lag of k slots. Output per entity is bounded by its time span.
+    k rows is a lag of k slots. Output per entity is bounded by its time span; a very long gap
+    (one bad far-off time) is filled in chunks, so no array grows with it.
     """
     ts = spec.ts
-    step = F.expr(f"INTERVAL {step_seconds} SECONDS")
+
+    def slots(n: int):
+        return F.expr(f"INTERVAL {step_seconds * n} SECONDS")
     w = Window.partitionBy(*spec.entity).orderBy(ts)
-    last_slot = F.greatest(F.col(ts), F.coalesce(F.lead(ts).over(w) - step, F.col(ts)))
+    last_slot = F.greatest(F.col(ts), F.coalesce(F.lead(ts).over(w) - slots(1), F.col(ts)))
     values = [c for c in df.columns if c not in (*spec.entity, ts)]
-    ex = (df.withColumn("_last", last_slot)
-          .select(*spec.entity, *values, F.posexplode(F.sequence(F.col(ts), F.col("_last"), step)).alias("_pos", ts)))
-    out = ex.select(*spec.entity, ts, *[F.when(F.col("_pos") == 0, F.col(c)).alias(c) for c in values])
+    ex = (df.withColumns({"_first": F.col(ts), "_last": last_slot})
+          .withColumn("_from", F.explode(F.sequence("_first", "_last", slots(GAP_CHUNK))))
+          .withColumn(ts, F.explode(F.sequence("_from", F.least(F.col("_last"), F.col("_from") + slots(GAP_CHUNK - 1)), slots(1)))))
+    out = ex.select(*spec.entity, ts, *[F.when(F.col(ts) == F.col("_first"), F.col(c)).alias(c) for c in values])
     if fill:
         out = out.fillna(fill)
     return out

@@ -178,3 +178,12 @@ def test_edge_watermark(spark):
     fresh2, late2 = inc.split_incoming(landed, inc.high_watermark(empty, spec), spec)
     assert fresh2.count() == 3 and late2.count() == 0
     assert inc.union_keep_first(None, landed.unionByName(landed), ["e", "ts"], ["id"]).count() == 3
+
+
+def test_far_off_time_fills_in_chunks(spark, monkeypatch):
+    from aerostat.operators import grid
+    spec = SeriesSpec(entity=("e",), ts="ts", target="v")
+    rows = series(spark, [("a", h(0), 1, 1.0), ("a", h(9000), 2, 2.0), ("a", h(9002), 3, 3.0)]).drop("id")
+    out = grid.hourly_grid(rows, spec).orderBy("ts").collect()
+    assert [r.ts for r in out] == [h(i) for i in range(9003)]
+    assert [(i, r.v) for i, r in enumerate(out) if r.v is not None] == [(0, 1.0), (9000, 2.0), (9002, 3.0)]
