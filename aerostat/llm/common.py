@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -15,10 +18,44 @@ from pyspark.sql import DataFrame, SparkSession
 SLICE_BYTES = 1 << 21
 
 
+#: rows that Spark hands to a Python worker at once: texts are large, and a batch is held several times over
+ARROW_ROWS = 1000
+
+
+def settle(spark: SparkSession) -> None:
+    """The session setting that the operators' memory rests on."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    settle(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_RESIDENT: dict = {}
+
+
+def resident(key, make):
+    """What a Python worker keeps from task to task (a tokenizer, a model): only the last one asked for.
+
+    Workers outlive a stage, so what an earlier operator kept would otherwise add up in the next one's.
+    """
+    if key not in _RESIDENT:
+        release()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
+def release() -> None:
+    """Drop what is kept and give the memory back to the system."""
+    if _RESIDENT:
+        _RESIDENT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; one of its own only in local mode where that is unset."""
     sc = spark.sparkContext

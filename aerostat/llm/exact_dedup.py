@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from aerostat.llm.common import new_folder, sliced, table, utf8
+from aerostat.llm.common import new_folder, release, sliced, table, utf8
 from aerostat.llm.sidefiles import received, send_back
 
 #: bits of a fingerprint; more suspects are false with fewer, never more results
@@ -83,6 +83,7 @@ def _first_pass(source: DataFrame, owners: int) -> DataFrame:
     width = (1 << BITS) // owners + 1
 
     def read(batches):
+        release()
         part, seq, prints, arrow_kind = None, 0, [], None
         for b in sliced(batches, "text"):
             part, arrow_kind = b.column("part")[0].as_py(), b.schema.field("id").type

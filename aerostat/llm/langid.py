@@ -28,7 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from aerostat.llm.common import sliced, table
+from aerostat.llm.common import resident, sliced, table
 
 #: labelled rows to learn from, per language (expected number)
 SAMPLE_ROWS = 2_000
@@ -130,16 +130,6 @@ class Scorer:
         return langs, scores
 
 
-_LIVE: dict[str, Scorer] = {}
-
-
-def _scorer(model: Model) -> Scorer:
-    if model.key not in _LIVE:
-        _LIVE.clear()
-        _LIVE[model.key] = Scorer(model)
-    return _LIVE[model.key]
-
-
 def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, sample_rows: int = SAMPLE_ROWS,
         table_rows: int = TABLE_ROWS) -> Model:
     """Learn from rows whose text, language and id are not null."""
@@ -154,20 +144,20 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, sample_r
     sample = rows.where(place < share[F.col("lang")]).select("text", "lang")
 
     def count(batches):
-        for b in sliced(batches, "text"):
-            seen: dict[tuple, Counter] = {}
+        names = ["kind", "lang", "gram", "n"]
+        for b in sliced(batches, "text", 1 << 20):
+            by_lang: dict[str, Counter] = {}
             for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist()):
-                seen.setdefault((lang, 0), Counter()).update(words_of(text))
-            for (lang, _), found in list(seen.items()):
-                for word, k in found.items():
-                    for n in NGRAMS:
-                        c = seen.setdefault((lang, n), Counter())
-                        for g in grams_of(word, n):
-                            c[g] += k
-            flat = [(n, lang, g, k) for (lang, n), c in seen.items() for g, k in c.items()]
-            cols = list(zip(*flat)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.string()),
-                                              pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())], ["kind", "lang", "gram", "n"])
+                by_lang.setdefault(lang, Counter()).update(words_of(text))
+            for lang, found in by_lang.items():
+                for n in (0, *NGRAMS):
+                    c = found if n == 0 else Counter()
+                    if n:
+                        for word, k in found.items():
+                            for g in grams_of(word, n):
+                                c[g] += k
+                    yield pa.RecordBatch.from_arrays([pa.array([n] * len(c), pa.int32()), pa.array([lang] * len(c), pa.string()),
+                                                      pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())], names)
 
     counts = sample.mapInArrow(count, "kind int, lang string, gram string, n long").groupBy("kind", "lang", "gram").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("kind", "lang").orderBy(F.desc("n"), "gram")
@@ -183,7 +173,8 @@ def identify(docs: DataFrame, model: Model, text_col: str, *keep: Column) -> Dat
     live = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches):
-        scorer = _scorer(live.value)
+        model = live.value
+        scorer = resident(("languages", model.key), lambda: Scorer(model))
         for b in sliced(batches, "text"):
             langs, scores = scorer.predict(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],

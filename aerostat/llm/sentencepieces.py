@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from aerostat.llm.common import sliced, table
+from aerostat.llm.common import resident, sliced, table
 
 MARK = "▁"
 #: units whose ids a Python worker keeps
@@ -35,7 +35,6 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNKNOWN_COST = 10.0
 _UNITS = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 _BITS = np.uint64(64 - 18)  # of a key, for the bit tables
-_LIVE: dict[str, "Pieces"] = {}
 
 
 def default_path() -> str:
@@ -44,9 +43,7 @@ def default_path() -> str:
 
 
 def worker_pieces(path: str) -> "Pieces":
-    if path not in _LIVE:
-        _LIVE[path] = Pieces(path)
-    return _LIVE[path]
+    return resident(("pieces", path), lambda: Pieces(path))
 
 
 class Pieces:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from aerostat.llm.common import sliced, table, written
+from aerostat.llm.common import release, sliced, table, written
 from aerostat.llm.components import connected
 from aerostat.llm.exact_dedup import drop_rows
 from aerostat.llm.shingles import MinHash, mix, series, text_shingles
@@ -54,6 +54,7 @@ def _places(source: DataFrame, trees: int, depth: int, k: int) -> DataFrame:
     salts = series(trees, 31)
 
     def read(batches):
+        release()
         hasher, seq = MinHash(trees * depth), 0
         for b in sliced(batches, "text"):
             part, n = b.column("part")[0].as_py(), b.num_rows

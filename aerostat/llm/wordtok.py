@@ -16,6 +16,8 @@ import os
 
 import numpy as np
 
+from aerostat.llm.common import resident
+
 #: words kept per Python worker; when full, the cache starts anew (results are the same)
 CACHE_WORDS = 300_000
 
@@ -27,9 +29,6 @@ _CLASS = bytes(
     else ord("s") if b in (9, 10, 11, 12, 13, 32)
     else ord("p") if 33 <= b <= 126 else ord("x") for b in range(256))
 
-_LIVE: dict[str, "WordTokenizer"] = {}
-
-
 def default_path() -> str:
     """The public 49k word BPE file of the installed package."""
     import public_tokenizers
@@ -38,9 +37,7 @@ def default_path() -> str:
 
 def worker_tokenizer(path: str) -> "WordTokenizer":
     """One tokenizer (and cache) per Python worker and file."""
-    if path not in _LIVE:
-        _LIVE[path] = WordTokenizer(path)
-    return _LIVE[path]
+    return resident(("words", path), lambda: WordTokenizer(path))
 
 
 class WordTokenizer:

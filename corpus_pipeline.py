@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aerostat.llm.common import new_folder, table
+from aerostat.llm.common import new_folder, settle, table
 from aerostat.llm.exact_dedup import deduplicate
 from aerostat.llm.langid import fit_documents, keep_identified
 from aerostat.llm.packing import digest, pack_texts
@@ -13,21 +13,25 @@ from aerostat.llm.similarity_join import keep_first
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an identifiable language go (no letters, or a text that no language explains)."""
+    settle(spark)
     return keep_identified(docs, fit_documents(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
+    settle(spark)
     return deduplicate(docs, "doc_id", "text")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of n-gram Jaccard links stays, that with the smallest id."""
+    settle(spark)
     return keep_first(docs, "doc_id", "text")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every remaining document, tokenised and packed into sequences."""
+    settle(spark)
     return digest(pack_texts(docs, "doc_id", "text"))
 
 
