@@ -6,6 +6,11 @@ class and id words of menus, notices, adverts, forms, comments and the like). A
 ML) is trained on the blocks of ``EXAMPLES``, a small table of hand-labelled pages, and decides which blocks
 are main text. Scripts, styles and other elements without prose are no blocks at all.
 
+Class, id and role attributes are judged by whole names (``_verdict``): a name counts if its words are all of furniture or of
+layout (``cookie-notice``, ``post-tags``), or if it ends in a word of furniture (``acme-sidebar``), but not if it tells a state or a
+topic (``comments-open``, ``has-sidebar``, ``tag-cookies``, ``related-work``). What ``html`` and ``body`` are named, and the ids of headings, count for nothing;
+inside main text neither do headers nor ids of sections that may be topics; a discussion is one of readers only if comments or a form are in it.
+
 Character references are decoded, white space inside a block becomes one space, blocks are joined by a newline.
 
 Cases: a null or empty page has the text ''; broken markup is read as far as it goes (unclosed elements end with
@@ -17,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +35,7 @@ _SKIPPED = "script|style|noscript|template|iframe|object|svg|math|canvas|select|
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({_SKIPPED})(?=[\s>/])[^>]*(?:/>|>.*?(?:</\1\s*>|\Z))"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*)>|<[/!?a-zA-Z][^<>]*(?:>|\Z)", re.S | re.I)
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 _PARTS = re.compile(r"[a-z]+", re.I)
 
@@ -44,25 +50,86 @@ _FURNITURE_WORDS = frozenset(
     "breadcrumb breadcrumbs pagination pager masthead topbar toolbar header footer foot copyright legal share sharing social tags contentinfo complementary form paywall outbrain taboola rail".split())
 _COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond discussion reviews reactions".split())
 _MAIN_WORDS = frozenset("article main content post entry story".split())
+# comments only if what is inside is built like comments, and words that say so
+_TALK_WORDS = frozenset("discussion reviews reactions".split())
+_BUILT_WORDS = frozenset("comment comments commenter commentlist reply replies review reviewer avatar upvote thread".split())
+_TALK_PARTS = _BUILT_WORDS | {"board", "forum", "list"}
+# words that say nothing beside one of furniture or comments
+_LAYOUT_WORDS = frozenset(
+    "article articles author bar block blog body bottom box button buttons container content count data entry fixed global group holder icon icons inner item items js left link links list main meta "
+    "mobile module nav outer panel post posts primary right row secondary section site sticky stories story text thread title top unit user users wrap wrapper area".split())
+# first words of names that tell a state or a topic of the page
+_STATE_WORDS = frozenset("no not non has have with without is hide show tag category cat term format type status topic".split())
+# furniture if a name ends in them (acme-footer)
+_LAST_WORDS = _FURNITURE_WORDS - frozenset("header related recommended trending popular legal alert rail foot complementary sponsored promoted".split())
+_LAST_COMMENT_WORDS = frozenset("comment comments commentlist disqus replies".split())
+# furniture words that are as well the topic of a section
+_TOPIC_WORDS = frozenset("search legal notice alert form register navigation menu copyright popular trending recommendations sharing promotion advertising banner cookie cookies".split())
 
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
             "in_main", "furniture", "comments", "heading", "item", "page_has_main")
 
 
-def _marks(attributes: str) -> set[str]:
-    return {w.lower() for m in _NAMED.finditer(attributes) for w in _PARTS.findall(m[1] or m[2] or m[3] or "")}
+@lru_cache(1 << 16)
+def _verdict(name: str) -> str:
+    """What one name (of a class, id or role attribute) says: 'furniture', 'ends' (furniture by its last word), 'topic' (furniture, or a topic in
+    an id), 'header', 'headline' (the header of a text), 'comments', 'talk' (comments if built so), 'main' or ''."""
+    parts = [w for w in _PARTS.findall(name.lower()) if len(w) > 1]
+    if not parts or parts[0] in _STATE_WORDS:
+        return ""
+    have = set(parts)
+    rest = have - _FURNITURE_WORDS - _COMMENT_WORDS - _LAYOUT_WORDS
+    if "header" in have and (have & _MAIN_WORDS - {"main"}):
+        return "headline"
+    if have & (_COMMENT_WORDS - _TALK_WORDS) and not rest or parts[-1] in _LAST_COMMENT_WORDS:
+        return "comments"
+    if have & _TALK_WORDS and not rest - _TALK_PARTS:
+        return "comments" if have & _TALK_PARTS else "talk"
+    found = have & _FURNITURE_WORDS
+    if found and not rest:
+        return "header" if found == {"header"} else "topic" if found <= _TOPIC_WORDS else "furniture"
+    last = next((w for w in reversed(parts) if w in _FURNITURE_WORDS or w not in _LAYOUT_WORDS), "")
+    if last == "header":
+        return "header"
+    if last in _LAST_WORDS:
+        return "ends"
+    return "main" if have & _MAIN_WORDS else ""
+
+
+def _marks(element: str, attributes: str, inner: bool) -> set[str]:
+    """The verdicts on an element's names that count; ``inner``: it is inside main text."""
+    out: set[str] = set()
+    if not attributes or element in ("html", "body"):
+        return out
+    named = [(m[1].lower(), (m[2] or m[3] or m[4] or "").split()) for m in _NAMED.finditer(attributes)]
+    heading = element in _HEADINGS
+    anchor = inner and (element not in _CONTAINERS or element == "section" or any(k == "class" and "section" in names for k, names in named))
+    for kind, names in named:
+        if kind == "id" and heading:
+            continue
+        for verdict in map(_verdict, names):
+            if kind == "id" and anchor and verdict in ("topic", "ends") or verdict == "header" and (inner or heading):
+                continue
+            out.add("furniture" if verdict in ("topic", "ends", "header") else verdict)
+    return out
+
+
+def _built(attributes: str) -> bool:
+    """Whether an element's names are those of a reader's comment or review."""
+    return any(m[1].lower() == "class" and not _BUILT_WORDS.isdisjoint(_PARTS.findall((m[2] or m[3] or m[4] or "").lower())) for m in _NAMED.finditer(attributes))
 
 
 def blocks(page: str) -> tuple[list[str], np.ndarray]:
     """A page's non-empty blocks and their features."""
     texts, rows = [], []
-    stack: list[tuple[str, bool, bool, bool]] = []  # element, is main, is furniture, is comments
+    stack: list[tuple[str, bool, bool, bool, list | None]] = []  # element, is main, is furniture, is comments, a talk that may be comments
+    talks: list[tuple[int, list]] = []  # block, whether a talk around it is built like comments
     plain, linked, link, heading, item, own, words = [], 0, 0, False, False, (False, False), 0
     has_main = False
 
     def state() -> tuple[bool, bool, bool]:
         main = furniture = comments = False
-        for _, m, f, c in stack:
+        for _, m, f, c, _ in stack:
             main, furniture, comments = main or m, (False if m else furniture) or f, comments or c
         return main, furniture, comments
 
@@ -73,6 +140,7 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             if text:
                 main, furniture, comments = state()
                 n = text.count(" ") + 1
+                talks.extend((len(texts), s[4]) for s in stack if s[4] is not None)
                 texts.append(text)
                 rows.append((n, min(1.0, linked / n), 0, 0, 0, 0, main, furniture or own[0], comments or own[1], heading, item, 0))
         plain, linked = [], 0
@@ -116,23 +184,32 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
                         del stack[i:]
                         break
             elif not attributes.endswith("/"):
-                marks = _marks(attributes) if attributes else set()
-                comments = bool(marks & _COMMENT_WORDS)
                 inner = any(s[1] for s in stack)
-                furniture = name in _FURNITURE or (name == "header" and not inner) or bool(marks & _FURNITURE_WORDS) or bool(attributes and _HIDDEN.search(attributes))
-                main = name in ("article", "main") or bool(marks & _MAIN_WORDS) and not (furniture or comments) and name in ("div", "section", "td")
+                marks = _marks(name, attributes, inner)
+                if name in ("form", "article") or "comments" in marks or _built(attributes):
+                    for s in stack:
+                        if s[4] is not None:
+                            s[4][0] = True
+                comments = "comments" in marks
+                furniture = (name in _FURNITURE or (name == "header" and not inner and "headline" not in marks) or "furniture" in marks
+                             or bool(attributes and name not in ("html", "body") and _HIDDEN.search(attributes)))
+                main = name in ("article", "main") or bool(marks & {"main", "headline"}) and not (furniture or comments) and name in ("div", "section", "td", "header")
                 main = main and not comments
                 has_main |= main
                 if main and name not in ("article", "main"):
                     main = not any(s[2] or s[3] for s in stack)  # a named box inside a menu stays in the menu
                 if main:
                     furniture = False
-                stack.append((name, main, furniture, comments))
+                stack.append((name, main, furniture, comments, [False] if "talk" in marks and not comments else None))
         else:
             heading, item = not end and name in _HEADINGS, not end and name in ("li", "dt", "dd", "option")
             if not end and attributes:
-                marks = _marks(attributes)
-                own = (bool(marks & _FURNITURE_WORDS) or name in _FURNITURE or bool(_HIDDEN.search(attributes)), bool(marks & _COMMENT_WORDS))
+                marks = _marks(name, attributes, any(s[1] for s in stack))
+                if "comments" in marks or _built(attributes):
+                    for s in stack:
+                        if s[4] is not None:
+                            s[4][0] = True
+                own = ("furniture" in marks or name in _FURNITURE or bool(_HIDDEN.search(attributes)), "comments" in marks)
             elif not end and name in _FURNITURE:
                 own = (True, False)
     text(page[at:])
@@ -140,6 +217,7 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
     table_ = np.array(rows, float).reshape(-1, len(FEATURES))
     table_[1:, 2:4], table_[:-1, 4:6] = table_[:-1, :2], table_[1:, :2]
     table_[:, 11] = has_main
+    table_[[i for i, built in talks if built[0]], 8] = 1
     return texts, table_
 
 
@@ -164,6 +242,10 @@ EXAMPLES = (
     f"<div class='related widget'><h3>-Read also</h3><p>-{_MORE}</p></div><form><p>-{_LONG}</p></form></body>",
     f"<body><p>-Log in</p><div><p>-Page 3 of 9</p></div><article><p>+One.</p><p>+Two words.</p><p>+<a href=/r>A linked line of main text</a></p></article><p>-{_LONG}</p><p>-{_MORE}</p><p>-All rights reserved</p></body>",
     f"<body><div class='post entry'><p>+{_MORE}</p><p>+Short one.</p></div><div id=respond><p>-{_LONG} {_MORE}</p></div><div><p>-{_MORE} {_LONG}</p></div></body>",
+    f"<body class='single comments-open has-sidebar'><header class=site-header><p>-{_MORE}</p></header><article class='post tag-cookies'><header class=entry-header><h1>+Harbour towns</h1></header><div class=entry-content><p>+{_LONG}.</p>"
+    f"<section id=related-work><h2 id=search-results>+What was found</h2><p>+{_MORE}.</p></section><section id=discussion><h2 id=discussion-1>+Discussion</h2><p>+{_LONG}.</p></section></div><footer class=entry-footer>-Filed under winter</footer></article>"
+    f"<section class=discussion><h3>-What readers say</h3><div class=comment-body><p>-{_MORE}</p></div></section><div class=acme-sidebar><p>-{_LONG}</p></div></body>",
+    f"<body class=comments-open><div class=page><h1 class=page-header>+Old roads</h1><p>+{_MORE}.</p><p>+{_LONG}. {_MORE}.</p></div><div id=comments><p>-{_LONG}</p></div></body>",
 )
 
 

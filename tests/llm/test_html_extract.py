@@ -70,3 +70,21 @@ def test_neighbours_are_features():
     texts, rows = hx.blocks("<p>one two three</p><p><a href=x>all linked</a></p><p>four</p>")
     assert texts == ["one two three", "all linked", "four"]
     assert rows[1, :6].tolist() == [2, 1, 3, 0, 1, 0] and np.array_equal(rows[0, 2:6], [0, 0, 2, 1])
+
+
+LONG = "The town kept its boats on land until the ice broke in the early spring of that year, and so did all the others."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f'<article><header class="entry-header"><h1>Headline</h1></header><p>{LONG}</p></article>', f"Headline\n{LONG}"),
+    (f'<article><div class="header"><h1>Headline</h1></div><p>{LONG}</p></article>', f"Headline\n{LONG}"),
+    (f'<article><section id="related-work"><h2>Related work</h2><p>{LONG}</p></section></article>', f"Related work\n{LONG}"),
+    (f'<main><h2 id="search-results">Results</h2><p>{LONG}</p><h2 id="legal-history">History</h2><h3 id="search">Search</h3></main>', f"Results\n{LONG}\nHistory\nSearch"),
+    (f'<article><p>{LONG}</p><section id="discussion"><h2>Discussion</h2><p>{LONG}</p></section></article>', f"{LONG}\nDiscussion\n{LONG}"),
+    (f'<article><p>{LONG}</p></article><section class="discussion"><h2>Discussion</h2><div class="comment"><p>{LONG}</p></div></section>', LONG),
+    (f'<article><p>{LONG}</p></article><section class="discussion"><p>{LONG}</p><form><p>Say something</p></form></section>', LONG),
+    (f'<body class="single comments-open has-sidebar"><div class="content"><h1>Headline</h1><p>{LONG}</p></div><div class="acme-sidebar"><p>{LONG}</p></div></body>', f"Headline\n{LONG}"),
+    (f'<html class="no-js header-fixed overlay"><article class="post tag-cookies category-legal"><p>{LONG}</p><footer class="entry-footer">Filed under</footer></article></html>', LONG),
+    (f'<article><p>{LONG}</p></article><div class="site-header__inner"><p>{LONG}</p></div><div id="related-posts"><p>{LONG}</p></div><ul class="wp-block-social-links"><li>{LONG}</ul><div class="comments-area"><p>{LONG}</p></div>', LONG)])
+def test_names_are_judged_whole(page, want, tree):
+    assert text_of(page, tree) == want
