@@ -14,7 +14,8 @@ inside main text neither do headers nor ids of sections that may be topics; a di
 Character references are decoded, white space inside a block becomes one space, blocks are joined by a newline.
 
 Cases: a null or empty page has the text ''; broken markup is read as far as it goes (unclosed elements end with
-the page, stray end tags are skipped); repeated rows and null urls are kept; an empty table gives no rows; columns beside
+the page, but of an unclosed element without prose only the tag is left out unless it is raw text; a head without end tag ends where
+its elements end; stray end tags are skipped); repeated rows and null urls are kept; an empty table gives no rows; columns beside
 those named are ignored.
 """
 
@@ -30,10 +31,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerostat.llm.common import sliced, table
 
-#: elements whose content is no prose
-_SKIPPED = "script|style|noscript|template|iframe|object|svg|math|canvas|select|textarea|datalist|audio|video|map|head|title"
+#: elements whose content is raw text and no prose: an unclosed one runs to the page's end
+_RAW = "script|style|textarea|title"
+#: other elements whose content is no prose, if they are closed; of an unclosed one only the tag itself is skipped
+_SKIPPED = frozenset("noscript template iframe object svg math canvas select datalist audio video map".split())
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<({_SKIPPED})(?=[\s>/])[^>]*(?:/>|>.*?(?:</\1\s*>|\Z))"
+    rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<title(?=[\s>/])[^>]*>[^<]*(?=</svg\s*>)|<({_RAW})(?=[\s>/])[^>]*(?:/>|>.*?(?:</\1\s*>|\Z))"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*)>|<[/!?a-zA-Z][^<>]*(?:>|\Z)", re.S | re.I)
 _NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
@@ -114,6 +117,21 @@ def _marks(element: str, attributes: str, inner: bool) -> set[str]:
     return out
 
 
+def _closed(tokens: list[re.Match]) -> dict[int, int]:
+    """Per start tag of a ``_SKIPPED`` element the place of its end tag, if it has one."""
+    waiting: dict[str, list[int]] = {}
+    out = {}
+    for i, m in enumerate(tokens):
+        name = m[3].lower() if m[3] else None
+        if name in _SKIPPED:
+            if not m[2]:
+                if not m[4].endswith("/"):
+                    waiting.setdefault(name, []).append(i)
+            elif waiting.get(name):
+                out[waiting[name].pop()] = i
+    return out
+
+
 def _built(attributes: str) -> bool:
     """Whether an element's names are those of a reader's comment or review."""
     return any(m[1].lower() == "class" and not _BUILT_WORDS.isdisjoint(_PARTS.findall((m[2] or m[3] or m[4] or "").lower())) for m in _NAMED.finditer(attributes))
@@ -154,19 +172,29 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             if link:
                 linked += len(raw.split())
 
-    at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
+    at, over, choice = 0, -1, False  # over: tokens up to this one are inside a skipped element; choice: the text is an option's
+    tokens = list(_TOKEN.finditer(page))
+    ends = _closed(tokens)
+    for i, m in enumerate(tokens):
+        if i <= over:
+            at = m.end()
+            continue
+        if m.start() > at and not choice:
             text(page[at:m.start()])
         at = m.end()
         end, name, attributes = m[2], m[3], m[4]
         if name is None:
-            if m[1] is not None and m[1].lower() not in ("head", "title"):
+            if m[1] is not None and m[1].lower() != "title":
                 plain.append(" ")
             elif m[0].startswith("<![CDATA["):
                 text(m[0][9:].removesuffix("]]>"))
             continue
         name = name.lower()
+        choice = not end and name in ("option", "optgroup")
+        if name in _SKIPPED:
+            plain.append(" ")
+            over = ends.get(i, over) if not end else over
+            continue
         if name == "a":
             link = 0 if end else 1
             continue
@@ -212,7 +240,8 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
                 own = ("furniture" in marks or name in _FURNITURE or bool(_HIDDEN.search(attributes)), "comments" in marks)
             elif not end and name in _FURNITURE:
                 own = (True, False)
-    text(page[at:])
+    if not choice:
+        text(page[at:])
     close()
     table_ = np.array(rows, float).reshape(-1, len(FEATURES))
     table_[1:, 2:4], table_[:-1, 4:6] = table_[:-1, :2], table_[1:, :2]

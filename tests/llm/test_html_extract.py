@@ -88,3 +88,18 @@ LONG = "The town kept its boats on land until the ice broke in the early spring
     (f'<article><p>{LONG}</p></article><div class="site-header__inner"><p>{LONG}</p></div><div id="related-posts"><p>{LONG}</p></div><ul class="wp-block-social-links"><li>{LONG}</ul><div class="comments-area"><p>{LONG}</p></div>', LONG)])
 def test_names_are_judged_whole(page, want, tree):
     assert text_of(page, tree) == want
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>T</title><body><article><p>{LONG}</article>", f"<html><head><title>T</title><meta charset=utf-8><link rel=x href=y><style>p{{}}</style><article><p>{LONG}</article>",
+    f"<head><script>var a</script><noscript><style>p{{}}</style></noscript><main><p>{LONG}</main>", f"<head><title>T</title></head><article><iframe src=x><p>{LONG}</article>",
+    *[f"<article><{e}><p>{LONG}</article>" for e in ("iframe", "object", "svg", "video", "select", "noscript", "template", "audio", "canvas")],
+    f"<article><select><option>Red<option>Blue<p>{LONG}<select><option>Green</select></article>", f"<article><svg><svg><text>a</text></svg><text>b</text></svg><p>{LONG}</article>",
+    f"<article><iframe src=x><p>{LONG}<iframe>no</iframe></article>", f"<svg><title>Icon</svg><article><p>{LONG}</article><svg><title>t</title></svg>"])
+def test_heads_and_elements_without_end_tag_drop_nothing(page, tree):
+    assert text_of(page, tree) == LONG
+
+
+def test_raw_text_runs_to_the_end(tree):
+    for e in ("script", "style", "textarea", "title"):
+        assert text_of(f"<article><p>a<{e}>x</p><p>{LONG}</p></article>", tree) == "a"
