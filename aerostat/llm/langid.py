@@ -7,9 +7,10 @@ document's score per language is the sum over all its words, and ``score`` is th
 of the best language (0 to 1).
 
 Learning takes a bounded sample of labelled rows: at most about ``SAMPLE_ROWS`` per language in
-expectation, chosen by a hash of the id, whole texts; counts are summed in Spark, and the ``TABLE_ROWS``
-most frequent entries of each kind (over all languages) make the model, so its size does not grow with
-the data. Prediction reads every row and whole texts.
+expectation, chosen by a hash of the id, whole texts; counts are summed in Spark. The vocabulary of each kind
+is the union of the ``TABLE_ROWS`` most frequent entries of every language, and each entry has its true count in
+every language; totals are over all that was counted. So the model grows with the number of languages, not with the data,
+and is no coarser for more of them. Prediction reads every row and whole texts.
 
 Cases: a null text or one without a letter is ``und`` with score 0; a text whose letters are all unknown
 gets the language with the most labelled rows (ties: the first by name), with the score of a draw;
@@ -28,11 +29,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from aerostat.llm.common import resident, sliced, table
+from aerostat.llm.common import resident, sliced, table, written
 
 #: labelled rows to learn from, per language (expected number)
 SAMPLE_ROWS = 2_000
-#: entries of each kind (words; n-grams of one length) in the model, over all languages
+#: entries of each kind (words; n-grams of one length) that a language brings into the model
 TABLE_ROWS = 24_000
 NGRAMS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
@@ -55,7 +56,7 @@ def grams_of(word: str, n: int) -> list[str]:
 class Model:
     """``tables[0]`` maps words, ``tables[n]`` n-grams to a row of ``logs``, which has a column per language."""
 
-    def __init__(self, langs: list[str], rows: list[int], counts: pd.DataFrame):
+    def __init__(self, langs: list[str], rows: list[int], counts: pd.DataFrame, totals: pd.DataFrame):
         self.langs = langs
         self.prior = int(np.lexsort((langs, [-r for r in rows]))[0]) if langs else -1
         self.tables: dict[int, dict[str, int]] = {}
@@ -66,7 +67,9 @@ class Model:
             grams, at = np.unique(part.gram.to_numpy(object).astype(str), return_inverse=True)
             seen = np.zeros((len(grams), len(langs)))
             np.add.at(seen, (at, part.lang.map(index).to_numpy()), part.n.to_numpy())
-            total = seen.sum(axis=0, keepdims=True) + 0.5 * len(grams)
+            of_kind = totals[totals.kind == kind]
+            total = 0.5 * np.full((1, len(langs)), of_kind.grams.iloc[0])
+            total[0, of_kind.lang.map(index).to_numpy()] += of_kind.n.to_numpy()
             logs = (np.log(seen + 0.5) - np.log(total)).astype(np.float32)
             first = sum(map(len, parts))
             parts.append(logs - logs.max(axis=1, keepdims=True))  # only differences between languages matter
@@ -131,14 +134,17 @@ class Scorer:
 
 
 def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, sample_rows: int = SAMPLE_ROWS,
-        table_rows: int = TABLE_ROWS) -> Model:
-    """Learn from rows whose text, language and id are not null."""
+        table_rows: int | None = None, lang_rows: int = TABLE_ROWS) -> Model:
+    """Learn from rows whose text, language and id are not null.
+
+    ``lang_rows`` bounds the entries of a kind that a language brings in; ``table_rows``, where given, those of all languages together.
+    """
     rows = (labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
                             F.col(id_col).cast("string").alias("id")).where("text IS NOT NULL AND lang IS NOT NULL AND id IS NOT NULL"))
     have = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     langs = sorted(have)
     if not langs:
-        return Model([], [], pd.DataFrame({"kind": [], "lang": [], "gram": [], "n": []}))
+        return Model([], [], pd.DataFrame({"kind": [], "lang": [], "gram": [], "n": []}), pd.DataFrame({"kind": [], "lang": [], "n": [], "grams": []}))
     share = F.create_map(*[F.lit(x) for lang in langs for x in (lang, min(1.0, sample_rows / have[lang]))])
     place = F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.where(place < share[F.col("lang")]).select("text", "lang")
@@ -160,9 +166,13 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, sample_r
                                                       pa.array(c.keys(), pa.string()), pa.array(c.values(), pa.int64())], names)
 
     counts = sample.mapInArrow(count, "kind int, lang string, gram string, n long").groupBy("kind", "lang", "gram").agg(F.sum("n").alias("n"))
+    counts = written(counts, "languages")
+    quota = lang_rows if table_rows is None else min(lang_rows, max(1, table_rows // len(langs)))
     best = Window.partitionBy("kind", "lang").orderBy(F.desc("n"), "gram")
-    top = counts.withColumn("r", F.row_number().over(best)).where(F.col("r") <= max(1, table_rows // len(langs))).drop("r")
-    return Model(langs, [have[x] for x in langs], top.toPandas())
+    top = counts.withColumn("r", F.row_number().over(best)).where(F.col("r") <= quota).select("kind", "gram").distinct()
+    different = counts.groupBy("kind").agg(F.count_distinct("gram").alias("grams"))
+    totals = counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).join(different, "kind")
+    return Model(langs, [have[x] for x in langs], counts.join(top, ["kind", "gram"], "left_semi").toPandas(), totals.toPandas())
 
 
 def identify(docs: DataFrame, model: Model, text_col: str, *keep: Column) -> DataFrame:

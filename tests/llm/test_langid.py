@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,3 +63,19 @@ def test_nothing_to_learn_and_empty(spark, empty, messy):
     assert kept.schema == messy.schema
     rows = [r.text for r in kept.collect()]
     assert None not in rows and "" not in rows and "12 34 !!" not in rows and len(rows) >= 15
+
+
+def test_counts_and_totals_are_whole(spark):
+    """A word below one language's quota but in another's keeps its count there, and totals hold all that was counted."""
+    docs = spark.createDataFrame([(1, "a a a b b", "x"), (2, "c c c b b a", "y")], "doc_id long, text string, lang string")
+    model = li.fit(docs, "text", "lang", "doc_id", lang_rows=1)
+    assert set(model.tables[0]) == {"a", "c"}
+    x, y = np.log([3.5 / 6.5, 1.5 / 7.5])  # 5 words in x, 6 in y, 0.5 for each of three different ones
+    assert model.logs[model.tables[0]["a"]] == pytest.approx([0, y - x], abs=1e-6)
+
+
+def test_vocabulary_does_not_shrink_with_more_languages(spark):
+    rows = [(10 * i + j, " ".join(f"{lang}{w}" for w in ("eins", "zwei", "drei")), lang) for i, lang in enumerate("abcdefgh") for j in range(2)]
+    for n in (2, 16):
+        model = li.fit(spark.createDataFrame(rows[:n], "doc_id long, text string, lang string"), "text", "lang", "doc_id", lang_rows=3)
+        assert sum(w.startswith("a") for w in model.tables[0]) == 3
