@@ -60,3 +60,18 @@ def test_own_templates_and_empty(spark, empty):
     with pytest.raises(ValueError):
         lc.Scanner({"none": " . "})
     assert len(shingles(*words([]))[0]) == 0
+
+
+@pytest.mark.parametrize("text, want", [
+    ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0"), ("Released under the BSD License.", "BSD"), ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"), ("SPDX-License-Identifier: EPL-2.0", "EPL-2.0"), (lc.TEMPLATES["BSD-3-Clause"], "BSD-3-Clause"),
+    (lc.TEMPLATES["BSD-2-Clause"], "BSD-2-Clause"), ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "CC-BY-NC-SA-4.0"),
+    (lc.TEMPLATES["LGPL-3.0-or-later"], "LGPL-3.0-or-later"), (lc.TEMPLATES["GPL-3.0 (body)"], "GPL-3.0"), (lc.TEMPLATES["Apache-2.0"], "Apache-2.0")])
+def test_every_licence_by_its_own_name(text, want):
+    got = lc.Scanner(lc.TEMPLATES).scan([prose(5, 50) + " " + text + " " + prose(6, 50)], specific=True)
+    assert [r[1].split(" (")[0] for r in got] == [want]
+
+
+def test_what_a_larger_match_covers_is_found_elsewhere():
+    text = f"{lc.TEMPLATES['BSD-3-Clause']} {prose(5, 50)} {lc.TEMPLATES['BSD-2-Clause']} {prose(6, 50)} Released under the MIT License."
+    assert sorted(r[1] for r in lc.Scanner(lc.TEMPLATES).scan([text], specific=True)) == ["BSD-2-Clause", "BSD-3-Clause", "MIT (short)"]
