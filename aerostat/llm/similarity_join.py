@@ -1,12 +1,12 @@
-"""N-gram Jaccard join: MinHash LSH forest, then exact verification.
+"""N-gram Jaccard join: MinHash banding, then exact verification.
 
 Texts are sets of five-word shingles; two texts are linked when the Jaccard similarity of their sets is
 at least the threshold (0.8).
 
 1. Texts with the same shingle set are one unit (they are linked, and have the same other links).
-2. Each of ``TREES`` prefix trees orders the units by a sequence of minima. The matched prefix is
-   shortened from ``MAX_DEPTH`` until the chance that a pair at the threshold meets in some tree reaches
-   ``RECALL``; units that share such a prefix in some tree are candidates.
+2. Units that agree in all minima of one of ``TREES`` bands are candidates. This is banding in place of an LSH forest:
+   the length of the bands is one number, the longest up to ``MAX_DEPTH`` with which a pair at the threshold meets in some
+   band with probability ``RECALL``; it does not depend on the data. Where no length reaches it, there is an error.
 3. Candidates' components (not pairs) say which sets have to meet. Their sets, read in a second pass
    over the input, are brought together once; a component with many sets is split into blocks, and every
    pair of blocks is a group of its own, so no task holds more than two blocks.
@@ -222,6 +222,8 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.spark_partition_id().alias("part"))
     depth = prefix_depth(threshold, trees, recall)
+    if 1 - (1 - threshold**depth) ** trees < recall:
+        raise ValueError(f"{trees} trees cannot reach a recall of {recall} at similarity {threshold}")
     signed = written(_places(source, trees, depth, shingle), "join-signed")
     units = written(signed.groupBy("one", "two").agg(F.min("place").alias("unit"), F.count("*").alias("copies")), "join-units")
     rows = written(signed.select("part", "place", "id", "n", "one", "two").join(units, ["one", "two"]), "join-rows")

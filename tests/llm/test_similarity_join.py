@@ -98,3 +98,9 @@ def test_minhash_estimates(share):
     a, b = h.signature(both[n:]), h.signature(both[:len(both) - n])
     want = (len(both) - 2 * n) / len(both)
     assert abs((a == b).mean() - want) < 0.08
+
+
+def test_recall_out_of_reach_is_an_error(empty):
+    for threshold, trees in ((0.8, 2), (0.3, 32)):
+        with pytest.raises(ValueError, match="recall"):
+            sj.similarity_join(empty, threshold=threshold, trees=trees, recall=0.999999)
