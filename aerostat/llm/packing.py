@@ -3,7 +3,8 @@
 Every example is a vector (tokens, segments, loss-bearing tokens); a sequence has a limit on
 each. The open sequence takes, of a bounded pool of waiting examples, the one whose vector has the
 largest dot product with the room that is left (both as fractions of the limits), among those that
-fit whole. When none fits and cutting is allowed, the best one is cut to fill the room.
+fit whole. When none fits and cutting is allowed, the best one is cut to fill the room. The pool grows beyond its
+size, up to the segment limit, while it holds too few tokens for a sequence.
 
 Each input partition is packed where it lies: no shuffle, no state beyond the pool, and a task that
 is run again gives the same rows. ``sequence_id`` is the partition's number above 40 bits of a counter,
@@ -71,7 +72,8 @@ class VectorPacker:
             self.losses += [min(e[1], max(0, e[2])) for e in part]
             new = np.array([[n, 1, min(n, max(0, m))] for _, n, m in part], float).reshape(-1, 3)
             self.need = np.concatenate([self.need, new])
-            while len(self.keys) > self.pool:
+            # a sequence is closed only from what can fill it: all its tokens, or all its segments
+            while len(self.keys) > self.pool and (self.need[:, 0].sum() >= self.limits.tokens or len(self.keys) >= self.limits.segments):
                 yield from self._sequence(self.limits.tokens)
 
     def finish(self) -> Iterator[tuple]:

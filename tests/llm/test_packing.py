@@ -90,3 +90,13 @@ def test_dot_product_prefers_what_fills_the_room():
     packer = pk.VectorPacker(pk.Limits(10, 3, 10), cut=False)
     out = [*packer.add([("s", 2, 2), ("l", 8, 8), ("m", 5, 5)]), *packer.finish()]
     assert [(k, s) for k, _, _, s, _, _ in out] == [("l", 0), ("s", 0), ("m", 1)]
+
+
+def test_short_examples_wait_for_more_tokens():
+    packer = pk.VectorPacker(pk.Limits(), cut=True, tail_powers=True)
+    pieces = [*packer.add([(i, 3, 3) for i in range(300)]), *packer.add([(1000 + i, 4096, 4096) for i in range(5)]), *packer.finish()]
+    total: dict = {}
+    for _, _, length, number, _, _ in pieces:
+        total[number] = total.get(number, 0) + length
+    assert sum(total.values()) == 300 * 3 + 5 * 4096
+    assert sum(n == 4096 for n in total.values()) == 5 and all(n & (n - 1) == 0 for n in total.values())
