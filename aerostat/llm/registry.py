@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from aerostat.llm import (bytepairs, chat, exact_dedup, html_extract, knn_join, langid, licenses, packing, sentencepieces,
-                          similarity_join, warc)
+from aerostat.llm import (bytepairs, chat, exact_dedup, html_extract, knn_join, langid, licenses, packing, part_codes,
+                          sentencepieces, similarity_join, warc)
 
 QUERIES = {
     "op1_pack_documents": packing.op1_pack_documents,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_top_k": knn_join.op9_top_k,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
+    "op11_part_codes": part_codes.op11_part_codes,
     "op13_byte_pairs": bytepairs.op13_byte_pairs,
 }
 
@@ -24,4 +25,5 @@ ORACLE = {
     "op6_warc": warc.OP6_SQL,
     "op9_top_k": knn_join.OP9_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
+    "op11_part_codes": part_codes.OP11_SQL,
 }
