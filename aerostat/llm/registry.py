@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from aerostat.llm import (bytepairs, chat, exact_dedup, html_extract, knn_join, langid, licenses, packing, part_codes,
-                          sentencepieces, similarity_join, warc)
+                          sentencepieces, shared_search, similarity_join, warc)
 
 QUERIES = {
     "op1_pack_documents": packing.op1_pack_documents,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_top_k": knn_join.op9_top_k,
     "op10_exact_dedup": exact_dedup.op10_exact_dedup,
     "op11_part_codes": part_codes.op11_part_codes,
+    "op12_shared_search": shared_search.op12_shared_search,
     "op13_byte_pairs": bytepairs.op13_byte_pairs,
 }
 
@@ -26,4 +27,5 @@ ORACLE = {
     "op9_top_k": knn_join.OP9_SQL,
     "op10_exact_dedup": exact_dedup.OP10_SQL,
     "op11_part_codes": part_codes.OP11_SQL,
+    "op12_shared_search": shared_search.OP12_SQL,
 }

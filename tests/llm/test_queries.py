@@ -37,6 +37,7 @@ CONTRACT = {
     "op9_top_k": "query_id bigint, rank int, vec_id bigint, score bigint",
     "op10_exact_dedup": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     "op11_part_codes": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
+    "op12_shared_search": "item_id bigint, rank int, doc_id bigint, score bigint",
     "op13_byte_pairs": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
 }
 
