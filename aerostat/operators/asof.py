@@ -1,11 +1,15 @@
 """As-of reads: latest row, last n rows, recent trend, staleness, minimum history, seeded sample.
 
-"Last n rows" never ranks a hot entity in one window: rows are counted per
-(entity, bucket); a small per-entity table of those counts tells which buckets
-can hold one of the last n rows and how many rows follow each; the exact rank
-is then computed inside each such bucket only. Where no entity is hot, one
-window per entity does it in a single shuffle. The end of a series is that of
-its row order, in which NULL times come last.
+One rule for rows without a time: they are neither first nor last. Every read
+here prefers rows with a time; a row without one is taken (or ranked) only after
+all that have one, from either end. ``first_row``, ``latest_row`` and
+``last_n(1)`` agree on that, and likewise on a missing tie-break. With ``as_of``
+rows without a time are not in the past; a NULL entity is a series like any other.
+
+"Last n rows" never brings a hot entity to one task: a rank that is filtered to
+its first n values is cut down to n rows per entity in every task before the
+shuffle (Spark does so up to ``MAP_SIDE_ROWS``; above that, ranks are taken per
+entity and salt first, which no hot entity's rows share).
 """
 
 from __future__ import annotations
@@ -15,9 +19,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from aerostat.functions.scalar import age_seconds, is_stale
-from aerostat.operators.windows import join_on_keys, needs_cuts, series_bucket
+from aerostat.operators.windows import order_key
 from aerostat.schemas import SeriesSpec
 
+MAP_SIDE_ROWS = 1000  # Spark's own limit of a rank that is cut down before the shuffle
+SALTS = 256
+
 
 def not_after(df: DataFrame, spec: SeriesSpec, as_of: Column | None) -> DataFrame:
     return df if as_of is None else df.filter(F.col(spec.ts) <= as_of)
@@ -46,30 +53,24 @@ def latest_row(df: DataFrame, spec: SeriesSpec, as_of: Column | None = None, fal
 def first_row(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     """Per entity, its earliest row (e.g. the input example stored with a model)."""
     cols = [c for c in df.columns if c not in spec.entity]
-    order = F.struct(*[F.col(c) for c in spec.order_cols])
-    return (df.groupBy(*spec.entity).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order).alias("_r"))
+    return (df.groupBy(*spec.entity).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), order_key(spec)).alias("_r"))
             .select(*spec.entity, "_r.*"))
 
 
-def last_n(df: DataFrame, spec: SeriesSpec, n: int, as_of: Column | None = None, bucket: str = "1 day",
+def last_n(df: DataFrame, spec: SeriesSpec, n: int, as_of: Column | None = None,
            rank_col: str = "rank_from_end") -> DataFrame:
     """The last ``n`` rows of each series (at or before ``as_of``), with their rank from the end (1 = last)."""
-    bspec = spec if spec.bucket or not spec.hot_rows else spec.with_(bucket=bucket)
     past = not_after(df, spec, as_of)
-    back = [F.col(c).desc_nulls_first() for c in spec.order_cols]
-    if not needs_cuts(past, bspec):
-        # no entity is big enough to need splitting: one window per entity
-        ranked = past.withColumn(rank_col, F.row_number().over(Window.partitionBy(*spec.entity).orderBy(*back)).cast("int"))
-        return ranked.filter(F.col(rank_col) <= n)
-    past = series_bucket(past, bspec)
-    counts = past.groupBy(*spec.entity, "_bk").agg(F.count(F.lit(1)).alias("_m"))
-    wb = Window.partitionBy(*spec.entity).orderBy(F.col("_bk").desc())
-    later = F.coalesce(F.sum("_m").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    needed = counts.select(*spec.entity, "_bk", later.alias("_after")).filter(F.col("_after") < n)
-    rows = join_on_keys(past, needed, [*spec.entity, "_bk"], "inner")
-    wd = Window.partitionBy(*spec.entity, "_bk").orderBy(*back)
-    ranked = rows.withColumn(rank_col, (F.col("_after") + F.row_number().over(wd)).cast("int"))
-    return ranked.filter(F.col(rank_col) <= n).drop("_bk", "_after")
+    back = [F.col(c).desc_nulls_last() for c in spec.order_cols]
+
+    def ranked(rows: DataFrame, *salt: str) -> DataFrame:
+        w = Window.partitionBy(*spec.entity, *salt).orderBy(*back)
+        return rows.withColumn(rank_col, F.row_number().over(w).cast("int")).filter(F.col(rank_col) <= n)
+
+    if n > MAP_SIDE_ROWS:
+        salted = past.withColumn("_salt", F.pmod(F.xxhash64(*spec.order_cols), F.lit(SALTS)))
+        past = ranked(salted, "_salt").drop("_salt", rank_col)
+    return ranked(past)
 
 
 def recent_summary(df: DataFrame, spec: SeriesSpec, col: str, n: int = 24, back: int = 6,

@@ -17,18 +17,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from aerostat.functions.scalar import fmt
 from aerostat.operators.asof import history_size, last_n, not_after
-from aerostat.operators.windows import forward_fill, windowed
+from aerostat.operators.windows import forward_fill, join_on_keys, windowed
 from aerostat.schemas import (DEFAULT_BASE_RMSE, FORECAST_HISTORY_ROWS, FORECAST_HOURS, FORECAST_MIN_ROWS,
                               HORIZON_ERROR_GROWTH, SeriesSpec)
 
 
+def timed(df: DataFrame, spec: SeriesSpec) -> DataFrame:
+    """Rows without a time have no place on a grid: they take no part in forecasts."""
+    return df.filter(F.col(spec.ts).isNotNull())
+
+
 def ar3_training_rows(df: DataFrame, spec: SeriesSpec, target: str) -> DataFrame:
     """Rows with x = trailing 3-row mean (all three present) and y = next value."""
     def st(cx):
         fr = cx.w.rowsBetween(-2, 0)
         return {"_x": F.when(F.count(target).over(fr) == 3, F.avg(target).over(fr)),
                 "_y": F.lead(target, 1).over(cx.w)}
-    return windowed(df, spec, [st], context_rows=3, context_cols=[target], lead_rows=1)
+    return windowed(timed(df, spec), spec, [st], context_rows=3, context_cols=[target], lead_rows=1)
 
 
 def fit_ar3(rows: DataFrame) -> tuple[Column, Column]:
@@ -56,6 +61,7 @@ def forecast_state(df: DataFrame, spec: SeriesSpec, target: str, as_of: Column |
 
     ``df`` is a regular grid, a row per hour; hours without a value take the last one before them.
     """
+    df = timed(df, spec)
     tail = last_n(forward_fill(not_after(df, spec, as_of), spec, [target], zero_fill=False), spec, history)
     st = tail.groupBy(*spec.entity).agg(
         F.count(F.lit(1)).alias("n_hist"),
@@ -64,7 +70,7 @@ def forecast_state(df: DataFrame, spec: SeriesSpec, target: str, as_of: Column |
         F.max(F.when(F.col("rank_from_end") == 2, F.col(target))).alias("w2"),
         F.max(F.when(F.col("rank_from_end") == 1, F.col(target))).alias("w3"))
     elig = history_size(df, spec, min_rows, as_of).filter("eligible").select(*spec.entity)
-    return st.join(elig, on=list(spec.entity), how="left_semi")
+    return join_on_keys(st, elig, spec.entity, "left_semi")
 
 
 def recursive_forecast(state: DataFrame, entity: Sequence[str], a: Column, b: Column,
@@ -113,7 +119,7 @@ def backtest_by_horizon(df: DataFrame, spec: SeriesSpec, target: str, a: Column,
         for h in horizons:
             out[f"_a{h}"] = F.lead(target, h).over(cx.w)
         return out
-    rows = windowed(df, spec, [st], context_rows=2, context_cols=[target], lead_rows=max(horizons))
+    rows = windowed(timed(df, spec), spec, [st], context_rows=2, context_cols=[target], lead_rows=max(horizons))
     if after is not None:
         rows = rows.filter(F.col(spec.ts) > after)
     actual = F.array(*[F.struct(F.lit(h).alias("h"), F.col(f"_a{h}").alias("actual")) for h in horizons])
@@ -160,7 +166,7 @@ def recursive_with_model(history: DataFrame, spec: SeriesSpec, target: str, mode
     row per hour; hours without a value take the last one before them. Entities with fewer than ``min_rows``
     rows get no forecast. Returns entity, horizon_h, timestamp, predicted.
     """
-    past = forward_fill(not_after(history, spec, as_of), spec, [target], zero_fill=False)
+    past = forward_fill(not_after(timed(history, spec), spec, as_of), spec, [target], zero_fill=False)
     tail = last_n(past, spec, history_rows).filter(F.col(target).isNotNull())
     row = F.struct(F.col(spec.ts), *[F.col(c) for c in carry])
     recent = F.sort_array(F.collect_list(F.when(F.col("rank_from_end") <= keep, F.struct(F.col(spec.ts).alias("t"), F.col(target).cast("double").alias("v")))))

@@ -105,19 +105,20 @@ def regular_grid(df: DataFrame, spec: SeriesSpec, step_seconds: int = 3600,
     (``lead`` in one window, then ``explode(sequence(...))``): no span aggregate
     and no join. Empty slots get NULL measures (or ``fill`` values), so a lag of
     k rows is a lag of k slots. Output per entity is bounded by its time span; a very long gap
-    (one bad far-off time) is filled in chunks, so no array grows with it.
+    (one bad far-off time) is filled in chunks, so no array grows with it. A row without a time has
+    no slot: it is kept as it is, once, and opens or closes no gap.
     """
     ts = spec.ts
 
     def slots(n: int):
         return F.expr(f"INTERVAL {step_seconds * n} SECONDS")
-    w = Window.partitionBy(*spec.entity).orderBy(ts)
+    w = Window.partitionBy(*spec.entity).orderBy(F.col(ts).asc_nulls_last())
     last_slot = F.greatest(F.col(ts), F.coalesce(F.lead(ts).over(w) - slots(1), F.col(ts)))
     values = [c for c in df.columns if c not in (*spec.entity, ts)]
     ex = (df.withColumns({"_first": F.col(ts), "_last": last_slot})
-          .withColumn("_from", F.explode(F.sequence("_first", "_last", slots(GAP_CHUNK))))
-          .withColumn(ts, F.explode(F.sequence("_from", F.least(F.col("_last"), F.col("_from") + slots(GAP_CHUNK - 1)), slots(1)))))
-    out = ex.select(*spec.entity, ts, *[F.when(F.col(ts) == F.col("_first"), F.col(c)).alias(c) for c in values])
+          .withColumn("_from", F.explode_outer(F.sequence("_first", "_last", slots(GAP_CHUNK))))
+          .withColumn(ts, F.explode_outer(F.sequence("_from", F.least(F.col("_last"), F.col("_from") + slots(GAP_CHUNK - 1)), slots(1)))))
+    out = ex.select(*spec.entity, ts, *[F.when(F.col(ts).eqNullSafe(F.col("_first")), F.col(c)).alias(c) for c in values])
     if fill:
         out = out.fillna(fill)
     return out

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from aerostat.operators.windows import join_on_keys
 from aerostat.schemas import SeriesSpec
 
 _SRC = "_src"
@@ -40,7 +41,7 @@ def fetch_ranges(wm: DataFrame, as_of: Column, step: str = "INTERVAL 1 HOUR", en
                    (nxt <= as_of).alias("due"))
     if entities is not None:
         keys = [c for c in wm.columns if c != "last_ts"]
-        fresh = entities.select(*keys).distinct().join(wm.select(*keys), on=keys, how="left_anti")
+        fresh = join_on_keys(entities.select(*keys).distinct(), wm.select(*keys), keys, "left_anti")
         start = as_of - F.expr(backfill)
         out = out.unionByName(fresh.select(
             *keys, F.lit(None).cast("timestamp").alias("last_ts"), start.alias("next_ts"),
@@ -52,18 +53,19 @@ def split_incoming(landed: DataFrame, wm: DataFrame, spec: SeriesSpec, tolerance
                    as_of: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(fresh rows with ts > watermark, late rows at or before it) for a landed batch.
 
-    Entities without a watermark are new: all their rows are fresh. ``tolerance``
+    Entities without a watermark are new: all their rows are fresh; a NULL entity is an entity like any other.
+    Rows without a time are late where their entity has a watermark (no time puts them after it), so each
+    landed row is on exactly one side. ``tolerance``
     (e.g. "INTERVAL 2 HOURS") lowers the cut so slightly late rows still count as fresh. With
     ``as_of`` (the load's clock) a watermark ahead of it is clamped first, so one row stamped
     in the future does not make every later row late.
     """
     if as_of is not None:
         wm = clamp_watermark(wm, as_of)
-    j = landed.join(wm.select(*spec.entity, F.col("last_ts").alias("_wm")), on=list(spec.entity), how="left")
+    j = join_on_keys(landed, wm.select(*spec.entity, F.col("last_ts").alias("_wm")), spec.entity).select(*landed.columns, "_wm")
     cut = F.col("_wm") - F.expr(tolerance) if tolerance else F.col("_wm")
-    fresh = j.filter(F.col("_wm").isNull() | (F.col(spec.ts) > cut)).drop("_wm")
-    late = j.filter(F.col("_wm").isNotNull() & (F.col(spec.ts) <= cut)).drop("_wm")
-    return fresh, late
+    fresh = F.col("_wm").isNull() | F.coalesce(F.col(spec.ts) > cut, F.lit(False))
+    return j.filter(fresh).drop("_wm"), j.filter(~fresh).drop("_wm")
 
 
 def _resolve(df: DataFrame, key: Sequence[str], order: Sequence[Column], pick: str) -> DataFrame:

@@ -2,8 +2,8 @@
 
 Where an entity is big enough to need splitting (see ``SeriesSpec.hot_rows``),
 the per-row rank is never computed over a whole series: rows are counted per
-(entity, bucket), the cut position is located on that small table, and ranks
-are computed inside each bucket only. Otherwise one window per entity does it in a single shuffle. NULL times
+(entity, bucket), positions are prefix sums over that small table, and ranks
+are computed inside each bucket only; the rows are shuffled once. Otherwise one window per entity does it in a single shuffle. NULL times
 come last and a NULL entity is a series like any other, in both plans.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from aerostat.operators.windows import join_on_keys, needs_cuts, order_key, ordered, series_bucket
+from aerostat.operators.windows import find_cuts, order_key, ordered, series_bucket
 from aerostat.schemas import SeriesSpec, TRAIN_FRACTION
 
 
@@ -19,22 +19,28 @@ def time_split(df: DataFrame, spec: SeriesSpec, fraction: float = TRAIN_FRACTION
                col: str = "split") -> DataFrame:
     bspec = spec if spec.bucket or not spec.hot_rows else spec.with_(bucket=bucket)
     we = Window.partitionBy(*spec.entity)
-    if not needs_cuts(df, bspec):
+    cuts = find_cuts(df, bspec)
+    if bspec.bucket is None or (bspec.hot_rows and cuts is None):
         # no entity is big enough to need splitting: one window per entity
         pos = F.row_number().over(ordered(spec))
         cut = F.floor(F.lit(fraction) * F.count(F.lit(1)).over(we))
         return df.withColumn(col, F.when(pos <= cut, F.lit("train")).otherwise(F.lit("test")))
-    b = series_bucket(df, bspec)
-    counts = b.groupBy(*spec.entity, "_bk").agg(F.count(F.lit(1)).alias("_m"))
+    key, names = [*spec.entity, "_bk"], df.columns
+    b = series_bucket(df, bspec, cuts).repartition(*key)
+    counts = b.groupBy(*key).agg(F.count(F.lit(1)).alias("_m"))
     wb = we.orderBy("_bk")
-    bt = counts.select(
-        *spec.entity, "_bk",
-        F.coalesce(F.sum("_m").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.floor(F.lit(fraction) * F.sum("_m").over(we)).cast("long").alias("_cut"))
-    j = join_on_keys(b, bt, [*spec.entity, "_bk"])
-    pos = F.col("_before") + F.row_number().over(ordered(spec, ["_bk"]))
-    return (j.withColumn(col, F.when(pos <= F.col("_cut"), F.lit("train")).otherwise(F.lit("test")))
-            .drop("_bk", "_before", "_cut"))
+    # per bucket one row with the number of rows before it and the series' cut; it travels with the bucket's rows
+    marks = counts.select(
+        *key, F.coalesce(F.sum("_m").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.floor(F.lit(fraction) * F.sum("_m").over(we)).cast("long").alias("_cut")).repartition(*key)
+    none = {c: F.lit(None).cast(df.schema[c].dataType) for c in names if c not in spec.entity}
+    real = b.withColumns({"_before": F.lit(None).cast("long"), "_cut": F.lit(None).cast("long")})
+    both = real.unionByName(marks.withColumns(none).select(*real.columns))
+    part = Window.partitionBy(*key)
+    own = F.sum(F.when(F.col("_cut").isNull(), 1).otherwise(0)).over(ordered(spec, ["_bk"]).rowsBetween(Window.unboundedPreceding, 0))
+    train = F.max("_before").over(part) + own <= F.max("_cut").over(part)
+    return (both.withColumn(col, F.when(train, F.lit("train")).otherwise(F.lit("test")))
+            .filter(F.col("_cut").isNull()).drop("_bk", "_before", "_cut"))
 
 
 # Refinement levels of the global cut, as bucket widths in microseconds.

@@ -19,10 +19,15 @@ Buckets come from the data: entities with at least ``hot_rows`` rows (exact
 counts, any number of entities, NULL included) are cut at every ~``hot_rows``-th
 row of their full row order (time and tie-break), found from a sample by a
 hash of the row's key. So a burst within one second is cut like a long
-history, and no bucket grows with the data. With ``hot_rows`` 0 every entity
-is cut into time buckets of the width ``bucket``. NULL times come last
-everywhere. The plain one-shuffle window is used where nothing needs a cut;
-both plans give the same rows.
+history, and no bucket grows with the data. The cuts of all entities make one
+sorted table of boundaries (at most ``MAX_CUTS``, held as one value); a row finds
+its ordered partition there by a four-way search, a fixed number of comparisons
+inside generated code, without a join. The rows are shuffled once, by (entity, bucket);
+all that a bucket needs of its neighbours comes as rows of the small per-bucket
+table in the same partition. With ``hot_rows`` 0 every entity is cut into time
+buckets of the width ``bucket``. NULL times come last everywhere. The plain
+one-shuffle window is used where nothing needs a cut; a table whose size rules
+out a hot entity is not even counted. Both plans give the same rows.
 """
 
 from __future__ import annotations
@@ -31,6 +36,7 @@ import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from aerostat.schemas import SeriesSpec
@@ -42,6 +48,8 @@ _CARRY = "_carry__"
 _UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 7 * 86400}
 _LAST_BUCKET = 2**62  # of rows without a time
 _CUT_SAMPLE = 32  # sampled rows per bucket that place its cut
+MAX_CUTS = 100_000  # boundaries held as one value; with more hot rows than that many buckets, buckets grow instead
+ROW_BYTES = 4  # a stored row of a series (key, time and a value) is taken to have at least this size
 
 
 def bucket_seconds(bucket: str) -> int:
@@ -57,10 +65,13 @@ def bucket_of(ts: Column, bucket: str) -> Column:
     return F.coalesce(b, F.lit(_LAST_BUCKET))
 
 
+def _comparable(cols: Sequence[str]) -> Column:
+    return F.struct(*[x for i, c in enumerate(cols) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
+
+
 def order_key(spec: SeriesSpec) -> Column:
     """One comparable value in row order: NULLs last in every column."""
-    return F.struct(*[x for i, c in enumerate(spec.order_cols)
-                      for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
+    return _comparable(spec.order_cols)
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -69,7 +80,8 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: st
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
+    out = left.join(renamed, cond, how)
+    return out if how in ("left_semi", "left_anti") else out.drop(*[f"_r_{k}" for k in keys])
 
 
 def entity_counts(df: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -77,11 +89,31 @@ def entity_counts(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return df.groupBy(*spec.entity).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= spec.hot_rows)
 
 
+def may_be_hot(df: DataFrame, spec: SeriesSpec) -> bool:
+    """False where the optimizer's size of ``df`` leaves no room for ``hot_rows`` rows; chooses a plan, never a result."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) >= spec.hot_rows * ROW_BYTES
+
+
+def find_cuts(df: DataFrame, spec: SeriesSpec) -> pa.Table | None:
+    """The boundaries ``at`` (entity and row key, comparable) and ``i`` (their number within the entity), or None.
+
+    One job over the key columns. Where there would be more than ``MAX_CUTS``, buckets are made larger.
+    """
+    if spec.bucket is None or not spec.hot_rows or not may_be_hot(df, spec):
+        return None
+    wide = spec
+    while True:
+        points = cut_points(df, wide).select(_comparable(spec.entity).alias("e"), F.posexplode("_cuts").alias("i", "k"))
+        found = points.select(F.struct("e", "k").alias("at"), (F.col("i") + 1).cast("long").alias("i")).limit(MAX_CUTS + 1).toArrow()
+        if found.num_rows <= MAX_CUTS:
+            return found if found.num_rows else None
+        wide = wide.with_(hot_rows=wide.hot_rows * 4)
+
+
 def needs_cuts(df: DataFrame, spec: SeriesSpec) -> bool:
-    """Whether any entity has to be split; one count over the key column at plan time."""
-    if spec.bucket is None:
-        return False
-    return not spec.hot_rows or not entity_counts(df, spec).isEmpty()
+    """Whether any entity has to be split."""
+    return spec.bucket is not None and (not spec.hot_rows or find_cuts(df, spec) is not None)
 
 
 def cut_points(df: DataFrame, spec: SeriesSpec) -> DataFrame:
@@ -96,13 +128,29 @@ def cut_points(df: DataFrame, spec: SeriesSpec) -> DataFrame:
     return cuts.groupBy(*spec.entity).agg(F.array_sort(F.collect_list("_k")).alias("_cuts"))
 
 
-def series_bucket(df: DataFrame, spec: SeriesSpec) -> DataFrame:
-    """Add the bucket id: cuts of hot entities (time buckets of all when ``hot_rows`` is 0), 0 for the rest."""
+def series_bucket(df: DataFrame, spec: SeriesSpec, cuts: pa.Table | None = None) -> DataFrame:
+    """Add the bucket id: cuts of hot entities (time buckets of all when ``hot_rows`` is 0), 0 for the rest.
+
+    The boundaries are one sorted array in a scalar subquery. Each step of the search is a column of
+    its own that the next one reads several times, so the steps stay apart and run inside generated code.
+    """
     if not spec.hot_rows:
         return df.withColumn(_BK, bucket_of(F.col(spec.ts), spec.bucket))
-    with_cuts = join_on_keys(df, cut_points(df, spec), spec.entity).withColumn("_k", order_key(spec))
-    passed = F.size(F.filter("_cuts", lambda c: c < F.col("_k")))
-    return with_cuts.withColumn(_BK, F.when(F.col("_cuts").isNull(), 0).otherwise(passed).cast("long")).drop("_cuts", "_k")
+    cuts = cuts if cuts is not None else find_cuts(df, spec)
+    if cuts is None:
+        return df.withColumn(_BK, F.lit(0).cast("long"))
+    names, n = df.columns, cuts.num_rows
+    table = df.sparkSession.createDataFrame(cuts).agg(F.array_sort(F.collect_list(F.struct("at", "i"))).alias("b")).scalar()
+    out = df.withColumn("_at", F.struct(_comparable(spec.entity).alias("e"), order_key(spec).alias("k"))).withColumn("_p0", F.lit(0))
+    steps = [1 << b for b in range((n.bit_length() - 1) // 2 * 2, -1, -2)]  # four ways at a time
+    for i, step in enumerate(steps):
+        here = F.col(f"_p{i}")
+        passed = [F.get(table, here + (way * step - 1))["at"] < F.col("_at") for way in (1, 2, 3)]
+        out = out.select(*names, "_at", F.when(passed[2], here + 3 * step).when(passed[1], here + 2 * step)
+                         .when(passed[0], here + step).otherwise(here).alias(f"_p{i + 1}"))
+    last = F.get(table, F.col(f"_p{len(steps)}") - 1)
+    own = F.coalesce(last["at"]["e"] == F.col("_at")["e"], F.lit(False))
+    return out.withColumn(_BK, F.when(own, last["i"]).otherwise(F.lit(0).cast("long"))).select(*names, _BK)
 
 
 def ordered(spec: SeriesSpec, extra_partition: Sequence[str] = ()) -> WindowSpec:
@@ -167,7 +215,8 @@ def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_r
     (``lead``); the first rows of the following buckets are then shipped too.
     """
     ffill_cols = tuple(ffill_cols)
-    if not needs_cuts(df, spec):
+    cuts = find_cuts(df, spec)
+    if spec.bucket is None or (spec.hot_rows and cuts is None):
         ctx = WindowContext(ordered(spec), Window.partitionBy(*spec.entity), False, ffill_cols)
         out = df
         for st in stages:
@@ -183,7 +232,7 @@ def windowed(df: DataFrame, spec: SeriesSpec, stages: Sequence[Stage], context_r
     # One shuffle of the rows on (entity, bucket). The tail ranking below reads the same
     # exchange (reused), and the context rows are partitioned identically, so the union
     # keeps this partitioning and the final window needs no second shuffle of the rows.
-    based = series_bucket(df, spec).repartition(*key)
+    based = series_bucket(df, spec, cuts).repartition(*key)
 
     # Per (entity, bucket): its last k rows and the last non-null value of each filled column.
     desc = Window.partitionBy(*key).orderBy(*[F.col(c).desc_nulls_first() for c in spec.order_cols])

@@ -1,0 +1,136 @@
+"""One rule for rows without a time and for the NULL entity, in every operator that reads a series by its order."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from aerostat.operators import asof, forecast, grid, incremental as inc, split, windows as win
+from aerostat.schemas import SeriesSpec
+
+SPEC = SeriesSpec(entity=("user_id",), ts="ts", order=("event_id",), target="value")
+T0 = dt.datetime(2024, 1, 1)
+SCHEMA = "user_id long, ts timestamp, event_id long, value double"
+
+
+def at(h):
+    return T0 + dt.timedelta(hours=h)
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    data = [(u, at(h), 10 * (u or 0) + h, float(h)) for u in (1, None) for h in range(4)]
+    data += [(u, None, 100 + (u or 0), 99.0) for u in (1, None, 2)]  # entity 2 has no time at all
+    data += [(1, at(3), None, 7.0)]  # same time as the newest, tie-break missing
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def values(df):
+    return {r.user_id: r.value for r in df.collect()}
+
+
+def test_first_latest_and_last_n_agree(rows):
+    newest = {1: 3.0, None: 3.0, 2: 99.0}
+    assert values(asof.first_row(rows, SPEC)) == {1: 0.0, None: 0.0, 2: 99.0}
+    assert values(asof.latest_row(rows, SPEC)) == newest
+    assert values(asof.last_n(rows, SPEC, 1)) == newest
+    past = F.lit("2024-01-01 02:30:00").cast("timestamp")
+    assert values(asof.latest_row(rows, SPEC, past)) == {1: 2.0, None: 2.0, 2: 99.0}  # the fallback still gives entity 2 a row
+    assert values(asof.latest_row(rows, SPEC, past, fallback=False)) == values(asof.last_n(rows, SPEC, 1, past)) == {1: 2.0, None: 2.0}
+    ranks = {(r.user_id, r.rank_from_end): r.value for r in asof.last_n(rows, SPEC, 10).collect()}
+    assert ranks[1, 1] == 3.0 and ranks[1, 2] == 7.0 and ranks[1, 6] == 99.0 and ranks[None, 5] == 99.0
+
+
+def test_last_n_in_two_steps_gives_the_same(rows, monkeypatch):
+    plain = sorted(map(str, asof.last_n(rows, SPEC, 3).collect()))
+    monkeypatch.setattr(asof, "MAP_SIDE_ROWS", 0)
+    assert sorted(map(str, asof.last_n(rows, SPEC, 3).collect())) == plain
+
+
+def test_summary_ignores_rows_without_a_time(rows):
+    got = {r.user_id: r for r in asof.recent_summary(rows.filter("event_id IS NOT NULL"), SPEC, "value", 4, 3).collect()}
+    assert got[1].recent_avg == got[None].recent_avg == 1.5 and got[1].last_ts == at(3) and got[None].trend == "increasing"
+
+
+def test_null_entity_meets_its_watermark(spark, rows):
+    wm = inc.high_watermark(rows, SPEC)
+    landed = spark.createDataFrame([(u, at(h), 500 + h, 1.0) for u in (1, None, 8) for h in (2, 5)] + [(None, None, 600, 1.0), (9, None, 601, 1.0)], SCHEMA)
+    fresh, late = inc.split_incoming(landed, wm, SPEC)
+    key = lambda df: sorted((str(r.user_id), str(r.ts)) for r in df.collect())
+    assert fresh.columns == landed.columns == late.columns
+    assert key(fresh) == sorted([("1", str(at(5))), ("None", str(at(5))), ("8", str(at(2))), ("8", str(at(5))), ("9", "None")])
+    assert key(late) == sorted([("1", str(at(2))), ("None", str(at(2))), ("None", "None")])
+    lowered, _ = inc.split_incoming(landed, wm, SPEC, "INTERVAL 2 HOURS")
+    assert ("None", str(at(2))) in key(lowered)
+    due = inc.fetch_ranges(wm, F.lit("2024-01-02 00:00:00").cast("timestamp"), entities=landed)
+    assert sorted(str(r.user_id) for r in due.collect()) == ["1", "2", "8", "9", "None"]
+
+
+def test_late_rows_of_a_null_entity_reach_the_side_table(spark, scratch):
+    from aerostat.streaming.ingest import late_splitting_sink
+    clock = lambda: F.lit("2024-02-01 00:00:00").cast("timestamp")
+    sink = late_splitting_sink(f"{scratch}/t", f"{scratch}/late", SPEC, ["user_id", "ts"], ["event_id"], as_of=clock)
+    sink(spark.createDataFrame([(None, at(5), 1, 1.0), (5, at(5), 2, 1.0)], SCHEMA), 0)
+    sink(spark.createDataFrame([(None, at(2), 3, 1.0), (5, at(2), 4, 1.0), (None, at(6), 5, 1.0)], SCHEMA), 1)
+    assert sorted(r.event_id for r in spark.read.parquet(f"{scratch}/late").collect()) == [3, 4]
+    assert sorted(r.event_id for r in spark.read.parquet(f"{scratch}/t").collect()) == [1, 2, 5]
+
+
+def test_grid_keeps_rows_without_a_time(spark):
+    spec = SeriesSpec(entity=("city",), ts="hour")
+    df = spark.createDataFrame([("a", at(0), 1.0), ("a", at(3), 4.0), ("a", None, 7.0), (None, at(1), 5.0), ("b", None, 8.0)], "city string, hour timestamp, v double")
+    got = sorted((str(r.city), str(r.hour), str(r.v)) for r in grid.hourly_grid(df, spec).collect())
+    assert got == sorted([("a", str(at(0)), "1.0"), ("a", str(at(1)), "None"), ("a", str(at(2)), "None"), ("a", str(at(3)), "4.0"), ("a", "None", "7.0"),
+                          ("None", str(at(1)), "5.0"), ("b", "None", "8.0")])
+
+
+def test_null_entity_gets_its_forecasts(spark):
+    spec = SeriesSpec(entity=("city",), ts="hour", target="v")
+    df = spark.createDataFrame([(c, at(h), float(h % 5)) for c in ("a", None) for h in range(150)] + [("a", None, 1e6)], "city string, hour timestamp, v double")
+    state = forecast.forecast_state(df, spec, "v")
+    assert sorted(str(r.city) for r in state.collect()) == ["None", "a"]
+    out = forecast.recursive_forecast(state, ["city"], F.lit(0.5), F.lit(0.4), hours=3)
+    by = {c: [r.predicted for r in out.orderBy("horizon_h").collect() if r.city == c] for c in ("a", None)}
+    assert by["a"] == by[None] and len(by[None]) == 3
+
+
+def test_cuts_of_a_null_entity_and_null_times_by_search(spark):
+    n = 3000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2).cast("long").alias("user_id"),
+                               F.when(F.col("id") % 10 != 7, F.timestamp_seconds(1704067200 + F.col("id"))).alias("ts"), F.col("id").alias("event_id"), F.col("id").cast("double").alias("value"))
+    spec = SPEC.with_(bucket="1 day", hot_rows=100)
+    cuts = win.find_cuts(df, spec)
+    table = {tuple(r["at"]["e"].values()): [] for r in cuts.to_pylist()}
+    for r in cuts.to_pylist():
+        table[tuple(r["at"]["e"].values())].append(tuple(r["at"]["k"].values()))
+    assert len(table) == 3
+    for r in win.series_bucket(df, spec, cuts).collect():
+        t = None if r.ts is None else r.ts.replace(tzinfo=dt.timezone.utc)
+        key = (t is None, t, False, r.event_id)
+        less = [c for c in table[r.user_id is None, r.user_id] if (c[0], c[1] or dt.datetime.min.replace(tzinfo=dt.timezone.utc), c[3]) < (key[0], t or dt.datetime.min.replace(tzinfo=dt.timezone.utc), key[3])]
+        assert r._bk == len(less)
+
+
+def test_many_cuts_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(win, "MAX_CUTS", 50)
+    df = spark.range(4000).select((F.col("id") % 2).alias("user_id"), F.timestamp_seconds(F.col("id")).alias("ts"), F.col("id").alias("event_id"), F.col("id").cast("double").alias("value"))
+    spec = SPEC.with_(bucket="1 day", hot_rows=10)
+    assert 0 < win.find_cuts(df, spec).num_rows <= 50
+    a, b = split.time_split(df, spec), split.time_split(df, SPEC)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_a_small_table_is_not_counted(spark):
+    df = spark.range(1000).select(F.col("id").alias("user_id"), F.timestamp_seconds(F.col("id")).alias("ts"), F.col("id").alias("event_id"), F.lit(1.0).alias("value"))
+    assert not win.may_be_hot(df, SPEC.with_(bucket="1 day", hot_rows=1_000_000))
+    assert win.find_cuts(df, SPEC.with_(bucket="1 day", hot_rows=1_000_000)) is None
+
+
+def test_cut_plans_shuffle_the_rows_once_and_join_nothing(spark):
+    df = spark.range(4000).select((F.col("id") % 2).alias("user_id"), F.timestamp_seconds(F.col("id")).alias("ts"), F.col("id").alias("event_id"), F.col("id").cast("double").alias("value"))
+    spec = SPEC.with_(bucket="1 day", hot_rows=100)
+    for out in (split.time_split(df, spec), win.lag_features(df, spec, "value", [1], "v")):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "_p1" in plan
+        rows = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning(user_id" in line and "_bk" in line]
+        assert rows and all("REPARTITION_BY_COL" in line for line in rows)  # what the plan asks for itself, none added
