@@ -20,6 +20,7 @@ from aerostat.operators import metrics as met
 from aerostat.operators import rollups as roll
 from aerostat.operators import scale
 from aerostat.operators import split as split_mod
+from aerostat.operators import tree_attribution as trees
 from aerostat.operators import windows as win
 from aerostat.plans.output import finish
 from aerostat.session import prepare
@@ -544,6 +545,39 @@ def pick_examples(spark, sf_dir):
         "example", "event_id", "feature", "feature_value", "contribution", "rank"))
 
 
+# Three fixed small trees (stated, not fitted here): tree, node, left, right, feature, threshold, value. Covers and gains
+# come from the table. Tests do the same with fitted forests and boosted trees.
+TREE_FEATURES = ["aqi_lag_1h", "aqi_rolling_mean_3h", "hour"]
+DEMO_TREES = [
+    (0, 0, 1, 2, "aqi_lag_1h", 100.0, None), (0, 1, 3, 4, "hour", 11.0, None), (0, 2, 5, 6, "aqi_rolling_mean_3h", 150.0, None),
+    (0, 3, None, None, None, None, 40.0), (0, 4, None, None, None, None, 60.0), (0, 5, None, None, None, None, 120.0), (0, 6, None, None, None, None, 180.0),
+    (1, 0, 1, 2, "hour", 17.0, None), (1, 1, None, None, None, None, 10.0), (1, 2, 3, 4, "aqi_lag_1h", 200.0, None),
+    (1, 3, None, None, None, None, 20.0), (1, 4, None, None, None, None, 35.0),
+    (2, 0, 1, 2, "aqi_lag_1h", 150.0, None), (2, 1, 3, 4, "aqi_lag_1h", 50.0, None), (2, 2, None, None, None, None, 9.0),
+    (2, 3, None, None, None, None, 1.0), (2, 4, None, None, None, None, 5.0),
+]
+
+
+def _demo_trees(spark, sf_dir):
+    f = feat.basic_features(tb.user_series(spark, sf_dir), U, target="value")
+    nodes = spark.createDataFrame([(*n, 1.0, None, None) for n in DEMO_TREES], trees.NODE_SCHEMA)
+    return f, trees.fitted_on(nodes, f, TREE_FEATURES, "value")
+
+
+@query
+def tree_attribution(spark, sf_dir):
+    """Exact Shapley values of every row under the fixed trees, with the whole table's covers."""
+    f, nodes = _demo_trees(spark, sf_dir)
+    return finish(trees.tree_attribution(f, "event_id", nodes, TREE_FEATURES))
+
+
+@query
+def native_importance(spark, sf_dir):
+    """Native (gain times cover) importances of the fixed trees over the whole table, ranked with a bar."""
+    _, nodes = _demo_trees(spark, sf_dir)
+    return finish(met.top_k(trees.native_importance(nodes, TREE_FEATURES), 10))
+
+
 # ---------------------------------------------------------------- a second source: orders by nation
 
 @query

@@ -553,6 +553,68 @@ SELECT p.example, la.event_id, la.feature, {r6('la.feature_value')} AS feature_v
 FROM picks p JOIN la ON la.event_id = p.event_id"""
 
 
+# Fixed trees, nested: (feature, threshold, left, right) or a leaf's value.
+_TREES = [
+    ("aqi_lag_1h", 100.0, ("hour", 11.0, 40.0, 60.0), ("aqi_rolling_mean_3h", 150.0, 120.0, 180.0)),
+    ("hour", 17.0, 10.0, ("aqi_lag_1h", 200.0, 20.0, 35.0)),
+    ("aqi_lag_1h", 150.0, ("aqi_lag_1h", 50.0, 1.0, 5.0), 9.0),
+]
+_TREE_FEATS = ["aqi_lag_1h", "aqi_rolling_mean_3h", "hour"]
+
+
+def _tree_nodes():
+    """(name, condition that a row reaches it, node) of every node."""
+    todo = [(f"t{i}", "true", t) for i, t in enumerate(_TREES)]
+    for name, cond, node in todo:
+        yield name, cond, node
+        if isinstance(node, tuple):
+            f, t, left, right = node
+            todo += [(name + "l", f"{cond} AND {f} <= {t}", left), (name + "r", f"{cond} AND {f} > {t}", right)]
+
+
+def _known(name, node, subset):
+    """The tree's expectation when only the features of ``subset`` are known; columns of ``w`` hold the covers."""
+    if not isinstance(node, tuple):
+        return str(node)
+    f, t, left, right = node
+    a, b = _known(name + "l", left, subset), _known(name + "r", right, subset)
+    if f in subset:
+        return f"CASE WHEN {f} <= {t} THEN {a} ELSE {b} END"
+    share = f"(CASE WHEN {name}_n = 0 THEN 0.5 ELSE CAST({name}l_n AS DOUBLE) / {name}_n END)"
+    return f"({share} * ({a}) + (1 - {share}) * ({b}))"
+
+
+_SUBSETS = [tuple(f for i, f in enumerate(_TREE_FEATS) if m >> i & 1) for m in range(8)]
+_VALUES = ", ".join(f"{' + '.join(f'({_known(f't{i}', t, sub)})' for i, t in enumerate(_TREES))} AS v{m}" for m, sub in enumerate(_SUBSETS))
+_NODE_STATS = f"""{EV},
+f0 AS (
+  SELECT event_id, value, CAST(hour(ts) AS INTEGER) AS hour, lag(value, 1) OVER w AS aqi_lag_1h, lag(value, 6) OVER w AS aqi_lag_6h, k,
+    {_guard('avg', 'value', 3, 'user_id', 'ts, event_id')} AS aqi_rolling_mean_3h
+  FROM ev WINDOW w AS ({UW})),
+f AS (SELECT * FROM f0 WHERE COLUMNS(*) IS NOT NULL),
+w AS (SELECT {", ".join(f"count(*) FILTER (WHERE {c}) AS {n}_n, coalesce(count(*) FILTER (WHERE {c}) * var_pop(value) FILTER (WHERE {c}), 0) AS {n}_q"
+                        for n, c, _ in _tree_nodes())} FROM f)"""
+
+
+def _shapley(i):
+    """The weighted differences of the subsets with and without feature ``i`` (weights 1/3, 1/6, 1/3 by size)."""
+    return " + ".join(f"(v{m | 1 << i} - v{m}) / {6.0 if bin(m).count('1') == 1 else 3.0}" for m in range(8) if not m >> i & 1)
+
+
+ORACLE["tree_attribution"] = f"""WITH {_NODE_STATS},
+v AS (SELECT event_id, aqi_lag_1h, aqi_rolling_mean_3h, hour, {_VALUES} FROM f, w),
+a AS ({" UNION ALL ".join(f"SELECT event_id, '{c}' AS feature, CAST({c} AS DOUBLE) AS feature_value, {_shapley(i)} AS contribution, v0, v7 FROM v" for i, c in enumerate(_TREE_FEATS))})
+SELECT event_id, feature, {r6('feature_value')} AS feature_value, {r6('contribution')} AS contribution, {r6('v0')} AS base_value, {r6('v7')} AS prediction FROM a"""
+
+_SPLITS = [(n, node[0]) for n, _, node in _tree_nodes() if isinstance(node, tuple)]
+ORACLE["native_importance"] = f"""WITH {_NODE_STATS},
+g AS ({" UNION ALL ".join(f"SELECT '{n[:2]}' AS tree, '{c}' AS feature, {n}_q - {n}l_q - {n}r_q AS g FROM w" for n, c in _SPLITS)}),
+s AS (SELECT feature, sum(g / t) AS s FROM (SELECT *, sum(g) OVER (PARTITION BY tree) AS t FROM g) GROUP BY feature),
+n AS (SELECT feature, s / sum(s) OVER () AS importance FROM s)
+SELECT feature, {r6('importance')} AS importance, repeat('#', CAST(greatest(floor(importance * 50), 0) AS INTEGER)) AS bar
+FROM n ORDER BY importance DESC, feature LIMIT 10"""
+
+
 ORACLE["order_series_features"] = f"""WITH o AS (
   SELECT n.n_name AS nation, date_trunc('day', o.o_orderdate) AS day, count(*) AS n_orders,
          sum(o.o_totalprice) AS revenue
