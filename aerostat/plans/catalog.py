@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,12 +24,14 @@ from aerostat.operators import split as split_mod
 from aerostat.operators import tree_attribution as trees
 from aerostat.operators import windows as win
 from aerostat.plans.output import finish
-from aerostat.session import prepare
+from aerostat.session import prepare, shared_path
 from aerostat.schemas import (FORECAST_MIN_ROWS, HORIZON_ERROR_GROWTH, LOOKBACK, PM25_LAGS, ROLLING_MEAN_SIZES,
                               ROLLING_STD_SIZES, SAMPLE_ROWS, SAMPLE_SEED, STALE_AFTER_SECONDS, TARGET_LAGS,
                               WEATHER_RENAMES)
 from aerostat.sources import payload as pl
 from aerostat.sources import tables as tb
+from aerostat.sources import versioned
+from aerostat.sources.store import with_date_partition
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -304,6 +307,16 @@ def upsert_latest(spark, sf_dir):
     return finish(inc.upsert_latest(old, new, key=["user_id", "ts"], order=["event_id"]))
 
 
+@query
+def versioned_upsert(spark, sf_dir):
+    """The same keyed insert as two commits of a versioned table, read back as its newest version."""
+    path = shared_path(spark, f"versioned-{uuid.uuid4().hex}")
+    for part, source in ((_stored(spark, sf_dir), "stored"), (_landed(spark, sf_dir), "landed")):
+        rows = with_date_partition(part.withColumn("source", F.lit(source)), "ts")
+        versioned.upsert(spark, path, rows, ["user_id", "ts"], ["event_id"], ts="ts")
+    return finish(versioned.read(spark, path).drop("date"))
+
+
 @query
 def dedup_keep_first(spark, sf_dir):
     e = tb.user_series(spark, sf_dir).select("user_id", F.date_trunc("hour", "ts").alias("hour_ts"),

@@ -277,6 +277,8 @@ ORACLE["upsert_latest"] = f"""WITH {_UNION},
 r AS (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY prio DESC, event_id DESC) AS rn FROM u)
 SELECT user_id, ts, event_id, {r6('value')} AS value, source FROM r WHERE rn = 1"""
 
+ORACLE["versioned_upsert"] = ORACLE["upsert_latest"]
+
 ORACLE["dedup_keep_first"] = f"""WITH r AS (
   SELECT user_id, date_trunc('hour', ts) AS hour_ts, ts, event_id, value,
          row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts, event_id) AS rn

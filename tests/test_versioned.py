@@ -1,0 +1,141 @@
+"""Versioned tables: readers, writers, crashes and snapshots."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from aerostat.sources import store, versioned as vt
+
+SCHEMA = "user_id long, ts timestamp, event_id long, value double"
+KEY = ["user_id", "ts"]
+
+
+def rows(spark, data):
+    made = [(u, None if h is None else dt.datetime(2024, 1, 1) + dt.timedelta(hours=h), e, float(v)) for u, h, e, v in data]
+    return store.with_date_partition(spark.createDataFrame(made, SCHEMA), "ts")
+
+
+def content(df):
+    return sorted((str(r.user_id), str(r.ts), r.event_id, r.value, str(r.date)) for r in df.collect())
+
+
+A = [(1, 0, 1, 1), (1, 30, 2, 2), (2, 60, 3, 3), (None, 1, 4, 4), (3, None, 5, 5)]
+B = [(1, 30, 9, 20), (1, 31, 8, 21), (None, 1, 7, 40), (3, None, 6, 50)]
+
+
+def test_equals_the_plain_upsert_and_writes_touched_days_once(spark, scratch):
+    t, plain = f"{scratch}/t", f"{scratch}/p"
+    assert vt.upsert(spark, t, rows(spark, A), KEY, ["event_id"]) == 1
+    assert vt.upsert(spark, t, rows(spark, B), KEY, ["event_id"]) == 2
+    for part in (A, B):
+        store.upsert_table(spark, rows(spark, part), plain, KEY, ["event_id"])
+    assert [r for r in content(vt.read(spark, t)) if r[1] != "None"] == [r for r in content(spark.read.parquet(plain)) if r[1] != "None"]
+    assert [r for r in content(vt.read(spark, t)) if r[1] == "None"] == [("3", "None", 6, 50.0, "None")]
+    rec = vt.record(spark, t)
+    second = rec["parts"]["date=2024-01-02"]
+    assert set(vt._names(spark, f"{t}/data/commit={second}")) - {"_SUCCESS"} == {"date=2024-01-01", "date=2024-01-02", "date=__HIVE_DEFAULT_PARTITION__"}
+    assert rec["parts"]["date=2024-01-03"] == vt.record(spark, t, 1)["parts"]["date=2024-01-03"]
+    assert vt.read(spark, t).schema["date"].dataType.simpleString() == "date"
+
+
+def test_a_reader_keeps_its_version(spark, scratch):
+    t = f"{scratch}/t"
+    vt.upsert(spark, t, rows(spark, A), KEY, ["event_id"])
+    before = vt.read(spark, t)
+    want = content(before)
+    vt.upsert(spark, t, rows(spark, B), KEY, ["event_id"])
+    assert content(before) == want == content(vt.read(spark, t, 1))
+    assert content(vt.read(spark, t)) != want
+
+
+@pytest.mark.parametrize("step", ["data", "record", "rename"])
+def test_a_crash_leaves_the_old_version(spark, scratch, monkeypatch, step):
+    t = f"{scratch}/t"
+    vt.upsert(spark, t, rows(spark, A), KEY, ["event_id"])
+    want = content(vt.read(spark, t))
+
+    def crash(*_args, **_kw):
+        raise OSError("crash")
+    with monkeypatch.context() as m:
+        if step == "data":  # files are there, nothing else
+            m.setattr(vt, "_names", lambda s, f, real=vt._names: crash() if "commit=" in f else real(s, f))
+        elif step == "record":
+            m.setattr(vt, "create_once", crash)
+        else:  # the record lies beside, not renamed
+            def half(s, path, text):
+                p, fs = vt._path(s, path)
+                out = fs.create(s._jvm.org.apache.hadoop.fs.Path(p.getParent(), ".half.tmp"), True)
+                out.write(bytearray(text[:20].encode()))
+                out.close()
+                crash()
+            m.setattr(vt, "create_once", half)
+        with pytest.raises(OSError):
+            vt.upsert(spark, t, rows(spark, B), KEY, ["event_id"])
+    assert vt.versions(spark, t) == [1] and content(vt.read(spark, t)) == want
+    assert vt.upsert(spark, t, rows(spark, B), KEY, ["event_id"]) == 2
+    assert len(vt.vacuum(spark, t, 2)) == 0 and len(vt.vacuum(spark, t, 2, orphans_before_ms=2**62)) == 1
+    assert len(content(vt.read(spark, t))) == 6
+
+
+def test_the_second_of_two_writers_merges_anew(spark, scratch, monkeypatch):
+    t = f"{scratch}/t"
+    vt.upsert(spark, t, rows(spark, A), KEY, ["event_id"])
+    stale = vt.record(spark, t)
+    vt.upsert(spark, t, rows(spark, B), KEY, ["event_id"], resolve="last")
+    seen = iter([stale])
+    with monkeypatch.context() as m:
+        m.setattr(vt, "record", lambda s, p, v=None, real=vt.record: next(seen, None) or real(s, p, v))
+        assert vt.upsert(spark, t, rows(spark, [(1, 31, 99, 7), (5, 31, 1, 1)]), KEY, ["event_id"], resolve="last") == 3
+    got = {(r[0], r[1], r[2]) for r in content(vt.read(spark, t))}
+    assert ("1", "2024-01-02 07:00:00", 99) in got and ("1", "2024-01-02 06:00:00", 9) in got and ("5", "2024-01-02 07:00:00", 1) in got
+    assert not vt.create_once(spark, vt._log(t, 3), "{}")
+
+
+def test_snapshots_stay_through_upserts_and_vacuum(spark, scratch):
+    t = f"{scratch}/t"
+    with pytest.raises(FileNotFoundError):
+        vt.freeze(spark, t, "none")
+    vt.upsert(spark, t, rows(spark, A), KEY, ["event_id"])
+    want = content(vt.read(spark, t))
+    assert vt.freeze(spark, t, "2024-01-05") == 1
+    for i in range(3):
+        vt.upsert(spark, t, rows(spark, [(1, 0, 100 + i, i)]), KEY, ["event_id"])
+    assert vt.freeze(spark, t, "2024-01-05") == 1  # a second run of a day keeps the frozen one
+    gone = vt.vacuum(spark, t, 1)
+    assert len(gone) == 2 and vt.versions(spark, t) == [1, 4]
+    assert content(vt.frozen(spark, t, "2024-01-05")) == want and vt.read(spark, t).filter("event_id = 102").count() == 1
+
+
+def test_empty_batches_and_key_check(spark, scratch):
+    t, none = f"{scratch}/t", rows(spark, A).limit(0)
+    assert vt.upsert(spark, t, none, KEY) == 0
+    vt.upsert(spark, t, rows(spark, A), KEY, ["event_id"], resolve="first")
+    assert vt.upsert(spark, t, none, KEY) == 1
+    with pytest.raises(ValueError):
+        vt.upsert(spark, t, none, ["user_id"], ts="ts")
+    with pytest.raises(FileNotFoundError):
+        vt.read(spark, f"{scratch}/absent")
+
+
+def test_reads_are_pruned(spark, scratch):
+    t = f"{scratch}/t"
+    vt.upsert(spark, t, rows(spark, A), KEY, ["event_id"])
+    df = vt.read(spark, t).filter(F.col("date") == F.lit("2024-01-01").cast("date"))
+    assert "PartitionFilters: [isnotnull(date" in df._jdf.queryExecution().executedPlan().toString() and df.count() == 2
+
+
+def test_registry_versions_do_not_collide(spark, scratch, monkeypatch):
+    reg = f"{scratch}/reg"
+    assert vt.register(spark, reg, "forest", {"rmse": 2.0, "mae": 1.0}, "s1") == 1
+    assert vt.register(spark, reg, "forest", {"rmse": 1.5}, "s2") == 2
+    real, calls = vt._names, []
+
+    def late(s, f):  # the first look misses what another run registered meanwhile
+        calls.append(f)
+        return [] if len(calls) == 1 else real(s, f)
+    with monkeypatch.context() as m:
+        m.setattr(vt, "_names", late)
+        assert vt.register(spark, reg, "forest", {"rmse": 1.2}, "s3") == 3
+    got = sorted((r.model, r.version, r.metric, r.value, r.snapshot) for r in vt.registered(spark, reg).collect())
+    assert got == [("forest", 1, "mae", 1.0, "s1"), ("forest", 1, "rmse", 2.0, "s1"), ("forest", 2, "rmse", 1.5, "s2"), ("forest", 3, "rmse", 1.2, "s3")]
