@@ -6,7 +6,7 @@ import functools
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aerostat.functions.calendar import calendar_columns
 from aerostat.functions import scalar as sc
@@ -215,11 +215,32 @@ def join_sources(spark, sf_dir):
 @query
 def payload_explode(spark, sf_dir):
     p = pl.land_payloads(tb.events(spark, sf_dir))
-    good, _ = pl.split_unequal(p, ["time", "value", "k"])  # derived payloads are equal in length; see pl.quarantine for landed ones
+    good, bad = pl.split_unequal(p, ["time", "value", "k"])
+    pl.quarantine(bad, shared_path(spark, f"quarantine-{uuid.uuid4().hex}"), "events")
     out = pl.explode_payload(good, ["value", "k"])
     return finish(out.select(F.col("city").alias("user_id"), F.col("timestamp").alias("ts"), "value", "k"))
 
 
+PAYLOAD_SCHEMA = T.StructType([T.StructField("city", T.LongType()), T.StructField("hourly", T.StructType([
+    T.StructField("time", T.ArrayType(T.StringType())), T.StructField("value", T.ArrayType(T.DoubleType())), T.StructField("k", T.ArrayType(T.DoubleType()))]))])
+
+
+@query
+def payload_quarantine(spark, sf_dir):
+    """Landed JSON with defects (every seventh user's broken, uneven or drifted): what is exploded and what is set aside, and why."""
+    p = pl.land_payloads(tb.events(spark, sf_dir))
+    uneven = p.withColumn("hourly", F.col("hourly").withField("value", F.slice("hourly.value", 2, 1 << 30)))
+    drifted = p.withColumn("hourly", F.col("hourly").withField("uv", F.lit("high")))
+    text, kind = F.to_json(F.struct("city", "hourly")), F.col("city") % 7
+    lines = (p.filter(~kind.isin(3, 4, 5)).select(text.alias("value")).union(p.filter(kind == 3).select(F.expr("left(to_json(struct(city, hourly)), 40)")))
+             .union(uneven.filter(kind == 4).select(text)).union(drifted.filter(kind == 5).select(text)))
+    path = shared_path(spark, f"landed-{uuid.uuid4().hex}")
+    lines.write.text(path)
+    good, bad = pl.sort_out(pl.read_landed_json(spark, path, PAYLOAD_SCHEMA), ["time", "value", "k"])
+    rows = pl.explode_payload(good, ["value", "k"]).agg(F.lit("exploded").alias("outcome"), F.count(F.lit(1)).alias("n"))
+    return finish(rows.union(bad.groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))))
+
+
 @query
 def time_axis(spark, sf_dir):
     p = pl.interval_payloads(tb.events(spark, sf_dir))

@@ -177,6 +177,14 @@ FROM st"""
 ORACLE["payload_explode"] = f"""WITH {EV}
 SELECT user_id, ts, {r6('value')} AS value, {r6('k')} AS k FROM ev"""
 
+ORACLE["payload_quarantine"] = """WITH p AS (
+  SELECT user_id, count(*) AS n FROM events GROUP BY user_id, CAST(ts AS DATE)),
+o AS (
+  SELECT user_id % 7 AS kind, n FROM p)
+SELECT 'exploded' AS outcome, CAST(coalesce(sum(n), 0) AS BIGINT) AS n FROM o WHERE kind NOT IN (3, 4)
+UNION ALL SELECT CASE kind WHEN 3 THEN 'malformed' WHEN 4 THEN 'unequal arrays or bad times' ELSE 'unknown fields' END, count(*)
+FROM o WHERE kind IN (3, 4, 5) GROUP BY kind"""
+
 ORACLE["time_axis"] = f"""WITH h AS (
   SELECT user_id, date_trunc('hour', ts) AS hr, avg(value) AS avg_value, CAST(count(*) AS DOUBLE) AS n_events
   FROM events GROUP BY 1, 2),

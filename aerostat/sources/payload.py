@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from aerostat.functions.scalar import parse_time
@@ -47,6 +47,47 @@ def read_payload_json(spark: SparkSession, path: str, schema: T.StructType) -> D
     return spark.read.schema(schema).json(path)
 
 
+def read_landed_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Landed JSON lines, nothing dropped at the scan: see :func:`parse_landed`."""
+    return parse_landed(spark.read.text(path), "value", schema)
+
+
+def parse_landed(lines: DataFrame, raw: str, schema: T.StructType) -> DataFrame:
+    """The fields of ``schema`` from the JSON text ``raw`` and, with the text, what does not fit them.
+
+    ``raw`` the text, ``broken`` whether it does not parse into the schema (bad JSON, a value of another type, no
+    object at all), ``unknown`` the top-level and ``hourly`` fields that the schema lacks, by name, as JSON text.
+    """
+    known, text = [f.name for f in schema.fields], F.col(raw)
+    inner = [f.name for f in schema["hourly"].dataType.fields] if "hourly" in known else []
+    whole = T.StructType([*schema.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(text, whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+
+    def extra(part: Column, names: Sequence[str], prefix: str) -> Column:
+        fields = F.coalesce(F.from_json(part, "map<string,string>"), F.create_map().cast("map<string,string>"))
+        return F.transform_keys(F.map_filter(fields, lambda k, _: ~k.isin(*names)), lambda k, _: F.concat(F.lit(prefix), k))
+
+    unknown = extra(text, known, "")
+    if inner:
+        unknown = F.map_concat(unknown, extra(F.get_json_object(text, "$.hourly"), inner, "hourly."))
+    out = lines.select(text.alias("raw"), parsed.alias("_p"), unknown.alias("unknown"))
+    broken = F.col("_p").isNull() | F.col("_p._corrupt").isNotNull() | (F.col("_p.hourly").isNull() if inner else F.lit(False))
+    return out.select(*[F.col(f"_p.{f}").alias(f) for f in known], "raw", broken.alias("broken"),
+                      F.when(~broken, F.col("unknown")).alias("unknown"))
+
+
+def sort_out(landed: DataFrame, arrays: Sequence[str], time: str = "time") -> tuple[DataFrame, DataFrame]:
+    """(payloads to explode, rows for quarantine) of :func:`parse_landed`'s frame.
+
+    Quarantine rows have a ``reason``: ``malformed``, ``unequal arrays or bad times``, or ``unknown fields``. The
+    last ones are usable as well: what the schema knows of them is exploded, the rest is kept for a later look.
+    """
+    good, uneven = split_unequal(landed.filter(~F.col("broken")), arrays, time)
+    reasons = [(landed.filter("broken"), "malformed"), (uneven, "unequal arrays or bad times"), (good.filter(F.size("unknown") > 0), "unknown fields")]
+    bad = [df.select(F.lit(reason).alias("reason"), "raw", "unknown") for df, reason in reasons]
+    return good.drop("raw", "broken", "unknown"), bad[0].unionByName(bad[1]).unionByName(bad[2])
+
+
 def split_unequal(payload: DataFrame, arrays: Sequence[str], time: str = "time") -> tuple[DataFrame, DataFrame]:
     """(payloads whose arrays all have the same length and whose times all parse, the rest for quarantine).
 
