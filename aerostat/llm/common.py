@@ -66,7 +66,14 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="llm-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(base)
-    return base.rstrip("/")
+    return _qualified(spark, base.rstrip("/"))
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as Spark's file systems resolve it, so that tasks that open it themselves look in the same store."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    full = p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
+    return "file://" + full[5:] if full.startswith("file:/") and not full.startswith("file://") else full
 
 
 def new_folder(spark: SparkSession, name: str) -> str:

@@ -27,8 +27,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from aerostat.llm.common import new_folder, release, sliced, table, utf8
-from aerostat.llm.sidefiles import received, send_back
+from aerostat.llm.common import new_folder, release, sliced, table, utf8, written
+from aerostat.llm import sidefiles
+from aerostat.llm.sidefiles import proof, received, send_back
 
 #: bits of a fingerprint; more suspects are false with fewer, never more results
 BITS = 48
@@ -70,7 +71,7 @@ def _lengths(column: pa.Array) -> list[int]:
 
 def _input(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                       F.spark_partition_id().alias("part"))
+                       F.spark_partition_id().alias("part"), sidefiles.mark(sidefiles.seq(), F.col(id_col)).alias("mark"))
 
 
 _NOTE = "part int, owner int, n int, bits int, unary binary, rest binary, twice binary"
@@ -136,20 +137,21 @@ def _suspects(source: DataFrame, answers: str, owners: int) -> DataFrame:
     width = (1 << BITS) // owners + 1
 
     def read(batches):
-        known = suspect = None
+        known = suspect = back = None
         seq = 0
         for b in sliced(batches, "text"):
             part = b.column("part")[0].as_py()
-            if known is None:
-                got = received(answers, part, ["owner", "n", "bits", "unary", "rest", "twice"])
-                got = sorted(got.to_pylist(), key=lambda r: r["owner"]) if got else []
+            if back is None:
+                back = received(answers, part, ["owner", "n", "bits", "unary", "rest", "twice"])
+                got = sorted(back.rows.to_pylist(), key=lambda r: r["owner"])
                 known = np.concatenate([np.zeros(0, np.uint64)] + [golomb_decode(r["n"], r["bits"], r["unary"], r["rest"]) + np.uint64(r["owner"] * width) for r in got])
                 suspect = np.concatenate([np.zeros(0, bool)] + [np.unpackbits(np.frombuffer(r["twice"], np.uint8), count=r["n"]).astype(bool) for r in got])
+            back.seen(b.column("mark"))
             texts = _stripped(b.column("text"))
             prints = _fingerprints(texts)
             at = np.searchsorted(known, prints)
             if len(known) == 0 or (known[np.minimum(at, len(known) - 1)] != prints).any():
-                raise RuntimeError("the input gave other partitions on its second read; write it to files first")
+                raise RuntimeError(sidefiles.MOVED)
             groups: dict[bytes, list] = {}
             chars, ids = _lengths(b.column("text")), b.column("id")
             for i in np.flatnonzero(suspect[at]).tolist():
@@ -168,6 +170,8 @@ def _suspects(source: DataFrame, answers: str, owners: int) -> DataFrame:
                 "id": pa.array([h[1] for _, h in rows], ids.type), "part": pa.array([part] * len(rows), pa.int32()),
                 "seq": pa.array([h[0][3] for _, h in rows], pa.int64()), "n": pa.array([h[2] for _, h in rows], pa.int64())})
             seq += len(texts)
+        if back:
+            back.check()
 
     return source.mapInArrow(read, f"body binary, chars long, id {kind}, part int, seq long, n long")
 
@@ -185,44 +189,52 @@ def decisions(docs: DataFrame, id_col: str, text_col: str, owners: int | None =
     first.write.partitionBy("kind").parquet(path)
     both = spark.read.schema(first.schema).parquet(path)
     notes = both.where("kind = 'note'").select(*[c.split()[0] for c in _NOTE.split(", ")])
-    answers = send_back(notes.groupBy("owner").applyInPandas(_answer, _NOTE), "dedup-answers")
+    rows = both.where("kind = 'row'").select("part", "seq", "id", "sha")
+    answers = send_back(notes.groupBy("owner").applyInPandas(_answer, _NOTE), "dedup-answers", proof(rows))
     suspects = _suspects(source, answers, owners)
     best = F.struct((-F.col("chars")).alias("less"), F.col("id").isNull().alias("none"), "id", "part", "seq")
     groups = (suspects.groupBy("body").agg(F.min(best).alias("best"), F.sum("n").alias("size"))
               .where("size > 1").select(F.sha2("body", 256).alias("sha"), "best", "size"))
-    rows = both.where("kind = 'row'").select("part", "seq", "id", "sha")
     kept = F.col("best").isNull() | ((F.col("best.part") == F.col("part")) & (F.col("best.seq") == F.col("seq")))
     return (rows.join(groups, "sha", "left")
             .select("part", "seq", "id", F.when(F.col("best").isNull(), F.col("id")).otherwise(F.col("best.id")).alias("keep_id"),
                     F.coalesce("size", F.lit(1).cast("long")).alias("group_size"), kept.alias("kept"), "sha"))
 
 
-def drop_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows at the places ``part, seq``; no text is shuffled."""
-    path = send_back(dropped.select("part", "seq"), "dropped")
+def drop_rows(docs: DataFrame, judged: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` without the rows that ``judged`` drops; no text is shuffled.
+
+    ``judged`` has ``part, seq, id, dropped`` of every row. The rows read must be those judged, at the same places.
+    """
+    judged = written(judged.select("part", "seq", "id", "dropped"), "judged")
+    path = send_back(judged.where("dropped").select("part", "seq"), "dropped", proof(judged))
     names, schema = docs.columns, docs.schema
-    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumn("part", F.spark_partition_id())
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))]).withColumns({
+        "part": F.spark_partition_id(), "mark": sidefiles.mark(sidefiles.seq(), F.col(f"c{names.index(id_col)}"))})
 
     def read(batches):
-        gone, seq = None, 0
+        back, seq = None, 0
         for b in batches:
             if not b.num_rows:
                 continue
-            if gone is None:
-                got = received(path, b.column(len(names))[0].as_py(), ["seq"])
-                gone = np.sort(got.column("seq").to_numpy()) if got else np.zeros(0, np.int64)
+            if back is None:
+                back = received(path, b.column(len(names))[0].as_py(), ["seq"])
+                gone = np.sort(back.rows.column("seq").to_numpy())
+            back.seen(b.column(len(names) + 1))
             stays = np.ones(b.num_rows, bool)
             a, z = np.searchsorted(gone, [seq, seq + b.num_rows])
             stays[gone[a:z] - seq] = False
             seq += b.num_rows
             yield pa.RecordBatch.from_arrays(b.columns[:len(names)], names).filter(pa.array(stays))
+        if back:
+            back.check()
 
     return numbered.mapInArrow(read, T.StructType(schema.fields))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were."""
-    return drop_rows(docs, decisions(docs, id_col, text_col).where("not kept"))
+    return drop_rows(docs, decisions(docs, id_col, text_col).withColumn("dropped", ~F.col("kept")), id_col)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,8 @@ from aerostat.llm.common import release, sliced, table, written
 from aerostat.llm.components import connected
 from aerostat.llm.exact_dedup import drop_rows
 from aerostat.llm.shingles import MinHash, mix, series, text_shingles
-from aerostat.llm.sidefiles import received, send_back
+from aerostat.llm import sidefiles
+from aerostat.llm.sidefiles import proof, received, send_back
 
 SHINGLE, THRESHOLD = 5, 0.8
 TREES, MAX_DEPTH, RECALL = 32, 8, 0.99999
@@ -80,22 +81,28 @@ def _places(source: DataFrame, trees: int, depth: int, k: int) -> DataFrame:
     return source.mapInArrow(read, f"part int, place long, id {kind}, n long, one long, two long, paths array<long>")
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """With the rows' numbers within their partitions."""
+    return rows.withColumn("seq", F.col("place") - F.shiftleft(F.col("part").cast("long"), 40))
+
+
 def _sets(source: DataFrame, wanted: str, k: int) -> DataFrame:
     """Second pass: the shingle sets of the wanted units, once for each pair of blocks that needs them."""
     def read(batches):
-        rows, seq = None, 0
+        back, seq = None, 0
         for b in sliced(batches, "text"):
             part = b.column("part")[0].as_py()
-            if rows is None:
-                got = received(wanted, part, ["unit", "root", "copies", "blocks", "block", "one"])
-                rows = {r["unit"] - (part << 40): r for r in got.to_pylist()} if got else {}
+            if back is None:
+                back = received(wanted, part, ["unit", "root", "copies", "blocks", "block", "one"])
+                rows = {r["unit"] - (part << 40): r for r in back.rows.to_pylist()}
+            back.seen(b.column("mark"))
             hits = [i for i in range(b.num_rows) if seq + i in rows]
             texts = b.column("text").take(pa.array(hits, pa.int64())).to_pylist()
             out = {c: [] for c in ("root", "i", "j", "side", "unit", "copies", "shingles")}
             for i, s in zip(hits, text_shingles(texts, k)):
                 r = rows[seq + i]
                 if int(s.sum(dtype=np.uint64).astype(np.int64)) != r["one"]:
-                    raise RuntimeError("the input gave other partitions on its second read; write it to files first")
+                    raise RuntimeError(sidefiles.MOVED)
                 body = s.tobytes()
                 for other in range(r["blocks"]):
                     for c, v in zip(out.values(), (r["root"], min(r["block"], other), max(r["block"], other), r["block"], r["unit"], r["copies"], body)):
@@ -103,6 +110,8 @@ def _sets(source: DataFrame, wanted: str, k: int) -> DataFrame:
             seq += b.num_rows
             kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out.values(), kinds)], list(out))
+        if back:
+            back.check()
 
     return source.mapInArrow(read, "root long, i int, j int, side int, unit long, copies long, shingles binary")
 
@@ -220,7 +229,8 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Aggregates that are joined back to the rows of their key are written first: both sides of the join are
     then shuffled for it, and Spark can split a hot key's rows.
     """
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.spark_partition_id().alias("part"))
+    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.spark_partition_id().alias("part"),
+                         sidefiles.mark(sidefiles.seq(), F.col(id_col)).alias("mark"))
     depth = prefix_depth(threshold, trees, recall)
     if 1 - (1 - threshold**depth) ** trees < recall:
         raise ValueError(f"{trees} trees cannot reach a recall of {recall} at similarity {threshold}")
@@ -240,7 +250,7 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = (roots.join(size, "root").withColumn("blocks", blocks)
               .withColumn("block", F.pmod(F.xxhash64("unit"), F.col("blocks")).cast("int"))
               .select("part", "unit", "root", "copies", "blocks", "block", "one"))
-    found = written(_verified(_sets(source, send_back(wanted, "join-sent"), shingle), threshold), "join-links")
+    found = written(_verified(_sets(source, send_back(wanted, "join-sent", proof(_numbered(signed))), shingle), threshold), "join-links")
 
     label = found.groupBy("unit").agg(F.sum("links").alias("links"), F.min("low").alias("low"), F.max("split").alias("split"))
     if not found.where("split").isEmpty():
@@ -259,8 +269,7 @@ def similarity_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each class (the smallest id), all columns as they were."""
     joined = similarity_join(docs, id_col, text_col, **options)
-    gone = joined.where("NOT first").select("part", (F.col("place") - F.shiftleft(F.col("part").cast("long"), 40)).alias("seq"))
-    return drop_rows(docs, gone)
+    return drop_rows(docs, _numbered(joined).withColumn("dropped", ~F.col("first")), id_col)
 
 
 def op3_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:

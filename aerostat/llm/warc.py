@@ -31,7 +31,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from aerostat.llm.common import new_folder, sliced, table, utf8, written
-from aerostat.llm.sidefiles import received, send_back
+from aerostat.llm import sidefiles
+from aerostat.llm.sidefiles import proof, received, send_back
 
 MIN_REVISIT = 1000
 ROLL_BYTES = 64 << 20
@@ -102,40 +103,43 @@ class RollingFiles:
         self.out, self.number = None, self.number + 1
 
 
-def _revisits(pages: DataFrame) -> DataFrame:
-    """``part, seq, refers_to, refers_url`` of the rows that revisit another."""
+def _revisits(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``part, seq, refers_to, refers_url`` of the rows that revisit another, and the proof of the pass."""
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = written(pages.select("page", "url", "place", F.sha1(body).alias("one"), F.sha2(body, 256).alias("two"), F.octet_length(body).alias("size"))
-                   .where(F.col("size") >= MIN_REVISIT), "warc-digests")
+    every = written(pages.select("page", "url", "place", F.sha1(body).alias("one"), F.sha2(body, 256).alias("two"), F.octet_length(body).alias("size")), "warc-digests")
+    part, number = F.shiftright("place", _SHIFT).cast("int").alias("part"), F.col("place").bitwiseAND((1 << _SHIFT) - 1).alias("seq")
+    rows = every.where(F.col("size") >= MIN_REVISIT)
     best = F.max(F.struct(F.col("page").isNotNull().alias("named"), "page", "place", "url")).alias("best")
     # written, so that both sides of the join are shuffled for it and Spark can split a hot payload's rows
     groups = written(rows.groupBy("one", "two", "size").agg(best, F.count("*").alias("n")).where("n > 1").drop("n"), "warc-groups")
-    return (rows.join(groups, ["one", "two", "size"]).where("place != best.place")
-            .select(F.shiftright("place", _SHIFT).cast("int").alias("part"), F.col("place").bitwiseAND((1 << _SHIFT) - 1).alias("seq"),
-                    F.col("best.page").alias("refers_to"), F.col("best.url").alias("refers_url"), "one"))
+    found = (rows.join(groups, ["one", "two", "size"]).where("place != best.place")
+             .select(part, number, F.col("best.page").alias("refers_to"), F.col("best.url").alias("refers_url"), "one"))
+    return found, proof(every.select(part, number, F.col("page").alias("id")))
 
 
 def _records(pages: DataFrame, sent: str) -> DataFrame:
     """Every page with its digest; a revisit has its target in place of the payload."""
     def read(batches):
-        back, seq = None, 0
+        back = None
         for b in sliced(batches, "html"):
             place = b.column("place").to_pylist()
             if back is None:
-                got = received(sent, place[0] >> _SHIFT, ["seq", "refers_to", "refers_url", "one"])
-                back = {r["seq"]: r for r in got.to_pylist()} if got else {}
+                held = received(sent, place[0] >> _SHIFT, ["seq", "refers_to", "refers_url", "one"])
+                back = {r["seq"]: r for r in held.rows.to_pylist()}
+            held.seen(b.column("mark"))
             body = [t or b"" for t in utf8(b.column("html"))]
             sha = [hashlib.sha1(t).hexdigest() for t in body]
             hits = [back.get(p & ((1 << _SHIFT) - 1)) for p in place]
             if any(h and h["one"] != s for h, s in zip(hits, sha)):
-                raise RuntimeError("the input gave other partitions on its second read; write it to files first")
+                raise RuntimeError(sidefiles.MOVED)
             yield pa.RecordBatch.from_pydict({
                 "page": b.column("page"), "place": b.column("place"), "url": b.column("url"),
                 "size": pa.array([len(t) for t in body], pa.int64()), "sha1": pa.array(sha, pa.string()),
                 "payload": pa.array([None if h else t for h, t in zip(hits, body)], pa.binary()),
                 "refers_to": pa.array([h and h["refers_to"] for h in hits], pa.int64()),
                 "refers_url": pa.array([h and h["refers_url"] for h in hits], pa.string())})
-            seq += b.num_rows
+        if back is not None:
+            held.check()
 
     return pages.mapInArrow(read, "page long, place long, url string, size long, sha1 string, payload binary, refers_to long, refers_url string")
 
@@ -145,8 +149,9 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     """Write all pages below ``folder`` (a URI that all executors reach) and return the manifest."""
     spark = pages.sparkSession
     source = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).cast("string").alias("url"),
-                          F.col(html_col).cast("string").alias("html"), F.monotonically_increasing_id().alias("place"))
-    records = _records(source, send_back(_revisits(source), "warc-revisits"))
+                          F.col(html_col).cast("string").alias("html"), F.monotonically_increasing_id().alias("place"), sidefiles.mark(sidefiles.seq(), F.col(id_col).cast("long")).alias("mark"))
+    revisits, held = _revisits(source)
+    records = _records(source, send_back(revisits, "warc-revisits", held))
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (records.repartitionByRange(shards, "page", "place").sortWithinPartitions("page", "place")
               .withColumn("shard", F.spark_partition_id()))
@@ -186,6 +191,19 @@ def members(stream, size: int = 1 << 20) -> Iterator[bytes]:
         raise ValueError("the file ends inside a record")
 
 
+class Hashed:
+    """A stream whose size and SHA-1 are known when it has been read."""
+
+    def __init__(self, stream):
+        self.stream, self.size, self.sha = stream, 0, hashlib.sha1()
+
+    def read(self, size: int) -> bytes:
+        data = self.stream.read(size)
+        self.size += len(data)
+        self.sha.update(data)
+        return data
+
+
 def parse(data: bytes) -> tuple[dict[str, str], bytes, bytes]:
     """Headers, HTTP head and payload of one record; its digests are checked."""
     head, _, rest = data.partition(b"\r\n\r\n")
@@ -205,7 +223,7 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes, bytes]:
 def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
     """All records of the files that the manifest lists: ``page_id, url, payload_bytes, payload_digest, record_type,
     refers_to`` and, if asked for, ``payload`` (null for revisits)."""
-    listed = spark.read.parquet(f"{folder}/manifest").select("file", "bytes", "sha1")
+    listed = spark.read.parquet(f"{folder}/manifest").select("file", "records", "bytes", "sha1")
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary())
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
@@ -213,10 +231,12 @@ def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFr
     def read(batches):
         store, root = fs.FileSystem.from_uri(folder)
         for b in batches:
-            for name in b.column("file").to_pylist():
-                rows, held = [], 0
-                with store.open_input_stream(f"{root}/{name}", compression=None) as stream:
+            for name, *listed_as in zip(*(b.column(c).to_pylist() for c in ("file", "records", "bytes", "sha1"))):
+                rows, held, count = [], 0, 0
+                with store.open_input_stream(f"{root}/{name}", compression=None) as opened:
+                    stream = Hashed(opened)
                     for data in members(stream):
+                        count += 1
                         f, http, payload = parse(data)
                         size = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
                         known = lambda key, kind: kind(f[key]) if key in f else None
@@ -227,6 +247,8 @@ def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFr
                         if held > 1 << 22:
                             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
                             rows, held = [], 0
+                if [count, stream.size, stream.sha.hexdigest()] != listed_as:
+                    raise ValueError(f"{name} is not the file that the manifest lists")
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
