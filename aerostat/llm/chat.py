@@ -1,7 +1,8 @@
 """Tool-call linking and canonical JSON, with DataFrame functions only.
 
-* Calls and results are joined by (conversation, call id), each side reduced to one row per id before the join, so repeated ids
-  never multiply.
+* Calls and results are joined by (conversation, call id). Rows that are equal in every column are one (``copies`` counts them); every
+  other call and every other result is a row of its own. Each call is joined to one result of its id, so ids that are reused on both
+  sides never multiply.
 * A call may name the call whose result it uses (``after``). Its level is the length of that chain, found by
   pointer doubling (a join on the unique call key per round, rounds written to the shared folder), so it takes the
   logarithm of the longest chain and never looks at a conversation as a whole; ``(level, turn, call_id)`` is a topological order.
@@ -10,9 +11,10 @@
 
 Cases: a call without result has ``result`` null and the error ``no_result``; a result without call is kept with the error
 ``no_call``; a chain that does not end (a cycle) has level null and the error ``cycle``; an ``after`` that names no call counts as none, with the error
-``unknown_after``; arguments that are null or no JSON object give ``bad_arguments``, an unknown tool ``unknown_tool``; of rows
-with one id the smallest by (turn, content) counts, ``copies`` tells how many there were; rows with a null conversation or
-call id cannot be linked and are kept one by one with ``no_id``; empty tables give no rows; other columns are ignored.
+``unknown_after``; arguments that are null or no JSON object give ``bad_arguments``, an unknown tool ``unknown_tool``; different calls
+of one id are all kept with the error ``duplicate_id`` (their level is that of the first by turn, name and arguments), all with the id's
+smallest result; its other results are rows of their own with the error ``duplicate_result``; a number without fraction is an integer
+however it is written (``3.0``, 20 digits); rows with a null conversation or call id cannot be linked and are kept one by one with ``no_id``; empty tables give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,9 +36,15 @@ def json_type(kind: Column) -> Column:
     return out
 
 
-def _one_per_id(rows: DataFrame, *values: str) -> DataFrame:
-    return (rows.where("conv_id IS NOT NULL AND call_id IS NOT NULL").groupBy("conv_id", "call_id")
-            .agg(F.min(F.struct(*values)).alias("r"), F.count("*").alias("copies")).select("conv_id", "call_id", "r.*", "copies"))
+def _distinct(rows: DataFrame, *values: str) -> DataFrame:
+    """Rows with an id, equal ones merged, with ``copies``."""
+    return rows.where("conv_id IS NOT NULL AND call_id IS NOT NULL").groupBy("conv_id", "call_id", *values).agg(F.count("*").alias("copies"))
+
+
+def _first_of_id(rows: DataFrame, *values: str) -> DataFrame:
+    """Per id its smallest row by ``values`` and how many different ones there are."""
+    return (rows.groupBy("conv_id", "call_id").agg(F.min(F.struct(*values)).alias("r"), F.count("*").alias("different"))
+            .select("conv_id", "call_id", "r.*", "different"))
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -64,7 +72,9 @@ def validate(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     parsed = F.try_parse_json(F.col("arguments"))
     fields = F.from_json(F.when(F.schema_of_variant(parsed).startswith("OBJECT"), F.col("arguments")), "map<string,variant>")
     with_fields = calls.join(tools, "name", "left").withColumn("canonical", F.to_json(parsed)).withColumn("fields", fields)
-    given = F.transform(F.map_entries("fields"), lambda e: F.struct(e["key"].alias("key"), json_type(F.schema_of_variant(e["value"])).alias("type")))
+    whole = lambda v: F.try_variant_get(v, "$", "double") == F.rint(F.try_variant_get(v, "$", "double"))
+    kind = lambda v: F.when((json_type(F.schema_of_variant(v)) == "number") & whole(v), F.lit("integer")).otherwise(json_type(F.schema_of_variant(v)))
+    given = F.transform(F.map_entries("fields"), lambda e: F.struct(e["key"].alias("key"), kind(e["value"]).alias("type")))
     with_fields = with_fields.withColumn("given", given)
 
     def type_of(parameter: Column) -> Column:
@@ -89,10 +99,18 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     calls = calls.select("conv_id", F.col("call_id").cast("string").alias("call_id"), F.col("turn").cast("long").alias("turn"), "name", "arguments",
                          F.col("after").cast("string").alias("after"))
     results = results.select("conv_id", F.col("call_id").cast("string").alias("call_id"), "content")
-    own = written(_one_per_id(calls, "turn", "name", "arguments", "after"), "chat-calls")
-    answers = _one_per_id(results, "content").select("conv_id", "call_id", "content", F.lit(True).alias("answered"))
-    linked = (validate(own.withColumn("called", F.lit(True)), schemas).join(levels(own), ["conv_id", "call_id"], "left")
-              .join(answers, ["conv_id", "call_id"], "full"))
+    own = written(_distinct(calls, "turn", "name", "arguments", "after"), "chat-calls")
+    ids = written(_first_of_id(own, "turn", "name", "arguments", "after"), "chat-ids")
+    answers = written(_distinct(results, "content"), "chat-results")
+    chosen = written(_first_of_id(answers, "content").select("conv_id", "call_id", F.col("content").alias("chosen")), "chat-chosen")
+    answers = answers.join(chosen, ["conv_id", "call_id"]).withColumn("extra", ~F.col("content").eqNullSafe(F.col("chosen"))).drop("chosen")
+    first = answers.where("NOT extra").select("conv_id", "call_id", "content", F.lit(True).alias("answered"), F.col("copies").alias("given"))
+    known = ids.select("conv_id", "call_id", (F.col("different") > 1).alias("reused")).join(levels(ids), ["conv_id", "call_id"])
+    linked = (validate(own.withColumn("called", F.lit(True)), schemas).join(known, ["conv_id", "call_id"], "left")
+              .join(first, ["conv_id", "call_id"], "full"))
+    others = (answers.where("extra").join(ids.select("conv_id", "call_id", F.lit(True).alias("has_call")), ["conv_id", "call_id"], "left")
+              .select("conv_id", "call_id", "content", "copies", F.when(F.col("has_call"), F.array(F.lit("duplicate_result")))
+                      .otherwise(F.array(F.lit("duplicate_result"), F.lit("no_call"))).alias("errors")))
     lost = (calls.where("conv_id IS NULL OR call_id IS NULL").select("conv_id", "call_id", "turn", "name", "arguments", F.lit(None).cast("string").alias("content"))
             .unionByName(results.where("conv_id IS NULL OR call_id IS NULL").select("conv_id", "call_id", "content"), allowMissingColumns=True)
             .withColumn("errors", F.array(F.lit("no_id"))).withColumn("canonical", F.to_json(F.try_parse_json("arguments")))
@@ -100,9 +118,10 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     note = lambda when, name: F.when(when, F.array(F.lit(name))).otherwise(F.array().cast("array<string>"))
     called, answered = F.coalesce("called", F.lit(False)), F.coalesce("answered", F.lit(False))
     errors = F.array_sort(F.concat(F.coalesce("errors", F.array().cast("array<string>")), note(~called, "no_call"), note(~answered, "no_result"),
-                                   note(called & F.col("level").isNull(), "cycle"), note(F.coalesce("dangling", F.lit(False)), "unknown_after")))
-    rows = linked.select("conv_id", "call_id", "turn", "level", "name", "canonical", "content", errors.alias("errors"), F.coalesce("copies", F.lit(1)).cast("long").alias("copies"))
-    rows = rows.unionByName(lost)
+                                   note(called & F.col("level").isNull(), "cycle"), note(F.coalesce("dangling", F.lit(False)), "unknown_after"),
+                                   note(F.coalesce("reused", F.lit(False)), "duplicate_id")))
+    rows = linked.select("conv_id", "call_id", "turn", "level", "name", "canonical", "content", errors.alias("errors"), F.coalesce("copies", "given").alias("copies"))
+    rows = rows.unionByName(lost).unionByName(others, allowMissingColumns=True)
 
     def text(c: str) -> Column:  # a JSON string or null
         return F.coalesce(F.expr(f"substr(to_json(named_struct('x', {c})), 6, length(to_json(named_struct('x', {c}))) - 6)"), F.lit("null"))
@@ -145,22 +164,31 @@ def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = """
 WITH RECURSIVE c AS (
-  SELECT conv_id, turn, role, min(text) AS text, count(*) AS copies FROM conversations GROUP BY ALL),
+  SELECT conv_id, turn, role, text, count(*) AS copies FROM conversations GROUP BY ALL),
 calls AS (
-  SELECT conv_id, 'call-' || turn AS call_id, turn, length(text) AS n, text, copies,
+  SELECT conv_id, 'call-' || turn AS call_id, turn, length(text) AS n, text, copies, count(*) OVER (PARTITION BY conv_id, turn) > 1 AS reused,
          CASE length(text) % 3 WHEN 0 THEN 'search' WHEN 1 THEN 'count' WHEN 2 THEN 'note' END AS name,
          EXISTS (SELECT 1 FROM c AS p WHERE p.role = 'user' AND p.conv_id = u.conv_id AND p.turn = u.turn - 2) AS linked
   FROM c AS u WHERE role = 'user'),
+ids AS (SELECT DISTINCT conv_id, call_id, turn, linked FROM calls),
 lv AS (
-  SELECT conv_id, turn, CAST(0 AS BIGINT) AS level FROM calls WHERE NOT linked
+  SELECT conv_id, turn, CAST(0 AS BIGINT) AS level FROM ids WHERE NOT linked
   UNION ALL
-  SELECT k.conv_id, k.turn, lv.level + 1 FROM calls AS k JOIN lv ON k.conv_id = lv.conv_id AND k.turn = lv.turn + 2 WHERE k.linked),
-res AS (SELECT conv_id, 'call-' || (turn - 1) AS call_id, text AS content FROM c WHERE role = 'assistant'),
+  SELECT k.conv_id, k.turn, lv.level + 1 FROM ids AS k JOIN lv ON k.conv_id = lv.conv_id AND k.turn = lv.turn + 2 WHERE k.linked),
+res AS (
+  SELECT conv_id, 'call-' || (turn - 1) AS call_id, text AS content, copies,
+         row_number() OVER (PARTITION BY conv_id, turn ORDER BY text NULLS FIRST) AS nth
+  FROM c WHERE role = 'assistant'),
 j AS (
   SELECT coalesce(k.conv_id, r.conv_id) AS conv_id, coalesce(k.call_id, r.call_id) AS call_id, k.turn, lv.level, k.name, k.text, k.n,
-         coalesce(k.copies, 1) AS copies, k.call_id IS NOT NULL AS called, r.call_id IS NOT NULL AS answered, r.content, coalesce(k.linked, true) AS linked
+         coalesce(k.copies, r.copies) AS copies, k.call_id IS NOT NULL AS called, r.call_id IS NOT NULL AS answered, r.content, coalesce(k.linked, true) AS linked,
+         coalesce(k.reused, false) AS reused, false AS extra
   FROM calls AS k LEFT JOIN lv USING (conv_id, turn)
-  FULL JOIN res AS r ON k.conv_id = r.conv_id AND k.call_id = r.call_id),
+  FULL JOIN (SELECT * FROM res WHERE nth = 1) AS r ON k.conv_id = r.conv_id AND k.call_id = r.call_id
+  UNION ALL
+  SELECT r.conv_id, r.call_id, NULL, NULL, NULL, NULL, NULL, r.copies,
+         EXISTS (SELECT 1 FROM ids WHERE ids.conv_id = r.conv_id AND ids.call_id = r.call_id), true, r.content, true, false, true
+  FROM res AS r WHERE nth > 1),
 e AS (
   SELECT *, CASE name
       WHEN 'search' THEN '{' || CASE WHEN n % 5 = 0 THEN '"limit":"' || n || '",' ELSE '' END || '"query":' || to_json(text) || '}'
@@ -168,7 +196,7 @@ e AS (
       WHEN 'note' THEN '{"body":' || to_json(text) || ',"tags":["user"]}' END AS arguments,
     list_sort(list_filter([
       CASE WHEN name = 'search' AND n % 5 = 0 THEN 'type:limit' END, CASE WHEN name = 'count' AND n % 7 = 0 THEN 'missing:exact' END,
-      CASE WHEN NOT called THEN 'no_call' END, CASE WHEN NOT answered THEN 'no_result' END,
+      CASE WHEN reused THEN 'duplicate_id' END, CASE WHEN extra THEN 'duplicate_result' END, CASE WHEN NOT called THEN 'no_call' END, CASE WHEN NOT answered THEN 'no_result' END,
       CASE WHEN called AND NOT linked AND turn >= 2 THEN 'unknown_after' END], lambda x: x IS NOT NULL)) AS errs
   FROM j)
 SELECT conv_id, call_id, turn, level, name, len(errs) = 0 AS valid, array_to_string(errs, ',') AS errors, copies,
