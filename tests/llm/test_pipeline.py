@@ -68,6 +68,6 @@ def test_clean_documents_stay(spark, files):
 def test_registered(spark):
     names = ent.queries()
     assert [n for n in names if n.startswith("op")] and "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 14)}
     assert len(cp.STAGES) == 4 and set(ent.oracle_sql()) <= set(names)
     assert ent.queries()["op10_exact_dedup"](spark, SF001).where(F.col("kept")).count() > 0
