@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +44,12 @@ from aerostat.llm.common import resident, sliced, table
 LEAF = 8
 #: from this length on a window's merges are found with a heap
 HEAP_BYTES = 64
-#: matches, and stable or unstable pairs, kept in a Python worker
-CACHE = 100_000
+#: matches, leaves, and stable or unstable pairs, kept in a Python worker
+CACHE = 250_000
 #: a longer match is not kept
 CACHE_CHARS = 64
+#: the rank of two parts that do not merge
+_NONE = 1 << 40
 #: ids that a task decodes at once
 DECODE_IDS = 1 << 20
 
@@ -70,6 +73,7 @@ class Pairs:
         self.bytes = dict(zip(self.rank.values(), self.rank))
         self.find = regex.compile(pattern).findall
         self.stable: dict[tuple[int, int], bool] = {}
+        self.leaves: dict[bytes, list[int]] = {}
         self.matches: dict[str, bytes] = {}
 
     def merge(self, span: bytes) -> list[int]:
@@ -77,19 +81,16 @@ class Pairs:
         if len(span) >= HEAP_BYTES:
             return self._merge_long(span)
         rank = self.rank
-        parts = [span[i:i + 1] for i in range(len(span))]
-        ranks = [rank.get(a + b) for a, b in zip(parts, parts[1:])]
-        while True:
-            found = [r for r in ranks if r is not None]
-            if not found:
-                return [rank[p] for p in parts]
-            i = ranks.index(min(found))
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
+        ends = list(range(len(span) + 1))
+        ranks = [rank.get(span[i:i + 2], _NONE) for i in range(len(span) - 1)]
+        while ranks and (least := min(ranks)) != _NONE:
+            i = ranks.index(least)
+            del ranks[i], ends[i + 1]
             if i:
-                ranks[i - 1] = rank.get(parts[i - 1] + parts[i])
+                ranks[i - 1] = rank.get(span[ends[i - 1]:ends[i + 1]], _NONE)
             if i < len(ranks):
-                ranks[i] = rank.get(parts[i] + parts[i + 1])
+                ranks[i] = rank.get(span[ends[i]:ends[i + 2]], _NONE)
+        return [rank[span[a:z]] for a, z in zip(ends, ends[1:])]
 
     def _merge_long(self, span: bytes) -> list[int]:
         """The same with a heap of (rank, place) over a linked list of parts."""
@@ -151,19 +152,24 @@ class Pairs:
     def reduce(self, span: bytes) -> list[int]:
         """The encoding of a span by halves."""
         if len(span) <= LEAF:
-            return self.merge(span)
+            held = self.leaves.get(span)
+            if held is None:
+                if len(self.leaves) >= CACHE:
+                    self.leaves.clear()
+                held = self.leaves[span] = self.merge(span)
+            return held
         cut = LEAF
         while 2 * cut < len(span):
             cut *= 2
         return self.join(self.reduce(span[:cut]), self.reduce(span[cut:]))
 
     def match(self, text: str) -> bytes:
-        """A match's ids as little-endian 32-bit integers."""
+        """A match's ids as 32-bit integers."""
         held = self.matches.get(text)
         if held is None:
             raw = text.encode()
             whole = self.rank.get(raw)
-            held = np.array([whole] if whole is not None else self.reduce(raw), "<i4").tobytes()
+            held = array("i", [whole] if whole is not None else self.reduce(raw)).tobytes()
             if len(text) <= CACHE_CHARS:
                 if len(self.matches) >= CACHE:
                     self.matches.clear()
@@ -196,7 +202,7 @@ def encode(df: DataFrame, text_col: str, out_col: str = "ids", path: str | None
         for b in sliced(batches, "text"):
             raw = [None if t is None else live.encode(t) for t in b.column("text").to_pylist()]
             ends = np.concatenate([[0], np.cumsum([len(r or b"") // 4 for r in raw])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join([r or b"" for r in raw]), "<i4")),
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join([r or b"" for r in raw]), np.int32)),
                                              mask=pa.array([r is None for r in raw]))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], lists], [*b.schema.names[:-1], "ids"])
 
