@@ -12,7 +12,7 @@
 Cases: a call without result has ``result`` null and the error ``no_result``; a result without call is kept with the error
 ``no_call``; a chain that does not end (a cycle) has level null and the error ``cycle``; an ``after`` that names no call counts as none, with the error
 ``unknown_after``; arguments that are null or no JSON object give ``bad_arguments``, an unknown tool ``unknown_tool``; different calls
-of one id are all kept with the error ``duplicate_id`` (their level is that of the first by turn, name and arguments), all with the id's
+of one id are all kept with the error ``duplicate_id`` (their level is that of the first by turn), all with the id's
 smallest result; its other results are rows of their own with the error ``duplicate_result``; a number without fraction is an integer
 however it is written (``3.0``, 20 digits); rows with a null conversation or call id cannot be linked and are kept one by one with ``no_id``; empty tables give no rows; other columns are ignored.
 """
@@ -100,7 +100,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
                          F.col("after").cast("string").alias("after"))
     results = results.select("conv_id", F.col("call_id").cast("string").alias("call_id"), "content")
     own = written(_distinct(calls, "turn", "name", "arguments", "after"), "chat-calls")
-    ids = written(_first_of_id(own, "turn", "name", "arguments", "after"), "chat-ids")
+    ids = written(_first_of_id(own, "turn", "after"), "chat-ids")  # without the arguments
     answers = written(_distinct(results, "content"), "chat-results")
     chosen = written(_first_of_id(answers, "content").select("conv_id", "call_id", F.col("content").alias("chosen")), "chat-chosen")
     answers = answers.join(chosen, ["conv_id", "call_id"]).withColumn("extra", ~F.col("content").eqNullSafe(F.col("chosen"))).drop("chosen")
