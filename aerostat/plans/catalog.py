@@ -28,6 +28,7 @@ from aerostat.session import prepare, shared_path
 from aerostat.schemas import (FORECAST_MIN_ROWS, HORIZON_ERROR_GROWTH, LOOKBACK, PM25_LAGS, ROLLING_MEAN_SIZES,
                               ROLLING_STD_SIZES, SAMPLE_ROWS, SAMPLE_SEED, STALE_AFTER_SECONDS, TARGET_LAGS,
                               WEATHER_RENAMES)
+from aerostat.sources import partials as kept
 from aerostat.sources import payload as pl
 from aerostat.sources import tables as tb
 from aerostat.sources import versioned
@@ -338,6 +339,30 @@ def versioned_upsert(spark, sf_dir):
     return finish(versioned.read(spark, path).drop("date"))
 
 
+@query
+def kept_profile(spark, sf_dir):
+    """Profile and history size from kept partials, after three batches in any order and one of them again."""
+    path = shared_path(spark, f"partials-{uuid.uuid4().hex}")
+    e = tb.user_series(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    for number, part in enumerate((2, 0, 1)):
+        batch = e.filter(F.pmod(F.hash("event_id"), F.lit(3)) == part)
+        for _ in range(2 if number == 1 else 1):
+            kept.merge_batch(spark, path, batch, U, number)
+    parts = versioned.read(spark, path)
+    size = kept.history_size(parts, U, FORECAST_MIN_ROWS).select("user_id", "eligible")
+    return finish(win.join_on_keys(kept.profile(parts, U), size, ["user_id"]).select("user_id", "n_rows", "first_ts", "last_ts", "eligible"))
+
+
+@query
+def kept_rollup(spark, sf_dir):
+    """Daily rollup of a keyed table from partials that follow its two commits."""
+    rows_path, path = (shared_path(spark, f"{n}-{uuid.uuid4().hex}") for n in ("versioned", "partials"))
+    for part in (_stored(spark, sf_dir), _landed(spark, sf_dir)):
+        versioned.upsert(spark, rows_path, with_date_partition(part, "ts"), ["user_id", "ts"], ["event_id"], ts="ts")
+        kept.follow(spark, path, rows_path, U)
+    return finish(kept.daily_rollup(versioned.read(spark, path), U))
+
+
 @query
 def dedup_keep_first(spark, sf_dir):
     e = tb.user_series(spark, sf_dir).select("user_id", F.date_trunc("hour", "ts").alias("hour_ts"),

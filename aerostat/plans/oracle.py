@@ -287,6 +287,15 @@ SELECT user_id, ts, event_id, {r6('value')} AS value, source FROM r WHERE rn = 1
 
 ORACLE["versioned_upsert"] = ORACLE["upsert_latest"]
 
+ORACLE["kept_profile"] = """SELECT user_id, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts, count(*) >= 100 AS eligible
+FROM events GROUP BY user_id"""
+
+ORACLE["kept_rollup"] = f"""WITH {_UNION},
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY prio DESC, event_id DESC) AS rn FROM u)
+SELECT user_id, CAST(ts AS DATE) AS date,
+  round_even(avg(value), 0) AS avg_value, round_even(max(value), 0) AS max_value, round_even(min(value), 0) AS min_value
+FROM r WHERE rn = 1 GROUP BY user_id, CAST(ts AS DATE)"""
+
 ORACLE["dedup_keep_first"] = f"""WITH r AS (
   SELECT user_id, date_trunc('hour', ts) AS hour_ts, ts, event_id, value,
          row_number() OVER (PARTITION BY user_id, date_trunc('hour', ts) ORDER BY ts, event_id) AS rn

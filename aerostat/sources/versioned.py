@@ -90,7 +90,8 @@ def record(spark: SparkSession, path: str, version: int | None = None) -> dict |
     return json.loads(_read_text(spark, _log(path, version)))
 
 
-def _frame(spark: SparkSession, path: str, rec: dict) -> DataFrame:
+def frame(spark: SparkSession, path: str, rec: dict) -> DataFrame:
+    """The rows of a commit record's partitions."""
     schema = T.StructType.fromJson(rec["schema"])
     data = f"{path.rstrip('/')}/data"
     folders = [f"{data}/commit={commit}/{name}" for name, commit in sorted(rec["parts"].items())]
@@ -105,11 +106,15 @@ def read(spark: SparkSession, path: str, version: int | None = None) -> DataFram
     rec = record(spark, path, version)
     if rec is None:
         raise FileNotFoundError(f"no version of {path}")
-    return _frame(spark, path, rec)
+    return frame(spark, path, rec)
 
 
-def commit(spark: SparkSession, path: str, rows: DataFrame, partition_col: str, base: dict | None) -> int | None:
-    """Write ``rows`` as the whole content of the partitions they are in and commit; None if the version was taken."""
+def commit(spark: SparkSession, path: str, rows: DataFrame, partition_col: str, base: dict | None,
+           meta: dict | None = None) -> int | None:
+    """Write ``rows`` as the whole content of the partitions they are in and commit; None if the version was taken.
+
+    ``meta`` (JSON values) is added to what the record before it holds, and becomes visible with the rows or not at all.
+    """
     root, number = path.rstrip("/"), (base["version"] if base else 0) + 1
     made = uuid.uuid4().hex
     folder = f"{root}/data/commit={made}"
@@ -117,7 +122,8 @@ def commit(spark: SparkSession, path: str, rows: DataFrame, partition_col: str,
     parts = dict(base["parts"]) if base else {}
     parts |= {name: made for name in _names(spark, folder) if name.startswith(f"{partition_col}=")}
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema.fields])
-    text = json.dumps({"version": number, "partition": partition_col, "schema": schema.jsonValue(), "parts": parts})
+    text = json.dumps({"version": number, "partition": partition_col, "schema": schema.jsonValue(), "parts": parts,
+                       "meta": {**(base or {}).get("meta", {}), **(meta or {})}})
     if create_once(spark, _log(root, number), text):
         return number
     remove(spark, folder)
@@ -141,7 +147,7 @@ def upsert(spark: SparkSession, path: str, new: DataFrame, key: Sequence[str], o
             merged = dedup_keep_first(new, key, order) if resolve == "first" else keep_latest(new, key, order) if order else new.dropDuplicates(list(key))
         else:
             here = F.col(partition_col).isin([v for v in touched if v is not None])
-            old = _frame(spark, path, base).filter(here | F.col(partition_col).isNull() if None in touched else here)
+            old = frame(spark, path, base).filter(here | F.col(partition_col).isNull() if None in touched else here)
             incoming = new.select(*old.columns)
             merged = upsert_latest(old, incoming, key, order) if resolve == "new" else merge_by_order(old, incoming, key, order, resolve)
         done = commit(spark, path, merged, partition_col, base)
