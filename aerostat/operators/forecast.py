@@ -152,6 +152,27 @@ def assumed_error_table(spark, base_rmse: float = DEFAULT_BASE_RMSE) -> DataFram
     return forecast_error_rows(spark.range(1).select(F.lit(float(base_rmse)).alias("base_rmse")))
 
 
+def _advance(state: DataFrame, model, features: Callable[[Column, Column], dict[str, Column]], horizons: Sequence[int], keep: int,
+             checkpoint_every: int) -> DataFrame:
+    """Move all states (``_past`` values, newest last, ``_last`` time, ``_p`` predictions) on, an hour per ``transform``.
+
+    ``_past`` slides over its newest ``keep`` values; ``_p`` takes the predictions of the ``horizons`` only, in order.
+    """
+    kept, wanted = state.columns, set(horizons)
+    for i in range(1, max(wanted) + 1):
+        at = F.col("_last") + F.make_dt_interval(hours=F.lit(i - 1))
+        scored = model.transform(state.withColumn("_t", at).withColumns(features(F.col("_past"), F.col("_t"))))
+        made = F.array(F.col("prediction").cast("double"))
+        longer = F.concat("_past", made)
+        new = {"_past": F.when(F.size(longer) > keep, F.slice(longer, -keep, keep)).otherwise(longer)}
+        if i in wanted:
+            new["_p"] = F.concat("_p", made)
+        state = scored.select(*[new[c].alias(c) if c in new else F.col(c) for c in kept])
+        if i % checkpoint_every == 0 and i < max(wanted):
+            state = state.checkpoint()
+    return state
+
+
 def recursive_with_model(history: DataFrame, spec: SeriesSpec, target: str, model,
                          features: Callable[[Column, Column], dict[str, Column]], hours: int = FORECAST_HOURS,
                          carry: Sequence[str] = (), keep: int = 25, as_of: Column | None = None,
@@ -174,20 +195,48 @@ def recursive_with_model(history: DataFrame, spec: SeriesSpec, target: str, mode
              .filter(F.col("_n") >= min_rows)
              .select(*spec.entity, F.transform("_r", lambda x: x["v"]).alias("_past"), F.col("_l")[spec.ts].alias("_last"),
                      *[F.col("_l")[c].alias(c) for c in carry], F.array().cast("array<double>").alias("_p"))).checkpoint()
-    kept = state.columns
-    for i in range(1, hours + 1):
-        values = F.slice(F.concat("_past", "_p"), -keep, keep) if i > keep else F.concat("_past", "_p")
-        at = F.col("_last") + F.make_dt_interval(hours=F.lit(i - 1))
-        inputs = state.withColumns({"_v": values, "_t": at}).withColumns(features(F.col("_v"), F.col("_t")))
-        scored = model.transform(inputs)
-        state = scored.select(*[F.concat("_p", F.array(F.col("prediction").cast("double"))).alias("_p") if c == "_p" else F.col(c) for c in kept])
-        if i % checkpoint_every == 0 and i < hours:
-            state = state.checkpoint()
+    state = _advance(state, model, features, range(1, hours + 1), keep, checkpoint_every)
     h = (F.col("pos") + 1).cast("int")
     return state.select(*spec.entity, "_last", F.posexplode("_p").alias("pos", "predicted")).select(
         *spec.entity, h.alias("horizon_h"), (F.col("_last") + F.make_dt_interval(hours=h)).alias("timestamp"), "predicted")
 
 
+def rolling_forecasts(history: DataFrame, spec: SeriesSpec, target: str, model,
+                      features: Callable[[Column, Column], dict[str, Column]], horizons: Sequence[int], carry: Sequence[str] = (),
+                      keep: int = 25, after: Column | None = None, checkpoint_every: int = 8) -> DataFrame:
+    """The recursive forecast of any Spark ML model from every row of a grid: entity, origin, horizon_h, predicted, actual.
+
+    One state row per (entity, origin); all origins advance together, by one ``transform`` per hour, as in
+    :func:`recursive_with_model` (same ``features``, ``carry`` and ``keep``). Origins are the rows after ``after`` (the end of
+    what the model has seen) that have ``keep`` values up to themselves, the rows before ``after`` among them, and
+    at least one value to be held against. Hours without a value take the last one before them as
+    past, and are no actual. A NULL entity is an entity; rows without a time take no part.
+    """
+    hs = sorted(set(horizons))
+    rows = timed(history, spec).withColumn("_fill", F.col(target).cast("double"))
+    rows = forward_fill(rows, spec, ["_fill"], zero_fill=False)
+
+    def st(cx):
+        ahead = F.array(*[F.lead(F.col(target).cast("double"), h).over(cx.w) for h in hs])
+        return {"_past": F.collect_list("_fill").over(cx.w.rowsBetween(1 - keep, 0)), "_a": ahead}
+    rows = windowed(rows, spec, [st], context_rows=keep, context_cols=["_fill", target], lead_rows=max(hs))
+    if after is not None:
+        rows = rows.filter(F.col(spec.ts) > after)
+    state = rows.filter((F.size("_past") >= keep) & F.exists("_a", lambda x: x.isNotNull())).select(
+        *spec.entity, F.col(spec.ts).alias("_last"), *carry, "_past", "_a", F.array().cast("array<double>").alias("_p"))
+    state = _advance(state.checkpoint(), model, features, hs, keep, checkpoint_every)
+    pairs = F.arrays_zip(F.array(*[F.lit(h) for h in hs]).alias("h"), F.col("_p").alias("p"), F.col("_a").alias("a"))
+    return (state.select(*spec.entity, F.col("_last").alias("origin"), F.explode(pairs).alias("e"))
+            .select(*spec.entity, "origin", F.col("e.h").alias("horizon_h"), F.col("e.p").alias("predicted"), F.col("e.a").alias("actual")))
+
+
+def errors_by_horizon(forecasts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """RMSE / MAE / n per horizon (and ``by``, e.g. the entity) of rows with a prediction and an actual value."""
+    err = F.col("actual") - F.col("predicted")
+    return forecasts.filter(err.isNotNull()).groupBy(*by, "horizon_h").agg(
+        F.sqrt(F.avg(err * err)).alias("rmse"), F.avg(F.abs(err)).alias("mae"), F.count(F.lit(1)).alias("n"))
+
+
 def value_back(values: Column, k: int) -> Column:
     """The value ``k`` rows before the newest of an array of recent values; NULL beyond its start."""
     return F.try_element_at(values, F.lit(-1 - k))

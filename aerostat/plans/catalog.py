@@ -6,6 +6,7 @@ import functools
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from aerostat.functions.calendar import calendar_columns
@@ -554,6 +555,19 @@ def backtest_by_horizon(spark, sf_dir):
     return finish(fc.backtest_by_horizon(g, grid.STATION_SPEC, "us_aqi", a, b, HORIZONS, after=_ts(AS_OF)))
 
 
+#: a piecewise linear rule in place of a fitted model, so that SQL can compute it: rises carry on by half, falls by a quarter
+MOMENTUM = "SELECT *, mean3 + 0.5D * greatest(lag1 - mean3, 0D) - 0.25D * greatest(mean3 - lag1, 0D) AS prediction FROM __THIS__"
+
+
+@query
+def backtest_model(spark, sf_dir):
+    """Error by horizon of the recursion of a model (anything with ``transform``) from every hour after ``AS_OF``."""
+    made = fc.rolling_forecasts(_station_grid(spark, sf_dir).select("city", "timestamp", "us_aqi"), grid.STATION_SPEC, "us_aqi",
+                                SQLTransformer(statement=MOMENTUM), lambda v, t: {"lag1": fc.value_back(v, 0), "mean3": fc.mean_back(v, 3)},
+                                HORIZONS, keep=3, after=_ts(AS_OF))
+    return finish(fc.errors_by_horizon(made))
+
+
 @query
 def forecast_error_table(spark, sf_dir):
     g, a, b = _station_fit(spark, sf_dir)

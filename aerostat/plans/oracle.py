@@ -504,6 +504,28 @@ bt AS (SELECT CAST(h AS INTEGER) AS horizon_h, sqrt(avg(err * err)) AS rmse, avg
 ORACLE["backtest_by_horizon"] = f"""WITH {_backtest((1, 6, 24, 48, 72))}
 SELECT horizon_h, {r6('rmse')} AS rmse, {r6('mae')} AS mae, n FROM bt"""
 
+ORACLE["backtest_model"] = f"""WITH {STATION_GRID},
+fl AS (
+  SELECT city, timestamp, us_aqi,
+         last_value(us_aqi IGNORE NULLS) OVER (PARTITION BY city ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS f
+  FROM sg),
+og AS (
+  SELECT city, timestamp, lag(f, 2) OVER w AS w1, lag(f, 1) OVER w AS w2, f AS w3
+  FROM fl WINDOW w AS (PARTITION BY city ORDER BY timestamp)),
+fc AS (
+  WITH RECURSIVE r(city, origin, h, w1, w2, w3) AS (
+    SELECT city, timestamp, 0, w1, w2, w3 FROM og WHERE timestamp > {AS_OF} AND w1 IS NOT NULL
+    UNION ALL
+    SELECT city, origin, h + 1, w2, w3, m + 0.5 * greatest(w3 - m, 0) - 0.25 * greatest(m - w3, 0)
+    FROM (SELECT *, (w1 + w2 + w3) / 3.0 AS m FROM r WHERE h < 72))
+  SELECT city, origin, h, w3 AS predicted FROM r WHERE h IN (1, 6, 24, 48, 72)),
+e AS (
+  SELECT fc.h, a.us_aqi - fc.predicted AS err
+  FROM fc JOIN sg a ON a.city = fc.city AND a.timestamp = fc.origin + fc.h * INTERVAL 1 HOUR
+  WHERE a.us_aqi IS NOT NULL)
+SELECT CAST(h AS INTEGER) AS horizon_h, {r6('sqrt(avg(err * err))')} AS rmse, {r6('avg(abs(err))')} AS mae, count(*) AS n
+FROM e GROUP BY h"""
+
 ORACLE["forecast_error_table"] = f"""WITH {_backtest((1,))},
 g AS (SELECT * FROM (VALUES (1, 1.0, '1 hour', 'Excellent'), (6, 1.4, '6 hours', 'Very Good'),
         (24, 3.0, '24 hours (Day 1)', 'Good'), (48, 4.8, '48 hours (Day 2)', 'Fair'),
