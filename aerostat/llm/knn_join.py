@@ -2,14 +2,20 @@
 
 1. Vectors become integers, ``floor(scale * x)``. Equal vectors are ranked by id, so only the ``k + 1``
    smallest ids of each can be anyone's answer; equal query vectors are solved once.
-2. Pivots (a bounded sample) cut queries and data into cells by the nearest pivot.
+2. Pivots (a sample that grows with the square root of the rows) cut queries and data into cells by the nearest
+   pivot; large cells are cut into slices.
 3. Summaries go to the driver, their size fixed by the number of pivots: of each query cell its radius
-   ``R`` and count; of each data cell its count and the ``k + 1`` smallest distances to its pivot. As
+   ``R``; of each data cell its count, its radius and the ``k + 1`` smallest distances to its pivot. As
    ``q.x >= p.p' - R|p'| - (|p| + R) d(x, p')``, the ``(k + 1)``-th largest of these is a bound
    that every query of the cell reaches.
-4. A vector goes to the query cells whose bound it can reach, ``p.x + R|x| >= bound``, and to no other.
-   Large query cells are cut into chunks and the data into slices; a task solves one chunk against one
-   slice with a matrix product, and the short lists are merged.
+4. Data are the large side, so they stay: each vector is in one slice of one cell. The queries travel. In the first
+   local round each is solved against one slice of its own cell; its ``(k + 1)``-th best score there (or the
+   summaries' bound, if higher) is what others have to reach.
+5. In the second round a query goes to the slices of cell ``c`` only if ``q.p_c + |q| R_c`` reaches that score, and
+   only scores that reach it come back. The short lists are merged.
+
+A task solves one block of queries against one slice with a matrix product. Rows sent: the data once a round for each
+block of queries, and at most queries x slices.
 
 Cases: vectors that are null, empty or hold null or non-finite components, and rows with a null id, take
 no part; vectors of unequal lengths count as padded with zeros; repeated rows (same id and vector) count
@@ -18,6 +24,8 @@ once; ties go to the smaller id; an empty table gives no rows; other columns are
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -26,9 +34,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from aerostat.llm.common import table, written
 
 SCALE, TOP, EVERY = 1024, 10, 100
+#: the least number of pivots; more rows have an eighth of their square root
 PIVOTS = 32
-#: queries of a chunk and data vectors of a slice that meet in one task, about
-CHUNK, SLICE = 512, 20_000
+#: queries of a block and data vectors of a slice that meet in one task, about
+CHUNK, SLICE = 20_000, 20_000
+_NONE = -(2**63)  # the score that every row reaches
 
 
 def integers(column: Column, scale: int = SCALE) -> Column:
@@ -84,8 +94,33 @@ def bounds(pivots: np.ndarray, radius: dict[int, float], near: list[tuple[int, f
     return out
 
 
+def _solver(dim: int, k: int):
+    """A block of queries against a slice of data: per query its ``k + 1`` best rows that reach ``low``."""
+    def solve(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
+        out = {c: [] for c in ("qid", "vec_id", "score", "same")}
+        if len(q) and len(x):
+            x = x.sort_values("id")
+            a, b = (_matrix(pa.array(p.v.tolist(), pa.list_(pa.int64())), dim) for p in (q, x))
+            vec, qid, low = x.id.to_numpy(), q.id.to_numpy(), q.low.to_numpy()
+            for at in range(0, len(a), 128):
+                score = _exact(a[at:at + 128], b)
+                least = low[at:at + 128]
+                if len(b) > k + 1:
+                    least = np.maximum(least, np.partition(score, len(b) - k - 1, axis=1)[:, len(b) - k - 1])
+                for i in np.flatnonzero(score.max(axis=1) >= least):
+                    best = np.flatnonzero(score[i] >= least[i])
+                    best = best[np.lexsort((vec[best], -score[i][best]))][:k + 1]
+                    out["qid"].append(np.full(len(best), qid[at + i]))
+                    out["vec_id"].append(vec[best])
+                    out["score"].append(score[i][best])
+                    out["same"].append((b[best] == a[at + i]).all(axis=1))
+        types = {"qid": "int64", "vec_id": "int64", "score": "int64", "same": "bool"}
+        return pd.DataFrame({c: np.concatenate([np.empty(0, types[c]), *v]).astype(types[c]) for c, v in out.items()})
+    return solve
+
+
 def knn_join(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = TOP,
-             scale: int = SCALE, pivots: int = PIVOTS, chunk: int = CHUNK, slice_rows: int = SLICE) -> DataFrame:
+             scale: int = SCALE, pivots: int | None = None, chunk: int = CHUNK, slice_rows: int = SLICE) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` best rows for each query."""
     base = df.select(F.col(id_col).cast("long").alias("id"), integers(F.col(vector_col), scale).alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
     base = base.where("id IS NOT NULL AND v IS NOT NULL")
@@ -98,55 +133,55 @@ def knn_join(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col
     distinct = written(asked.groupBy("v").agg(F.min("id").alias("id")), "knn-distinct")
 
     dim, rows = data.agg(F.max(F.size("v")), F.count("*")).first()
-    picked = data.orderBy(F.xxhash64("v"), "id").limit(pivots).select("v").collect()
+    picked = data.orderBy(F.xxhash64("v"), "id").limit(pivots or max(PIVOTS, math.isqrt(rows) // 8)).select("v").collect()
     centres = np.unique(np.array([list(r["v"]) + [0] * (dim - len(r["v"])) for r in picked], float), axis=0)
     data, distinct = written(_celled(data, centres), "knn-cells"), written(_celled(distinct, centres), "knn-groups")
-    groups = {r["cell"]: r for r in distinct.groupBy("cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect()}
+
+    summary = sorted(data.groupBy("cell").agg(F.max("far"), F.count("*")).collect())
+    wide = {r["cell"]: r["far"] for r in distinct.groupBy("cell").agg(F.max("far").alias("far")).collect()}
     nearest = Window.partitionBy("cell").orderBy("far", "id")
     near = [tuple(r) for r in data.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= k + 1).select("cell", "far").collect()]
-    radius = {c: r["far"] for c, r in groups.items()}
-    reach = bounds(centres, radius, near, k + 1)
-    ids, slices = sorted(groups), -(-rows // slice_rows)
-    mid = centres[ids]
-    wide, least = np.array([radius[i] for i in ids]), np.array([reach[i] for i in ids])
-    chunks = {i: -(-groups[i]["n"] // chunk) for i in ids}
+    floors = {c: _NONE if b == -np.inf else int(np.floor(b)) for c, b in bounds(centres, wide, near, k + 1).items()}
+    cells = [c for c, *_ in summary]
+    mid, radius = centres[cells], np.array([r for _, r, _ in summary])
+    slices = {c: -(-n // slice_rows) for c, _, n in summary}
+    blocks = -(-distinct.count() // chunk)
+
+    def number(values: dict) -> Column:
+        return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+
+    # a place is a slice of a cell; every vector has one
+    place = F.col("cell").cast("long") * 1_000_000 + F.pmod(F.xxhash64("id"), number(slices)[F.col("cell")])
+    stay = data.select("id", "v", place.alias("place"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    home = F.when(F.col("cell").isin(cells), F.col("cell")).otherwise(F.lit(cells[0]))
+    first = (distinct.withColumns({"low": number(floors)[F.col("cell")], "block": F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")})
+             .withColumn("cell", home).select("id", "v", "low", "block", place.alias("place")))
 
     def send(batches):
         for b in filter(len, batches):
-            x = _matrix(b.column("v"), dim).astype(float)
-            high = x @ mid.T + wide[None, :] * np.sqrt((x**2).sum(1))[:, None]
+            q = _matrix(b.column("v"), dim).astype(float)
+            high = q @ mid.T + np.sqrt((q**2).sum(1))[:, None] * radius[None, :]
             high += 1e-9 * np.abs(high) + 1e-6
-            cells = [[i * 1_000_000 + c for i, ok in zip(ids, row) if ok for c in range(chunks[i])] for row in high >= least[None, :]]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(cells, pa.list_(pa.int64()))], ["id", "v", "cells"])
-
-    sent = (data.select("id", "v").mapInArrow(send, "id long, v array<long>, cells array<long>")
-            .select("id", "v", F.explode("cells").alias("cell"), F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice")))
-    count = F.create_map(*[F.lit(x) for i in ids for x in (i, chunks[i])])
-    wanted = distinct.select("id", "v", (F.col("cell").cast("long") * 1_000_000 + F.pmod(F.xxhash64("id"), count[F.col("cell")])).alias("cell"),
-                             F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("slice"))
+            low, own = b.column("low").to_numpy(), b.column("place").to_numpy()
+            to = [[p for c, ok in zip(cells, row) if ok for p in range(c * 1_000_000, c * 1_000_000 + slices[c]) if p != o]
+                  for row, o in zip(high >= low[:, None], own)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), b.column("low"), b.column("block"), pa.array(to, pa.list_(pa.int64()))],
+                                             ["id", "v", "low", "block", "places"])
+
+    def solved(queries: DataFrame) -> DataFrame:
+        return (queries.groupBy("place", "block").cogroup(stay.groupBy("place", "block"))
+                .applyInPandas(_solver(dim, k), "qid long, vec_id long, score long, same boolean"))
+
+    local = written(solved(first), "knn-local")
+    reached = (local.groupBy("qid").agg(F.count("*").alias("n"), F.min("score").alias("kth")).where(F.col("n") > k)
+               .select(F.col("qid").alias("id"), "kth"))
+    again = first.join(reached, "id", "left").withColumn("low", F.greatest("low", "kth")).select("id", "v", "low", "block", "place")
+    travel = (again.mapInArrow(send, "id long, v array<long>, low long, block int, places array<long>")
+              .select("id", "v", "low", "block", F.explode("places").alias("place")))
+    found = local.unionByName(solved(travel))
 
-    def solve(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-        out = {c: [] for c in ("qid", "vec_id", "score", "same")}
-        if len(q) and len(x):
-            x = x.sort_values("id")
-            a, b = (_matrix(pa.array(p.v.tolist(), pa.list_(pa.int64())), dim) for p in (q, x))
-            vec = x.id.to_numpy()
-            for at in range(0, len(a), 128):
-                score = _exact(a[at:at + 128], b)
-                for i, row in enumerate(score):
-                    best = np.argpartition(-row, min(k, len(row) - 1))[:k + 1]
-                    best = np.flatnonzero(row >= row[best].min()) if len(row) > k + 1 else np.arange(len(row))
-                    best = best[np.lexsort((vec[best], -row[best]))][:k + 1]
-                    out["qid"] += [int(q.id.iloc[at + i])] * len(best)
-                    out["vec_id"] += vec[best].tolist()
-                    out["score"] += row[best].tolist()
-                    out["same"] += (b[best] == a[at + i]).all(axis=1).tolist()
-        return pd.DataFrame(out).astype({"qid": "int64", "vec_id": "int64", "score": "int64", "same": "bool"})
-
-    solved = (wanted.groupBy("cell", "slice").cogroup(sent.groupBy("cell", "slice"))
-              .applyInPandas(solve, "qid long, vec_id long, score long, same boolean"))
     best = Window.partitionBy("qid").orderBy(F.desc("score"), "vec_id")
-    short = (solved.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
+    short = (found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1)
              .groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("r", "vec_id", "score", "same"))).alias("best")))
     names = asked.join(distinct.select("v", F.col("id").alias("qid")), "v").select(F.col("id").alias("query_id"), "qid")
     others = F.filter("best", lambda e: ~((e["vec_id"] == F.col("query_id")) & e["same"]))

@@ -26,7 +26,7 @@ def brute(rows, k, every):
     return sorted(out)
 
 
-@pytest.mark.parametrize("options", [{}, {"pivots": 3, "chunk": 7, "slice_rows": 50}, {"pivots": 1, "k": 3}])
+@pytest.mark.parametrize("options", [{}, {"pivots": 3, "chunk": 7, "slice_rows": 50}, {"pivots": 1, "k": 3}, {"chunk": 3, "slice_rows": 9}])
 def test_matches_brute_force(spark, options):
     rows = vectors()
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, cell string").repartition(4)
@@ -34,6 +34,32 @@ def test_matches_brute_force(spark, options):
     assert got == brute(rows, options.get("k", 10), 10)
 
 
+def test_far_cells_are_not_asked_and_a_hot_cell_is_sliced(spark, monkeypatch):
+    """Queries travel only to cells that can hold an answer; a cell with most rows, many of them equal, is cut into slices."""
+    r = random.Random(9)
+    rows = [(i, [(50.0 if i % 3 else -50.0) + r.gauss(0, 1), r.gauss(0, 1), 0.0]) for i in range(600)]
+    rows += [(5000 + i, [50.0, 0.0, 0.0]) for i in range(400)]
+    rows += [(9000 + i, rows[i][1]) for i in range(0, 100, 7)]  # repeated vectors under other ids
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    made, real = [], kj._solver
+
+    def watched(dim, k):
+        solve, tasks = real(dim, k), spark.sparkContext.accumulator(0)
+        made.append(tasks)
+
+        def counted(q, x):
+            tasks.add(len(q))
+            return solve(q, x)
+        counted.__annotations__ = solve.__annotations__
+        return counted
+    monkeypatch.setattr(kj, "_solver", watched)
+    got = sorted((x.query_id, x["rank"], x.vec_id, x.score) for x in kj.knn_join(df, F.col("vec_id") % 10 == 0, slice_rows=100, chunk=25).collect())
+    assert got == brute(rows, 10, 10)
+    queries = len({tuple(v) for i, v in rows if i % 10 == 0})
+    assert made[0].value == queries  # the first round: one slice each
+    assert 0 < made[1].value < queries * (32 + len(rows) // 100) / 2
+
+
 def test_few_rows_and_empty(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 2.0]), (2, [0.5, -1.0])], "vec_id long, embedding array<float>")
     assert [(r["rank"], r.vec_id) for r in kj.knn_join(df, F.col("vec_id") == 0).orderBy("rank").collect()] == [(1, 1), (2, 2)]
