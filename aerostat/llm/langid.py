@@ -14,7 +14,8 @@ and is no coarser for more of them. Prediction reads every row and whole texts.
 
 Cases: a null text or one without a letter is ``und`` with score 0; a text whose letters are all unknown
 gets the language with the most labelled rows (ties: the first by name), with the score of a draw;
-with nothing to learn from every row is ``und``; repeated rows are predicted alike; rows with a null
+with nothing to learn from every row is ``und`` (and :func:`keep_identified` takes away only those without letters);
+more than ``MAX_LANGS`` different labels are an error; repeated rows are predicted alike; rows with a null
 language or null id are not learned from; columns beside those named are ignored.
 """
 
@@ -37,6 +38,8 @@ SAMPLE_ROWS = 2_000
 TABLE_ROWS = 24_000
 NGRAMS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
+#: different labels; more are an error, since a column of so many is no language column
+MAX_LANGS = 1_000
 #: words whose scores a Python worker keeps
 CACHE_WORDS = 150_000
 
@@ -141,7 +144,9 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, sample_r
     """
     rows = (labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"),
                             F.col(id_col).cast("string").alias("id")).where("text IS NOT NULL AND lang IS NOT NULL AND id IS NOT NULL"))
-    have = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    have = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGS + 1).collect()}
+    if len(have) > MAX_LANGS:
+        raise ValueError(f"{lang_col} holds more than {MAX_LANGS} different labels")
     langs = sorted(have)
     if not langs:
         return Model([], [], pd.DataFrame({"kind": [], "lang": [], "gram": [], "n": []}), pd.DataFrame({"kind": [], "lang": [], "n": [], "grams": []}))
@@ -208,11 +213,24 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, fit_documents(docs), "text", F.col("doc_id"), held_out("doc_id").alias("held_out"))
 
 
+def _with_letters(docs: DataFrame, text: str) -> DataFrame:
+    def search(batches):
+        for b in sliced(batches, text):
+            yield b.filter(pa.array([bool(t and words_of(t)) for t in b.column(text).to_pylist()], pa.bool_()))
+    return docs.mapInArrow(search, docs.schema)
+
+
 def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (columns as they were) without the rows that have no language: no letters, or nothing that the
-    model knows (the score of a draw of all languages)."""
+    model knows (the score of a draw of all languages).
+
+    A draw needs two languages. A model of one or none tells no texts apart, so only texts without letters go.
+    """
     names = docs.columns
     named = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    out = identify(named, model, f"c{names.index('text')}", *[F.col(c) for c in named.columns])
-    draw = (1 + 1e-9) / len(model.langs) if len(model.langs) > 1 else 0.0
+    text = f"c{names.index('text')}"
+    if len(model.langs) < 2:
+        return _with_letters(named, text).toDF(*names)
+    out = identify(named, model, text, *[F.col(c) for c in named.columns])
+    draw = (1 + 1e-9) / len(model.langs)
     return out.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > draw)).select(*named.columns).toDF(*names)

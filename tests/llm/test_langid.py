@@ -65,6 +65,72 @@ def test_nothing_to_learn_and_empty(spark, empty, messy):
     assert None not in rows and "" not in rows and "12 34 !!" not in rows and len(rows) >= 15
 
 
+@pytest.mark.parametrize("langs", [[None, None], ["en", "en"]])
+def test_without_two_languages_only_texts_without_letters_go(spark, langs):
+    rows = [(1, "the boats", langs[0], 1), (2, "ыъ", langs[1], 2), (3, "12 !", "en" if langs[0] else None, 3), (4, None, None, 4), (5, "", None, 5), (1, "the boats", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score int")
+    kept = li.keep_identified(docs, li.fit_documents(docs))
+    assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [1, 1, 2]
+
+
+def test_a_column_of_too_many_labels_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(li, "MAX_LANGS", 1)
+    with pytest.raises(ValueError, match="labels"):
+        li.fit(spark.createDataFrame(DOCS, "doc_id long, text string, lang string"), "text", "lang", "doc_id")
+
+
+def brute_languages(rows):
+    """(doc_id, text, lang) -> doc_id: (language, score), from plain counts in double precision."""
+    learn = [(t, lang) for i, t, lang in rows if t is not None and lang is not None and zlib.crc32(str(i).encode()) % 3 != 1]
+    langs = sorted({lang for _, lang in learn})
+
+    def split(text):
+        return "".join(c if c.isalpha() else " " for c in text.lower()).split()
+
+    def pieces(word, n):
+        if n == 0:
+            return [word]
+        marked = word if n == 1 else "^" + word + "$"
+        return [marked[a:a + n] for a in range(len(marked)) if a + n <= len(marked)]
+    seen = {}
+    for text, lang in learn:
+        for word in split(text):
+            for n in range(6):
+                for g in pieces(word, n):
+                    key = n, g
+                    seen.setdefault(key, dict.fromkeys(langs, 0))[lang] += 1
+    known, different, total = set(), {n: sum(k[0] == n for k in seen) for n in range(6)}, {}
+    for n in range(6):
+        for lang in langs:
+            own = sorted((-c[lang], g) for (m, g), c in seen.items() if m == n and c[lang])
+            known |= {(n, g) for _, g in own[:li.TABLE_ROWS]}
+            total[n, lang] = -sum(c for c, _ in own) + different[n] / 2
+    logs = {k: np.array([np.log((seen[k][lang] + 0.5) / total[k[0], lang]) for lang in langs]) for k in known}
+    logs = {k: v - v.max() for k, v in logs.items()}
+    out = {}
+    for i, text, _ in rows:
+        words = split(text or "")
+        score = np.zeros(len(langs))
+        for word in words:
+            for n in (0, 5, 4, 3, 2, 1):
+                found = [logs[n, g] for g in pieces(word, n) if (n, g) in logs]
+                if found:
+                    score = score + sum(found) / len(found)
+                    break
+        p = np.exp(score - score.max())
+        out[i] = (langs[int(p.argmax())], 1 / p.sum()) if words else ("und", 0.0)
+    return out
+
+
+def test_query_matches_brute_force(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text", "lang").collect()
+    want = brute_languages([tuple(r) for r in docs])
+    got = {r.doc_id: (r.lang_pred, r.score) for r in li.op8_language_id(spark, SF001).collect()}
+    assert set(got) == set(want)
+    for i, (lang, score) in want.items():
+        assert got[i][0] == lang and got[i][1] == pytest.approx(score, abs=1e-4), i
+
+
 def test_counts_and_totals_are_whole(spark):
     """A word below one language's quota but in another's keeps its count there, and totals hold all that was counted."""
     docs = spark.createDataFrame([(1, "a a a b b", "x"), (2, "c c c b b a", "y")], "doc_id long, text string, lang string")
