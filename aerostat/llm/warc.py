@@ -4,16 +4,20 @@
    functions; of equal payloads of at least ``MIN_REVISIT`` bytes the row with the largest id is the
    response and the others revisit it. Groups are aggregated before they are shuffled, and the revisits are
    sent back to their input partitions: a hot group of copies is never brought together.
-2. Records are range-sorted by id (a revisit without its payload) and every range writes its own files, a
-   gzip member per record, rolled when a file passes ``ROLL_BYTES`` compressed. Headers and digests are made
-   anew from the bytes; nothing depends on the clock or on the task, so a repeated task writes the same bytes.
-3. A file is written under a temporary name and moved to its own when complete; the manifest (a Parquet
-   table, written last) lists the files that count, with sizes and digests. Readers read what it lists.
+2. Records are range-sorted by id, payload digest, URL and a number among rows that are equal in all of them (a
+   revisit without its payload). The ranges' borders come from a sample chosen by a hash of this key, so they, the order
+   and the record ids follow from the rows alone: however the input is dealt to partitions, the same
+   number of shards gives the same bytes. The number also lets a border cut a group of equal rows.
+3. Every range writes its own files, a gzip member per record, rolled when a file passes ``ROLL_BYTES`` compressed.
+   Headers and digests are made anew from the bytes; nothing depends on the clock or on the task.
+4. A file is written under a temporary name and moved to its own when complete; the manifest (a Parquet
+   table, written last) lists the files that count, with sizes and digests. Readers read what it lists, and what lost
+   attempts left under temporary names goes.
 
 Files are opened with ``pyarrow.fs`` by the shared folder's URI.
 
 Cases: a null or empty payload has zero bytes; a null URL gives a record without a target; a null id one without
-an id (it sorts first, and is never preferred as a response); of repeated rows one is the response; an empty table gives an empty manifest;
+an id (it sorts first, and is never preferred as a response); of repeated rows one is the response (of equal ids that with the greatest URL); an empty table gives an empty manifest;
 columns beside those named are ignored; a damaged file or a digest that does not fit raises an error.
 """
 
@@ -24,20 +28,24 @@ import gzip
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from aerostat.llm.common import new_folder, sliced, table, utf8, written
 from aerostat.llm import sidefiles
 from aerostat.llm.sidefiles import proof, received, send_back
+from aerostat.operators.windows import join_on_keys
 
 MIN_REVISIT = 1000
 ROLL_BYTES = 64 << 20
 LEVEL = 6
 DATE = "2024-01-01T00:00:00Z"
+#: rows per shard, about, that place the borders of the ranges
+BORDER_SAMPLE = 16
 _SHIFT = 33  # of the partition's number in monotonically_increasing_id()
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -51,14 +59,14 @@ def _clean(value: str) -> str:
     return "".join(c if c >= " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in value)
 
 
-def record(page: int | None, place: int, url: str | None, size: int, sha1: str, payload: bytes | None,
+def record(page: int | None, number: int, url: str | None, size: int, sha1: str, payload: bytes | None,
            refers_to: int | None, refers_url: str | None, date: str = DATE) -> bytes:
     """One WARC/1.1 record, uncompressed; ``payload`` None makes a revisit."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + (payload or b"")
     digest = "sha1:" + base64.b32encode(bytes.fromhex(sha1)).decode()
     name = lambda p: f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha1(f'page {p}'.encode()).digest()[:16], version=5)}>"
-    head = [("WARC-Type", "response" if payload is not None else "revisit"), ("WARC-Record-ID", name(f"{page} {place}")), ("WARC-Date", date)]
+    head = [("WARC-Type", "response" if payload is not None else "revisit"), ("WARC-Record-ID", name(f"{page} {sha1} {url} {number}")), ("WARC-Date", date)]
     if url is not None:
         head.append(("WARC-Target-URI", _clean(url)))
     head += [("Content-Type", "application/http; msgtype=response"), ("WARC-Block-Digest", _sha1(block)), ("WARC-Payload-Digest", digest)]
@@ -103,45 +111,81 @@ class RollingFiles:
         self.out, self.number = None, self.number + 1
 
 
-def _revisits(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``part, seq, refers_to, refers_url`` of the rows that revisit another, and the proof of the pass."""
+def _digests(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Place and digests of every row, and the number of those that equal an earlier row in id, URL and payload.
+
+    An input partition's copies of a row are counted before they are shuffled, and only copies get numbers.
+    """
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    every = written(pages.select("page", "url", "place", F.sha1(body).alias("one"), F.sha2(body, 256).alias("two"), F.octet_length(body).alias("size")), "warc-digests")
-    part, number = F.shiftright("place", _SHIFT).cast("int").alias("part"), F.col("place").bitwiseAND((1 << _SHIFT) - 1).alias("seq")
+    every = written(pages.select("page", "url", "place", F.sha1(body).alias("one"), F.sha2(body, 256).alias("two"), F.octet_length(body).alias("size"),
+                                 F.shiftright("place", _SHIFT).cast("int").alias("part")), "warc-digests")
+    equal = ["page", "url", "one", "two"]
+    counts = written(every.groupBy(*equal, "part").agg(F.count("*").alias("n")), "warc-copies")
+    group = Window.partitionBy(*equal)
+    before = F.sum("n").over(group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    copied = counts.withColumns({"before": F.coalesce(before, F.lit(0)), "total": F.sum("n").over(group)}).where("total > 1").drop("n", "total")
+    here = F.row_number().over(Window.partitionBy(*equal, "part").orderBy("place"))
+    numbers = join_on_keys(every, copied, [*equal, "part"], "inner").withColumn("number", here + F.col("before") - 1)
+    return every, written(numbers.where("number > 0").select("place", "number"), "warc-numbers")
+
+
+def _sent(every: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``part, seq`` with ``one, refers_to, refers_url`` of the rows that revisit another, and the ``number`` of copies."""
     rows = every.where(F.col("size") >= MIN_REVISIT)
-    best = F.max(F.struct(F.col("page").isNotNull().alias("named"), "page", "place", "url")).alias("best")
+    # of equal rows the first by place, which has no number
+    best = F.max(F.struct(F.col("page").isNotNull().alias("named"), "page", "url", (-F.col("place")).alias("back"))).alias("best")
     # written, so that both sides of the join are shuffled for it and Spark can split a hot payload's rows
     groups = written(rows.groupBy("one", "two", "size").agg(best, F.count("*").alias("n")).where("n > 1").drop("n"), "warc-groups")
-    found = (rows.join(groups, ["one", "two", "size"]).where("place != best.place")
-             .select(part, number, F.col("best.page").alias("refers_to"), F.col("best.url").alias("refers_url"), "one"))
-    return found, proof(every.select(part, number, F.col("page").alias("id")))
+    revisits = (rows.join(groups, ["one", "two", "size"]).where("place != -best.back")
+                .select("place", "one", F.col("best.page").alias("refers_to"), F.col("best.url").alias("refers_url")))
+    return (revisits.unionByName(numbers, allowMissingColumns=True).groupBy("place")
+            .agg(*[F.max(c).alias(c) for c in ("one", "refers_to", "refers_url", "number")])
+            .withColumns({"part": F.shiftright("place", _SHIFT).cast("int"), "seq": F.col("place").bitwiseAND((1 << _SHIFT) - 1)}).drop("place"))
+
+
+def _key(page: int | None, sha1: str, url: str | None, number: int) -> tuple:
+    """Sorts as Spark sorts these columns."""
+    return page is not None, page or 0, sha1, url is not None, (url or "").encode(), number
+
+
+def _borders(every: DataFrame, numbers: DataFrame, shards: int) -> list[tuple]:
+    """The first keys of all ranges but the first, from a sample of about ``BORDER_SAMPLE`` rows a range."""
+    key = ["page", "one", "url", "number"]
+    rows = every.join(numbers, "place", "left").select("page", "one", "url", F.coalesce("number", F.lit(0)).alias("number"))
+    share = int((1 << 30) * min(1.0, shards * BORDER_SAMPLE / max(1, every.count())))
+    picked = sorted(_key(*r) for r in rows.where(F.pmod(F.xxhash64(*key), F.lit(1 << 30)) < share).collect())
+    return [picked[i * len(picked) // shards] for i in range(1, shards)] if picked else []
 
 
-def _records(pages: DataFrame, sent: str) -> DataFrame:
-    """Every page with its digest; a revisit has its target in place of the payload."""
+def _records(pages: DataFrame, sent: str, borders: list[tuple]) -> DataFrame:
+    """Every page with its digest and shard; a revisit has its target in place of the payload."""
     def read(batches):
         back = None
         for b in sliced(batches, "html"):
             place = b.column("place").to_pylist()
             if back is None:
-                held = received(sent, place[0] >> _SHIFT, ["seq", "refers_to", "refers_url", "one"])
+                held = received(sent, place[0] >> _SHIFT, ["seq", "refers_to", "refers_url", "one", "number"])
                 back = {r["seq"]: r for r in held.rows.to_pylist()}
             held.seen(b.column("mark"))
             body = [t or b"" for t in utf8(b.column("html"))]
             sha = [hashlib.sha1(t).hexdigest() for t in body]
-            hits = [back.get(p & ((1 << _SHIFT) - 1)) for p in place]
-            if any(h and h["one"] != s for h, s in zip(hits, sha)):
+            hits = [back.get(p & ((1 << _SHIFT) - 1)) or {} for p in place]
+            again = [h.get("one") is not None for h in hits]
+            if any(a and h["one"] != s for a, h, s in zip(again, hits, sha)):
                 raise RuntimeError(sidefiles.MOVED)
+            numbers = [h.get("number") or 0 for h in hits]
+            keys = map(_key, b.column("page").to_pylist(), sha, b.column("url").to_pylist(), numbers)
             yield pa.RecordBatch.from_pydict({
-                "page": b.column("page"), "place": b.column("place"), "url": b.column("url"),
+                "page": b.column("page"), "url": b.column("url"), "number": pa.array(numbers, pa.int64()),
                 "size": pa.array([len(t) for t in body], pa.int64()), "sha1": pa.array(sha, pa.string()),
-                "payload": pa.array([None if h else t for h, t in zip(hits, body)], pa.binary()),
-                "refers_to": pa.array([h and h["refers_to"] for h in hits], pa.int64()),
-                "refers_url": pa.array([h and h["refers_url"] for h in hits], pa.string())})
+                "payload": pa.array([None if a else t for a, t in zip(again, body)], pa.binary()),
+                "refers_to": pa.array([h.get("refers_to") for h in hits], pa.int64()),
+                "refers_url": pa.array([h.get("refers_url") for h in hits], pa.string()),
+                "shard": pa.array([bisect_right(borders, k) for k in keys], pa.int32())})
         if back is not None:
             held.check()
 
-    return pages.mapInArrow(read, "page long, place long, url string, size long, sha1 string, payload binary, refers_to long, refers_url string")
+    return pages.mapInArrow(read, "page long, url string, number long, size long, sha1 string, payload binary, refers_to long, refers_url string, shard int")
 
 
 def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -150,11 +194,11 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     spark = pages.sparkSession
     source = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url_col).cast("string").alias("url"),
                           F.col(html_col).cast("string").alias("html"), F.monotonically_increasing_id().alias("place"), sidefiles.mark(sidefiles.seq(), F.col(id_col).cast("long")).alias("mark"))
-    revisits, held = _revisits(source)
-    records = _records(source, send_back(revisits, "warc-revisits", held))
+    every, numbers = _digests(source)
+    held = proof(every.select("part", F.col("place").bitwiseAND((1 << _SHIFT) - 1).alias("seq"), F.col("page").alias("id")))
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (records.repartitionByRange(shards, "page", "place").sortWithinPartitions("page", "place")
-              .withColumn("shard", F.spark_partition_id()))
+    records = _records(source, send_back(_sent(every, numbers), "warc-sent", held), _borders(every, numbers, shards))
+    ranged = records.repartitionById(shards, "shard").sortWithinPartitions("page", "sha1", "url", "number")
 
     def write(batches):
         files = None
@@ -163,7 +207,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
         done = []
         for b in filter(len, batches):
             files = files or RollingFiles(folder, b.column("shard")[0].as_py(), roll, level)
-            for row in zip(*(b.column(c).to_pylist() for c in ("page", "place", "url", "size", "sha1", "payload", "refers_to", "refers_url"))):
+            for row in zip(*(b.column(c).to_pylist() for c in ("page", "number", "url", "size", "sha1", "payload", "refers_to", "refers_url"))):
                 done.extend(files.add(row[0], record(*row, date)))
         if files:
             done.extend(files.close())
@@ -174,6 +218,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     store.create_dir(f"{root}/_temporary", recursive=True)
     manifest = ranged.mapInArrow(write, "file string, records long, bytes long, sha1 string, first_id long, last_id long")
     manifest.write.parquet(f"{folder}/manifest")  # the commit: what is not listed here does not count
+    store.delete_dir_contents(f"{root}/_temporary")
     return spark.read.parquet(f"{folder}/manifest")
 
 

@@ -49,6 +49,40 @@ def test_files_are_listed_rolled_ordered_and_the_same_again(spark, pages):
     assert kept[0] == kept[1]
 
 
+def test_the_same_bytes_however_the_input_is_dealt(spark, files):
+    copies = [(20, "http://c", OTHER)] * 25 + [(21, None, "tiny")] * 12 + [(30 + i, f"http://p/{i}", f"<p>{i}</p>" * 20) for i in range(40)]
+    rows = [(*p, "x", "y") for p in [*PAGES, *copies]]
+    schema, kept = "page_id long, url string, html string, place string, page string", []
+    for n, order in ((1, rows), (4, rows[::-1]), (7, rows[::3] + rows[1::3] + rows[2::3])):
+        folder = new_folder(spark, "warc-test")
+        made = warc.write_warc(files(spark.createDataFrame(order, schema).repartition(n)), folder, shards=5, roll=2000).collect()
+        kept.append(sorted(tuple(r) for r in made))
+        path = folder.removeprefix("file://")
+        ids = [warc.parse(m)[0]["WARC-Record-ID"] for r in made for m in warc.members(open(f"{path}/{r.file}", "rb"))]
+        assert len(ids) == len(set(ids)) == len(rows)
+    assert kept[0] == kept[1] == kept[2]
+    assert len({r[0][:11] for r in kept[0]}) == 5  # no range is empty, and the group of 25 equal rows is cut
+
+
+def test_what_lost_attempts_left_goes_with_the_commit(spark, pages):
+    folder = new_folder(spark, "warc-test")
+    path = folder.removeprefix("file://")
+    os.makedirs(f"{path}/_temporary")
+    open(f"{path}/_temporary/lost-part-000000-00000.warc.gz", "wb").write(b"half")
+    warc.write_warc(pages, folder, shards=2)
+    assert os.listdir(f"{path}/_temporary") == []
+
+
+def test_a_cut_file_is_an_error(spark, pages):
+    folder = new_folder(spark, "warc-test")
+    names = [r.file for r in warc.write_warc(pages, folder, shards=1).collect()]
+    path = f"{folder.removeprefix('file://')}/{names[0]}"
+    data = open(path, "rb").read()
+    open(path, "wb").write(data[:data.index(b"\x1f\x8b\x08", 10)])  # whole records, but not all
+    with pytest.raises(Exception, match="not the file that the manifest lists"):
+        warc.read_warc(spark, folder).collect()
+
+
 def test_damage_is_an_error(spark, pages):
     with pytest.raises(ValueError):
         warc.parse(warc.record(1, 0, "u", 3, hashlib.sha1(b"abc").hexdigest(), b"abc", None, None).replace(b"abc", b"abd"))
