@@ -65,13 +65,13 @@ def bucket_of(ts: Column, bucket: str) -> Column:
     return F.coalesce(b, F.lit(_LAST_BUCKET))
 
 
-def _comparable(cols: Sequence[str]) -> Column:
+def comparable(cols: Sequence[str]) -> Column:
     return F.struct(*[x for i, c in enumerate(cols) for x in (F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}"))])
 
 
 def order_key(spec: SeriesSpec) -> Column:
     """One comparable value in row order: NULLs last in every column."""
-    return _comparable(spec.order_cols)
+    return comparable(spec.order_cols)
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -104,7 +104,7 @@ def find_cuts(df: DataFrame, spec: SeriesSpec) -> pa.Table | None:
         return None
     wide = spec
     while True:
-        points = cut_points(df, wide).select(_comparable(spec.entity).alias("e"), F.posexplode("_cuts").alias("i", "k"))
+        points = cut_points(df, wide).select(comparable(spec.entity).alias("e"), F.posexplode("_cuts").alias("i", "k"))
         found = points.select(F.struct("e", "k").alias("at"), (F.col("i") + 1).cast("long").alias("i")).limit(MAX_CUTS + 1).toArrow()
         if found.num_rows <= MAX_CUTS:
             return found if found.num_rows else None
@@ -141,7 +141,7 @@ def series_bucket(df: DataFrame, spec: SeriesSpec, cuts: pa.Table | None = None)
         return df.withColumn(_BK, F.lit(0).cast("long"))
     names, n = df.columns, cuts.num_rows
     table = df.sparkSession.createDataFrame(cuts).agg(F.array_sort(F.collect_list(F.struct("at", "i"))).alias("b")).scalar()
-    out = df.withColumn("_at", F.struct(_comparable(spec.entity).alias("e"), order_key(spec).alias("k"))).withColumn("_p0", F.lit(0))
+    out = df.withColumn("_at", F.struct(comparable(spec.entity).alias("e"), order_key(spec).alias("k"))).withColumn("_p0", F.lit(0))
     steps = [1 << b for b in range((n.bit_length() - 1) // 2 * 2, -1, -2)]  # four ways at a time
     for i, step in enumerate(steps):
         here = F.col(f"_p{i}")

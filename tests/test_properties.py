@@ -179,3 +179,43 @@ def test_global_cut_with_rows_without_a_time(spark):
     w = Window.orderBy(F.col("ts").asc_nulls_last(), "event_id")
     ref = e.withColumn("split", F.when(F.row_number().over(w) <= int(0.8 * e.count()), "train").otherwise("test"))
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def _against_window(spark, rows, spec, fraction):
+    from aerostat.operators.split import global_time_split
+    got = global_time_split(rows, spec, fraction)
+    w = Window.orderBy(*[F.col(c).asc_nulls_last() for c in spec.order_cols])   # whole-table window: test reference only
+    ref = rows.withColumn("split", F.when(F.row_number().over(w) <= int(fraction * rows.count()), "train").otherwise("test"))
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("fraction", [0.05, 0.45, 0.999])
+def test_global_split_among_equal_and_missing_times(spark, monkeypatch, fraction):
+    """A third of all rows at one time, a third without a time: the cut goes on with the tie-break column, in small brackets."""
+    from aerostat.operators import split as sp
+    monkeypatch.setattr(sp, "FINAL_BUCKET_ROWS", 20)
+    at = F.timestamp_seconds(F.when(F.col("id") % 3 == 0, F.lit(500)).when(F.col("id") % 3 == 1, F.col("id")))
+    rows = spark.range(3000).select(at.alias("ts"), F.xxhash64("id").alias("event_id"), F.lit(1).alias("user_id")).cache()
+    _against_window(spark, rows, U, fraction)
+
+
+def test_global_split_by_text_and_equal_rows(spark, monkeypatch):
+    """A string tie-break is bracketed from a sample; rows that are equal in every order column stay together."""
+    from aerostat.operators import split as sp
+    monkeypatch.setattr(sp, "FINAL_BUCKET_ROWS", 10)
+    spec = U.with_(order=("name",))
+    rows = spark.range(2000).select(F.timestamp_seconds(F.lit(7)).alias("ts"), F.sha1(F.col("id").cast("string")).alias("name"), F.lit(1).alias("user_id"))
+    _against_window(spark, rows.cache(), spec, 0.8)
+    same = spark.range(300).select(F.timestamp_seconds(F.lit(7)).alias("ts"), F.lit("a").alias("name"), F.lit(1).alias("user_id"))
+    assert sp.global_cut_key(same, spec, 0.5)[1] == "a"
+    assert [r.split for r in sp.global_time_split(same, spec, 0.5).select("split").distinct().collect()] == ["train"]
+    assert sp.global_cut_key(same.limit(0), spec, 0.5) is None
+
+
+def test_global_split_survives_a_wrong_bracket(spark, monkeypatch):
+    """The sketch only steers: with brackets far from the cut the counts still find it."""
+    from aerostat.operators import split as sp
+    monkeypatch.setattr(sp, "FINAL_BUCKET_ROWS", 15)
+    monkeypatch.setattr(sp, "_quantiles", lambda p, margin: (min(1.0, p + 0.1), min(1.0, p + 0.2)))
+    rows = spark.range(1500).select(F.timestamp_seconds(F.col("id") * 7 % 1500).alias("ts"), F.col("id").alias("event_id"), F.lit(1).alias("user_id"))
+    _against_window(spark, rows.cache(), U, 0.37)
