@@ -14,6 +14,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from aerostat.ml.boosting import fit_boosted
 from aerostat.operators.metrics import best_model, regression_metrics
 from aerostat.operators.windows import windowed
 from aerostat.schemas import GBT_PARAMS, MODEL_PRIORITY, RF_PARAMS, SeriesSpec
@@ -38,6 +39,9 @@ def pipeline(features: Sequence[str], label: str, kind: str = "random_forest", *
 
 
 def fit(train: DataFrame, features: Sequence[str], label: str, kind: str = "random_forest", **overrides) -> PipelineModel:
+    """A fitted pipeline; kind ``"boosted"`` (a column subset per tree) needs ``key``, the columns that name a row."""
+    if kind == "boosted":
+        return fit_boosted(train, features, label, **overrides)
     return pipeline(features, label, kind, **overrides).fit(train)
 
 
