@@ -1,10 +1,11 @@
 """Main text of web pages: flat text blocks and a decision tree over shallow features.
 
-A page is cut into blocks at block-level tags. A block's features are its words and link density, those
-of its neighbours, whether it is a heading or a list item, and what its enclosing elements say (article or main; elements or
-class and id words of menus, notices, adverts, forms, comments and the like). A decision tree (Spark
-ML) is trained on the blocks of ``EXAMPLES``, a small table of hand-labelled pages, and decides which blocks
-are main text. Scripts, styles and other elements without prose are no blocks at all.
+A page is cut into blocks at block-level tags. A block's features are its words, links and link density, the words and link
+density of its neighbours, whether it is a heading, the title or a list item, whether main text follows, and what its enclosing elements
+say (article or main; elements or class and id words of menus, notices, adverts, forms, comments and the like). A decision tree (Spark
+ML) is trained on the blocks of a small labelled table (``EXAMPLES``; ``PLAIN_EXAMPLES``, whose elements say nothing; ``MARKED_EXAMPLES``,
+``TEXT_EXAMPLES`` and ``BOX_EXAMPLES``)
+and decides which blocks are main text. Where a page marks no main text, lengths, links and neighbours decide. Scripts, styles and other elements without prose are no blocks at all.
 
 Class, id and role attributes are judged by whole names (``_verdict``): a name counts if its words are all of furniture or of
 layout (``cookie-notice``, ``post-tags``), or if it ends in a word of furniture (``acme-sidebar``), but not if it tells a state or a
@@ -70,7 +71,7 @@ _LAST_COMMENT_WORDS = frozenset("comment comments commentlist disqus replies".sp
 _TOPIC_WORDS = frozenset("search legal notice alert form register navigation menu copyright popular trending recommendations sharing promotion advertising banner cookie cookies".split())
 
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
-            "in_main", "furniture", "comments", "heading", "item", "page_has_main")
+            "in_main", "furniture", "comments", "heading", "item", "page_has_main", "links", "title", "main_after")
 
 
 @lru_cache(1 << 16)
@@ -140,28 +141,27 @@ def _built(attributes: str) -> bool:
 def blocks(page: str) -> tuple[list[str], np.ndarray]:
     """A page's non-empty blocks and their features."""
     texts, rows = [], []
-    stack: list[tuple[str, bool, bool, bool, list | None]] = []  # element, is main, is furniture, is comments, a talk that may be comments
-    talks: list[tuple[int, list]] = []  # block, whether a talk around it is built like comments
-    plain, linked, link, heading, item, own, words = [], 0, 0, False, False, (False, False), 0
+    # open containers with what holds inside them: in main text, in furniture, in comments, any furniture or comments
+    # around, and the outermost talk (a list whose one value says whether it is built like comments)
+    outside: tuple[str, bool, bool, bool, bool, list | None] = ("", False, False, False, False, None)
+    stack = [outside]
+    opened: dict[str, list[int]] = {}  # per element the places of its open ones in the stack
+    talks: list[tuple[int, list]] = []  # block, the outermost talk around it
+    plain, linked, links, link, heading, title, item, own = [], 0, 0, 0, False, False, False, (False, False)
     has_main = False
 
-    def state() -> tuple[bool, bool, bool]:
-        main = furniture = comments = False
-        for _, m, f, c, _ in stack:
-            main, furniture, comments = main or m, (False if m else furniture) or f, comments or c
-        return main, furniture, comments
-
     def close():
-        nonlocal plain, linked, words
+        nonlocal plain, linked, links
         if plain:
             text = " ".join("".join(plain).split())
             if text:
-                main, furniture, comments = state()
+                _, main, furniture, comments, _, talk = stack[-1]
                 n = text.count(" ") + 1
-                talks.extend((len(texts), s[4]) for s in stack if s[4] is not None)
+                if talk is not None:
+                    talks.append((len(texts), talk))
                 texts.append(text)
-                rows.append((n, min(1.0, linked / n), 0, 0, 0, 0, main, furniture or own[0], comments or own[1], heading, item, 0))
-        plain, linked = [], 0
+                rows.append((n, min(1.0, linked / n), 0, 0, 0, 0, main, furniture or own[0], comments or own[1], heading, item, 0, links, title, 0))
+        plain, linked, links = [], 0, 0
 
     def text(raw: str):
         nonlocal linked
@@ -197,6 +197,7 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
             continue
         if name == "a":
             link = 0 if end else 1
+            links += link
             continue
         if name in _INLINE:
             if name in ("br", "img", "wbr"):
@@ -205,19 +206,18 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
         close()
         own = (False, False)
         if name in _CONTAINERS:
-            heading = item = False
+            heading = title = item = False
             if end:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
-                        del stack[i:]
-                        break
+                if opened.get(name):
+                    first = opened[name][-1]
+                    for gone in reversed(stack[first:]):
+                        opened[gone[0]].pop()
+                    del stack[first:]
             elif not attributes.endswith("/"):
-                inner = any(s[1] for s in stack)
+                _, inner, inside, talked, beside, talk = stack[-1]
                 marks = _marks(name, attributes, inner)
-                if name in ("form", "article") or "comments" in marks or _built(attributes):
-                    for s in stack:
-                        if s[4] is not None:
-                            s[4][0] = True
+                if talk is not None and (name in ("form", "article") or "comments" in marks or _built(attributes)):
+                    talk[0] = True
                 comments = "comments" in marks
                 furniture = (name in _FURNITURE or (name == "header" and not inner and "headline" not in marks) or "furniture" in marks
                              or bool(attributes and name not in ("html", "body") and _HIDDEN.search(attributes)))
@@ -225,18 +225,19 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
                 main = main and not comments
                 has_main |= main
                 if main and name not in ("article", "main"):
-                    main = not any(s[2] or s[3] for s in stack)  # a named box inside a menu stays in the menu
+                    main = not beside  # a named box inside a menu stays in the menu
                 if main:
                     furniture = False
-                stack.append((name, main, furniture, comments, [False] if "talk" in marks and not comments else None))
+                if talk is None and "talk" in marks and not comments:
+                    talk = [False]
+                opened.setdefault(name, []).append(len(stack))
+                stack.append((name, inner or main, not main and inside or furniture, talked or comments, beside or furniture or comments, talk))
         else:
-            heading, item = not end and name in _HEADINGS, not end and name in ("li", "dt", "dd", "option")
+            heading, title, item = not end and name in _HEADINGS, not end and name == "h1", not end and name in ("li", "dt", "dd", "option")
             if not end and attributes:
-                marks = _marks(name, attributes, any(s[1] for s in stack))
-                if "comments" in marks or _built(attributes):
-                    for s in stack:
-                        if s[4] is not None:
-                            s[4][0] = True
+                marks = _marks(name, attributes, stack[-1][1])
+                if stack[-1][5] is not None and ("comments" in marks or _built(attributes)):
+                    stack[-1][5][0] = True
                 own = ("furniture" in marks or name in _FURNITURE or bool(_HIDDEN.search(attributes)), "comments" in marks)
             elif not end and name in _FURNITURE:
                 own = (True, False)
@@ -247,9 +248,21 @@ def blocks(page: str) -> tuple[list[str], np.ndarray]:
     table_[1:, 2:4], table_[:-1, 4:6] = table_[:-1, :2], table_[1:, :2]
     table_[:, 11] = has_main
     table_[[i for i, built in talks if built[0]], 8] = 1
+    table_[:-1, 14] = (table_[1:, 6] == 1) & (table_[1:, 7] == 0) & (table_[1:, 8] == 0)
     return texts, table_
 
 
+def _say(n: int) -> str:
+    """A sentence of ``n`` words."""
+    w = f"{_LONG} {_MORE}".split()
+    return " ".join(w[i % len(w)] for i in range(n))
+
+
+def _bar(n: int, words: int = 1) -> str:
+    """A bar of ``n`` links of so many words or up to two more."""
+    return " ".join(f"<a href=/{i}>{'-' if i == 0 else ''}{_say(words + i % 3)}</a>" for i in range(n))
+
+
 # The labelled table: pages cut into blocks, '+' before a block of main text and '-' before any other.
 _LONG = "the long winter kept the harbour closed and most of the boats stayed on land until the ice broke in early spring"
 _MORE = "people of the town remember the year well because every house had to take in travellers who could not go on"
@@ -278,9 +291,47 @@ EXAMPLES = (
 )
 
 
+# Pages whose elements say nothing: only lengths, links and neighbours tell main text from the rest.
+_LENGTHS = (1, 3, 6, 10, 15, 24, 40, 90)
+PLAIN_EXAMPLES = (
+    "<p>+Short story.</p><p>+It ends.</p>", "<p>+One line only</p>", "<div>+A note</div><div>+and more of it, in a few words</div><div>+The end</div>",
+    # a bar of links, a text of paragraphs of every length, another bar and a line without links below it
+    *[f"<div>{_bar(k)}</div><h1>+{_say(4)}</h1><p>+{_say(n)}.</p><p>+{_say(30)}.</p><p>+{_say(n)}</p><div>{_bar(k + 1)}</div><p>-{_say(4)}</p>" for k, n in zip((2, 3, 5, 8, 2, 4, 6, 3), _LENGTHS)],
+    # the text ends the page
+    *[f"<table><tr><td><a href=/>-{_say(1)}</a><td><a href=/n>-{_say(2)}</a></table><p>+{_say(60)}.</p><p>+{_say(n)}.</p>" for n in _LENGTHS],
+    # a label between lists of links, a list of teasers, then the text
+    *[f"<ul><li><a href=/a>-{_say(2)}</a><li><a href=/b>-{_say(n)}</a></ul><p>-{_say(3)}</p><ul><li><a href=/c>-{_say(3)}</a></ul>"
+      f"<div><h3><a href=/t>-{_say(5)}</a></h3><p>-{_say(5 + n % 8)}</p><p><a href=/t>-{_say(2)}</a></p></div><h2>+{_say(3)}</h2><p>+{_say(45)}</p><p>+{_say(n)}</p><p>+{_say(20)}</p>" for n in _LENGTHS[:6]],
+    *[f"<p>+{_say(50)}</p><div><h3><a href=/t>-{_say(4)}</a></h3><p>-{_say(n)}</p><h3><a href=/u>-{_say(6)}</a></h3><p>-{_say(n + 3)}</p><p><a href=/u>-{_say(2)}</a></p></div>" for n in (4, 7, 10, 12)],
+    # long paragraphs stand between links as well, and hold some
+    *[f"<p><a href=/p>-{_say(3)}</a></p><p>+{_say(n)} <a href=/x>{_say(n // 5)}</a></p><p><a href=/q>-{_say(4)}</a></p><p>+{_say(n + 9)}.</p>" for n in (30, 45, 80)],
+)
+_PAIRS = tuple((n, m) for i, n in enumerate(_LENGTHS) for m in (_LENGTHS[-1 - i], _LENGTHS[(3 * i + 1) % 8], n))
+# Pages with main text marked: bars of links in it, its headline before it, and what stands beside it.
+MARKED_EXAMPLES = (
+    *[f"<article><h1>+{_say(5)}</h1><div>{_bar(k, w)}</div><p>+{_say(n)}</p><p>+{_say(3)} <a href=/l>{_say(4)}</a> and <a href=/m>{_say(2)}</a> too</p><div>{_bar(k + 1, w)}</div></article><p>-{_say(n)}</p>"
+      for w in (1, 2, 3) for k, n in zip((2, 3, 5, 8, 2, 3, 4, 12), _LENGTHS)],
+    *[f"<main><p>+{_say(m)}</p><ul><li>+<a href=/r>{_say(n)}</a><li>+<a href=/s>{_say(m)}</a></ul><p>+<a href=/w>{_say(n)}</a></p><p>+{_say(m)}</p><p>+<a href=/y>{_say(n)}</a></p></main>" for n, m in _PAIRS],
+    *[f"<article><p>+<a href=/w>{_say(n)}</a> <a href=/v>{_say(n)}</a></p><p>+{_say(n)}</p></article>" for n in (24, 40)],
+    *[f"<h1>+{_say(n)}</h1><article><p>+{_say(m)}</p><p>+{_say(n)}</p></article><h1>-{_say(n)}</h1><p>-{_say(m)}</p>" for n, m in _PAIRS if n < 20],
+    *[f"<p>-{_say(m)}</p><h1>+{_say(n)}</h1><article><p>+{_say(m)}</p></article><p>-{_say(m)}</p><h1>-{_say(n)}</h1>" for n, m in _PAIRS if n < 20],
+    *[f"<p>-{_say(m)}</p><{e}>-{_say(n)}</{e}><main><p>+{_say(m)}</p></main><{e}>-{_say(n)}</{e}><p>-{_say(m)}</p>" for e in ("h2", "h4", "p") for n, m in _PAIRS],
+    *[f"<header><h1>-{_say(n)}</h1><p>-{_say(m)}</p></header><article><p>+{_say(m)}</p><p>+{_say(n)}</p></article>" for n, m in _PAIRS],
+)
+# Texts of any shape without marks or with them: short lines, headings, items, paragraphs with many links.
+TEXT_EXAMPLES = tuple(
+    f"{start}<{e}>+{_say(n)}</{e}><p>+{_say(m)}</p><ul><li>+{_say(n)}</li><li>+{_say(m)}</li></ul><p>+{_say(3 + n)} {_bar(k).replace('>-', '>')}</p><p>+{_say(8 * k + m)} {_bar(2 * k).replace('>-', '>')}</p><{e}>+{_say(m)}</{e}>{end}"
+    for start, end in (("", ""), ("<div>", "</div>"), ("<article>", "</article>")) for e in ("h2", "p") for k in (1, 2, 4, 7) for n, m in _PAIRS if n > 3 * k - 3)
+# Boxes of furniture and of comments, with pages of main text marked or not.
+BOX_EXAMPLES = tuple(
+    f"{before}<p>-{_say(n)}</p><p>-{_say(m)}</p>{behind}{start}<p>+{_say(40)}</p><p>+{_say(m)}</p>{end}{before}<h3>-{_say(2)}</h3><p>-{_say(m)}</p>{behind}"
+    for before, behind in (("<div class=sidebar>", "</div>"), ("<nav>", "</nav>"), ("<div id=comments>", "</div>"))
+    for start, end in (("<div>", "</div>"), ("<article>", "</article>")) for n, m in _PAIRS[::2])
+
+
 def labelled_blocks() -> tuple[np.ndarray, np.ndarray]:
     rows, labels = [], []
-    for page in EXAMPLES:
+    for page in EXAMPLES + PLAIN_EXAMPLES + MARKED_EXAMPLES + TEXT_EXAMPLES + BOX_EXAMPLES:
         texts, features = blocks(page)
         rows.append(features)
         labels += [t[0] == "+" for t in texts]

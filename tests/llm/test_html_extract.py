@@ -103,3 +103,49 @@ def test_heads_and_elements_without_end_tag_drop_nothing(page, tree):
 def test_raw_text_runs_to_the_end(tree):
     for e in ("script", "style", "textarea", "title"):
         assert text_of(f"<article><p>a<{e}>x</p><p>{LONG}</p></article>", tree) == "a"
+
+
+def test_tree_rests_on_shape(tree):
+    used = set()
+
+    def walk(t):
+        if not isinstance(t, bool):
+            used.add(hx.FEATURES[t[0]])
+            walk(t[2]), walk(t[3])
+    walk(tree)
+    assert {"words", "link_density", "links", "main_after"} <= used and {"link_density_before", "link_density_after"} & used
+
+
+BAR = "<div><a href=/>Home</a> <a href=/s>Our shop</a> <a href=/c>Contact</a></div>"
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p>Short story.</p><p>It ends.</p>", "Short story.\nIt ends."), ("<p>One.</p>", "One."),
+    (f"{BAR}<h1>Boats</h1><p>{LONG}</p><h2>Part two</h2><p>Bye.</p>{BAR}<p>All rights reserved</p>", f"Boats\n{LONG}\nPart two\nBye."),
+    (f"<h1>Headline</h1><article><p>{LONG}</p></article>", f"Headline\n{LONG}"), (f"<p>Log in</p><h1>Headline</h1><article><p>Yes.</p></article><h1>More</h1>", "Headline\nYes."),
+    (f"<header><h1>The Daily Page</h1></header><article><p>{LONG}</p></article>", LONG), (f"<h3>Latest</h3><article><p>{LONG}</p></article>", LONG),
+    (f'<article><p>{LONG}</p><div class="tools"><a href=/f>Facebook</a> <a href=/p>Print</a></div><p>It ends.</p></article>', f"{LONG}\nIt ends."),
+    (f"<article><p>{LONG} <a>one</a> <a>two</a> <a>three</a> <a>four</a> <a>five</a> <a>six</a></p><ul><li><a href=/r>A source</a></ul></article>", f"{LONG} one two three four five six\nA source"),
+    (f"<p>{LONG}</p><div id=comments><p>Nice.</p><p>{LONG}</p></div>", LONG)])
+def test_lengths_links_and_neighbours_decide(page, want, tree):
+    assert text_of(page, tree) == want
+
+
+def test_pages_without_names_or_article_marks(tree):
+    """All class, id and role attributes and the article's tags taken away: most of the words are still told apart."""
+    from collections import Counter
+    import pyarrow.parquet as pq
+    both = got_all = want_all = 0
+    for page in pq.read_table(f"{SF001}/pages.parquet", columns=["html"]).column(0).to_pylist():
+        bare = re.sub(r"\s(?:class|id|role)=(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", re.sub(r"</?(?:article|main)[^>]*>", "", page or ""))
+        want, got = Counter(text_of(page or "", tree).split()), Counter(text_of(bare, tree).split())
+        both, got_all, want_all = both + sum((want & got).values()), got_all + sum(got.values()), want_all + sum(want.values())
+    assert both >= 0.9 * got_all and both >= 0.9 * want_all
+
+
+@pytest.mark.parametrize("page", ["<ul>" * 40_000 + "x", "<ul></div>" * 20_000 + "x", "<section class=discussion><p>x" * 20_000, "<div class=ad>" * 20_000 + "<div class=content><p>y</p></section>" * 20_000])
+def test_deep_nesting_takes_time_in_proportion(page):
+    import time
+    start = time.process_time()
+    hx.blocks(page)
+    assert time.process_time() - start < 10
