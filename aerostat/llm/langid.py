@@ -177,7 +177,7 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, sample_r
     top = counts.withColumn("r", F.row_number().over(best)).where(F.col("r") <= quota).select("kind", "gram").distinct()
     different = counts.groupBy("kind").agg(F.count_distinct("gram").alias("grams"))
     totals = counts.groupBy("kind", "lang").agg(F.sum("n").alias("n")).join(different, "kind")
-    return Model(langs, [have[x] for x in langs], counts.join(top, ["kind", "gram"], "left_semi").toPandas(), totals.toPandas())
+    return Model(langs, [have[x] for x in langs], counts.join(top, ["kind", "gram"], "left_semi").toArrow().to_pandas(), totals.toPandas())  # Arrow: no row objects on the driver
 
 
 def identify(docs: DataFrame, model: Model, text_col: str, *keep: Column) -> DataFrame:
